@@ -66,57 +66,70 @@ def _before(fine: DataFrame, digits: int) -> DataFrame:
     return within.join(above, ["src", "up"]).select("src", "bucket", (F.col("base") + F.col("inner")).alias("before"))
 
 
-def plan(docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """The mix: ``keep`` columns and source, size, x (words before), source_size, target, slope, taken, position.
+def _digest() -> Column:
+    return F.md5(F.concat_ws("\n", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))).cast("binary"))
 
-    ``keep`` must not hold the names above; the digest is over doc_id and text.
-    """
-    keep = keep or ["doc_id"]
-    digest = F.md5(F.concat_ws("\n", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce("text", F.lit(""))).cast("binary"))
-    # the source's key: null and a text must differ
-    src = F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source"))
-    sized = store(docs.select(*keep, "source", src.alias("src"), n_words(F.col("text")).alias("size"), digest.alias("digest")), "mix-sizes")
+
+def _key() -> Column:
+    """A source's key: null and a text must differ."""
+    return F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source"))
+
+
+def copy_words(e: int | Column) -> Column:
+    """Words that copy e of a document gives to the mix."""
+    return F.greatest(F.lit(0), F.least(F.col("size"), F.round("target").cast("long") - (e * F.col("source_size") + F.col("x"))))
+
+
+def copy_position(e: int | Column) -> Column:
+    """Training time at which copy e begins: the inverse of the source's cumulative demand."""
+    y, a = F.try_divide(e * F.col("source_size") + F.col("x"), "target"), F.col("slope")
+    return F.round(F.when((a == 0) | (y == 0), y).otherwise((F.sqrt((1 - a) * (1 - a) + 4 * a * y) - (1 - a)) / (2 * a)), 9)
+
+
+def plan(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, digest, size, x, source_size, target, slope, taken, position) of every document of (doc_id, text, source)."""
+    sized = store(docs.select("doc_id", "source", _key().alias("src"), n_words(F.col("text")).alias("size"), _digest().alias("digest")), "mix-sizes")
     digits = max(1, math.ceil(math.log(max(1, sized.count() / ROWS), 16)))
     sized = sized.withColumn("bucket", F.substring("digest", 1, digits))
     fine = store(sized.groupBy("src", "bucket").agg(F.sum("size").alias("words"), F.first("source").alias("source")), "mix-buckets")
     per_source = fine.groupBy("src").agg(F.first("source").alias("source"), F.sum("words").alias("source_size"))
-    goals = targets(per_source.select("source", "source_size")).withColumn("src", F.when(F.col("source").isNull(), "n").otherwise(F.concat(F.lit("s"), "source"))).drop("source")
-    offsets = _before(fine, digits).join(F.broadcast(goals) if per_source.count() <= 100_000 else goals, "src")
+    goals = targets(per_source.select("source", "source_size")).withColumn("src", _key()).drop("source")
+    offsets = _before(fine, digits).join(goals, "src")
     w = Window.partitionBy("src", "bucket").orderBy("digest", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
     inner = sized.withColumn("inner", F.coalesce(F.sum("size").over(w), F.lit(0)))
     df = inner.join(offsets, ["src", "bucket"]).withColumn("x", F.col("before") + F.col("inner"))
-    goal = F.round("target").cast("long")
-    copy = lambda e: F.greatest(F.lit(0), F.least(F.col("size"), goal - (e * F.col("source_size") + F.col("x"))))
-    taken = sum((copy(e) for e in range(1, CAP)), copy(0)).cast("long")
-    y, a = F.try_divide("x", "target"), F.col("slope")
-    t = F.when((a == 0) | (y == 0), y).otherwise((F.sqrt((1 - a) * (1 - a) + 4 * a * y) - (1 - a)) / (2 * a))
-    df = df.withColumn("taken", taken)
-    return df.withColumn("position", F.when(F.col("taken") > 0, F.round(t, 9))).drop("src", "bucket", "digest", "before", "inner")
-
-
-def ordered(mix: DataFrame) -> DataFrame:
-    """Range-sort by position; documents of which nothing is taken follow, spread by their place in the source."""
-    late = 1 + F.col("x") / F.greatest(F.col("source_size"), F.lit(1))
-    return mix.orderBy(F.coalesce("position", late), "doc_id")
+    df = df.withColumn("taken", sum((copy_words(e) for e in range(1, CAP)), copy_words(0)).cast("long"))
+    return df.withColumn("position", F.when(F.col("taken") > 0, copy_position(0))).drop("src", "bucket", "before", "inner")
 
 
 def digest(docs: DataFrame) -> DataFrame:
-    return ordered(plan(docs.select("doc_id", "text", "source"))).select("doc_id", "size", "source_size", "target", "taken", "source", "position")
+    """The whole mix, range-sorted by position; documents of which nothing is taken follow, spread by their place in the source."""
+    late = 1 + F.col("x") / F.greatest(F.col("source_size"), F.lit(1))
+    mix = plan(docs.select("doc_id", "text", "source"))
+    return mix.orderBy(F.coalesce("position", late), "doc_id").select("doc_id", "size", "source_size", "target", "taken", "source", "position")
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The documents as the mix takes them: whole copies, then the leading words of the boundary document."""
+    """The documents as the mix takes them, a row for each copy, range-sorted by the copies' positions.
+
+    A copy that a source's target cuts holds its leading words.
+    """
     names = docs.columns
-    tagged = docs.select(F.struct(*names).alias("__doc"), "doc_id", "text", "source")
-    mix = ordered(plan(tagged, ["doc_id", "__doc"]).where("taken > 0"))
-    full = F.expr("try_divide(taken, size)").cast("int")
-    left = (F.col("taken") % F.col("size")).cast("int")
-    words = F.split(F.col("__doc.text"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
-    cut = F.array_join(F.slice(words, 1, left), "")
-    whole = F.array_repeat(F.col("__doc.text"), full)
-    copies = F.when(left > 0, F.concat(whole, F.array(cut))).otherwise(whole)
-    out = mix.select("__doc", F.explode(copies).alias("__text"))
-    return out.select(*(F.col("__text").alias(c) if c == "text" else F.col(f"__doc.{c}").alias(c) for c in names))
+    mix = store(plan(docs.select("doc_id", "text", "source")).where("taken > 0").select("doc_id", "digest", "size", "x", "source_size", "target", "slope"), "mix-plan")
+    marked = docs.select(F.struct(*names).alias("doc"), "doc_id", _digest().alias("digest"))
+    on = ["doc_id", "digest"]
+    if not mix.groupBy(*on).count().where("count > 1").isEmpty():  # repeated rows: the n-th meets the n-th
+        nth = F.row_number().over(Window.partitionBy(*on).orderBy("x"))
+        mix, marked = mix.withColumn("nth", nth), marked.withColumn("x", F.lit(0)).withColumn("nth", nth).drop("x")
+        on = [*on, "nth"]
+    m = mix.select(*(F.col(c).alias(f"__{c}") if c in on else F.col(c) for c in mix.columns))
+    match = [marked[c].eqNullSafe(m[f"__{c}"]) for c in on]
+    taking = marked.join(m, match).select("doc", "size", "x", "source_size", "target", "slope", F.explode(F.sequence(F.lit(0), F.lit(CAP - 1))).alias("e"))
+    taking = taking.withColumn("words", copy_words(F.col("e"))).where("words > 0").withColumn("at", copy_position(F.col("e")))
+    heads = F.split(F.col("doc.text"), r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
+    text = F.when(F.col("words") < F.col("size"), F.array_join(F.slice(heads, 1, F.col("words").cast("int")), "")).otherwise(F.col("doc.text"))
+    out = taking.select("doc", text.alias("text"), "at").orderBy("at", "doc.doc_id")
+    return out.select(*(F.col("text") if c == "text" else F.col(f"doc.{c}").alias(c) for c in names))
 
 
 ORACLE = r"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heartwood.llm import mixing, pii, secrets, sharding, simhash
+from heartwood.llm import embeddings, katz, language, mixing, packing, pii, secrets, sharding, simhash, topk
 from heartwood.llm.common import table
 
 
@@ -12,21 +12,41 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(table(spark, sf_dir, "documents"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.digest(table(spark, sf_dir, "documents"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.digest(table(spark, sf_dir, "documents"))
 
 
+def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op3_feistel_shards, op6_pii, op8_mix_sources, op10_secrets)}
-ORACLES = {"op8_mix_sources": mixing.ORACLE}
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_embedding_links, op3_feistel_shards, op4_pack, op5_top_k, op6_pii, op7_language, op8_mix_sources, op9_katz, op10_secrets)}
+ORACLES = {"op5_top_k": topk.ORACLE, "op8_mix_sources": mixing.ORACLE}

@@ -152,21 +152,20 @@ def _tiles(batches: Iterator[pd.DataFrame], key: str, tile: int) -> Iterator[pd.
 
 
 def chunked(keyed: DataFrame, chunk: int, spread: str) -> DataFrame:
-    """Deal buckets into blocks to compare: (block, ...) for ``keyed`` (bucket, ...).
-
-    A bucket of one row goes. One of up to ``chunk`` rows is one block. A
-    larger one is dealt by ``spread`` into chunks, with a block for every
-    pair of chunks, so a block holds about two chunks at most. ``block`` is a
-    64-bit hash; blocks that collide are only compared in vain.
+    """Deal buckets into blocks to compare: adds block, m, mine and other to ``keyed`` (bucket, ...).
+
+    A bucket of one row goes. One of up to ``chunk`` rows is one block (m is
+    1). A larger one is dealt by ``spread`` into m chunks, with a block for
+    every pair (mine, other) of chunks, so a block holds about two chunks at
+    most. Rows of one chunk meet in every block of that chunk; to count a
+    pair once, count those only where other is (mine + 1) mod m. ``block`` is
+    a 64-bit hash; blocks that collide are only compared in vain.
     """
     sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = keyed.join(sizes, "bucket")
-    m = F.ceil(F.col("n") / chunk).cast("int")
-    mine = F.pmod(F.xxhash64(spread, F.lit(1)), m).cast("int")
-    others = F.transform(F.sequence(F.lit(0), m - 1), lambda o: F.xxhash64("bucket", F.least(o, mine), F.greatest(o, mine)))
-    # with chunks, the pair of a chunk with itself is covered by any pair that holds it
-    pairs = F.when(m == 1, F.array(F.xxhash64("bucket", F.lit(-1), F.lit(-1)))).otherwise(F.filter(others, lambda h: h != F.xxhash64("bucket", mine, mine)))
-    return rows.withColumn("block", F.explode(pairs)).drop("n")
+    rows = keyed.join(sizes, "bucket").withColumn("m", F.ceil(F.col("n") / chunk).cast("int"))
+    rows = rows.withColumn("mine", F.pmod(F.xxhash64(spread, F.lit(1)), "m").cast("int")).drop("n")
+    others = F.filter(F.sequence(F.lit(0), F.col("m") - 1), lambda o: (o != F.col("mine")) | (F.col("m") == 1))
+    return rows.withColumn("other", F.explode(others)).withColumn("block", F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")))
 
 
 def links(fps: DataFrame, radius: int = RADIUS, bands: int = BANDS, chunk: int = CHUNK) -> DataFrame:
@@ -191,21 +190,38 @@ def links(fps: DataFrame, radius: int = RADIUS, bands: int = BANDS, chunk: int =
     return blocks.mapInPandas(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, bands: int = BANDS) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every document."""
-    fps = store(fingerprints(docs, words), "fingerprints")
+def _classes(fps: DataFrame, radius: int, bands: int) -> DataFrame:
+    """(fp, root, component_id) of every distinct fingerprint of (doc_id, fp)."""
     groups = store(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-groups")
     nodes = store(components(links(groups.select("fp"), radius, bands)), "fingerprint-components")
     found = nodes.join(groups, nodes["node"] == groups["fp"]).groupBy("root").agg(F.min("rep").alias("least"))
-    merged = nodes.join(found, "root").select(F.col("node").alias("fp"), "least")
-    classes = groups.join(merged, "fp", "left").select("fp", F.coalesce("least", "rep").alias("component_id"))
+    merged = nodes.join(found, "root").select(F.col("node").alias("fp"), "root", "least")
+    return groups.join(merged, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "rep").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, bands: int = BANDS) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every document."""
+    fps = store(fingerprints(docs, words), "fingerprints")
+    classes = _classes(fps, radius, bands).select("fp", "component_id")
     return fps.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicate(docs: DataFrame) -> DataFrame:
-    """Keep one document of each component: of the rows with its component's id, one; all columns stay."""
-    found = near_duplicates(docs)
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
+def deduplicate(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, bands: int = BANDS) -> DataFrame:
+    """One document of each component, the one with the least doc_id (null last), with all its columns."""
     names = docs.columns
-    once = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
-    return once.select(*names)
+
+    def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            yield pd.Series(np.array([fingerprint(t, words) for t in s], np.uint64).view(np.int64))
+
+    fps = store(fingerprints(docs, words), "fingerprints")
+    rows = fps.groupBy("fp", "doc_id").agg(F.count(F.lit(1)).alias("n"))
+    kept = rows.join(_classes(fps, radius, bands).select("fp", "root"), "fp").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "n")).alias("k"))
+    kept = store(kept.select(F.col("k.doc_id").alias("__id"), F.col("k.fp").alias("__kept"), F.col("k.n").alias("__n")), "fingerprint-kept")
+    marked = docs.withColumn("__fp", F.pandas_udf(fp, "long")("text"))
+    match = lambda k: [marked["doc_id"].eqNullSafe(k["__id"]), marked["__fp"] == k["__kept"]]
+    one, many = kept.where("__n = 1"), kept.where("__n > 1")
+    out = marked.join(one, match(one), "left_semi")
+    if not many.isEmpty():  # rows that repeat their id and fingerprint
+        out = out.unionByName(marked.join(many, match(many), "left_semi").dropDuplicates(["doc_id", "__fp"]))
+    return out.select(*names)
