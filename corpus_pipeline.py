@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heartwood.llm import mixing, pii, simhash
+from heartwood.llm import language, mixing, packing, pii, simhash
 from heartwood.llm.common import store, table
 
 
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no known language go; a missing label is filled in."""
+    return language.accepted(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return simhash.deduplicate(docs)
@@ -23,7 +28,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs)
 
 
-STAGES = [("near_dedup", near_dedup), ("pii", private_data), ("mix", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, with their sequences and offsets."""
+    return packing.pack(docs)
+
+
+STAGES = [("language", language_id), ("near_dedup", near_dedup), ("pii", private_data), ("mix", mix), ("pack", pack)]
 
 #: No SQL: fingerprints, language and packing are beyond it; the tests hold the stages against plain Python.
 ORACLE_SQL = None
