@@ -27,7 +27,7 @@ RECORD = (
 def texts(spark: SparkSession, path: str, most: int = MAX_BYTES) -> DataFrame:
     """(path, text, error) of whole files; larger ones carry an error and no text."""
     f = spark.read.format("binaryFile").load(path)
-    return f.select("path", F.when(F.col("length") <= most, F.decode("content", F.lit("UTF-8"))).alias("text"), F.when(F.col("length") > most, "file too large").alias("error"))
+    return f.select("path", F.when(F.col("length") <= most, F.decode("content", "UTF-8")).alias("text"), F.when(F.col("length") > most, "file too large").alias("error"))
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -51,7 +51,8 @@ def manifest_documents(spark: SparkSession, path: str, base: str) -> DataFrame:
 
 def records(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> tuple[DataFrame, DataFrame]:
     """(records, malformed lines) of training files; of equal ids the first by file and content stays, rows without id all stay."""
-    raw = spark.read.schema(RECORD).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "bad").option("pathGlobFilter", pattern).json(path).withColumn("file", F.input_file_name())
+    lines = spark.read.option("pathGlobFilter", pattern).text(path).where(F.trim("value") != "").withColumn("file", F.input_file_name())
+    raw = lines.select("file", F.from_json("value", RECORD, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"}).alias("j")).select("file", "j.*")
     key = F.coalesce("id", "source_obs_id")
     good = raw.where("bad is null").drop("bad").withColumn("_k", key)
     w = Window.partitionBy("_k").orderBy("file", "ts", "value_name", "text_excerpt")
@@ -67,7 +68,7 @@ def commented_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 def blocks(spark: SparkSession, path: str, shortest: int = 30) -> DataFrame:
     """Blank-line-separated blocks of text files."""
-    t = spark.read.option("wholetext", True).text(path)
+    t = spark.read.text(path, wholetext=True)
     return t.select(F.explode(F.split("value", r"\n\n")).alias("b")).select(text.strip(F.col("b")).alias("text")).where(F.length("text") >= shortest)
 
 
@@ -160,7 +161,7 @@ def quotes(body: Column) -> Column:
 
 def dic_lexicon(spark: SparkSession, path: str) -> DataFrame:
     """(word, foundation, polarity) of a dictionary file: categories between the first two % lines, then words; the last entry of a word wins."""
-    lines = spark.read.option("wholetext", True).text(path).select(F.split("value", r"(?m)^%\s*$").alias("p"))
+    lines = spark.read.text(path, wholetext=True).select(F.split("value", r"(?m)^%[ \t\r]*$").alias("p"))
     split = lambda part: F.explode(F.split(part, r"\n"))
     cats = lines.select(split(F.col("p")[1]).alias("l")).select(F.trim(F.split("l", r"\t")[0]).alias("code"), F.lower(F.trim(F.element_at(F.split("l", r"\t"), -1))).alias("name")).where("code <> ''")
     words = lines.select(F.posexplode(F.split(F.col("p")[2], r"\n")).alias("n", "l")).select("n", F.lower(F.trim(F.split("l", r"\t")[0])).alias("word"), F.trim(F.element_at(F.split("l", r"\t"), -1)).alias("code")).where("word <> ''")
@@ -180,13 +181,13 @@ def strength_tsv(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 def vocabulary(spark: SparkSession, path: str) -> DataFrame:
     """(value_name, keyword, kw_ord) of a JSON object that lists keywords for each value, in order."""
-    m = spark.read.option("wholetext", True).text(path).select(F.from_json("value", "map<string,array<string>>").alias("m"))
+    m = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,array<string>>").alias("m"))
     return m.select(F.explode("m").alias("value_name", "words")).select("value_name", F.posexplode("words").alias("kw_ord", "keyword"))
 
 
 def taxonomy(spark: SparkSession, path: str, section: str) -> DataFrame:
     """(name, value_name): one section of a JSON map from names to lists of values."""
-    m = spark.read.option("wholetext", True).text(path).select(F.from_json(F.get_json_object("value", f"$.{section}"), "map<string,array<string>>").alias("m"))
+    m = spark.read.text(path, wholetext=True).select(F.from_json(F.get_json_object("value", f"$.{section}"), "map<string,array<string>>").alias("m"))
     return m.select(F.explode("m").alias("name", "values")).select("name", F.explode("values").alias("value_name"))
 
 
