@@ -49,4 +49,4 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_embedding_links, op3_feistel_shards, op4_pack, op5_top_k, op6_pii, op7_language, op8_mix_sources, op9_katz, op10_secrets)}
-ORACLES = {"op5_top_k": topk.ORACLE, "op8_mix_sources": mixing.ORACLE}
+ORACLES = {"op5_top_k": topk.ORACLE, "op8_mix_sources": mixing.ORACLE, "op10_secrets": secrets.ORACLE}

@@ -94,3 +94,33 @@ def digest(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
         count(lambda x: ~x["live"]).alias("n_shared"),
         F.array_join(F.transform("spans", lambda x: F.concat_ws(":", F.when(x["live"], "live").otherwise("shared"), x["owners"].cast("string"), x["repositories"].cast("string"))), ",").alias("verdicts"),
     )
+
+
+def _sql_spans(pattern: str) -> str:
+    """Spans (s, e, m) of a pattern's matches in t, from the lengths of the pieces between them."""
+    p = "'" + pattern.replace("'", "''") + "'"
+    hits, gaps = f"regexp_extract_all(t, {p})", f"string_split_regex(t, {p})"
+    start = f"(coalesce(list_sum(list_transform(({gaps})[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(({hits})[1:i - 1], lambda x: length(x))), 0))::BIGINT"
+    return f"list_transform(range(1, len({hits}) + 1), lambda i: {{'s': {start}, 'm': ({hits})[i]}})"
+
+
+def _oracle() -> str:
+    """DuckDB SQL for ``digest``; its engine has no possessive repetition, which changes nothing for these patterns."""
+    patterns = {"assign": ASSIGN, "access": ACCESS, "hex": HEX, "key_block": KEY_BLOCK, "jwt": JWT, "vendor": VENDOR}
+    each = " UNION ALL ".join(
+        f"SELECT rid, source, {k} AS k, '{kind}' AS kind, unnest({_sql_spans(p.replace('}+', '}'))}) AS x FROM d" for k, (kind, p) in enumerate(patterns.items())
+    )
+    value = VALUE.replace("'", "''")
+    text = "string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k)"
+    return f"""WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents), raw AS ({each}),
+found AS (SELECT rid, source, k, kind, x.s AS s, x.s + length(x.m) AS e, CASE WHEN k = 0 THEN regexp_replace(x.m, '{value}', '') ELSE x.m END AS v FROM raw),
+c AS (SELECT * FROM found WHERE k > 0 OR length(v) >= 6),
+per AS (SELECT v, source, count(DISTINCT rid) AS n FROM c GROUP BY ALL), own AS (SELECT v, sum(n)::BIGINT AS repositories, count(*) AS owners FROM per GROUP BY v),
+j AS (SELECT c.*, repositories, owners, owners <= {MAX_OWNERS} AS live FROM c JOIN own USING (v)), kept AS (SELECT * FROM j WHERE k < 3 OR live),
+g AS (SELECT rid, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex, {text} FILTER (k < 3) AS base, {text} AS spans, count(*) FILTER (live) AS n_live, count(*) FILTER (NOT live) AS n_shared,
+  string_agg(CASE WHEN live THEN 'live:' ELSE 'shared:' END || owners || ':' || repositories, ',' ORDER BY s, k) AS verdicts FROM kept GROUP BY rid)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_shared, 0) AS n_shared, coalesce(verdicts, '') AS verdicts
+FROM d LEFT JOIN g USING (rid)"""
+
+
+ORACLE = _oracle()
