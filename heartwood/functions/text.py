@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -72,20 +70,22 @@ def passages(text: Column, size: int = PASSAGE, shortest: int = SHORTEST) -> Col
     return F.filter(packed, lambda p: F.length(p) >= shortest)
 
 
+#: Any archaic form; texts without one skip the chain of replacements.
+ARCHAIC_FORM = r"(?<!\w)(?:" + "|".join(old for old, _ in fixed.ARCHAIC) + r")\b"
+
+
 def modernised(text: Column) -> Column:
     """Archaic forms replaced in their order, keeping capitals and capitalisation."""
+    given = text
     for old, new in fixed.ARCHAIC:
-        head, quote = (old[1:], "'") if old.startswith("'") else (old, "")
-        left = rf"(?<!\w){quote}" if quote else r"\b"
-        first, rest = head[0], head[1:]
-        if quote:  # an apostrophe has no case, so only capitals throughout count
-            text = F.regexp_replace(text, rf"{left}{head.upper()}\b", new.upper())
+        head, left = (old[1:], r"(?<!\w)'") if old.startswith("'") else (old, r"\b")
+        text = F.regexp_replace(text, rf"{left}{head.upper()}\b", new.upper())
+        if left == r"\b":
+            text = F.regexp_replace(text, rf"{left}{head[0].upper()}(?i:{head[1:]})\b", new[0].upper() + new[1:])
+            text = F.regexp_replace(text, rf"{left}{head[0]}(?i:{head[1:]})\b", new)
+        else:  # an apostrophe has no case, so only capitals throughout count
             text = F.regexp_replace(text, rf"(?i){left}{head}\b", new)
-        else:
-            text = F.regexp_replace(text, rf"{left}{head.upper()}\b", new.upper())
-            text = F.regexp_replace(text, rf"{left}{first.upper()}(?i:{rest})\b", new[0].upper() + new[1:])
-            text = F.regexp_replace(text, rf"{left}{first}(?i:{rest})\b", new)
-    return text
+    return F.when(found(given, ARCHAIC_FORM), text).otherwise(given)
 
 
 def excerpt(text: Column, size: int = 150) -> Column:
@@ -106,7 +106,3 @@ def any_of(words: tuple[str, ...]) -> str:
 
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"\b[a-z][a-z\-']{1,}\b"), F.lit(0))
-
-
-def literal(word: str) -> str:
-    return re.escape(word)

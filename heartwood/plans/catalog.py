@@ -225,7 +225,12 @@ def q_export_gate(spark, d):
 
 
 def _training(spark, d):
-    return _records(spark, d).withColumn("figure", F.col("figure_name"))
+    """The training records as a stored table, since grading reads them several times."""
+    path = sinks.scratch(spark)
+    r = _records(spark, d).select(
+        F.col("figure_name").alias("figure"), "value_name", "label", "label_reason", "document_type", "text_excerpt", "confidence", "resistance", "disambiguation_confidence", "observation_consistency", "ts")
+    r.write.parquet(path)
+    return spark.read.schema(r.schema).parquet(path)
 
 
 def q_quality_metrics(spark, d):
