@@ -20,10 +20,10 @@ def markers(text: Column, pattern: str) -> Column:
     return F.coalesce(F.transform(F.regexp_extract_all(text, F.lit("(?i)" + pattern), F.lit(0)), F.lower), F.array().cast("array<string>"))
 
 
-def positions(text: Column, pattern: str) -> Column:
+def positions(text: Column, pattern: str | Column) -> Column:
     """array of struct(s, e): 0-based spans of all matches, from the lengths of the pieces between them."""
-    p = "(?i)" + pattern
-    hits = F.transform(F.regexp_extract_all(text, F.lit(p), F.lit(0)), F.length)
+    p = F.lit("(?i)" + pattern) if isinstance(pattern, str) else F.concat(F.lit("(?i)"), pattern)
+    hits = F.transform(F.regexp_extract_all(text, p, F.lit(0)), F.length)
     gaps = F.transform(F.slice(F.split(text, p, -1), 1, F.size(hits)), F.length)
     start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<s:int,e:int>>)").alias("out"))
 

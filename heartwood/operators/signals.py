@@ -10,17 +10,22 @@ from pyspark.sql import functions as F
 from heartwood.functions import scoring, fixed, text
 
 
+def _chosen(key: Column, table: dict[str, str], other: str) -> Column:
+    out = F.lit(other)
+    for name, value in table.items():
+        out = F.when(key == name, value).otherwise(out)
+    return out
+
+
 def _checks(low: Column, value: Column, keyword: Column, at: Column, doc_type: Column) -> tuple[Column, Column]:
     """(valid, confidence) of a keyword's first occurrence at ``at`` (0-based) in lower-cased text."""
     end = at + F.length(keyword)
     failing = keyword.isin(*fixed.FAILURE_KEYWORDS)
     prefixed = text.found(text.window(low, at - 4, at), fixed.NEGATING_PREFIX)
     negated = ~text.found(keyword, fixed.NEGATED_KEYWORD) & text.found(text.window(low, at - 30, at), fixed.NEGATION)
-    barred = F.lit(False)
-    for name, pattern in fixed.DISQUALIFIERS.items():
-        # positions only where the pattern occurs at all
-        hit = text.found(low, pattern) & F.exists(text.positions(low, pattern), lambda m: (m["s"] < end) & (m["e"] > at))
-        barred = F.when(value == name, hit).otherwise(barred)
+    # each value's pattern is chosen as data, so one expression serves all; positions only where the pattern occurs at all
+    pattern = _chosen(value, fixed.DISQUALIFIERS, "(?!)")
+    barred = F.rlike(low, F.concat(F.lit("(?i)"), pattern)) & F.exists(text.positions(low, pattern), lambda m: (m["s"] < end) & (m["e"] > at))
     person = text.found(text.window(low, at - 80, end + 80), fixed.FIRST_PERSON)
     action = F.lower(F.trim(doc_type)) == "action"
     needs = value.isin(*fixed.FIRST_PERSON_VALUES)
@@ -92,15 +97,11 @@ def _role(before: Column, after: Column, verb: Column, name: Column, pronoun: Co
     to = F.lower(F.regexp_extract(after, "(?i)" + fixed.RECIPIENT, 1))
     padded = F.concat(F.lit(" "), F.regexp_replace(near, r"\W", " "), F.lit(" "))
     named = (name != "") & (F.instr(padded, F.concat(F.lit(" "), F.regexp_replace(name, r"\W", " "), F.lit(" "))) > 0)
-    out = F.lit("emit")
-    for p, subjects in fixed.SUBJECTS.items():
-        others = tuple(s for s in fixed.ANY_SUBJECT if s not in subjects)
-        mine = (
-            F.when(near.rlike(text.any_of(subjects)) | named, "agent").when(to.isin(*fixed.OBJECTS[p]), "recipient")
-            .when(near.rlike(text.any_of(others)), "external").otherwise("emit")
-        )
-        out = F.when(pronoun == p, mine).otherwise(out)
-    return out
+    mine = _chosen(pronoun, {p: text.any_of(words) for p, words in fixed.SUBJECTS.items()}, "(?!)")
+    others = _chosen(pronoun, {p: text.any_of(tuple(w for w in fixed.ANY_SUBJECT if w not in words)) for p, words in fixed.SUBJECTS.items()}, "(?!)")
+    objects = _chosen(pronoun, {p: f"^(?:{'|'.join(words)})$" for p, words in fixed.OBJECTS.items()}, "(?!)")
+    known = pronoun.isin(*fixed.SUBJECTS)
+    return F.when(known & (F.rlike(near, mine) | named), "agent").when(F.rlike(to, objects), "recipient").when(F.rlike(near, others), "external").otherwise("emit")
 
 
 def phrase_signals(passages: DataFrame, lexicon: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
@@ -117,8 +118,8 @@ def phrase_signals(passages: DataFrame, lexicon: DataFrame, keep: tuple[str, ...
     hits = hits.withColumn("before", text.window(F.col("text"), s - fixed.VERB_WINDOW, s)).withColumn("after", text.window(F.col("text"), e, e + fixed.OBJECT_WINDOW))
     verb = F.regexp_instr("before", F.lit("(?i)" + fixed.DESTRUCTIVE)) - 1
     hits = hits.withColumn("verb", verb)
-    role = F.when(F.col("verb") >= 0, _role(F.col("before"), F.col("after"), F.col("verb"), F.coalesce("name", F.lit("")), F.col("pronoun")))
-    hint = F.when(F.col("verb") >= 0, F.when(role.isin("recipient", "external"), None).otherwise(-1)).when(text.found(F.col("before"), fixed.OPPOSITION), 1)
+    role = _role(F.col("before"), F.col("after"), F.col("verb"), F.coalesce("name", F.lit("")), F.col("pronoun"))
+    hint = F.when(F.col("verb") >= 0, F.when(~role.isin("recipient", "external"), -1)).when(text.found(F.col("before"), fixed.OPPOSITION), 1)
     found = hits.withColumn("polarity_hint", hint.cast("int")).where("polarity_hint is not null")
     best = found.groupBy(*keep, "value_name", "polarity_hint").agg(F.min(s).alias("match_idx"))
     return best.select(*keep, "value_name", "polarity_hint", "match_idx", F.lit(fixed.PHRASE_CONFIDENCE).alias("confidence"), F.lit("phrase_layer").alias("source"))
@@ -132,42 +133,44 @@ def merge(keyword: DataFrame, lexicon: DataFrame, phrase: DataFrame, semantic: D
     and ``mft`` are optional scores from models that run elsewhere. Each step
     clips to one and rounds, in the order that the layers apply.
     """
-    spark = keyword.sparkSession
-    none = spark.createDataFrame([], "id string, value_name string, score double").select(*(F.col(c).cast(dict(keyword.dtypes).get(c, "double")) for c in ("id", "value_name", "score")))
-    scored = lambda df: (df.select("id", "value_name", F.col("confidence").alias("score")) if df is not None else none)
-    virtue = lexicon.where("polarity = 'virtue'").select("id", "value_name", F.col("confidence").alias("lex"))
-    vice = lexicon.where("polarity = 'vice'").select("id", "value_name", F.col("confidence").alias("c"))
+    kind = dict(keyword.dtypes)["id"]
+    parts = {"kw": keyword, "virtue": lexicon.where("polarity = 'virtue'"), "vice": lexicon.where("polarity = 'vice'"), "sem": semantic, "zs": zeroshot, "mft": mft}
+    hint = "struct<polarity_hint:int,confidence:double>"
+    rows = None
+    for name, df in parts.items():
+        if df is not None:
+            cells = [(F.col("confidence") if n == name else F.lit(None)).cast("double").alias(n) for n in parts]
+            part = df.select(F.col("id").cast(kind), "value_name", *cells, F.lit(None).cast(hint).alias("said"))
+            rows = part if rows is None else rows.unionByName(part)
+    said = phrase.select(F.col("id").cast(kind), "value_name", *(F.lit(None).cast("double").alias(n) for n in parts), F.struct(F.col("polarity_hint").cast("int").alias("polarity_hint"), F.col("confidence").cast("double").alias("confidence")).cast(hint).alias("said"))
+    # one row for each value of a passage holds what every layer says of it; the rest is arithmetic inside the row
+    wide = rows.unionByName(said).groupBy("id", "value_name").agg(*(F.max(n).alias(n) for n in parts), F.array_sort(F.collect_set("said")).alias("said"))
+    wide = wide.join(structure.select("id", "struct_score"), "id", "left").withColumn("struct_score", F.coalesce("struct_score", F.lit(0.0)))
     up = lambda c, more: scoring.round4(F.least(F.lit(1.0), c + more))
-    tags = lambda c: F.array(F.lit(c))
-
-    kw = keyword.select("id", "value_name", F.col("confidence").alias("c")).join(virtue, ["id", "value_name"], "full")
-    base = kw.select(
-        "id", "value_name", F.when(F.col("c").isNull(), F.col("lex")).when(F.col("lex").isNull(), F.col("c")).otherwise(up(F.col("c"), 0.15 * F.col("lex"))).alias("conf"),
-        F.when(F.col("c").isNull(), 1).otherwise(0).alias("layer"), F.when(F.col("c").isNull(), tags("lexicon")).when(F.col("lex").isNull(), tags("keyword")).otherwise(F.array(F.lit("keyword"), F.lit("lexicon"))).alias("source"),
-        F.lit(None).cast("int").alias("polarity_hint"),
-    ).where((F.col("layer") == 0) | (F.col("conf") >= fixed.LEXICON_STANDALONE))
-    said = phrase.select("id", "value_name", F.col("confidence").alias("conf"), F.lit(2).alias("layer"), tags("phrase").alias("source"), "polarity_hint")
-    rows = base.unionByName(said)
-
-    def agree(rows: DataFrame, other: DataFrame, weight: float, tag: str, layer: int, alone: Column | None, least: float = 0.0) -> DataFrame:
-        """Raise the rows of values that ``other`` also found; its values that no row has stand alone if they reach ``least``."""
-        joined = rows.join(other, ["id", "value_name"], "left")
-        raised = joined.withColumn("source", F.when(F.col("score").isNull(), F.col("source")).otherwise(F.concat("source", tags(tag)))).withColumn("conf", F.when(F.col("score").isNull(), F.col("conf")).otherwise(up(F.col("conf"), weight * F.col("score")))).drop("score")
-        if alone is None:
-            return raised
-        fresh = other.where(F.col("score") >= least).join(rows.select("id", "value_name").distinct(), ["id", "value_name"], "left_anti")
-        return raised.unionByName(fresh.select("id", "value_name", alone.alias("conf"), F.lit(layer).alias("layer"), tags(tag).alias("source"), F.lit(None).cast("int").alias("polarity_hint")))
-
-    rows = agree(rows, scored(semantic), 0.20, "semantic", 3, F.col("score"))
-    rows = rows.join(structure.select("id", "struct_score"), "id", "left").withColumn("struct_score", F.coalesce("struct_score", F.lit(0.0)))
-    rows = rows.withColumn("conf", F.when(F.col("struct_score") > 0, up(F.col("conf"), scoring.round4(0.15 * F.col("struct_score")))).otherwise(F.col("conf"))).drop("struct_score")
-    if zeroshot is not None:
-        rows = agree(rows, scored(zeroshot), 0.15, "zeroshot", 4, F.col("score"), 0.70)
-    if mft is not None:
-        rows = agree(rows, scored(mft), 0.10, "mft", 5, scoring.round4(0.50 * F.col("score")), 0.80)
-    lone = vice.where(F.col("c") >= fixed.LEXICON_STANDALONE).join(rows.select("id", "value_name").distinct(), ["id", "value_name"], "left_anti")
-    rows = rows.unionByName(lone.select("id", "value_name", F.col("c").alias("conf"), F.lit(6).alias("layer"), tags("lexicon_vice").alias("source"), F.lit(-1).alias("polarity_hint")))
-    return rows.select("id", "value_name", "layer", F.col("conf").alias("confidence"), F.concat_ws("+", "source").alias("source"), "polarity_hint")
+    make = lambda c, layer, tags, h=None: F.struct(c.alias("confidence"), F.lit(layer).cast("int").alias("layer"), F.array(*map(F.lit, tags)).alias("source"), F.lit(h).cast("int").alias("polarity_hint"))
+    nothing = F.expr("cast(array() as array<struct<confidence:double,layer:int,source:array<string>,polarity_hint:int>>)")
+    raised = lambda xs, more, tag: F.transform(xs, lambda x: F.struct(up(x["confidence"], more).alias("confidence"), x["layer"].alias("layer"), (F.concat(x["source"], F.array(F.lit(tag))) if tag else x["source"]).alias("source"), x["polarity_hint"].alias("polarity_hint")))
+
+    kw, virtue = F.col("kw"), F.col("virtue")
+    base = (
+        F.when(kw.isNotNull() & virtue.isNotNull(), F.array(make(up(kw, 0.15 * virtue), 0, ["keyword", "lexicon"]))).when(kw.isNotNull(), F.array(make(kw, 0, ["keyword"])))
+        .when(virtue >= fixed.LEXICON_STANDALONE, F.array(make(virtue, 1, ["lexicon"]))).otherwise(nothing)
+    )
+    spoken = F.transform("said", lambda x: F.struct(x["confidence"].alias("confidence"), F.lit(2).alias("layer"), F.array(F.lit("phrase")).alias("source"), x["polarity_hint"].alias("polarity_hint")))
+    wide = wide.withColumn("r", F.concat(base, spoken))
+
+    def agree(df: DataFrame, name: str, weight: float, tag: str, layer: int, alone: Column, least: float) -> DataFrame:
+        """A layer raises the rows that are there; where there are none, it stands alone from ``least`` on."""
+        s = F.col(name)
+        return df.withColumn("r", F.when(s.isNull(), F.col("r")).when(F.size("r") > 0, raised(F.col("r"), weight * s, tag)).when(s >= least, F.array(make(alone, layer, [tag]))).otherwise(nothing))
+
+    wide = agree(wide, "sem", 0.20, "semantic", 3, F.col("sem"), 0.0)
+    wide = wide.withColumn("r", F.when(F.col("struct_score") > 0, raised(F.col("r"), scoring.round4(0.15 * F.col("struct_score")), "")).otherwise(F.col("r")))
+    wide = agree(wide, "zs", 0.15, "zeroshot", 4, F.col("zs"), 0.70)
+    wide = agree(wide, "mft", 0.10, "mft", 5, scoring.round4(0.50 * F.col("mft")), 0.80)
+    lone = (F.size("r") == 0) & (F.col("vice") >= fixed.LEXICON_STANDALONE)
+    out = wide.select("id", "value_name", F.explode(F.when(lone, F.array(make(F.col("vice"), 6, ["lexicon_vice"], -1))).otherwise(F.col("r"))).alias("x"))
+    return out.select("id", "value_name", "x.layer", "x.confidence", F.concat_ws("+", "x.source").alias("source"), "x.polarity_hint")
 
 
 def observations(signals: DataFrame) -> DataFrame:
