@@ -51,9 +51,10 @@ def keyword_hits(passages: DataFrame, vocabulary: DataFrame, keep: tuple[str, ..
 
 def keyword_signals(passages: DataFrame, vocabulary: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
     """One signal for each value of a passage: the first valid keyword in the value's order."""
-    hits = keyword_hits(passages, vocabulary, keep).where("valid")
+    hits = keyword_hits(passages, vocabulary, keep)
+    # a condition inside the aggregate: as a filter it would move into the join and run for every pair
     what = F.struct("keyword", "match_idx", "confidence", "text", "significance")
-    best = hits.groupBy(*keep, "value_name").agg(F.min_by(what, "kw_ord").alias("b"))
+    best = hits.groupBy(*keep, "value_name").agg(F.min_by(what, F.when(F.col("valid"), F.col("kw_ord"))).alias("b")).where("b is not null")
     return best.select(
         *keep, "value_name", F.col("b.keyword").alias("keyword"), F.col("b.match_idx").alias("match_idx"), F.col("b.confidence").alias("confidence"),
         F.col("b.significance").alias("significance"), text.keyword_excerpt(F.col("b.text"), F.col("b.match_idx"), F.length("b.keyword")).alias("text_excerpt"), F.lit("keyword").alias("source"),
@@ -110,7 +111,9 @@ def phrase_signals(passages: DataFrame, lexicon: DataFrame, keep: tuple[str, ...
     ``passages`` also has figure and pronoun.
     """
     p = r"\b[a-zA-Z][a-zA-Z\-']{1,}\b"
-    words = passages.select(*keep, "text", "significance", F.lower("figure").alias("name"), "pronoun", F.explode(text.positions(F.col("text"), p)).alias("m"))
+    listed = [r["word"] for r in lexicon.where("polarity = 'vice'").select("word").distinct().orderBy("word").collect()]
+    some = passages.where(F.arrays_overlap(text.tokens(F.col("text")), F.array(*map(F.lit, listed)).cast("array<string>")))
+    words = some.select(*keep, "text", "significance", F.lower("figure").alias("name"), "pronoun", F.explode(text.positions(F.col("text"), p)).alias("m"))
     words = words.withColumn("word", F.lower(text.window(F.col("text"), F.col("m.s"), F.col("m.e"))))
     vice = F.broadcast(lexicon.where("polarity = 'vice'").select("word", "foundation").join(foundation_values(passages.sparkSession), "foundation"))
     hits = words.join(vice, "word")
@@ -120,7 +123,8 @@ def phrase_signals(passages: DataFrame, lexicon: DataFrame, keep: tuple[str, ...
     hits = hits.withColumn("verb", verb)
     role = _role(F.col("before"), F.col("after"), F.col("verb"), F.coalesce("name", F.lit("")), F.col("pronoun"))
     hint = F.when(F.col("verb") >= 0, F.when(~role.isin("recipient", "external"), -1)).when(text.found(F.col("before"), fixed.OPPOSITION), 1)
-    found = hits.withColumn("polarity_hint", hint.cast("int")).where("polarity_hint is not null")
+    # tied to the joined side, so that it runs for vice words only
+    found = hits.withColumn("polarity_hint", F.when(F.col("value_name").isNotNull(), hint).cast("int")).where("polarity_hint is not null")
     best = found.groupBy(*keep, "value_name", "polarity_hint").agg(F.min(s).alias("match_idx"))
     return best.select(*keep, "value_name", "polarity_hint", "match_idx", F.lit(fixed.PHRASE_CONFIDENCE).alias("confidence"), F.lit("phrase_layer").alias("source"))
 
