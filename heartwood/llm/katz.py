@@ -45,12 +45,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heartwood.llm.common import release, store
+from heartwood.llm.common import release, small_batches, store
 
 FOLDS, HELD = 5, 1
 K, SPARE = 5, 0.1
 #: Tokens in a block at least (unless its input ends), and keys in a partition of the model, about.
-BLOCK, PART = 2_000_000, 2_000_000
+BLOCK, PART = 1_000_000, 1_500_000
 START = np.uint64(0x5354415254000001)
 WORDS, PAIRS = 1, 2
 
@@ -88,6 +88,7 @@ def pair_keys(v: np.ndarray, w: np.ndarray) -> np.ndarray:
 
 def blocks(docs: DataFrame, folds: int, held: int) -> DataFrame:
     """Encoded documents: (bid, doc_ids, held, lengths, words, tokens, n); words are sorted hashes, tokens places among them."""
+    small_batches(docs.sparkSession)
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == held, F.lit(False))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
