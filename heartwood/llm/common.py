@@ -41,6 +41,13 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand texts to Python by the thousand rows, unless the session has chosen: workers hold a batch several times over."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "1000")
+
+
 def release(df: DataFrame) -> None:
     """Delete the stored tables that ``df`` reads; for those that nothing needs any more."""
     files = df.inputFiles()

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heartwood.llm.common import store
+from heartwood.llm.common import small_batches, store
 from heartwood.llm.components import components
 
 RADIUS, BANDS, WORDS, SEED = 2, 4, 3, 42
@@ -67,6 +67,7 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
             fps = np.array([fingerprint(t.as_py(), words) for t in b.column(1)], np.uint64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
 
@@ -196,7 +197,9 @@ def _classes(fps: DataFrame, radius: int, bands: int) -> DataFrame:
     nodes = store(components(links(groups.select("fp"), radius, bands)), "fingerprint-components")
     found = nodes.join(groups, nodes["node"] == groups["fp"]).groupBy("root").agg(F.min("rep").alias("least"))
     merged = nodes.join(found, "root").select(F.col("node").alias("fp"), "root", "least")
-    return groups.join(merged, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "rep").alias("component_id"))
+    classes = groups.join(merged, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "rep").alias("component_id"))
+    # stored, so that a join with it has two exchanges of its own, of which Spark can split a large partition
+    return store(classes, "fingerprint-classes")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, bands: int = BANDS) -> DataFrame:
