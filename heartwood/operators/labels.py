@@ -48,19 +48,25 @@ def pressure_window(pressure: DataFrame, kept: int = fixed.PRESSURE_KEPT) -> Dat
     return pressure.withColumn("n", F.row_number().over(w)).where(F.col("n") <= kept).drop("n")
 
 
-def with_pressure(records: DataFrame, pressure: DataFrame, seconds: float = fixed.PRESSURE_SECONDS, within: int = fixed.PRESSURE_PASSAGES) -> DataFrame:
+def with_pressure(records: DataFrame, pressure: DataFrame, seconds: float = fixed.PRESSURE_SECONDS, within: int = fixed.PRESSURE_PASSAGES, span: float = 86_400.0) -> DataFrame:
     """Each record with the latest pressure row of its session at or before it, if that lies near in time or passages.
 
     An as-of join without a range join: both sides are put in one order and
     the last pressure row is carried forward, which is linear whatever the
-    number of pressure rows. A session's rows sort in one task; the pressure
-    rows, and of records only those that can be upgraded, take part.
+    number of pressure rows. Sessions are cut into pieces of ``span`` seconds,
+    so a large session is many tasks' work; a piece starts from the last
+    pressure row of the pieces before it, found from one row for each piece.
     """
-    fields = F.struct(F.col("record_id").alias("id"), "ts", "passage_idx")
-    right = pressure.select("session_id", "ts", F.col("passage_idx"), F.lit(0).alias("side"), fields.alias("ctx"), F.lit(None).cast(records.select(F.struct("*")).schema[0].dataType).alias("rec"))
+    ctx = F.struct("ts", "passage_idx", F.col("record_id").alias("id"))
+    right = pressure.select("session_id", "ts", "passage_idx", F.lit(0).alias("side"), ctx.alias("ctx"), F.lit(None).cast(records.select(F.struct("*")).schema[0].dataType).alias("rec"))
     left = records.select("session_id", "ts", "passage_idx", F.lit(1).alias("side"), F.lit(None).cast(right.schema["ctx"].dataType).alias("ctx"), F.struct("*").alias("rec"))
-    w = Window.partitionBy("session_id").orderBy("ts", "side", "passage_idx").rowsBetween(Window.unboundedPreceding, 0)
-    seen = right.unionByName(left).withColumn("last", F.last("ctx", ignorenulls=True).over(w)).where("side = 1")
+    both = right.unionByName(left).withColumn("piece", F.floor(F.col("ts") / span))
+    earlier = Window.partitionBy("session_id").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = both.groupBy("session_id", "piece").agg(F.max("ctx").alias("own"))
+    carried = pieces.select("session_id", "piece", F.last("own", ignorenulls=True).over(earlier).alias("before"))
+    w = Window.partitionBy("session_id", "piece").orderBy("ts", "side", "passage_idx").rowsBetween(Window.unboundedPreceding, 0)
+    seen = both.withColumn("last", F.last("ctx", ignorenulls=True).over(w)).where("side = 1").join(carried, ["session_id", "piece"])
+    seen = seen.withColumn("last", F.coalesce("last", "before"))
     lag_s, lag_n = F.col("ts") - F.col("last.ts"), F.col("passage_idx") - F.col("last.passage_idx")
     near = F.coalesce((lag_s <= seconds) | ((F.col("passage_idx") >= 0) & (F.col("last.passage_idx") >= 0) & (lag_n <= within)), F.lit(False))
     return seen.select("rec.*", F.when(near, F.col("last.id")).alias("pressure_source_id"), F.when(near, F.round(lag_s, 1)).alias("deferred_apy_lag_s"), F.when(near, F.greatest(F.lit(0), lag_n)).alias("deferred_apy_lag_n"))
