@@ -215,10 +215,12 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, **tuning: int) -
     found = store(link_blocks(nodes.select("node", "copies", "vector"), nodes.count(), cosine, **tuning), "vector-links")
     degrees = found.where("n is not null").groupBy("u").agg(F.sum("n").alias("linked"))
     roots = store(components(found.where("v is not null").select("u", "v")), "vector-components")
-    merged = roots.join(nodes.select("node", "least"), "node").groupBy("root").agg(F.min("least").alias("component"))
+    merged = store(roots.join(nodes.select("node", "least"), "node").groupBy("root").agg(F.min("least").alias("component")), "vector-roots")
     named = roots.join(merged, "root").select("node", "component")
     info = nodes.select("node", "copies", "least").join(degrees.withColumnRenamed("u", "node"), "node", "left").join(named, "node", "left")
     info = info.select("node", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("component", "least").alias("component_id"))
+    # stored, so that the joins have two exchanges of their own, of which Spark can split a large partition
+    info = store(info, "vector-info")
     linked = good.select("vec_id", "node").join(info, "node").select("vec_id", "n_links", "component_id")
     alone = rows.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
