@@ -31,10 +31,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from heartwood.llm.common import small_batches
+
 ROWS, CHARS, SEGMENT, LETTERS = 32, 24_000, 256, 120
 FOLDS, HELD = 4, 2
 #: Characters parsed at once.
-BATCH = 1 << 21
+BATCH = 1 << 20
 _classes: list[np.ndarray] = []
 
 
@@ -194,6 +196,7 @@ def learn(docs: DataFrame, rows: int = ROWS, chars: int = CHARS, **fold: int) ->
 
 def predicted(model: Model, spark) -> Column:
     """Struct (lang, score) for the column ``text``."""
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

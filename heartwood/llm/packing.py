@@ -33,13 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heartwood.llm.common import store
+from heartwood.llm.common import small_batches, store
 from heartwood.llm.sharding import numbered
 
 LENGTH, END, TOKENIZER = 1024, 2, "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
 #: Words whose ids a worker keeps at hand; beyond that it starts anew.
-CACHE = 400_000
+CACHE = 300_000
 ISLANDS, POPULATION, GENERATIONS, EPOCHS, SEED = 4, 8, 24, 2, 11
 #: The tokenizer's split for texts within Latin-1, where its character classes can be listed; the plain engine runs it faster.
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
@@ -101,6 +101,7 @@ def pieces(docs: DataFrame, length: int = LENGTH, end: int = END, tokenizer: str
             at, piece, start, size, crc = (np.array(c, np.int64) for c in zip(*rows, strict=True)) if rows else [np.empty(0, np.int64)] * 5
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array(piece.astype(np.int32)), *map(pa.array, (start, size, crc))], names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
 
