@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heartwood.llm import language, mixing, packing, pii, simhash
+from heartwood.llm import language, mixing, packing, pii, shingles
 from heartwood.llm.common import store, table
 
 
@@ -14,8 +14,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return simhash.deduplicate(docs)
+    """One document of each group of near copies stays; copies share 0.8 of their five-word shingles."""
+    return shingles.deduplicate(docs)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
