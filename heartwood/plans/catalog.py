@@ -65,7 +65,7 @@ def q_calibrated(spark, d):
 
 
 def q_archaic(spark, d):
-    old = F.concat(F.lit("Thou hast said 'tis so; YE KNOWETH what she doth, and Art thou there? "), F.substring("text", 1, 200))
+    old = F.concat(F.lit("Thou hast said 'tis so; YE KNOWETH what she doth, and Art thou there? "), F.col("text"))
     return b.documents(spark, d).select("doc_id", F.md5(text.modernised(old).cast("binary")).alias("modern_md5"))
 
 
