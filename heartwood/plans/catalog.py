@@ -102,7 +102,7 @@ def q_merge_confidence(spark, d):
     n = b.notes(spark, d)
     kw, lex = signals.keyword_signals(n, b.vocabulary(spark)), signals.lexicon_signals(n, b.lexicon(spark), b.strength(spark))
     ph = signals.phrase_signals(n, b.lexicon(spark))
-    sem = n.where("doc_id % 4 = 0").select("id", F.lit("courage").alias("value_name"), F.lit(0.5).alias("confidence"))
+    sem = n.select("id", F.lit("courage").alias("value_name"), F.lit(0.5).alias("confidence"))
     st = n.select("id", scoring.structural(F.col("text")).alias("struct_score"))
     return signals.merge(kw, lex, ph, sem, st).select(F.col("id").cast("long").alias("doc_id"), "value_name", "layer", "confidence", "source", "polarity_hint")
 
@@ -254,7 +254,7 @@ def q_digest(spark, d):
 
 
 def q_lofo(spark, d):
-    return quality.without_one_figure(_training(spark, d).where("(length(figure) + length(value_name)) % 3 = 0"))
+    return quality.without_one_figure(_training(spark, d))
 
 
 def q_threshold_sweep(spark, d):
@@ -266,7 +266,7 @@ def q_threshold_sweep(spark, d):
 def q_gold_match(spark, d):
     r = _records(spark, d)
     l = b.table(spark, d, "labels")
-    by_id = l.where("doc_id % 2 = 0").select(F.concat(F.col("doc_id").cast("string"), F.lit("|courage")).alias("observation_id"), F.when(F.col("quality") == 1, "P1").otherwise("P0").alias("label"))
+    by_id = l.select(F.concat(F.col("doc_id").cast("string"), F.lit("|courage")).alias("observation_id"), F.when(F.col("quality") == 1, "P1").otherwise("P0").alias("label"))
     by_text = spark.createDataFrame([(t[:80], v, "P1" if i % 2 else "P0") for i, t in enumerate(b.TEMPLATES) for v in b.TEMPLATE_VALUES[i] if i % 3 == 0], "key string, value_name string, label string")
     return gold.scores(gold.matched(r, by_id, by_text))
 

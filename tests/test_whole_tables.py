@@ -18,3 +18,13 @@ def test_archaic_forms_far_into_a_text(spark, tmp_path):
     d = written(tmp_path, documents=documents(spark, [(24, body + "thou hast", "en", "a", 0), (48, body + "you have", "en", "a", 0), (72, body + "others", "en", "a", 0)]))
     got = {r["doc_id"]: r["modern_md5"] for r in catalog.q_archaic(spark, d).collect()}
     assert got[24] == got[48] != got[72]
+
+
+def test_no_row_is_filtered_away(spark, tmp_path):
+    docs = documents(spark, [(24, "x", "en", "a", 1), (25, "x", "en", "b", 1), (49, "x", "en", "b", 1), (73, "x", "en", "b", 1)])
+    d = written(tmp_path, documents=docs, labels=spark.createDataFrame([(25, 1, 0)], "doc_id long, quality int, toxic int"))
+    assert {r["figure_name"]: (r["document_count"], r["confidence_tier"]) for r in catalog.q_corpus_quality(spark, d).collect()} == {"a": (1, "preliminary"), "b": (3, "confident")}
+    assert {r["figure_name"]: r["passage_count"] for r in catalog.q_figures(spark, d).collect()} == {"a": 1, "b": 3}
+    assert {r["figure"]: r["remaining"] for r in catalog.q_lofo(spark, d).collect()} == {"a": 3, "b": 2}
+    assert catalog.q_gold_match(spark, d).first()["n_matched"] == 2
+    assert {r["doc_id"] for r in catalog.q_merge_confidence(spark, d).collect() if "semantic" in r["source"]} == {24, 25, 49, 73}
