@@ -17,10 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where all runs on this machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _fallback:
         _fallback[app] = "file://" + tempfile.mkdtemp(prefix="heartwood-")
@@ -42,9 +44,13 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hand texts to Python by the thousand rows, unless the session has chosen: workers hold a batch several times over."""
+    """Hand texts to Python by the thousand rows, since workers hold a batch several times over.
+
+    The plan reads the setting when it runs, so it stays set for the session;
+    a session that has set it itself, to whatever value, keeps its own.
+    """
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
+    if not spark._jsparkSession.conf().contains(key):
         spark.conf.set(key, "1000")
 
 

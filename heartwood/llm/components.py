@@ -14,37 +14,48 @@ from heartwood.llm.common import release, store
 
 
 def _minimum(pairs: DataFrame) -> DataFrame:
-    """(u, m): the least of u's neighbours and u itself, for every u of (u, v)."""
-    return pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    """(u, m): the least of u's neighbours and u itself, for every u of (u, v).
 
+    Stored, so that the join with it has two exchanges of its own, of which
+    Spark can split the partition of a node with very many neighbours.
+    """
+    return store(pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "edges-least")
 
-def _large(edges: DataFrame) -> DataFrame:
+
+def _large(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    joined = both.join(_minimum(both), "u")
-    return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    least = _minimum(both)
+    joined = both.join(least, "u")
+    return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), least
 
 
-def _small(edges: DataFrame) -> DataFrame:
+def _small(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = _minimum(down)
     joined = down.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return joined.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+    return joined.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), low
+
 
+def components(links: DataFrame) -> DataFrame:
+    """(node, root) for every node of ``links`` (u, v long); root is the least node of its component.
 
-def components(links: DataFrame, limit: int = 60) -> DataFrame:
-    """(node, root) for every node of ``links`` (u, v long); root is the least node of its component."""
+    The rounds end when the edges settle, which takes about the square of the
+    logarithm of the longest path at most; an empty graph gives no rows.
+    """
     edges = store(links.where("u <> v").select("u", "v").distinct(), "edges")
     seen = None
-    for _ in range(limit):
-        after = store(_small(_large(edges)), "edges")
-        release(edges)
+    while True:
+        large, high = _large(edges)
+        large = store(large, "edges-large")
+        after, low = _small(large)
+        after = store(after, "edges")
+        for done in (edges, high, large, low):
+            release(done)
         edges = after
         # the edge set is a star forest, and stays as it is, once a round changes neither count nor sums
         now = edges.agg(F.count(F.lit(1)), F.sum(F.col("u").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)")), F.sum(F.hash("u", "v").cast("long"))).first()
         if tuple(now) == seen:
             break
         seen = tuple(now)
-    else:
-        raise RuntimeError(f"components did not settle in {limit} rounds")
     roots = edges.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("root"))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

@@ -41,7 +41,11 @@ def n_words(text: Column) -> Column:
 
 
 def targets(sizes: DataFrame) -> DataFrame:
-    """(source, source_size, target, slope), one row per source of ``sizes`` (source, source_size)."""
+    """(source, source_size, target, slope), one row per source of ``sizes`` (source, source_size).
+
+    The sources are sorted in one task: a row each, so millions of them at
+    most, however many documents there are.
+    """
     place = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     s = sizes.withColumn("place", place).withColumn("w", (F.col("place") % 3 + 1).cast("double"))
     by_ratio = Window.orderBy((CAP * F.col("source_size")).cast("double") / F.col("w"), "place").rowsBetween(Window.unboundedPreceding, -1)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heartwood.llm.spans import joined, with_matches
+from heartwood.llm.spans import blocks, cut, joined, running, with_matches
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 BASE = KINDS[:4]
@@ -84,9 +84,9 @@ def _valid(kind: str, m: Column) -> Column:
     return F.lit(True)
 
 
-def _score(kind: str, text: Column, x: Column) -> Column:
+def _score(kind: str, parts: Column, x: Column) -> Column:
     lo = F.greatest(x["s"] - WINDOW, F.lit(0))
-    near = F.lower(F.concat(F.substring(text, lo + 1, x["s"] - lo), F.lit(" "), F.substring(text, x["e"] + 1, F.lit(WINDOW))))
+    near = F.lower(F.concat(cut(parts, lo, x["s"]), F.lit(" "), cut(parts, x["e"], x["e"] + WINDOW)))
     up = F.when(near.rlike(RAISES[kind]), RAISE).otherwise(0.0)
     down = F.when(near.rlike(LOWERS), LOWER).otherwise(0.0)
     return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(PRIOR[kind]) + up - down)), 2)
@@ -112,15 +112,16 @@ def with_pii(df: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
         ("ssn", SSN, x.rlike(r"[0-9]{3}-[0-9]{2}-[0-9]{4}")),
     ):
         df = with_matches(df, f"__pii_{kind}", x, pattern, maybe)
+    df = df.withColumn("__pii_blocks", blocks(x))
     each = []
     for k, kind in enumerate(KINDS):
         valid = F.filter(F.col(f"__pii_{kind}"), lambda m: _valid(kind, m["m"]))
-        made = F.transform(valid, lambda m: F.struct(m["s"].alias("s"), F.lit(k).alias("k"), m["e"].alias("e"), F.lit(kind).alias("kind"), _score(kind, x, m).alias("score")))
+        made = F.transform(valid, lambda m: F.struct(m["s"].alias("s"), F.lit(k).alias("k"), m["e"].alias("e"), F.lit(kind).alias("kind"), _score(kind, F.col("__pii_blocks"), m).alias("score")))
         if kind not in BASE:
             made = F.filter(made, lambda m: m["score"] >= ACCEPT)
         each.append(made)
     df = df.withColumn(out, F.array_sort(F.concat(*each)))
-    return df.drop(t, "__pii_long", *(f"__pii_{kind}" for kind in KINDS))
+    return df.drop(t, "__pii_long", "__pii_blocks", *(f"__pii_{kind}" for kind in KINDS))
 
 
 def digest(df: DataFrame) -> DataFrame:
@@ -143,13 +144,11 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
     names = df.columns
     df = with_pii(df, text, "__pii")
     x = F.col(text)
-    zero = F.struct(F.lit(0).alias("pos"), F.lit("").alias("out"))
-
-    def step(acc: Column, m: Column) -> Column:
-        fresh = m["s"] >= acc["pos"]
-        more = F.concat(acc["out"], F.substring(x, acc["pos"] + 1, m["s"] - acc["pos"]), F.lit("<"), F.upper(m["kind"]), F.lit(">"))
-        return F.struct(F.greatest(acc["pos"], m["e"]).alias("pos"), F.when(fresh, more).otherwise(acc["out"]).alias("out"))
-
-    done = F.aggregate("__pii", zero, step, lambda a: F.concat(a["out"], F.substring(x, a["pos"] + 1, F.length(x))))
-    clean = F.when(F.size("__pii") > 0, done).otherwise(x)
-    return df.withColumn(text, clean).select(*names)
+    # a span that starts where all before it have ended replaces the text from there on
+    reach = running(F.transform("__pii", lambda m: m["e"]), lambda a, e: F.greatest(a, e))
+    df = df.withColumn("__reach", reach).withColumn("__blocks", F.when(F.size("__pii") > 0, blocks(x)))
+    fresh = F.filter(F.arrays_zip(F.col("__pii").alias("m"), F.col("__reach").alias("r")), lambda z: z["m"]["s"] >= z["r"])
+    pieces = F.transform(fresh, lambda z: F.concat(cut(F.col("__blocks"), z["r"], z["m"]["s"]), F.lit("<"), F.upper(z["m"]["kind"]), F.lit(">")))
+    last = F.array_max(F.transform("__pii", lambda m: m["e"]))
+    done = F.concat(F.array_join(pieces, ""), cut(F.col("__blocks"), last, F.length(x)))
+    return df.withColumn(text, F.when(F.size("__pii") > 0, done).otherwise(x)).select(*names)

@@ -10,7 +10,9 @@ ownership says live.
 
 Defined results: null and empty texts have no spans; a null source counts as
 one owner of its own; repeated rows count as repeated repositories of the
-same owner; other columns are not read.
+same owner; other columns are not read. ``max_owners`` is a fixed number
+whatever the number of owners: a live credential belongs to one team, and a
+fork or a mirror adds one, while an example spreads without limit.
 """
 
 from __future__ import annotations
@@ -71,7 +73,9 @@ def scan(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
     found = store(found, "secret-candidates")
     some = found.where(F.size("candidates") > 0)
     each = some.select("rid", F.explode("candidates").alias("c")).select("rid", "c", F.col("c.h").alias("h"))
-    judged = each.join(ownership(some), "h").select(
+    # stored, so that the join has two exchanges of its own, of which Spark can split the partition of a widely copied value
+    owned = store(ownership(some), "secret-owners")
+    judged = each.join(owned, "h").select(
         "rid", F.struct("c.s", "c.k", "c.e", "c.kind", "c.h", "repositories", "owners", (F.col("owners") <= max_owners).alias("live")).alias("x")
     )
     spans = judged.groupBy("rid").agg(F.array_sort(F.collect_list("x")).alias("spans"))

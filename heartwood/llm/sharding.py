@@ -73,8 +73,13 @@ def numbered(df: DataFrame, order: list[str], column: str, name: str) -> tuple[D
 
     Rows are range-partitioned, sorted and stored with their place in their
     part; parts are counted, and their offsets (a row for each part) joined.
+    Rows equal in ``order`` are dealt by their place in the input, so however
+    many they are, they fill several ranges; among them, numbers are
+    interchangeable.
     """
-    sorted_parts = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    order = [*order, "__tie"]
+    df = df.withColumn("__tie", F.monotonically_increasing_id())
+    sorted_parts = df.repartitionByRange(*order).sortWithinPartitions(*order).drop("__tie")
     mid = F.monotonically_increasing_id()
     laid = store(sorted_parts.select("*", F.shiftright(mid, 33).alias("__part"), mid.bitwiseAND((1 << 33) - 1).alias("__place")), name)
     counts = laid.groupBy("__part").count().orderBy("__part").collect()  # one row for each part of the table

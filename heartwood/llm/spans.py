@@ -2,13 +2,59 @@
 
 Positions come from the pieces between matches: the i-th match starts after
 the first i+1 pieces and the first i matches. Lengths count code points.
+
+Running sums are taken in groups of about the square root of their number, so
+a text of n matches costs n^1.5 short copies, not n^2; and windows are cut
+from blocks of the text, so a far one is not reached from the text's start.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Characters in a block that windows are cut from.
+BLOCK = 2048
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is evaluated once however often body refers to it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """For each of an array of non-negative ints, ``step`` folded over those before it, from 0."""
+    none = F.expr("cast(array() as array<int>)")
+
+    def fold(xs: Column, start: Column) -> Column:
+        zero = F.struct(start.alias("at"), none.alias("out"))
+        return F.aggregate(xs, zero, lambda a, x: F.struct(step(a["at"], x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
+
+    def grouped(v: Column) -> Column:
+        part = lambda g: F.slice(v["xs"], g * v["size"] + 1, v["size"])
+        groups = F.sequence(F.lit(0), F.floor((F.size(v["xs"]) - 1) / v["size"]).cast("int"))
+        totals = F.transform(groups, lambda g: F.aggregate(part(g), F.lit(0), step))
+        return F.flatten(F.transform(fold(totals, F.lit(0)), lambda start, g: fold(part(g), start)))
+
+    size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(values).cast("double")))).cast("int")
+    return F.when(F.size(values) > 0, let(F.struct(values.alias("xs"), size.alias("size")), grouped)).otherwise(none)
+
+
+def blocks(text: Column) -> Column:
+    """The text in blocks of ``BLOCK`` characters, the last one shorter."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
+
+
+def cut(parts: Column, lo: Column, hi: Column) -> Column:
+    """Characters [lo, hi) of the text that ``parts`` are the ``blocks`` of; hi may lie past its end."""
+    at = lambda i: F.coalesce(F.get(parts, i), F.lit(""))
+    a, b = F.floor(lo / BLOCK).cast("int"), F.floor(hi / BLOCK).cast("int")
+    first = F.substring(at(a), lo % BLOCK + 1, F.least(hi - lo, F.lit(BLOCK)))
+    between = F.when(b - a > 1, F.array_join(F.slice(parts, a + 2, b - a - 1), "")).otherwise("")
+    return F.when(hi <= lo, "").when(a == b, first).otherwise(F.concat(first, between, F.substring(at(b), F.lit(1), hi % BLOCK)))
+
 
 def with_matches(df: DataFrame, col: str, text: Column, pattern: str, maybe: Column) -> DataFrame:
     """Add ``col``: array of struct(s, e, m) for the leftmost non-overlapping matches of ``pattern``.
@@ -18,18 +64,13 @@ def with_matches(df: DataFrame, col: str, text: Column, pattern: str, maybe: Col
     ms, parts, none = f"__{col}_m", f"__{col}_p", F.expr("cast(array() as array<string>)")
     df = df.withColumn(ms, F.when(maybe, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(none))
     df = df.withColumn(parts, F.when(F.size(ms) > 0, F.split(text, pattern, -1)).otherwise(none))
-    zero = F.struct(F.lit(0).alias("pos"), F.expr("cast(array() as array<struct<s:int,e:int,m:string>>)").alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["pos"] + F.length(x["p"])
-        e = s + F.length(x["m"])
-        one = F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"))
-        return F.struct(e.alias("pos"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    pairs = F.zip_with(F.slice(parts, 1, F.size(ms)), F.col(ms), lambda p, m: F.struct(p.alias("p"), m.alias("m")))
-    found = F.when(F.size(ms) > 0, F.aggregate(pairs, zero, step, lambda acc: acc["out"]))
+    # the end of a match is the sum of all pieces and matches up to it; its start is that less its own length
+    steps = F.zip_with(F.slice(parts, 1, F.size(ms)), F.col(ms), lambda p, m: F.length(p) + F.length(m))
+    before = running(steps, lambda a, x: a + x)
+    starts = F.zip_with(before, F.slice(parts, 1, F.size(ms)), lambda b, p: b + F.length(p))
+    found = F.zip_with(starts, F.col(ms), lambda s, m: F.struct(s.alias("s"), (s + F.length(m)).alias("e"), m.alias("m")))
     empty = F.expr("cast(array() as array<struct<s:int,e:int,m:string>>)")
-    return df.withColumn(col, F.coalesce(found, empty)).drop(ms, parts)
+    return df.withColumn(col, F.when(F.size(ms) > 0, found).otherwise(empty)).drop(ms, parts)
 
 
 def joined(spans: Column) -> Column:
