@@ -4,14 +4,15 @@ A suffix automaton of some labelled text of a language accepts every string
 that occurs in it. A text is parsed greedily into phrases, each the longest
 match that the automaton allows; the language whose text needs the fewest
 phrases, normalised by that language's phrases for text of its own kind,
-wins. Phrases do not cross ``SEGMENT`` characters, so all texts, of any
-length, are parsed whole and in step as rows of an array.
+wins. Texts of any length are parsed whole, many in step as rows of an array.
 
 Training uses a bounded sample of labelled rows: for each language, of the
 rows with a text and a label that are not held out, the one with the least
 hash in each of ``ROWS`` buckets, and of these rows' normalised texts
 ``CHARS`` characters at most. That bounds the broadcast automata by languages
-times CHARS. Nothing else about a row is looked at.
+times CHARS; every letter of the sample counts, however many a script has.
+Nothing else about a row is looked at. Of rows that share an id, the text
+that sorts first is taken, so reruns agree.
 
 Texts are normalised to lower-case letters with single spaces for all else.
 
@@ -33,10 +34,12 @@ from pyspark.sql import functions as F
 
 from heartwood.llm.common import small_batches
 
-ROWS, CHARS, SEGMENT, LETTERS = 32, 24_000, 256, 120
+ROWS, CHARS = 32, 24_000
 FOLDS, HELD = 4, 2
-#: Characters parsed at once.
-BATCH = 1 << 20
+#: Characters parsed at once, and in one row of the parse.
+BATCH, STEP = 1 << 20, 256
+#: A row of the sample gives at least so many characters.
+SHARE = 256
 _classes: list[np.ndarray] = []
 
 
@@ -100,32 +103,66 @@ def automaton(codes: list[int]) -> list[dict[int, int]]:
     return step
 
 
-class Model:
-    """Parsing tables of all languages over one alphabet.
+class Table:
+    """The transitions of an automaton in three arrays: state s goes on ``code`` at place ``base[s] + code`` if that place belongs to s.
 
-    ``table[state * width + code]`` is twice the next row offset, plus one if
-    a new phrase begins. The last code pads a segment: it counts nothing.
+    Rows share the arrays by displacement, so a table takes room for its
+    transitions, whatever the number of letters. ``after`` gives twice the
+    next state, plus one if the character begins a phrase; from the root
+    every character does.
     """
 
-    def __init__(self, texts: dict[str, np.ndarray], chars: int = CHARS, letters: int = LETTERS):
+    def __init__(self, step: list[dict[int, int]], width: int):
+        self.base = np.zeros(len(step), np.int32)
+        used = bytearray(sum(map(len, step)) + 2 * width)
+        owner: list[tuple[int, int, int]] = []
+        at, degree = 0, 0
+        for s in sorted(range(1, len(step)), key=lambda s: -len(step[s])):
+            to = step[s]
+            if len(to) != degree:
+                at, degree = 0, len(to)
+            if not to:
+                break
+            first, *more = to
+            while True:  # the first place from ``at`` on where all of the row's places are free
+                at = used.find(0, at)
+                if at < 0:
+                    at = len(used)
+                    used += bytes(width + 1)
+                b = at - first
+                if at + width >= len(used):
+                    used += bytes(2 * width)
+                if not more or (b >= 0 and not any(used[b + c] for c in more)):
+                    break
+                at += 1
+            self.base[s] = b
+            for c, q in to.items():
+                used[b + c] = 1
+                owner.append((b + c, s, q))
+        places = np.array(owner, np.int32).reshape(-1, 3)
+        # a base below zero reaches round the end at most ``width`` places, where nothing is
+        size = (int(places[:, 0].max()) if len(places) else 0) + 2 * width + 2
+        self.owner, self.to = np.full(size, -1, np.int32), np.zeros(size, np.int32)
+        self.owner[places[:, 0]], self.to[places[:, 0]] = places[:, 1], 2 * places[:, 2]
+        self.again = np.ones(width, np.int32)
+        for c, q in step[0].items():
+            self.again[c] = 2 * q + 1
+
+    def after(self, state: np.ndarray, code: np.ndarray) -> np.ndarray:
+        place = self.base[state] + code
+        return np.where(self.owner[place] == state, self.to[place], self.again[code])
+
+
+class Model:
+    """Parsing tables of all languages over one alphabet, which holds every letter of the sample."""
+
+    def __init__(self, texts: dict[str, np.ndarray], chars: int = CHARS):
         self.names = sorted(texts)
         every = np.concatenate([texts[n][:chars] for n in self.names]) if texts else np.empty(0, np.uint32)
-        found, counts = np.unique(every[every != 32], return_counts=True)
-        self.alphabet = np.concatenate(([32], np.sort(found[np.argsort(-counts, kind="stable")[:letters]]))).astype(np.uint32)
-        self.unknown, self.pad = len(self.alphabet), len(self.alphabet) + 1
-        self.width = len(self.alphabet) + 2
-        self.tables, self.usual = [], []
-        for n in self.names:
-            step = automaton(self.codes(texts[n][:chars]).tolist())
-            t = np.full((len(step), self.width), -1, np.int64)
-            for s, to in enumerate(step):
-                for c, q in to.items():
-                    t[s, c] = 2 * q * self.width
-            again = np.where(t[0] >= 0, t[0], 0) + 1
-            t = np.where(t < 0, again, t)
-            t[0] = again  # from the root, every character begins a phrase
-            t[:, self.pad] = 2 * np.arange(len(step)) * self.width
-            self.tables.append(t.ravel().astype(np.int32))
+        self.alphabet = np.union1d(every, [32]).astype(np.uint32)
+        self.unknown = len(self.alphabet)
+        self.tables = [Table(automaton(self.codes(texts[n][:chars]).tolist()), self.unknown + 1) for n in self.names]
+        self.usual = []
         for i, n in enumerate(self.names):
             # phrases for a character of fresh text of the language: the text past what was learned, else 1
             fresh = texts[n][chars:2 * chars]
@@ -136,28 +173,64 @@ class Model:
 
     def codes(self, points: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.alphabet, points), len(self.alphabet) - 1)
-        return np.where(self.alphabet[at] == points, at, self.unknown)
+        return np.where(self.alphabet[at] == points, at, self.unknown).astype(np.int32)
 
     def phrases(self, points: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """(texts, languages) phrase counts of the texts that begin at ``starts`` (one more than texts)."""
+        """(texts, languages) phrase counts of the texts that begin at ``starts`` (one more than texts).
+
+        Texts are cut into parts that are parsed in step, each as if it began
+        a phrase. Then the state in which the part before really ended is
+        carried on into a part, until the parse meets the one already made;
+        where it does not within the part, the next part follows, and so on.
+        The counts are those of one parse from end to end.
+        """
         lengths = np.diff(starts)
-        parts = -(-lengths // SEGMENT)
+        parts = -(-lengths // STEP)
         text = np.repeat(np.arange(len(lengths)), parts)
-        offset = (np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)) * SEGMENT
-        begin, size = starts[text] + offset, np.minimum(SEGMENT, lengths[text] - offset)
+        offset = (np.arange(len(text)) - np.repeat(np.cumsum(parts) - parts, parts)) * STEP
+        begin, size = starts[text] + offset, np.minimum(STEP, lengths[text] - offset)
         # longest first, so that each step works on those not yet at their end
         order = np.argsort(-size, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        before = np.where(offset > 0, np.concatenate(([0], place[:-1])) if len(place) else place, -1)[order]
+        behind = np.full(len(order), -1)
+        behind[before[before >= 0]] = np.flatnonzero(before >= 0)
         begin, size, text = begin[order], size[order], text[order]
         codes = self.codes(points)
         out = np.zeros((len(lengths), len(self.names)), np.int64)
-        live = np.searchsorted(-size, -np.arange(SEGMENT), "left")  # how many are longer than i
-        grid = [codes[begin[: live[i]] + i] for i in range(SEGMENT) if live[i]]
+        live = np.searchsorted(-size, -np.arange(STEP), "left")  # how many are longer than i
+        grid = [codes[begin[: live[i]] + i] for i in range(STEP) if live[i]]
         for n, table in enumerate(self.tables):
-            state, count = np.zeros(len(begin), np.int32), np.zeros(len(begin), np.int32)
+            end = np.zeros(len(begin), np.int32)
+            seen = []
             for i, code in enumerate(grid):
-                v = table[state[: live[i]] + code]
+                v = table.after(end[: live[i]], code)
+                seen.append(v)
+                end[: live[i]] = v >> 1
+            rest = np.flatnonzero(before >= 0)
+            while len(rest):
+                at, state, turned = rest, end[before[rest]], []
+                for i in range(STEP + 1):
+                    over = size[at] <= i
+                    if over.any():
+                        gone, last = at[over], state[over]
+                        differ = end[gone] != last
+                        end[gone[differ]] = last[differ]
+                        turned.append(gone[differ])
+                        at, state = at[~over], state[~over]
+                    if not len(at):
+                        break
+                    v = table.after(state, grid[i][at])
+                    differ = (v >> 1) != (seen[i][at] >> 1)
+                    seen[i][at] = v
+                    at, state = at[differ], (v >> 1)[differ]
+                changed = np.concatenate([*turned, np.empty(0, np.int64)]).astype(np.int64)
+                rest = behind[changed]
+                rest = rest[rest >= 0]
+            count = np.zeros(len(begin), np.int64)
+            for i, v in enumerate(seen):
                 count[: live[i]] += v & 1
-                state[: live[i]] = v >> 1
             out[:, n] = np.bincount(text, weights=count, minlength=len(lengths)).astype(np.int64)
         return out
 
@@ -183,13 +256,13 @@ def learn(docs: DataFrame, rows: int = ROWS, chars: int = CHARS, **fold: int) ->
     sample: dict[str, list[tuple[int, str]]] = {}
     most = 4 * chars
     texts = base.where(F.col("doc_id").isin(chosen)).select("lang", h.alias("h"), F.substring("text", 1, most).alias("text")) if chosen else base.limit(0).select("lang", h.alias("h"), "text")
-    for r in texts.where("text is not null").dropDuplicates(["lang", "h"]).collect():
+    for r in texts.groupBy("lang", "h").agg(F.min("text").alias("text")).where("text is not null").collect():
         sample.setdefault(r["lang"], []).append((r["h"], r["text"]))
     found = {}
     for lang, own in sample.items():
         points, starts = normalise([t for _, t in sorted(own)])
         # an equal share of each row, taken in turn, so that a long one does not stand for the language
-        share = max(SEGMENT, 2 * chars // max(1, len(own)))
+        share = max(SHARE, 2 * chars // max(1, len(own)))
         found[lang] = np.concatenate([points[a:min(b, a + share)] for a, b in zip(starts, starts[1:], strict=False)])
     return Model({k: v for k, v in found.items() if len(v)}, chars)
 
@@ -226,10 +299,13 @@ def digest(docs: DataFrame) -> DataFrame:
 
 
 def accepted(docs: DataFrame, margin: float = 1.2) -> DataFrame:
-    """Documents in a known language: not ``und``, and scored ``margin`` times an even guess at least. A null lang is filled in."""
+    """Documents in a known language: not ``und``, and scored ``margin`` times an even guess at least. A null lang is filled in.
+
+    Where nothing is labelled, nothing can be rejected, and all documents pass.
+    """
     names = docs.columns
     model = learn(docs)
     if not model.names:
-        return docs.where("false")
+        return docs
     out = docs.withColumn("__p", predicted(model, docs.sparkSession)).where((F.col("__p.lang") != "und") & (F.col("__p.score") >= margin / max(2, len(model.names))))
     return out.withColumn("lang", F.coalesce("lang", F.col("__p.lang"))).select(*names)

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from heartwood.llm import katz, language
 
@@ -109,23 +110,42 @@ def test_language_odd_rows(odd, none):
     assert {r["lang_pred"] for r in language.digest(odd.where("doc_id in (1, 4)")).collect()} == {"und"}
 
 
-def test_phrases_match_greedy_parsing():
+def greedy(text, known):
+    """Phrases of a text, each the longest match in ``known``, or one character."""
+    n = 0
+    while text:
+        k = 1
+        while k < len(text) and text[: k + 1] in known:
+            k += 1
+        text, n = text[k:], n + 1
+    return n
+
+
+@pytest.mark.parametrize("letters", ["abc ", "ab", "abcdefgh " + "".join(map(chr, range(0x4E00, 0x4E00 + 800)))])
+def test_phrases_match_greedy_parsing(letters):
+    """Texts shorter, equal and longer than a row of the parse, phrases across rows, periodic texts, and an alphabet of hundreds of letters."""
     rng = np.random.default_rng(0)
-    texts = ["".join(rng.choice(list("abc d"), n)) for n in (0, 1, 5, 200, 255, 256, 257, 700)]
-    learned = "".join(rng.choice(list("abc "), 400))
+    learned = "".join(rng.choice(list(letters), 700)) + "ab" * 300
+    texts = ["".join(rng.choice(list(letters + "d"), n)) for n in (0, 1, 5, 200, 255, 256, 257, 700, 1500)]
+    texts += [learned[100:650], "a" * 900, "ab" * 700, learned[200:260] * 9, "x" + learned[:500] * 2]
     own, _ = language.normalise([learned])
-    model = language.Model({"x": own}, chars=300)
+    size = 1300
+    model = language.Model({"x": own, "y": own[::-1].copy()}, chars=size)
+    assert set(own[:size].tolist()) <= set(model.alphabet.tolist())
     points, starts = language.normalise(texts)
-    got = model.phrases(points, starts)[:, 0]
-    known = "".join(map(chr, own[:300]))
-    for i in range(len(texts)):
-        text = "".join(map(chr, points[starts[i]:starts[i + 1]]))
-        n = 0
-        for s in range(0, len(text), language.SEGMENT):
-            part = text[s:s + language.SEGMENT]
-            while part:
-                k = 1
-                while k < len(part) and part[: k + 1] in known:
-                    k += 1
-                part, n = part[k:], n + 1
-        assert got[i] == n
+    got = model.phrases(points, starts)
+    for n, kept in enumerate((own[:size], own[::-1][:size])):
+        known = "".join(map(chr, kept))
+        for i in range(len(texts)):
+            assert got[i, n] == greedy("".join(map(chr, points[starts[i]:starts[i + 1]])), known)
+
+
+def test_repeated_ids_and_no_labels(spark):
+    """Of rows that share an id the least text is learned from; without labels every document passes."""
+    learns = [i for i in range(40) if crc(i, 4) != 2]
+    rows = [(i % 7, f"{'alpha beta' if i % 2 else 'gamma delta'} {i}", "en" if i % 2 else "fr") for i in learns * 3]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    runs = [sorted(map(tuple, language.digest(d).distinct().collect())) for d in (docs, docs.orderBy("text"), docs.repartition(7))]
+    assert runs[0] == runs[1] == runs[2]
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert language.accepted(bare).count() == docs.count()
