@@ -1,17 +1,8 @@
-"""Near-duplicates by shared word shingles: MinHash buckets propose pairs, the whole shingle sets decide.
-
-Two texts link if the sets of their five-word shingles have a Jaccard
-similarity of ``LEAST`` or more. A text enters ``BANDS`` buckets, each keyed by
-``ROWS`` minima, so a pair of similarity s meets with probability
-1 - (1 - s^ROWS)^BANDS: 0.9999 at 0.8, and nearly 1 above. Every proposed pair
-is then decided in whole numbers on the full sets, so no pair below the
-threshold links. Pairs are proposed in two steps: each member of a bucket with
-the bucket's least member, then all pairs of a bucket that the links found so
-far leave in different classes; a large group of copies thus costs pairs in
-proportion to its size.
-
-Equal texts are one node. Texts shorter than a shingle are one shingle; empty
-and blank texts, and null, have none and link with each other.
+"""Word shingles of near copies: features for candidate search, and whole sets for the decision.
+
+``simhash.deduplicate`` is built on these. Words are lower-cased over A-Z and
+split at ASCII white space; a text shorter than a shingle is one shingle; null,
+empty and blank texts have none, and are alike.
 """
 
 from __future__ import annotations
@@ -21,19 +12,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heartwood.llm.common import small_batches, store
-from heartwood.llm.components import components
 
-WORDS, LEAST, ROWS, BANDS, SEED = 5, (4, 5), 6, 30, 42
+WORDS, SEED = 5, 42
+#: Buckets of a text, and minima in the key of each: a pair of similarity s shares one with probability 1 - (1 - s^ROWS)^BANDS, 0.9999 at 0.8.
+ROWS, BANDS = 6, 30
 _SALTS = np.random.default_rng(SEED).integers(0, 2**63, (2, ROWS * BANDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
 
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Hashes of a text's distinct shingles; words are lower-cased over A-Z and split at ASCII white space."""
+    """Hashes of a text's distinct shingles, sorted."""
     parts = (text or "").encode().lower().split()
     if not parts:
         return np.zeros(0, np.uint64)
@@ -58,25 +50,43 @@ def buckets(grams: np.ndarray) -> np.ndarray:
     return keys
 
 
-def _node() -> F.Column:
-    return F.xxhash64(F.coalesce("text", F.lit("")))
+def wide(grams: np.ndarray) -> np.ndarray:
+    """A fingerprint of 128 bits in two words: the majority of the shingles' hashes, and of another mixing of these."""
+    out = np.zeros(2, np.uint64)
+    for k in range(2):
+        h = grams
+        if k:
+            h = (grams ^ grams >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+            h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        ones = np.zeros(64, np.int64)
+        for i in range(0, len(h), 1 << 14):
+            ones += np.unpackbits(h[i:i + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+        out[k] = int.from_bytes(np.packbits(2 * ones > len(h), bitorder="little").tobytes(), "little")
+    return out
+
+
+def digest() -> Column:
+    """128 bits that stand for a text; null is the empty text."""
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
 
 
 def signed(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, node, buckets) of every document; equal texts have the same node."""
+    """(doc_id, digest, f0, f1, size, buckets) of every document: its fingerprint, number of shingles, and bucket keys."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            keys = np.array([buckets(shingles(t.as_py(), words)) for t in b.column(2)], np.uint64).reshape(-1).view(np.int64)
+            found = [shingles(t.as_py(), words) for t in b.column(2)]
+            fps = np.array([wide(g) for g in found], np.uint64).reshape(-1, 2).view(np.int64)
+            keys = np.array([buckets(g) for g in found], np.uint64).reshape(-1).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(keys) + 1, BANDS), pa.int32()), pa.array(keys))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), lists], names=["doc_id", "node", "buckets"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fps[:, 0].copy()), pa.array(fps[:, 1].copy()), pa.array([len(g) for g in found], pa.int32()), lists], names=["doc_id", "digest", "f0", "f1", "size", "buckets"])
 
     small_batches(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", _node().alias("node"), "text").mapInArrow(run, f"doc_id {kind}, node long, buckets array<long>")
+    return docs.select("doc_id", digest().alias("digest"), "text").mapInArrow(run, f"doc_id {kind}, digest binary, f0 long, f1 long, size int, buckets array<long>")
 
 
-def _sets(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """(node, grams) of the texts that ``pairs`` (u, v) names."""
+def sets(docs: DataFrame, nodes: DataFrame, words: int = WORDS) -> DataFrame:
+    """(node, grams) of ``nodes`` (node, doc_id, digest), each from the one text that has its id and digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [shingles(t.as_py(), words).view(np.int64) for t in b.column(1)]
@@ -84,48 +94,23 @@ def _sets(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))
             yield pa.RecordBatch.from_arrays([b.column(0), lists], names=["node", "grams"])
 
-    named = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    texts = docs.select(_node().alias("node"), "text").join(named, "node", "left_semi").groupBy("node").agg(F.first("text").alias("text"))
-    return store(texts.mapInArrow(run, "node long, grams array<long>"), "shingle-sets")
+    texts = docs.select(F.col("doc_id").alias("__id"), digest().alias("__digest"), "text")
+    named = texts.join(nodes, texts["__id"].eqNullSafe(nodes["doc_id"]) & (texts["__digest"] == nodes["digest"])).select("node", "text").dropDuplicates(["node"])
+    return store(named.mapInArrow(run, "node long, grams array<long>"), "shingle-sets")
+
 
+def similar(a: np.ndarray, b: np.ndarray, least: tuple[int, int]) -> bool:
+    """Whether two sorted sets' Jaccard similarity is at least the fraction ``least``, in whole numbers."""
+    common = len(np.intersect1d(a, b, assume_unique=True))
+    return common * least[1] >= (len(a) + len(b) - common) * least[0]
 
-def verified(docs: DataFrame, pairs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST) -> DataFrame:
-    """The pairs (u, v) of nodes whose shingle sets' similarity is at least the fraction ``least``."""
+
+def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, least: tuple[int, int], words: int = WORDS) -> DataFrame:
+    """The pairs (u, v) of ``nodes`` whose shingle sets' similarity is at least the fraction ``least``."""
     pairs = store(pairs, "shingle-pairs")
-    sets = _sets(docs, pairs, words)
-    one = store(pairs.join(sets.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u"), "shingle-halves")
-    both = one.join(sets.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
-    both = both.where((F.size("a") * least[1] >= F.size("b") * least[0]) & (F.size("b") * least[1] >= F.size("a") * least[0]))
+    named = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    found = sets(docs, nodes.select("node", "doc_id", "digest").join(named, "node"), words)
+    one = store(pairs.join(found.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u"), "shingle-halves")
+    both = one.join(found.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
     common = F.size(F.array_intersect("a", "b"))
     return both.where(common * least[1] >= (F.size("a") + F.size("b") - common) * least[0]).select("u", "v")
-
-
-def links(docs: DataFrame, keyed: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST) -> DataFrame:
-    """(u, v): links that join all nodes of ``keyed`` (node, bucket) which linked pairs in a common bucket connect."""
-    heads = keyed.groupBy("bucket").agg(F.min("node").alias("u"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = store(keyed.join(heads, "bucket"), "shingle-buckets")
-    first = store(verified(docs, rows.where("node <> u").select("u", F.col("node").alias("v")).distinct(), words, least), "shingle-links")
-    rows = rows.where("n > 2").join(components(first), "node", "left").select("bucket", "node", "u", F.coalesce("root", "node").alias("root"))
-    mixed = rows.groupBy("bucket").agg(F.min("root").alias("a"), F.max("root").alias("b")).where("a <> b").select("bucket")
-    left = store(rows.join(mixed, "bucket"), "shingle-left")
-    x, y = left.select("bucket", "u", F.col("node").alias("x"), F.col("root").alias("xr")), left.select("bucket", F.col("node").alias("y"), F.col("root").alias("yr"))
-    more = x.join(y, "bucket").where("x < y and xr <> yr and x <> u").select(F.col("x").alias("u"), F.col("y").alias("v")).distinct()
-    return first.unionByName(verified(docs, more, words, least))
-
-
-def deduplicate(docs: DataFrame, words: int = WORDS, least: tuple[int, int] = LEAST) -> DataFrame:
-    """One document of each class of near copies, the one with the least doc_id (null last), with all its columns."""
-    rows = store(signed(docs, words), "shingle-keys")
-    nodes = rows.groupBy("node", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    keyed = rows.select("node", F.explode("buckets").alias("bucket")).distinct()
-    classes = store(components(links(docs, keyed, words, least)), "shingle-classes")
-    ranked = nodes.join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    kept = ranked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "n")).alias("k"))
-    kept = store(kept.select(F.col("k.doc_id").alias("__id"), F.col("k.node").alias("__kept"), F.col("k.n").alias("__n")), "shingle-kept")
-    marked = docs.withColumn("__node", _node())
-    match = lambda k: [marked["doc_id"].eqNullSafe(k["__id"]), marked["__node"] == k["__kept"]]
-    one, many = kept.where("__n = 1"), kept.where("__n > 1")
-    out = marked.join(one, match(one), "left_semi")
-    if not many.isEmpty():  # rows that repeat their id and text
-        out = out.unionByName(marked.join(many, match(many), "left_semi").dropDuplicates(["doc_id", "__node"]))
-    return out.select(*docs.columns)

@@ -1,5 +1,9 @@
 """SimHash near-duplicates with bit-sliced comparison.
 
+``near_duplicates`` links close fingerprints; ``deduplicate`` keeps one text of
+each class of near copies, for which fingerprints within a wider radius are
+only candidates that whole shingle sets decide.
+
 A document's fingerprint has 64 bits; bit b is 1 if more than half of its
 word shingles' hashes have it set. Two fingerprints link if they differ in at
 most ``RADIUS`` bits. By the pigeonhole principle, linked fingerprints agree
@@ -9,8 +13,8 @@ are dealt into chunks and every pair of chunks is compared once.
 
 Comparison is bit-sliced: 64 fingerprints of a block stand in one machine
 word per bit (plane). A probe adds its difference to the plane, bit by bit,
-into carry-save counters (ones, twos and a sticky overflow), which counts 64
-distances at once; a block is abandoned as soon as all its lanes exceed the
+into carry-save counters (one for each bit of the radius, and a sticky
+overflow), which counts 64 distances at once; a block is abandoned as soon as all its lanes exceed the
 radius. Only a spanning forest of a block's links leaves the task, so a group
 of copies costs edges in proportion to its size.
 
@@ -32,10 +36,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heartwood.llm.common import small_batches, store
+from heartwood.llm import shingles
+from heartwood.llm.common import release, small_batches, store
 from heartwood.llm.components import components
 
 RADIUS, BANDS, WORDS, SEED = 2, 4, 3, 42
+#: Near copies: the least similarity of shingle sets, and the most of 128 bits that their fingerprints differ in.
+LEAST, NEAR_RADIUS = (4, 5), 40
 #: Fingerprints of a bucket that are compared in one block; rows that a tile of whole groups holds at most.
 CHUNK, TILE = 512, 4096
 
@@ -82,10 +89,14 @@ def _planes(fps: np.ndarray) -> np.ndarray:
 
 
 def compare(fps: np.ndarray, first: np.ndarray, last: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i, j), i < j, within ``radius`` bits (3 at most); i is compared with the rows first[i] <= j < last[i]."""
-    if radius > 3:
-        raise ValueError("the carry-save counters hold distances up to 3")
-    planes = _planes(fps)
+    """Index pairs (i, j), i < j, within ``radius`` bits; row i of ``fps`` (64-bit words) is compared with the rows first[i] <= j < last[i].
+
+    The counters hold the bits of 64 distances at once: adding a plane's
+    differences carries from one counter into the next, and what leaves the
+    last one is beyond the radius for good.
+    """
+    fps = fps.reshape(len(fps), -1)
+    planes = np.concatenate([_planes(np.ascontiguousarray(c)) for c in fps.T])
     full = np.uint64(2**64 - 1)
     w0, w1 = first // 64, (last - 1) // 64
     count = w1 - w0 + 1
@@ -95,23 +106,31 @@ def compare(fps: np.ndarray, first: np.ndarray, last: np.ndarray, radius: int =
     lo, hi = np.clip(first[probe] - 64 * word, 0, 64).astype(np.uint64), np.clip(last[probe] - 64 * word, 0, 64).astype(np.uint64)
     below = lambda n: np.where(n >= 64, full, (np.uint64(1) << np.minimum(n, np.uint64(63))) - np.uint64(1))
     dead = ~(below(hi) & ~below(lo))
-    ones, twos = np.zeros_like(dead), np.zeros_like(dead)
-    sign = (np.uint64(0) - ((fps[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1))).T.copy()
-    for b in range(64):
+    counters = [np.zeros_like(dead) for _ in range(radius.bit_length())]
+    sign = np.concatenate([(np.uint64(0) - ((c[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1))).T for c in fps.T])
+
+    def beyond() -> np.ndarray:
+        over, level = dead, full
+        for k in reversed(range(len(counters))):
+            if radius >> k & 1:
+                level = level & counters[k]
+            else:
+                over, level = over | level & counters[k], level & ~counters[k]
+        return over
+
+    look = 4 if radius < 8 else 16
+    for b in range(len(planes)):
         x = planes[b, word] ^ sign[b, probe]
-        carry = ones & x
-        ones ^= x
-        dead |= twos & carry
-        twos ^= carry
-        over = dead if radius == 3 else dead | (twos & ones) if radius == 2 else dead | twos if radius == 1 else dead | twos | ones
-        if b % 4 == 3:
-            live = over != full
+        for k, c in enumerate(counters):
+            counters[k], x = c ^ x, c & x
+        dead = dead | x
+        if b % look == look - 1:
+            live = beyond() != full
             if not live.all():
-                probe, word, dead, ones, twos = probe[live], word[live], dead[live], ones[live], twos[live]
+                probe, word, dead, counters = probe[live], word[live], dead[live], [c[live] for c in counters]
                 if not len(probe):
                     break
-    over = dead if radius == 3 else dead | (twos & ones) if radius == 2 else dead | twos if radius == 1 else dead | twos | ones
-    hits = np.unpackbits((~over).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    hits = np.unpackbits((~beyond()).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     k, lane = np.nonzero(hits)
     i, j = probe[k], 64 * word[k] + lane
     keep = i < j
@@ -195,7 +214,7 @@ def _classes(fps: DataFrame, radius: int, bands: int) -> DataFrame:
     """(fp, root, component_id) of every distinct fingerprint of (doc_id, fp)."""
     groups = store(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprint-groups")
     nodes = store(components(links(groups.select("fp"), radius, bands)), "fingerprint-components")
-    found = nodes.join(groups, nodes["node"] == groups["fp"]).groupBy("root").agg(F.min("rep").alias("least"))
+    found = store(nodes.join(groups, nodes["node"] == groups["fp"]).groupBy("root").agg(F.min("rep").alias("least")), "fingerprint-least")
     merged = nodes.join(found, "root").select(F.col("node").alias("fp"), "root", "least")
     classes = groups.join(merged, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("least", "rep").alias("component_id"))
     # stored, so that a join with it has two exchanges of its own, of which Spark can split a large partition
@@ -209,22 +228,104 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, b
     return fps.join(classes, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def deduplicate(docs: DataFrame, words: int = WORDS, radius: int = RADIUS, bands: int = BANDS) -> DataFrame:
-    """One document of each component, the one with the least doc_id (null last), with all its columns."""
-    names = docs.columns
+def _near(t: pd.DataFrame, radius: int, least: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows of one block with fingerprints within the radius, sizes that allow the similarity, and different roots."""
+    block, size, root = (t[c].to_numpy() for c in ("block", "size", "root"))
+    first, last = np.searchsorted(block, block, "left"), np.searchsorted(block, block, "right")
+    i, j = compare(t[["f0", "f1"]].to_numpy().view(np.uint64), first, last, radius)
+    a, b = size[i].astype(np.int64), size[j].astype(np.int64)
+    keep = (root[i] != root[j]) & (np.minimum(a, b) * least[1] >= np.maximum(a, b) * least[0])
+    return i[keep], j[keep]
 
-    def fp(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for s in batches:
-            yield pd.Series(np.array([fingerprint(t, words) for t in s], np.uint64).view(np.int64))
 
-    fps = store(fingerprints(docs, words), "fingerprints")
-    rows = fps.groupBy("fp", "doc_id").agg(F.count(F.lit(1)).alias("n"))
-    kept = rows.join(_classes(fps, radius, bands).select("fp", "root"), "fp").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "n")).alias("k"))
-    kept = store(kept.select(F.col("k.doc_id").alias("__id"), F.col("k.fp").alias("__kept"), F.col("k.n").alias("__n")), "fingerprint-kept")
-    marked = docs.withColumn("__fp", F.pandas_udf(fp, "long")("text"))
-    match = lambda k: [marked["doc_id"].eqNullSafe(k["__id"]), marked["__fp"] == k["__kept"]]
+def _opposed(rows: DataFrame, chunk: int) -> DataFrame:
+    """Deal the buckets of ``rows`` (bucket, node, root, ...) that hold several classes into blocks of two chunks each.
+
+    The largest class of a bucket meets only the others, as it is one already,
+    so a bucket costs in proportion to its largest class, however large.
+    """
+    classes = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    tops = classes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("top"), F.max("n").alias("big"), F.sum("n").alias("all")).where("all > big")
+    parts = lambda n: F.ceil(n / chunk).cast("int")
+    df = rows.join(store(tops, "near-tops"), "bucket").withColumns({"large": F.col("root") == F.col("top"), "ml": parts(F.col("big")), "mo": parts(F.col("all") - F.col("big"))})
+    df = df.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("large"), F.col("ml")).otherwise(F.col("mo"))).cast("int"))
+    upto = lambda n: F.sequence(F.lit(0), n - 1)
+    met = F.when(F.col("large"), F.transform(upto(F.col("mo")), lambda o: F.xxhash64("bucket", F.lit(0), "mine", o))).otherwise(F.concat(
+        F.transform(upto(F.col("ml")), lambda o: F.xxhash64("bucket", F.lit(0), o, "mine")), F.transform(upto(F.col("mo")), lambda o: F.xxhash64("bucket", F.lit(1), F.least("mine", o), F.greatest("mine", o)))))
+    return df.select(F.explode(met).alias("block"), "node", "root", "f0", "f1", "size")
+
+
+def near_links(docs: DataFrame, nodes: DataFrame, words: int = shingles.WORDS, least: tuple[int, int] = LEAST, radius: int = NEAR_RADIUS, chunk: int = CHUNK) -> DataFrame:
+    """(u, v): links that join all ``nodes`` which pairs of similarity ``least`` in common buckets connect.
+
+    First every member of a bucket is held against the bucket's least member,
+    in time linear in the bucket. Buckets that then still hold several classes
+    are compared bit-sliced, class against class, and the pairs within the
+    radius are decided on the whole shingle sets.
+    """
+    keyed = nodes.select("node", "f0", "f1", "size", F.explode(F.array_distinct("buckets")).alias("bucket"))
+    heads = keyed.groupBy("bucket").agg(F.min(F.struct("node", "f0", "f1", "size")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    rows = store(keyed.join(store(heads, "near-heads"), "bucket"), "near-buckets")
+    apart = F.bit_count(F.col("f0").bitwiseXOR(F.col("h.f0"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("h.f1")))
+    sizes = F.least("size", "h.size") * least[1] >= F.greatest("size", "h.size") * least[0]
+    to_head = rows.where((F.col("node") != F.col("h.node")) & (apart <= radius) & sizes).select(F.col("h.node").alias("u"), F.col("node").alias("v")).distinct()
+    found = store(shingles.verified(docs, nodes, to_head, least, words), "near-links")
+    rest = rows.where("n > 2").select("bucket", "node", "f0", "f1", "size").join(store(components(found), "near-roots"), "node", "left")
+    rest = store(rest.withColumn("root", F.coalesce("root", "node")), "near-rest")
+    dealt = lambda df: df.repartition("block").sortWithinPartitions("block")
+
+    def close(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for t in _tiles(batches, "block", TILE):
+            yield t.iloc[np.unique(np.concatenate(_near(t, radius, least)))]
+
+    def decide(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for t in _tiles(batches, "block", TILE):
+            i, j = _near(t, radius, least)
+            node, grams, up = t["node"].to_numpy(), t["grams"].to_numpy(), dict(zip(*[t["root"]] * 2, strict=True))
+            roots = t["root"].to_numpy()
+
+            def top(x: int) -> int:
+                while up[x] != x:
+                    up[x] = x = up[up[x]]
+                return x
+
+            out = []
+            for a, b in zip(i, j, strict=True):
+                x, y = top(roots[a]), top(roots[b])
+                if x != y and shingles.similar(grams[a], grams[b], least):
+                    up[x] = y
+                    out.append((node[a], node[b]))
+            yield pd.DataFrame(out, columns=["u", "v"], dtype="int64")
+
+    left = store(dealt(_opposed(rest, chunk)).mapInPandas(close, "block long, node long, root long, f0 long, f1 long, size int"), "near-left")
+    if left.isEmpty():
+        return found
+    sets = shingles.sets(docs, nodes.select("node", "doc_id", "digest").join(left.select("node").distinct(), "node"), words)
+    return found.unionByName(dealt(left.join(sets, "node")).mapInPandas(decide, "u long, v long"))
+
+
+def deduplicate(docs: DataFrame, words: int = shingles.WORDS, least: tuple[int, int] = LEAST, radius: int = NEAR_RADIUS) -> DataFrame:
+    """One document of each class of near copies, the one with the least doc_id (null last), with all its columns.
+
+    Two texts are near copies if their sets of ``words``-word shingles have a
+    similarity of ``least`` or more. Candidates share a bucket (see
+    ``shingles``) and differ in ``radius`` of 128 fingerprint bits at most, far
+    beyond what such copies do; the sets themselves decide. Equal texts are one
+    node.
+    """
+    rows = store(shingles.signed(docs, words), "near-rows")
+    least_id = rows.groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("copies")).groupBy("digest").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "copies")).alias("k"))
+    features = rows.groupBy("digest").agg(*(F.first(c).alias(c) for c in ("f0", "f1", "size", "buckets")))
+    nodes = store(features.join(least_id, "digest").select(F.monotonically_increasing_id().alias("node"), "digest", "k.none", "k.doc_id", "k.copies", "f0", "f1", "size", "buckets"), "near-nodes")
+    release(rows)
+    classes = store(components(near_links(docs, nodes, words, least, radius)), "near-classes")
+    ranked = nodes.select("node", "digest", "none", "doc_id", "copies").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    kept = ranked.groupBy("root").agg(F.min(F.struct("none", "doc_id", "node", "digest", "copies")).alias("k"))
+    kept = store(kept.select(F.col("k.doc_id").alias("__id"), F.col("k.digest").alias("__kept"), F.col("k.copies").alias("__n")), "near-kept")
+    marked = docs.withColumn("__digest", shingles.digest())
+    match = lambda k: [marked["doc_id"].eqNullSafe(k["__id"]), marked["__digest"] == k["__kept"]]
     one, many = kept.where("__n = 1"), kept.where("__n > 1")
     out = marked.join(one, match(one), "left_semi")
-    if not many.isEmpty():  # rows that repeat their id and fingerprint
-        out = out.unionByName(marked.join(many, match(many), "left_semi").dropDuplicates(["doc_id", "__fp"]))
-    return out.select(*names)
+    if not many.isEmpty():  # rows that repeat their id and text
+        out = out.unionByName(marked.join(many, match(many), "left_semi").dropDuplicates(["doc_id", "__digest"]))
+    return out.select(*docs.columns)

@@ -5,7 +5,7 @@ import itertools
 import random
 
 import corpus_pipeline
-from heartwood.llm import shingles
+from heartwood.llm import shingles, simhash
 from tests.llm import brute
 
 DATA = "/root/testdata/sf0.001"
@@ -59,8 +59,36 @@ def test_large_group_of_unlike_copies(spark):
         for at in rng.sample(range(300), rng.choice((2, 5, 9))):
             words[at] = f"x{d}-{at}"
         rows.append((d, " ".join(words)))
-    assert got(shingles.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))) == kept(rows)
+    assert got(simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))) == kept(rows)
 
 
 def test_documents(spark, docs):
-    assert got(shingles.deduplicate(docs)) == kept([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert got(simhash.deduplicate(docs)) == kept([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_radius_holds_what_buckets_propose(docs):
+    """Of all pairs of similarity 0.8 or more, the share that a common bucket and the fingerprints' radius find."""
+    texts = sorted({r["text"] or "" for r in docs.collect()})
+    rng = random.Random(9)
+    for _ in range(300):  # edits that stay near 0.8
+        words = rng.choice(texts).split()
+        for at in rng.sample(range(len(words)), max(1, len(words) // 50)):
+            words[at] = "edited"
+        texts.append(" ".join(words))
+    found = [shingles.shingles(t) for t in texts]
+    keys, fps = [set(shingles.buckets(g).tolist()) for g in found], [shingles.wide(g) for g in found]
+    near = [(i, j) for i, j in itertools.combinations(range(len(texts)), 2) if texts[i] != texts[j] and keys[i] & keys[j] and shingles.similar(found[i], found[j], (4, 5))]
+    apart = [sum(int(x).bit_count() for x in fps[i] ^ fps[j]) for i, j in near]
+    assert len(near) > 100 and sum(d <= simhash.NEAR_RADIUS for d in apart) >= 0.999 * len(near)
+
+
+def test_classes_that_only_inner_members_join(spark, monkeypatch):
+    """Two groups whose least members are unlike, joined by members that are alike; with chunks of a few rows."""
+    base = [f"w{i}" for i in range(300)]
+    edit = lambda ats, tag: [f"{tag}{i}" if i in ats else w for i, w in enumerate(base)]
+    rows = [(d, " ".join(edit(range(0, 6 * d), "x"))) for d in range(12)]  # each like the next, the ends unlike
+    rows += [(100 + d, " ".join(edit({d, d + 40, d + 80}, "y"))) for d in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(simhash.deduplicate(docs)) == kept(rows)
+    monkeypatch.setattr(simhash.near_links, "__defaults__", (*simhash.near_links.__defaults__[:-1], 4))
+    assert got(simhash.deduplicate(docs)) == kept(rows)

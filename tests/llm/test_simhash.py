@@ -31,7 +31,7 @@ def test_compare_finds_all_pairs():
     fps = np.concatenate([base[rng.integers(0, 40, 300)] ^ (np.uint64(1) << rng.integers(0, 63, 300, dtype=np.uint64)) for _ in range(2)])
     group = np.sort(rng.integers(0, 9, len(fps)))
     first, last = np.searchsorted(group, group), np.searchsorted(group, group, "right")
-    for radius in (0, 1, 2, 3):
+    for radius in (0, 1, 2, 3, 5, 12):
         i, j = simhash.compare(fps, first, last, radius)
         want = {(a, b) for a in range(len(fps)) for b in range(a + 1, last[a]) if int(fps[a] ^ fps[b]).bit_count() <= radius}
         assert set(zip(i.tolist(), j.tolist(), strict=True)) == want
@@ -51,3 +51,16 @@ def test_large_bucket_is_chunked(spark):
     assert brute.components(fps, links) == want
     found = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(links, "u long, v long")).collect()}
     assert {f: found.get(f, f) for f in fps} == want
+
+
+def test_compare_wide_fingerprints():
+    rng = np.random.default_rng(2)
+    base = rng.integers(0, 2**63, (6, 2), dtype=np.uint64)
+    fps = base[rng.integers(0, 6, 200)]
+    for _ in range(20):
+        fps[np.arange(200), rng.integers(0, 2, 200)] ^= np.uint64(1) << rng.integers(0, 64, 200).astype(np.uint64)
+    first, last = np.zeros(200, np.int64), np.full(200, 200)
+    for radius in (7, 16, 31, 40, 63):
+        i, j = simhash.compare(fps, first, last, radius)
+        want = {(a, b) for a in range(200) for b in range(a + 1, 200) if sum(int(x).bit_count() for x in fps[a] ^ fps[b]) <= radius}
+        assert set(zip(i.tolist(), j.tolist(), strict=True)) == want
