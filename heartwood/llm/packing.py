@@ -5,9 +5,11 @@ lengths in one bin) with multiplicities over the histogram of piece lengths:
 its size is bounded by the sequence length, not by the corpus. The algorithm
 works on whole bins. Crossover injects well-filled bins of one parent into
 the other, removes the bins whose pieces are then used up, and places the
-displaced pieces by best fit, longest first; mutation dissolves some of the
-emptiest bins. Every island is a task with its own population; between epochs
-the best solution of each island migrates to the next.
+displaced pieces by best fit, longest first, or, where they are few, so that
+each bin is filled by the best subset of them; mutation dissolves some of the
+emptiest bins and some others. Every island is a task with its own population; after each
+epoch the best solution of each island migrates to the next, until the lower
+bound is reached or the epochs end.
 
 Pieces then find their slot by their rank among the pieces of their length:
 they are range-sorted and numbered, so no length, however frequent, meets in
@@ -40,7 +42,9 @@ LENGTH, END, TOKENIZER = 1024, 2, "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
 #: Words whose ids a worker keeps at hand; beyond that it starts anew.
 CACHE = 300_000
-ISLANDS, POPULATION, GENERATIONS, EPOCHS, SEED = 4, 8, 24, 2, 11
+POPULATION, GENERATIONS, EPOCHS, SEED = 8, 10, 6, 11
+#: Displaced pieces that are placed by subset sums; more go by best fit.
+FEW = 5000
 #: The tokenizer's split for texts within Latin-1, where its character classes can be listed; the plain engine runs it faster.
 _L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ÿ", "0-9²³¹¼½¾", r"\t-\r \x85\xa0"
 LATIN = rf"'(?:[sdmt]|ll|ve|re)| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+"
@@ -168,30 +172,71 @@ def _keep(wanted: Iterator[tuple[tuple[int, ...], int]], left: dict[int, int], i
                 left[x] -= n * k
 
 
+def fill(loose: dict[int, int], size: int) -> Solution:
+    """Bins for ``loose``, each the largest piece left and the subset of the others that leaves it the least room.
+
+    Sums that subsets reach are the bits of an integer, so a bin costs one
+    shift for each piece.
+    """
+    left, out = {x: n for x, n in loose.items() if n}, {}
+    while left:
+        top = max(left)
+        chosen, room = [top], size - top
+        left[top] -= 1
+        sums, mask, steps = 1, (1 << room + 1) - 1, []
+        for x in sorted((x for x, n in left.items() if n and x <= room), reverse=True):
+            for _ in range(min(left[x], room // x)):
+                steps.append((x, sums))
+                sums |= sums << x & mask
+            if sums >> room:
+                break
+        goal = sums.bit_length() - 1
+        for x, before in reversed(steps):  # a sum that was reached before a piece does without it
+            if not before >> goal & 1:
+                chosen.append(x)
+                left[x] -= 1
+                goal -= x
+        left = {x: n for x, n in left.items() if n}
+        key = tuple(sorted(chosen, reverse=True))
+        out[key] = out.get(key, 0) + 1
+    return out
+
+
+def place(loose: dict[int, int], kept: Solution, size: int) -> Solution:
+    """The displaced pieces beside the bins that are kept: a few fill bins of their own, many go by best fit."""
+    if sum(loose.values()) > FEW:
+        return best_fit(loose, kept, size)
+    out = dict(kept)
+    for p, n in fill(loose, size).items():
+        out[p] = out.get(p, 0) + n
+    return out
+
+
 def crossover(a: Solution, b: Solution, counts: dict[int, int], size: int, rng: random.Random) -> Solution:
-    """Whole well-filled bins of b, then the bins of a that their removal leaves whole, then best fit of the displaced."""
+    """Whole well-filled bins of b, then the bins of a that their removal leaves whole, then the displaced."""
     by_fill = lambda s: sorted(s.items(), key=lambda x: (-sum(x[0]), rng.random()))
     injected = [(p, rng.randint(1, n)) for p, n in by_fill(b)[: max(1, len(b) // 2)] if rng.random() < 0.5]
     left, child = dict(counts), {}
     _keep(iter(injected), left, child)
     _keep(iter(by_fill(a)), left, child)
-    return best_fit({x: n for x, n in left.items() if n}, child, size)
+    return place({x: n for x, n in left.items() if n}, child, size)
 
 
 def mutate(a: Solution, size: int, rng: random.Random) -> Solution:
-    """Dissolve some of the emptiest bins, and a few others, and place their pieces anew."""
+    """Dissolve some of the emptiest bins and some others, and place their pieces anew."""
     order = sorted(a, key=lambda p: (sum(p), rng.random()))
-    gone = {*order[: rng.randint(1, 4)], *rng.sample(order, min(len(order), rng.randint(1, 6)))}
+    gone = [*order[: rng.randint(1, 64)], *rng.sample(order, min(len(order), rng.randint(4, 300)))]
     loose: dict[int, int] = {}
     kept = dict(a)
     for p in gone:
-        n = min(a[p], rng.randint(1, 8))
-        kept[p] -= n
-        if not kept[p]:
-            del kept[p]
-        for x in p:
-            loose[x] = loose.get(x, 0) + n
-    return best_fit(loose, kept, size)
+        n = min(kept.get(p, 0), rng.randint(1, 8))
+        if n:
+            kept[p] -= n
+            if not kept[p]:
+                del kept[p]
+            for x in p:
+                loose[x] = loose.get(x, 0) + n
+    return place(loose, kept, size)
 
 
 def evolve(population: list[Solution], counts: dict[int, int], size: int, generations: int, rng: random.Random) -> list[Solution]:
@@ -226,10 +271,12 @@ def _load(blob: bytes) -> list[Solution]:
     return [{tuple(row[1:]): row[0] for row in s} for s in json.loads(zlib.decompress(blob))]
 
 
-def solve(spark, counts: dict[int, int], size: int = LENGTH, islands: int = ISLANDS, population: int = POPULATION, generations: int = GENERATIONS, epochs: int = EPOCHS, seed: int = SEED) -> Solution:
-    """The best solution that the islands find for a histogram of lengths."""
+def solve(spark, counts: dict[int, int], size: int = LENGTH, islands: int | None = None, population: int = POPULATION, generations: int = GENERATIONS, epochs: int = EPOCHS, seed: int = SEED) -> Solution:
+    """The best solution that ``islands`` (the cluster's parallelism, unless given) find for a histogram of lengths."""
     if not counts:
         return {}
+    islands = islands or max(2, spark.sparkContext.defaultParallelism)
+    bound = -(-sum(x * n for x, n in counts.items()) // size)
 
     def step(epoch: int):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -248,6 +295,8 @@ def solve(spark, counts: dict[int, int], size: int = LENGTH, islands: int = ISLA
     for epoch in range(epochs):
         state = state.repartitionByRange(islands, "island")
         done = store(state.mapInPandas(step(epoch), "island long, bins long, own binary, elite binary"), "islands")
+        if done.agg(F.min("bins")).first()[0] <= bound:
+            break
         guests = done.select(((F.col("island") + 1) % islands).alias("island"), F.col("elite").alias("guest"))
         state = done.select("island", "own").join(guests, "island").select("island", "own", "guest")
     return _load(done.orderBy("bins", "island").select("elite").first()["elite"])[0]

@@ -1,4 +1,5 @@
 import collections
+import random
 import zlib
 
 import numpy as np
@@ -103,3 +104,35 @@ def test_evolution_beats_best_fit():
     start = packing.best_fit(counts, {}, 1024)
     best = packing.evolve([start, *(packing._seeded(counts, 1024, packing.random.Random(i)) for i in range(5))], counts, 1024, 30, packing.random.Random(0))[0]
     assert packing.bins(best) < packing.bins(start)
+
+
+def test_islands_gain_over_best_fit(spark):
+    """On the histogram of a real table the islands need fewer sequences than best fit, longest first, or reach the bound."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    counts = {r["length"]: r["count"] for r in packing.pieces(docs).groupBy("length").count().collect()}
+    counts.pop(1024, None)
+    start = packing.best_fit(counts, {}, 1024)
+    best = packing.solve(spark, counts)
+    bound = -(-sum(x * n for x, n in counts.items()) // 1024)
+    used: dict[int, int] = {}
+    for p, n in best.items():
+        assert sum(p) <= 1024
+        for x in p:
+            used[x] = used.get(x, 0) + n
+    assert used == counts
+    assert packing.bins(best) == bound or packing.bins(best) < packing.bins(start)
+
+
+def test_fill_places_every_piece():
+    rng = random.Random(4)
+    for _ in range(50):
+        loose: dict[int, int] = {}
+        for _ in range(rng.randint(0, 80)):
+            x = rng.randint(1, 60)
+            loose[x] = loose.get(x, 0) + 1
+        got: dict[int, int] = {}
+        for p, n in packing.fill(loose, 60).items():
+            assert sum(p) <= 60
+            for x in p:
+                got[x] = got.get(x, 0) + n
+        assert got == loose
