@@ -9,7 +9,10 @@ verified by cosine in double precision, in blocks; of a pair that shares
 several buckets, the one with the least key counts it.
 
 Equal vectors are one node with a count, so copies never meet in a bucket,
-and a block returns degrees and a spanning forest, never its pairs.
+and a block returns degrees and a spanning forest, never its pairs. Buckets
+are counted and dealt into blocks by node numbers alone; keys are computed
+once and stored, and vectors, in the table's own type, join the entries that
+share a bucket with another vector.
 
 ``K`` grows with the number of vectors (``hashes``), and ``TABLES`` with K,
 so buckets stay small and recall high; the tests measure recall against
@@ -19,7 +22,7 @@ Defined results: vectors that are null, empty, zero or hold null or
 non-finite components link with nothing; vectors of different lengths never
 link; repeated rows count as other vectors; a null vec_id takes part but
 names no component unless its component has no other; other columns are not
-read. Nodes are 64-bit hashes of the whole vector.
+read.
 """
 
 from __future__ import annotations
@@ -119,9 +122,10 @@ def usable(vector: str = "embedding", zero: bool = False) -> F.Column:
 
 
 def _bucketed(nodes: DataFrame, n: int, k: int | None, tables: int | None, probes: int) -> DataFrame:
+    """(node, keys) of every node."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            values, offsets = _vectors(b.column(2))
+            values, offsets = _vectors(b.column(1))
             dims = np.diff(offsets)
             for dim in np.unique(dims):
                 own = np.flatnonzero(dims == dim)
@@ -129,10 +133,9 @@ def _bucketed(nodes: DataFrame, n: int, k: int | None, tables: int | None, probe
                 x = _unit(np.stack([values[offsets[i]:offsets[i] + dim] for i in own]))
                 keys = bucket_keys(x, kk, tables or TABLES[kk - 1], probes)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * keys.shape[1], pa.int32()), pa.array(keys.ravel()))
-                taken = b.take(pa.array(own))
-                yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1), taken.column(2), lists], names=["node", "copies", "vector", "keys"])
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(own)), lists], names=["node", "keys"])
 
-    return nodes.mapInArrow(run, "node long, copies long, vector array<double>, keys array<long>")
+    return nodes.select("node", "vector").mapInArrow(run, "node long, keys array<long>")
 
 
 def _arrow_tiles(batches: Iterator[pa.RecordBatch], key: str, tile: int) -> Iterator[pa.Table]:
@@ -157,8 +160,10 @@ def _arrow_tiles(batches: Iterator[pa.RecordBatch], key: str, tile: int) -> Iter
 
 def link_blocks(nodes: DataFrame, n: int, cosine: float = COSINE, k: int | None = None, tables: int | None = None, probes: int = PROBES, chunk: int = CHUNK) -> DataFrame:
     """(u, v, n): a spanning forest of the links, with n null, and the degrees that blocks count, with v null."""
-    keyed = _bucketed(nodes, n, k, tables, probes).withColumn("bucket", F.explode(F.array_distinct("keys")))
-    blocks = chunked(keyed, chunk, "node").repartition("block").sortWithinPartitions("block")
+    keys = store(_bucketed(nodes, n, k, tables, probes), "vector-keys")
+    dealt = chunked(keys.select("node", F.explode(F.array_distinct("keys")).alias("bucket")), chunk, "node")
+    whole = store(nodes.join(keys, "node"), "vector-rows")
+    blocks = dealt.join(whole, "node").repartition("block").sortWithinPartitions("block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _arrow_tiles(batches, "block", TILE):
@@ -208,20 +213,20 @@ def link_blocks(nodes: DataFrame, n: int, cosine: float = COSINE, k: int | None
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, **tuning: int) -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row."""
-    rows = vectors.select("vec_id", "embedding").withColumn("ok", usable())
-    good = rows.where("ok").select("vec_id", F.transform("embedding", lambda c: c.cast("double")).alias("vector"))
-    good = good.withColumn("node", F.xxhash64("vector"))
-    nodes = store(good.groupBy("node").agg(F.count(F.lit(1)).alias("copies"), F.first("vector").alias("vector"), F.min("vec_id").alias("least")), "vectors")
+    rows = vectors.select("vec_id", F.col("embedding").alias("vector")).withColumn("ok", usable("vector"))
+    good = rows.where("ok").select("vec_id", "vector")
+    same = good.groupBy("vector").agg(F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("least"))
+    nodes = store(same.select(F.monotonically_increasing_id().alias("node"), "copies", "vector", "least"), "vectors")
     found = store(link_blocks(nodes.select("node", "copies", "vector"), nodes.count(), cosine, **tuning), "vector-links")
     degrees = found.where("n is not null").groupBy("u").agg(F.sum("n").alias("linked"))
     roots = store(components(found.where("v is not null").select("u", "v")), "vector-components")
     merged = store(roots.join(nodes.select("node", "least"), "node").groupBy("root").agg(F.min("least").alias("component")), "vector-roots")
     named = roots.join(merged, "root").select("node", "component")
-    info = nodes.select("node", "copies", "least").join(degrees.withColumnRenamed("u", "node"), "node", "left").join(named, "node", "left")
-    info = info.select("node", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("component", "least").alias("component_id"))
+    info = nodes.join(degrees.withColumnRenamed("u", "node"), "node", "left").join(named, "node", "left")
+    info = info.select("vector", (F.col("copies") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"), F.coalesce("component", "least").alias("component_id"))
     # stored, so that the joins have two exchanges of their own, of which Spark can split a large partition
     info = store(info, "vector-info")
-    linked = good.select("vec_id", "node").join(info, "node").select("vec_id", "n_links", "component_id")
+    linked = good.join(info, "vector").select("vec_id", "n_links", "component_id")
     alone = rows.where("not ok").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.col("vec_id").eqNullSafe(F.col("component_id")))
 

@@ -103,26 +103,36 @@ def test_top_of_odd_vectors(spark):
 @pytest.mark.parametrize("block", [8192, 100])
 def test_top_of_random_vectors(spark, monkeypatch, block):
     monkeypatch.setattr(topk, "CANDIDATE_BLOCK", block)
-    monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
     x = np.random.default_rng(2).integers(-3, 4, (700, 5)) / 256  # many ties
     rows = as_rows(x)
     assert sorted(map(tuple, topk.top_k(spark.createDataFrame(rows, SCHEMA)).collect()), key=str) == brute_top(rows)
 
 
-def test_top_stops_early():
-    """On vectors with few large components the algorithm does not read the lists to their end."""
-    rng = np.random.default_rng(1)
-    data = np.floor(256 * rng.exponential(size=(20_000, 3)) ** 3)
-    reads = []
+def scored(data, queries, k=5, floor=None):
+    """The fraction of candidates that the queries score."""
+    lists = topk.Lists(data, np.arange(len(data)), np.arange(len(data)))
+    return sum(lists.search(data[q], q, k, floor)[2] for q in queries) / (len(queries) * (len(data) - 1))
 
-    class Counting(np.ndarray):
-        def __getitem__(self, key):
-            if isinstance(key, np.ndarray) and key.ndim == 1 and key.dtype.kind == "i":
-                reads.append(len(key))
-            return super().__getitem__(key)
 
-    topk.search(data[:1], np.array([0]), data.view(Counting), np.arange(len(data)), np.arange(len(data)))
-    assert 0 < sum(reads) < 10_000
+def test_top_stops_early(spark):
+    """Where few components make a score, the heads of the lists do; a floor from another block stops even before; random directions need all."""
+    rng = np.random.default_rng(1)
+    data = np.floor(256 * rng.exponential(size=(20_000, 3)) ** 3)
+    assert scored(data, range(20)) < 0.3
+    spread = np.floor(256 * rng.normal(size=(4000, 32)) * 0.6 ** np.arange(32))
+    assert scored(spread, range(40)) < 0.9
+    q = data[0]
+    lists = topk.Lists(data[1:], np.arange(1, len(data)), np.arange(1, len(data)))
+    assert lists.search(q, 0, 5, floor=int(1e15))[2] <= 3 * topk.STEP
+    table = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("embedding").toPandas()["embedding"]
+    even = np.floor(256 * np.stack(table.to_numpy()).astype(float))
+    print("fraction scored on the table:", scored(even, range(0, len(even), 50)))
+
+
+def test_huge_components_stay_exact(spark):
+    rows = [(i, [float(2**20 + i) + 1 / 256, float(2**19 - 3 * i), 1.0], 0, "n", 1) for i in range(0, 120, 10)]
+    got = sorted(map(tuple, topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, node string, copies int")).collect()), key=str)
+    assert got == brute_top(rows)
 
 
 def test_top_matches_sql(spark):
