@@ -3,6 +3,7 @@ import math
 import zlib
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,47 +14,54 @@ def crc(doc_id, m):
     return None if doc_id is None else zlib.crc32(str(doc_id).encode()) % m
 
 
-def brute_katz(rows):
-    """(doc_id, ...) scores straight from the formulas, and a function for P(w | v)."""
+def brute_katz(rows, order=2):
+    """(doc_id, ...) scores straight from the formulas, and a function for P(w | history)."""
     tokens = lambda t: [*(t or "").encode().lower().split(), b""]
     train = [tokens(t) for d, t in rows if crc(d, 5) != 1]
-    uni = collections.Counter(w for t in train for w in t)
-    bi = collections.Counter(p for t in train for p in zip([None, *t], t, strict=False))
-    n, v = sum(uni.values()), len(uni)
-    of = lambda c: [sum(1 for x in c.values() if x == r) for r in range(1, katz.K + 2)]
+    padded = lambda t: [*[None] * (order - 1), *t]
+    grams = [collections.Counter(tuple(x[i - n:i + 1]) for t in train for x in [padded(t)] for i in range(order - 1, len(x))) for n in range(order)]
+    uni = grams[0]
+    total, v = sum(uni.values()), len(uni)
+    nr = [[sum(1 for x in g.values() if x == r) for r in range(1, katz.K + 2)] for g in grams]
 
-    def discounted(nr, r):
+    def discounted(n, r):
         if r > katz.K:
             return r - katz.SPARE
-        cut = (katz.K + 1) * nr[katz.K] / nr[0] if nr[0] else 1
-        good = (r + 1) * nr[r] / (r * nr[r - 1]) if nr[r - 1] else 0
+        cut = (katz.K + 1) * nr[n][katz.K] / nr[n][0] if nr[n][0] else 1
+        good = (r + 1) * nr[n][r] / (r * nr[n][r - 1]) if nr[n][r - 1] else 0
         x = (good - cut) / (1 - cut) if cut < 1 else 0
         return (x if 0 < x < 1 else (r - katz.SPARE) / r) * r
 
-    n1, n2 = of(uni), of(bi)
-    unknown = 1 - sum(discounted(n1, c) for c in uni.values()) / n if n else 1.0
-    p1 = lambda w: discounted(n1, uni[w]) / n if w in uni else unknown
+    unknown = 1 - sum(discounted(0, c) for c in uni.values()) / total if total else 1.0
     follow = collections.defaultdict(dict)
-    for (a, b), r in bi.items():
-        follow[a][b] = r
-    count = lambda a: sum(follow[a].values())
-    weights = {a: (1 - sum(discounted(n2, r) for r in f.values()) / count(a)) / (1 - sum(p1(w) for w in f)) for a, f in list(follow.items())}
-
-    def p(a, w):
-        if w in follow.get(a, {}):
-            return discounted(n2, follow[a][w]) / count(a)
-        return weights[a] * p1(w) if a in weights else p1(w)
+    for g in grams[1:]:
+        for k, r in g.items():
+            follow[k[:-1]][k[-1]] = r
+    count = {h: sum(f.values()) for h, f in follow.items()}
+    weight = {}
+
+    def p(h, w):
+        if not h:
+            return discounted(0, uni[(w,)]) / total if (w,) in uni else unknown
+        if h not in follow:
+            return p(h[1:], w)
+        f = follow[h]
+        if w in f:
+            return discounted(len(h), f[w]) / count[h]
+        if h not in weight:
+            weight[h] = (1 - sum(discounted(len(h), r) for r in f.values()) / count[h]) / (1 - sum(p(h[1:], x) for x in f))
+        return weight[h] * p(h[1:], w)
 
     out = []
     for d, text in rows:
-        t = tokens(text)
-        base = sum(math.log10((uni[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t)
-        out.append((d, crc(d, 5) == 1, len(t), sum(w in uni for w in t), n, base, sum(math.log10(p(a, w)) for a, w in zip([None, *t], t, strict=False))))
-    return out, p, uni, list(weights)
+        t, x = tokens(text), padded(tokens(text))
+        base = sum(math.log10((uni[(w,)] + 0.5) / (total + 0.5 * (v + 1))) for w in t)
+        out.append((d, crc(d, 5) == 1, len(t), sum((w,) in uni for w in t), total, base, sum(math.log10(p(tuple(x[i - order + 1:i]), x[i])) for i in range(order - 1, len(x)))))
+    return out, p, [w for w, in uni], list(follow)
 
 
-def check(df, rows):
-    want, p, uni, contexts = brute_katz(rows)
+def check(df, rows, order=2):
+    want, p, uni, contexts = brute_katz(rows, order)
     key = lambda r: (r[0] is None, r[0] or 0, r[2])
     got = sorted((tuple(r[c] for c in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")) for r in df.collect()), key=key)
     assert len(got) == len(rows)
@@ -67,7 +75,7 @@ def test_scores_of_documents(docs):
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     p, uni, contexts = check(katz.score(docs), rows)
     # the distributions sum to one over the known words and the unknown one
-    for context in [*contexts[:20], b"never seen"]:
+    for context in [*contexts[:20], (b"never seen",)]:
         assert sum(p(context, w) for w in uni) + p(context, b"not a word") == pytest.approx(1)
 
 
@@ -77,6 +85,39 @@ def test_many_blocks_and_parts(docs, monkeypatch):
     check(katz.score(docs.repartition(9)), rows)
 
 
+@pytest.mark.parametrize("order", [1, 3, 4])
+def test_orders(docs, order):
+    """Recursion over several orders; each distribution sums to one."""
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    p, uni, contexts = check(katz.score(docs, order=order), rows, order)
+    for h in sorted(contexts, key=str)[::max(1, len(contexts) // 12)]:
+        assert sum(p(h, w) for w in uni) + p(h, b"not a word") == pytest.approx(1)
+
+
+@pytest.mark.parametrize("order", [2, 3])
+def test_groups_of_blocks(docs, monkeypatch, order):
+    """Lists merged by groups of blocks give the same as lists merged at once."""
+    monkeypatch.setattr(katz, "PART", 20_000)
+    monkeypatch.setattr(katz, "SALT", 3)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    check(katz.score(docs.repartition(9), order=order), rows, order)
+
+
+def test_counts_beyond_32_bits():
+    """Counts are 64-bit from the lists to the answers."""
+    keys, big = np.array([5, 9], np.uint64), np.array([2**32 + 7, 3], "<u8")
+    pdf = pd.DataFrame({"kind": 1, "part": 0, "bid": [1, 2], "keys": [katz._pack_sorted(keys)] * 2, "counts": [katz._pack(big), katz._pack(big)]})
+    out = katz._count(pdf)
+    assert katz._unpack(out["counts"].iloc[0], "<u8").tolist() == [2**33 + 14, 6]
+    assert out["stats"].iloc[-1][-1] == 2**33 + 20
+
+
+def test_ids_that_are_texts(spark, docs):
+    rows = [(f"d{r['doc_id']}", r["text"]) for r in docs.limit(30).collect()]
+    got = katz.score(spark.createDataFrame(rows, "doc_id string, text string"))
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(d for d, _ in rows)
+
+
 def test_odd_rows(odd, none):
     check(katz.score(odd), [(r["doc_id"], r["text"]) for r in odd.collect()])
     assert katz.score(none).count() == 0
