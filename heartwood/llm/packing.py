@@ -23,11 +23,13 @@ interchangeable; an empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import base64
+import bisect
 import json
 import random
 import re
 import zlib
 from collections.abc import Iterator
+from operator import neg
 
 import numpy as np
 import pandas as pd
@@ -42,7 +44,7 @@ LENGTH, END, TOKENIZER = 1024, 2, "byte_bpe_50k"
 SPECIAL = "<|endoftext|>"
 #: Words whose ids a worker keeps at hand; beyond that it starts anew.
 CACHE = 300_000
-POPULATION, GENERATIONS, EPOCHS, SEED = 8, 10, 6, 11
+POPULATION, GENERATIONS, EPOCHS, SEED = 6, 8, 5, 11
 #: Displaced pieces that are placed by subset sums; more go by best fit.
 FEW = 5000
 #: The tokenizer's split for texts within Latin-1, where its character classes can be listed; the plain engine runs it faster.
@@ -69,7 +71,8 @@ class Encoder(dict):
         self.any = regex.compile(files.PATTERN).findall
         self.latin = re.compile(LATIN).findall
         self.words = tiktoken.Encoding(name, pat_str=files.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.whole = Tokenizer.from_file(path(f"{name}.json"))
+        self.whole = lambda: Tokenizer.from_file(path(f"{name}.json"))
+        self.loaded: Tokenizer | None = None
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE:
@@ -81,7 +84,8 @@ class Encoder(dict):
 
     def ids(self, text: str) -> bytes:
         if SPECIAL in text:
-            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            self.loaded = self.loaded or self.whole()
+            return np.array(self.loaded.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         split = self.any if BEYOND(text) else self.latin
         return b"".join(map(self.__getitem__, split(text)))
 
@@ -179,13 +183,15 @@ def fill(loose: dict[int, int], size: int) -> Solution:
     shift for each piece.
     """
     left, out = {x: n for x, n in loose.items() if n}, {}
-    while left:
-        top = max(left)
+    order = sorted(left, reverse=True)
+    while order:
+        top = order[0]
         chosen, room = [top], size - top
         left[top] -= 1
         sums, mask, steps = 1, (1 << room + 1) - 1, []
-        for x in sorted((x for x, n in left.items() if n and x <= room), reverse=True):
-            for _ in range(min(left[x], room // x)):
+        for x in order[bisect.bisect_left(order, -room, key=neg):]:
+            n = left[x]
+            for _ in range(n if n < 3 else min(n, room // x)):
                 steps.append((x, sums))
                 sums |= sums << x & mask
             if sums >> room:
@@ -196,7 +202,9 @@ def fill(loose: dict[int, int], size: int) -> Solution:
                 chosen.append(x)
                 left[x] -= 1
                 goal -= x
-        left = {x: n for x, n in left.items() if n}
+        for x in set(chosen):
+            if not left[x]:
+                order.remove(x)
         key = tuple(sorted(chosen, reverse=True))
         out[key] = out.get(key, 0) + 1
     return out
