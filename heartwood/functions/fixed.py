@@ -29,7 +29,7 @@ FIRST_PERSON_VALUES = (
 
 # --- Fixed values: years ------------------------------------------------------------
 YEAR_DISCOUNT = ((1400, 0.70), (1600, 0.80), (1700, 0.88), (1800, 0.93), (1850, 0.97))
-AUTHENTIC, UNCERTAIN, TRANSLATED = 1.0, 0.85, 0.70
+AUTHENTIC, TRANSLATED, UNCERTAIN = 1.0, 0.85, 0.70
 
 # --- Fixed values: resistance --------------------------------------------------------
 BASE, SIG_SCALE, SIG_CAP, MORTAL_BONUS, HIGH_BONUS, ADVERSITY_BONUS, HOLD_EXTRA = 0.12, 0.17, 0.12, 0.62, 0.36, 0.24, 0.05
@@ -212,6 +212,21 @@ ARCHAIC = (
 LEXICON_CONFIDENCE, LEXICON_BOOST, LEXICON_NEUTRAL, LEXICON_SPAN, LEXICON_FLOOR = 0.55, 0.15, 5.5, 4.5, 0.20
 LEXICON_STANDALONE, SEMANTIC_THRESHOLD, SEMANTIC_TOP = 0.55, 0.45, 3
 
+# --- Fixed values: foundation classifier -----------------------------------------------------------
+CLASSIFIER_LABELS = {
+    "LABEL_0": ("care", "virtue"), "LABEL_1": ("care", "vice"), "LABEL_2": ("fairness", "virtue"), "LABEL_3": ("fairness", "vice"),
+    "LABEL_4": ("loyalty", "virtue"), "LABEL_5": ("loyalty", "vice"), "LABEL_6": ("authority", "virtue"), "LABEL_7": ("authority", "vice"),
+    "LABEL_8": ("sanctity", "virtue"), "LABEL_9": ("sanctity", "vice"),
+}
+CLASSIFIER_VALUES = {
+    "care": ("compassion", "love", "gratitude"),
+    "fairness": ("fairness", "responsibility", "integrity"),
+    "loyalty": ("loyalty", "courage", "commitment", "resilience"),
+    "authority": ("responsibility", "humility"),
+    "sanctity": ("integrity", "commitment"),
+}
+DEFIANCE_VALUES, DEFIANCE_DISCOUNT = ("independence",), 0.70
+
 # --- Fixed values: dataset quality ------------------------------------------------------------------
 QUALITY = {
     "min_records": 20, "value_coverage_min": 5, "label_max_pct": 0.80, "avg_confidence_min": 0.65, "resistance_spread_min": 0.10,

@@ -58,7 +58,7 @@ def structural(passage: Column) -> Column:
 
 
 def modulated(res: Column, struct: Column) -> Column:
-    return round4(res * (0.85 + 0.15 * struct))
+    return round4(res * round4(0.85 + 0.15 * struct))
 
 
 def authenticity(lang: Column, translated: Column) -> Column:

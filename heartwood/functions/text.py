@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from heartwood.functions import fixed
+from heartwood.functions.arrays import emitted, let, running
 
 PASSAGE, SHORTEST = 450, 30
 
@@ -23,16 +24,14 @@ def markers(text: Column, pattern: str) -> Column:
 def positions(text: Column, pattern: str | Column) -> Column:
     """array of struct(s, e): 0-based spans of all matches, from the lengths of the pieces between them."""
     p = F.lit("(?i)" + pattern) if isinstance(pattern, str) else F.concat(F.lit("(?i)"), pattern)
-    hits = F.transform(F.regexp_extract_all(text, p, F.lit(0)), F.length)
-    gaps = F.transform(F.slice(F.split(text, p, -1), 1, F.size(hits)), F.length)
-    start = F.struct(F.lit(0).alias("at"), F.expr("cast(array() as array<struct<s:int,e:int>>)").alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + x["g"]
-        e = s + x["h"]
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e")))).alias("out"))
+    def spans(v: Column) -> Column:
+        steps = F.zip_with(v["gaps"], v["hits"], lambda g, h: g + h)
+        return F.zip_with(F.zip_with(running(steps, lambda a, x: a + x), v["gaps"], lambda b, g: b + g), v["hits"], lambda s, h: F.struct(s.alias("s"), (s + h).alias("e")))
 
-    return F.aggregate(F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("g"), h.alias("h"))), start, step, lambda acc: acc["out"])
+    hits = F.transform(F.regexp_extract_all(text, p, F.lit(0)), F.length)
+    gaps = F.transform(F.slice(F.split(text, p, -1), 1, F.size(hits)), F.length)
+    return let(F.struct(gaps.alias("gaps"), hits.alias("hits")), spans)
 
 
 def window(text: Column, lo: Column, hi: Column) -> Column:
@@ -51,22 +50,12 @@ def sentences(text: Column) -> Column:
 
 
 def passages(text: Column, size: int = PASSAGE, shortest: int = SHORTEST) -> Column:
-    """Sentences packed in order into passages of ``size`` characters at most; a longer sentence stays whole, a short passage goes.
-
-    A fold over the sentences: linear in the text but for one copy of the
-    list of finished passages for each passage.
-    """
-    start = F.struct(F.expr("cast(array() as array<string>)").alias("done"), F.lit("").alias("cur"))
-
-    def step(acc: Column, s: Column) -> Column:
-        joined = F.when(acc["cur"] == "", s).otherwise(F.concat(acc["cur"], F.lit(" "), s))
-        fits = (acc["cur"] == "") | (F.length(joined) <= size)
-        return F.struct(
-            F.when(fits, acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["cur"]))).alias("done"),
-            F.when(fits, joined).otherwise(s).alias("cur"),
-        )
-
-    packed = F.aggregate(sentences(text), start, step, lambda acc: F.concat(acc["done"], F.array(acc["cur"])))
+    """Sentences packed in order into passages of ``size`` characters at most; a longer sentence stays whole, a short passage goes."""
+    def step(cur: Column, s: Column) -> tuple[Column, Column, Column]:
+        fits = (cur == "") | (F.length(cur) + 1 + F.length(s) <= size)
+        return ~fits, cur, F.when(cur == "", s).when(fits, F.concat(cur, F.lit(" "), s)).otherwise(s)
+
+    packed = let(emitted(sentences(text), F.lit(""), step), lambda r: F.concat(r["out"], F.array(r["carry"])))
     return F.filter(packed, lambda p: F.length(p) >= shortest)
 
 
@@ -106,3 +95,39 @@ def any_of(words: tuple[str, ...]) -> str:
 
 def tokens(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit(r"\b[a-z][a-z\-']{1,}\b"), F.lit(0))
+
+
+def trie(words: list[str]) -> str:
+    """A pattern for any of ``words``, the longest that fits, in which words share their beginnings."""
+    import re
+
+    def built(group: list[str]) -> str:
+        heads: dict[str, list[str]] = {}
+        for w in group:
+            if w:
+                heads.setdefault(w[0], []).append(w[1:])
+        parts = [re.escape(c) + built(rest) for c, rest in sorted(heads.items())]
+        if not parts:
+            return ""
+        body = parts[0] if len(parts) == 1 and "" not in group else "(?:" + "|".join(parts) + ")"
+        return body + "?" if "" in group else body
+
+    return built(sorted(set(words))) if any(words) else "(?!)"
+
+
+#: Frequent short words of some languages, for texts whose language is not given.
+COMMON = {
+    "en": ("the", "and", "of", "to", "in", "that", "is", "was", "for", "with"), "de": ("der", "die", "und", "das", "nicht", "ist", "ein", "mit", "den", "zu"),
+    "fr": ("le", "la", "les", "et", "des", "est", "une", "dans", "que", "pour"), "es": ("el", "los", "las", "y", "que", "del", "una", "por", "con", "para"),
+}
+
+
+def language(text: Column, least: int = 3) -> Column:
+    """struct(lang, share): the language with the most frequent short words among ``least`` or more; ``unknown`` with 0 otherwise."""
+    counts = F.array(*(F.struct(F.regexp_count(F.lower(text), F.lit(r"\b(?:" + "|".join(w) + r")\b")).alias("n"), F.lit(name).alias("lang")) for name, w in COMMON.items()))
+
+    def best(c: Column) -> Column:
+        top, total = F.array_max(c), F.aggregate(c, F.lit(0), lambda a, x: a + x["n"])
+        return F.when(top["n"] >= least, F.struct(top["lang"].alias("lang"), F.round(top["n"] / total, 4).alias("share"))).otherwise(F.struct(F.lit("unknown").alias("lang"), F.lit(0.0).alias("share")))
+
+    return F.when(text.isNull(), F.struct(F.lit("unknown").alias("lang"), F.lit(0.0).alias("share"))).otherwise(let(counts, best))

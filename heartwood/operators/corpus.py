@@ -15,8 +15,22 @@ def overview(passages: DataFrame, observations: DataFrame) -> DataFrame:
     o = figures_only(observations).agg(F.count(F.lit(1)).alias("total_observations"), F.count_distinct("value_name").alias("unique_values"), F.count_distinct("session_id", "record_id").alias("covered"))
     kinds = figures_only(passages).groupBy("doc_type").count().agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("doc_type", "count"))))).alias("doc_types"))
     rate = F.coalesce(scoring.round4(F.try_divide("covered", "total_passages")), F.lit(0.0)).alias("coverage_rate")
-    one = p.join(F.broadcast(o), F.lit(True)).join(F.broadcast(kinds), F.lit(True))
-    return one.select("figure_count", "total_passages", "total_observations", "unique_values", rate, "doc_types")
+    times = figures_only(observations).agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
+    one = p.join(F.broadcast(o), F.lit(True)).join(F.broadcast(kinds), F.lit(True)).join(F.broadcast(times), F.lit(True))
+    return one.select("figure_count", "total_passages", "total_observations", "unique_values", rate, "doc_types", "first_ts", "last_ts")
+
+
+def stats(observations: DataFrame, reg: DataFrame, sources: DataFrame, k: int = 5) -> DataFrame:
+    """One row: observations, figures, and the k values demonstrated most, ties by name, as JSON."""
+    top = figures_only(reg).groupBy("value_name").agg(F.sum("demonstrations").alias("demonstrations")).orderBy(F.desc("demonstrations"), "value_name").limit(k)
+    packed = top.agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct((-F.col("demonstrations")).alias("d"), "value_name"))), lambda x: F.struct(x["value_name"].alias("value_name"), (-x["d"]).alias("demonstrations")))).alias("top_values"))
+    one = observations.agg(F.count(F.lit(1)).alias("total_observations")).join(F.broadcast(sources.agg(F.count(F.lit(1)).alias("figure_count"))), F.lit(True))
+    return one.join(F.broadcast(packed), F.lit(True))
+
+
+def document_list(passages: DataFrame) -> DataFrame:
+    """Each session's figure, number of passages and documents, and first moment."""
+    return passages.groupBy("session_id").agg(F.min("figure").alias("figure"), F.count(F.lit(1)).alias("passage_count"), F.count_distinct("doc_id").alias("document_count"), F.min("ts").alias("first_ts"))
 
 
 def figure_summaries(passages: DataFrame, observations: DataFrame, reg: DataFrame, k: int = 5) -> DataFrame:

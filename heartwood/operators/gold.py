@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heartwood.functions import fixed, scoring
+from heartwood.operators import signals
+from heartwood.sources import readers
 
 
 def merge_gold(annotations: DataFrame) -> DataFrame:
@@ -38,11 +40,11 @@ def class_metrics(pred: str, gold: str, name: str) -> list:
 
 def scores(matched: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Metrics for P1, P0 and APY, confusion counts for P1, and how many records had no gold label."""
-    hit = matched.where("gold is not null").groupBy(*(by or []))
+    hit = matched.groupBy(*(by or []))  # a row without gold compares to null, which no count counts
     p, g = F.col("label") == "P1", F.col("gold") == "P1"
     parts = [c for name in ("P1", "P0", "APY") for c in class_metrics("label", "gold", name)]
     return hit.agg(
-        F.count(F.lit(1)).alias("n_matched"), *parts, scoring.round4(F.count_if(p == g) / F.count(F.lit(1))).alias("accuracy"),
+        F.count("gold").alias("n_matched"), F.count_if(F.col("gold").isNull()).alias("n_unmatched"), *parts, scoring.round4(F.try_divide(F.count_if(p == g), F.count("gold"))).alias("accuracy"),
         F.count_if(p & g).alias("tp"), F.count_if(p & ~g).alias("fp"), F.count_if(~p & g).alias("fn"), F.count_if(~p & ~g).alias("tn"),
     )
 
@@ -85,3 +87,24 @@ def formula_audit(scored: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), scoring.round4(F.avg(F.abs(d))).alias("mae"), mae(F.col("label") == "P1").alias("mae_p1"), mae(bad).alias("mae_p0"),
         F.count_if(d > 0.10).alias("over"), F.count_if(d < -0.10).alias("under"), F.count_if(F.abs(d) > 0.15).alias("flag_mild"), F.count_if(F.abs(d) > 0.30).alias("flag_severe"),
     )
+
+
+def from_paragraphs(paragraphs: DataFrame, stems: DataFrame, least: int = 1) -> DataFrame:
+    """Gold rows (text_excerpt, value_name, label, mode) of ``paragraphs`` (para_id, paragraph) that speak of a value.
+
+    ``stems`` (stem, value_name) are beginnings of words, a bounded dimension
+    that is packed into one row. Mode ``quote`` takes a quoted passage whose
+    surroundings hold a stem; mode ``paragraph`` a paragraph of 80 characters
+    or more whose stems name ``least`` values or more, repeats included. Of
+    equal beginnings of a value the first stays: quotes before paragraphs,
+    then by paragraph.
+    """
+    packed = F.broadcast(signals.dimension(stems).agg(F.array_sort(F.collect_list(F.struct("stem", "value_name"))).alias("stems")))
+    rows = paragraphs.where(~F.col("paragraph").startswith("[SECTION:")).join(packed, F.lit(True))
+    told = lambda body: F.transform(F.filter("stems", lambda s: F.instr(F.lower(body), s["stem"]) > 0), lambda s: s["value_name"])
+    quotes = rows.select("para_id", "stems", F.posexplode(readers.quoted(F.col("paragraph"))).alias("at", "q")).select("para_id", "at", F.substring("q.quote", 1, 200).alias("text_excerpt"), F.explode(F.array_distinct(told(F.col("q.context")))).alias("value_name"), F.lit("quote").alias("mode"))
+    whole = rows.where(F.length("paragraph") >= 80).withColumn("told", told(F.col("paragraph"))).where(F.size("told") >= least)
+    whole = whole.select("para_id", F.lit(1_000_000).alias("at"), F.substring("paragraph", 1, 300).alias("text_excerpt"), F.explode(F.array_distinct("told")).alias("value_name"), F.lit("paragraph").alias("mode"))
+    # within a paragraph its quotes come first, so order by paragraph, then place
+    first = quotes.unionByName(whole).groupBy(F.substring("text_excerpt", 1, 80).alias("key"), "value_name").agg(F.min_by(F.struct("text_excerpt", "mode"), F.struct("para_id", "at")).alias("b"))
+    return first.select("b.text_excerpt", "value_name", F.lit("P1").alias("label"), "b.mode")

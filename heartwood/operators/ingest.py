@@ -31,50 +31,78 @@ def with_defaults(docs: DataFrame) -> DataFrame:
 
 
 def checked(docs: DataFrame) -> DataFrame:
-    """Documents with an ``error`` (null where there is none): bad figure names, pronouns, empty texts, texts without a passage."""
+    """Documents with their ``passages`` and an ``error`` (null where there is none): bad figure names, pronouns, empty texts, texts without a passage.
+
+    Archaic forms of texts before ``ARCHAIC_BEFORE`` are replaced first, so a
+    text is cut once, here. A document without a language gets the one that
+    its frequent short words speak for.
+    """
     docs = with_defaults(docs)
+    lang = F.when(F.col("lang") == "unknown", text.language(F.col("text"))["lang"]).otherwise(F.col("lang"))
+    body = F.when(F.col("pub_year") < ARCHAIC_BEFORE, text.modernised(F.col("text"))).otherwise(F.col("text"))
+    docs = docs.withColumn("lang", lang).withColumn("passages", F.coalesce(text.passages(body), F.expr("cast(array() as array<string>)")))
     error = (
         F.when(~F.coalesce(F.col("figure").rlike(FIGURE), F.lit(False)), "invalid figure name")
         .when(~F.col("pronoun").isin(*PRONOUNS), "invalid pronoun")
         .when(F.coalesce(text.strip(F.col("text")), F.lit("")) == "", "empty text")
-        .when(F.size(text.passages(F.col("text"))) == 0, "no passages")
+        .when(F.size("passages") == 0, "no passages")
     )
     return docs.withColumn("error", error)
 
 
 def year_start(year: Column) -> Column:
     """Epoch seconds of a year's first moment; null for years that a calendar lacks."""
-    return F.when(year.between(1, 9999), F.unix_seconds(F.try_make_timestamp(year, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0.0)))).cast("double")
+    valid = F.when(year.between(1, 9999), year)
+    return (F.unix_date(F.make_date(valid, F.lit(1), F.lit(1))).cast("double") * 86_400).cast("double")
 
 
-def passages(docs: DataFrame, now: float) -> DataFrame:
+def passages(docs: DataFrame, now: float, marks: DataFrame | None = None) -> DataFrame:
     """Passages of the faultless documents (figure, text, doc_id and optional columns).
 
     A passage's time is its document's first moment plus its place, so reruns
-    agree; without a year that moment is one year before ``now``. Ids are
-    hashes of session, document and place.
+    agree; without a year that moment is one year before ``now``. Where a
+    session's mark (session_id, mark) lies beyond it, the document begins one
+    second after the mark, so that a reader past the mark still meets it. Ids
+    are hashes of session, document and place.
     """
-    docs = checked(docs).where("error is null")
-    body = F.when(F.col("pub_year") < ARCHAIC_BEFORE, text.modernised(F.col("text"))).otherwise(F.col("text"))
-    out = docs.withColumn("session_id", session(F.col("figure"))).select("*", F.posexplode(text.passages(body)).alias("place", "passage"))
+    docs = checked(docs).where("error is null").withColumn("session_id", session(F.col("figure")))
+    begin = F.coalesce(year_start(F.col("pub_year")), F.lit(float(now - YEAR)))
+    if marks is not None:
+        docs = docs.join(marks.select("session_id", "mark"), "session_id", "left")
+        begin = F.when(F.col("mark") > begin, F.col("mark") + 1).otherwise(begin)
+    out = docs.withColumn("begin", begin).select("*", F.posexplode("passages").alias("place", "passage"))
     return out.select(
         F.sha2(F.concat_ws("|", "session_id", F.col("doc_id").cast("string"), F.col("place").cast("string")), 256).alias("id"),
         "figure", "session_id", "doc_id", "place", F.col("passage").alias("text"), "doc_type",
         F.coalesce("significance", scoring.default_significance(F.col("doc_type"))).alias("significance"),
-        (F.coalesce(year_start(F.col("pub_year")), F.lit(float(now - YEAR))) + F.col("place")).alias("ts"),
+        (F.col("begin") + F.col("place")).alias("ts"),
         F.col("lang").alias("source_lang"), scoring.authenticity(F.col("lang"), F.col("is_translation")).alias("source_authenticity"), "pub_year", "pronoun",
     )
 
 
+def places(passages: DataFrame, least: float = 0.10) -> DataFrame:
+    """(id, passage_idx): places in their session, by time and id, of the passages that count (significance and text).
+
+    Moments of a session are counted first and summed in order; passages are
+    then numbered within their moment, so a session, however large, is as many
+    groups as it has moments, and no text is shuffled.
+    """
+    kept = passages.where((F.col("significance") >= least) & (text.strip(F.col("text")) != "")).select("id", "session_id", "ts")
+    moments = kept.groupBy("session_id", "ts").agg(F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("session_id").orderBy("ts").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    moments = moments.select("session_id", "ts", before.alias("before"))
+    inside = kept.withColumn("k", F.row_number().over(Window.partitionBy("session_id", "ts").orderBy("id")))
+    return inside.join(moments, ["session_id", "ts"]).select("id", (F.col("before") + F.col("k") - 1).cast("int").alias("passage_idx"))
+
+
 def numbered(passages: DataFrame, least: float = 0.10) -> DataFrame:
-    """Passages that count (significance and text), numbered within their session after that filter."""
-    kept = passages.where((F.col("significance") >= least) & (text.strip(F.col("text")) != ""))
-    return kept.withColumn("passage_idx", F.row_number().over(Window.partitionBy("session_id").orderBy("ts", "id")) - 1)
+    """Passages that count, with their place in their session."""
+    return passages.join(places(passages, least), "id")
 
 
 def since(passages: DataFrame, marks: DataFrame) -> DataFrame:
     """Passages after their session's mark (session_id, mark); a session without a mark is read from its start."""
-    return passages.join(F.broadcast(marks), "session_id", "left").where(F.col("ts") > F.coalesce("mark", F.lit(-1e12))).drop("mark")
+    return passages.join(marks, "session_id", "left").where(F.col("ts") > F.coalesce("mark", F.lit(-1e12))).drop("mark")
 
 
 def figure_sources(log: DataFrame) -> DataFrame:
@@ -94,3 +122,10 @@ def figure_documents(log: DataFrame) -> DataFrame:
     key = F.when(F.col("doc_title") != "", F.concat_ws("|", F.lower("figure"), "doc_title"))
     first = F.row_number().over(Window.partitionBy(F.coalesce(key, F.concat(F.lit("#"), F.col("log_id").cast("string")))).orderBy("ingested_at", "log_id"))
     return log.withColumn("n", first).where("n = 1").drop("n")
+
+
+def batch(docs: DataFrame, now: float, marks: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(passages, errors) of documents from many files (figure, file, text, error, ...): a faulty one is a row of errors, and the rest go on."""
+    read = docs.where("error is null").drop("error")
+    found = checked(read).where("error is not null").select("figure", "file", "error")
+    return passages(read, now, marks), docs.where("error is not null").select("figure", "file", "error").unionByName(found)

@@ -26,7 +26,12 @@ def enriched(observations: DataFrame, sources: DataFrame, reg: DataFrame) -> Dat
 
 def classified(observations: DataFrame, p1: float = fixed.P1, p0: float = fixed.P0, least: int = 1, consistency: float = 0.0) -> DataFrame:
     """label, label_reason, confidence, fail_mode, markers and training_weight of each observation that passes the group filters."""
-    df = observations.withColumn("obs_count", F.count(F.lit(1)).over(Window.partitionBy("session_id", "value_name"))).where(F.col("obs_count") >= least)
+    if not 0 <= p0 < p1 <= 1:
+        raise ValueError(f"the thresholds must be 0 <= {p0} < {p1} <= 1")
+    df = observations
+    if least > 1:  # counted by partial aggregates, so a frequent value of a session is no one task's work
+        often = observations.groupBy("session_id", "value_name").agg(F.count(F.lit(1)).alias("obs_count")).where(F.col("obs_count") >= least)
+        df = df.join(often, ["session_id", "value_name"]).drop("obs_count")
     if consistency > 0:
         df = df.where(F.col("observation_consistency") >= consistency)
     df = df.withColumn("_l", scoring.label(F.col("text_excerpt"), F.col("resistance"), p1, p0))
@@ -38,12 +43,12 @@ def classified(observations: DataFrame, p1: float = fixed.P1, p0: float = fixed.
         "confidence": F.col("_l.confidence"),
         "pressure_markers": text.markers(F.col("text_excerpt"), fixed.PRESSURE_MARKERS), "failure_markers": text.markers(F.col("text_excerpt"), fixed.FAILURE_MARKERS),
         "hold_markers": text.markers(F.col("text_excerpt"), fixed.HOLD_MARKERS), "training_weight": scoring.training_weight(F.col("significance"), F.col("doc_type")),
-    }).drop("_l", "obs_count")
+    }).drop("_l")
     return df.withColumn("fail_mode", scoring.fail_mode(F.col("label"), F.col("text_excerpt")))
 
 
 def pressure_window(pressure: DataFrame, kept: int = fixed.PRESSURE_KEPT) -> DataFrame:
-    """The last ``kept`` pressure rows (session_id, record_id, ts, passage_idx) of each session."""
+    """The last ``kept`` pressure rows (session_id, record_id, ts, passage_idx) of each session; Spark keeps that many before it shuffles."""
     w = Window.partitionBy("session_id").orderBy(F.desc("passage_idx"), F.desc("ts"), F.desc("record_id"))
     return pressure.withColumn("n", F.row_number().over(w)).where(F.col("n") <= kept).drop("n")
 
@@ -142,3 +147,47 @@ def exportable(records: DataFrame, quality: DataFrame) -> DataFrame:
     out = records.join(q, F.lower(F.col("figure_name")) == F.col("_f"), "left").drop("_f")
     blocked = (F.col("corpus_confidence") == "preliminary") & (F.col("document_count") > 0)
     return out.where(~F.coalesce(blocked, F.lit(False))).drop("document_count")
+
+
+#: Columns of a training record, in order.
+RECORD = (
+    "id", "source_obs_id", "figure", "session_id", "record_id", "ts", "value_name", "text_excerpt", "document_type", "significance", "resistance", "label", "label_reason", "fail_mode", "training_weight", "confidence",
+    "pressure_markers", "failure_markers", "hold_markers", "source", "disambiguation_confidence", "observation_consistency", "value_polarity", "polarity_confidence", "pressure_source_id", "pressure_context", "deferred_apy_lag_s", "deferred_apy_lag_n",
+)
+
+
+def training_records(records: DataFrame) -> DataFrame:
+    """Classified and upgraded observations as training records of 28 fields; ids are hashes of the observation."""
+    r4 = scoring.round4
+    df = records.withColumns({
+        "id": F.sha2(F.concat(F.lit("record|"), "source_obs_id"), 256), "figure": F.col("figure_name"), "confidence": F.round("confidence", 2), "source": F.coalesce("source", F.lit("")),
+        "significance": r4("significance"), "resistance": r4("resistance"), "disambiguation_confidence": r4("disambiguation_confidence"), "observation_consistency": r4("observation_consistency"),
+        "value_polarity": F.coalesce("value_polarity", F.lit(0)), "polarity_confidence": r4(F.coalesce("polarity_confidence", F.lit(0.0))), "pressure_context": F.col("pressure_source_id").isNotNull(),
+    })
+    return df.select(*RECORD)
+
+
+def report(records: DataFrame, by: str = "figure_name", p1: float = fixed.P1, p0: float = fixed.P0) -> DataFrame:
+    """(value): the export report as one JSON text: totals, label counts by figure and value, weights, and pairs of values seen together."""
+    counts = [F.count_if(F.col("label") == name).alias(name) for name in LABELS]
+    weight = lambda *names: F.coalesce(F.round(F.sum(F.when(F.col("label").isin(*names), F.col("training_weight"))), 3), F.lit(0.0))
+    total = records.agg(F.count(F.lit(1)).alias("total_classified"), F.struct(*counts).alias("by_label"), weight("P1").alias("total_weight_positive"), weight("P0", "APY").alias("total_weight_negative"))
+
+    def pivot(column: str, name: str) -> DataFrame:
+        g = records.groupBy(column).agg(F.struct(*counts[:3]).alias("c"))
+        return g.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(column).alias("k"), "c")))).alias(name))  # a row for each figure or value
+
+    pairs = cooccurrence(records).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.concat_ws("||", "value_a", "value_b").alias("k"), F.struct("both_detected", "both_p1", "mixed", "both_p0").alias("c"))))).alias("co_occurrence"))
+    one = total
+    for part in (pivot(by, "by_figure"), pivot("value_name", "by_value"), pairs):
+        one = one.join(F.broadcast(part), F.lit(True))
+    return one.select(F.to_json(F.struct(F.lit(p1).alias("p1_threshold"), F.lit(p0).alias("p0_threshold"), *one.columns)).alias("value"))
+
+
+def pressure_context(pressure: DataFrame, session_id: str, from_idx: int | None = None, from_ts: float | None = None) -> DataFrame:
+    """A session's pressure rows, the latest first; with bounds, those at or past either."""
+    rows = pressure.where(F.col("session_id") == session_id)
+    bounds = [F.col(c) >= x for c, x in (("passage_idx", from_idx), ("ts", from_ts)) if x is not None]
+    if bounds:
+        rows = rows.where(bounds[0] if len(bounds) == 1 else bounds[0] | bounds[1])
+    return rows.orderBy(F.desc("passage_idx"), F.desc("ts"), "record_id")

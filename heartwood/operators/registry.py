@@ -6,6 +6,10 @@ resistance, doc_type. Figure sessions start with ``figure:``.
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,6 +26,11 @@ def registry(observations: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("demonstrations"), F.avg("significance").alias("sig"), F.avg("resistance").alias("res"), F.stddev_pop("resistance").alias("sigma"),
         F.min("ts").alias("first_seen_ts"), F.max("ts").alias("last_seen_ts"), F.count_distinct("doc_type").alias("types"),
     )
+    return profiled(g)
+
+
+def profiled(g: DataFrame) -> DataFrame:
+    """Registry rows from a group's demonstrations, sig, res, sigma, first_seen_ts, last_seen_ts and types."""
     c = scoring.consistency(F.col("demonstrations"), F.col("sigma"), F.col("res"), F.col("last_seen_ts") - F.col("first_seen_ts"), F.col("types"))
     g = g.withColumn("consistency", c)
     return g.select(
@@ -30,29 +39,56 @@ def registry(observations: DataFrame) -> DataFrame:
     )
 
 
-def running(observations: DataFrame) -> DataFrame:
-    """The registry as it stood after each observation, in order of (ts, record_id)."""
-    w = Window.partitionBy("session_id", "value_name").orderBy("ts", "record_id").rowsBetween(Window.unboundedPreceding, 0)
-    df = observations.select(
-        "session_id", "value_name", "record_id", "ts", F.count(F.lit(1)).over(w).alias("n"), F.avg("significance").over(w).alias("sig"), F.avg("resistance").over(w).alias("res"),
-        F.stddev_pop("resistance").over(w).alias("sigma"), (F.max("ts").over(w) - F.min("ts").over(w)).alias("span"), F.size(F.collect_set("doc_type").over(w)).alias("types"),
-    )
-    c = scoring.consistency(F.col("n"), F.col("sigma"), F.col("res"), F.col("span"), F.col("types"))
-    return df.select("session_id", "value_name", "record_id", "ts", "n", scoring.round4("sig").alias("avg_significance"), scoring.round4("res").alias("avg_resistance"), c.alias("consistency"))
+def running(observations: DataFrame, span: float = 31_536_000.0) -> DataFrame:
+    """The registry as it stood after each observation, in order of (ts, record_id).
+
+    A value's history is cut into pieces of ``span`` seconds: sums inside a
+    piece are running, those of the pieces before it come as one row, so a
+    long history is many tasks' work. Resistances have four places, so their
+    sums and sums of squares are whole numbers and the deviation is exact.
+    """
+    key = ["session_id", "value_name"]
+    r = F.round(F.col("resistance") * 10_000).cast("decimal(20,0)")
+    o = observations.select(*key, "record_id", "ts", "significance", "doc_type", r.alias("r"), F.floor(F.col("ts") / span).alias("piece"))
+    inside = Window.partitionBy(*key, "piece").orderBy("ts", "record_id").rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*key).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    parts = {"n": F.count(F.lit(1)), "s": F.sum("significance"), "r1": F.sum("r"), "r2": F.sum(F.col("r") * F.col("r")), "lo": F.min("ts"), "kinds": F.collect_set("doc_type")}
+    pieces = o.groupBy(*key, "piece").agg(*(c.alias(name) for name, c in parts.items()))
+    earlier = {"n": F.sum("n"), "s": F.sum("s"), "r1": F.sum("r1"), "r2": F.sum("r2"), "lo": F.min("lo"), "kinds": F.collect_list("kinds")}
+    pieces = pieces.select(*key, "piece", *(c.over(before).alias(f"b_{name}") for name, c in earlier.items())).withColumn("b_kinds", F.flatten("b_kinds"))
+    df = o.select(*key, "record_id", "ts", "piece", *(c.over(inside).alias(name) for name, c in parts.items())).join(pieces, [*key, "piece"])
+    add = lambda name: F.col(name) + F.coalesce(f"b_{name}", F.lit(0))
+    n = add("n")
+    mean = add("r1").cast("double") / n / 10_000
+    spread = (n * add("r2") - add("r1") * add("r1")).cast("double")
+    types = F.size(F.array_distinct(F.concat("kinds", F.coalesce("b_kinds", F.array().cast("array<string>")))))
+    c = scoring.consistency(n, F.sqrt(spread) / n / 10_000, mean, F.col("ts") - F.least("lo", F.coalesce("b_lo", "lo")), types)
+    return df.select(*key, "record_id", "ts", n.alias("n"), scoring.round4(add("s") / n).alias("avg_significance"), scoring.round4(mean).alias("avg_resistance"), c.alias("consistency"))
 
 
 def stepwise(observations: DataFrame) -> DataFrame:
-    """Means rounded to four places at every step, as an incremental store keeps them; order matters, so this is a fold."""
-    rows = observations.groupBy("session_id", "value_name").agg(F.array_sort(F.collect_list(F.struct("ts", "record_id", "significance", "resistance"))).alias("o"))
-    start = F.struct(F.lit(0).alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("r"))
-
-    def step(acc, x):
-        n = acc["n"] + 1
-        mean = lambda old, new: scoring.round4((old * acc["n"] + new) / n)
-        return F.struct(n.alias("n"), mean(acc["s"], x["significance"]).alias("s"), mean(acc["r"], x["resistance"]).alias("r"))
-
-    done = rows.withColumn("f", F.aggregate("o", start, step))
-    return done.select("session_id", "value_name", F.col("f.n").alias("demonstrations"), F.col("f.s").alias("avg_significance"), F.col("f.r").alias("avg_resistance"))
+    """Means rounded to four places at every step, as an incremental store keeps them.
+
+    Order matters, so this is a fold: rows are sorted within their partition
+    and read as a stream, with one value's state at a time.
+    """
+    rows = observations.select("session_id", "value_name", "ts", "record_id", "significance", "resistance").repartition("session_id", "value_name").sortWithinPartitions("session_id", "value_name", "ts", "record_id")
+
+    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, n, s, r = None, 0, 0.0, 0.0
+        for b in batches:
+            done = []
+            for row in b.itertuples(index=False):
+                if (row.session_id, row.value_name) != key:
+                    done += [(*key, n, s, r)] if key else []
+                    key, n, s, r = (row.session_id, row.value_name), 0, 0.0, 0.0
+                s, r = (math.floor((old * n + new) / (n + 1) * 10_000 + 0.500_000_1) / 10_000 for old, new in ((s, row.significance), (r, row.resistance)))
+                n += 1
+            yield pd.DataFrame(done, columns=["session_id", "value_name", "demonstrations", "avg_significance", "avg_resistance"])
+        if key:
+            yield pd.DataFrame([(*key, n, s, r)], columns=["session_id", "value_name", "demonstrations", "avg_significance", "avg_resistance"])
+
+    return rows.mapInPandas(fold, "session_id string, value_name string, demonstrations int, avg_significance double, avg_resistance double")
 
 
 def strongest(reg: DataFrame, least: int = 1) -> DataFrame:
@@ -89,3 +125,13 @@ def scan(observations: DataFrame, session_id: str | None = None, value: str | No
         df = df.where(F.col(column) == wanted) if wanted is not None else df
     df = df.where(F.col("ts") > since) if since is not None else df
     return df.orderBy(F.desc("ts"), "session_id", "record_id", "value_name").limit(min(limit, 500))
+
+
+def figure_profile(reg: DataFrame, figure: str) -> DataFrame:
+    """One figure's values, the weightiest first."""
+    return strongest(reg.where(F.col("session_id") == "figure:" + figure.lower()))
+
+
+def universal_profile(reg: DataFrame, least: int = 1) -> DataFrame:
+    """Values over all figures, the most demonstrated first."""
+    return across(reg, least)

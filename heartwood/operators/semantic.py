@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heartwood.functions import fixed, scoring
+from heartwood.operators import signals
 
 
 def centroids(vectors: DataFrame, label: str = "label", vector: str = "embedding") -> DataFrame:
@@ -24,7 +25,7 @@ def nearest(vectors: DataFrame, prototypes: DataFrame, key: str = "vec_id", k: i
     are packed into one broadcast row, so scoring and the choice of the best
     stay inside a vector's row: no shuffle.
     """
-    packed = prototypes.agg(F.array_sort(F.collect_list(F.struct("label", "centroid"))).alias("p"))
+    packed = signals.dimension(prototypes, 10_000).agg(F.array_sort(F.collect_list(F.struct("label", "centroid"))).alias("p"))
     rows = vectors.select(key, "embedding").join(F.broadcast(packed), F.lit(True))
     scored = F.transform("p", lambda x: F.struct((-scoring.round4(scoring.cosine(F.col("embedding"), x["centroid"]))).alias("neg"), x["label"].alias("label")))
     best = F.slice(F.array_sort(F.filter(scored, lambda x: -x["neg"] >= least)), 1, k)
@@ -41,3 +42,9 @@ def semantic_signals(near_hold: DataFrame, near_failure: DataFrame, key: str = "
 
 def best_label(vectors: DataFrame, prototypes: DataFrame, key: str = "vec_id") -> DataFrame:
     return nearest(vectors, prototypes, key, 1, -2.0)
+
+
+def prototypes(seeds: DataFrame, vector: str = "embedding") -> tuple[DataFrame, DataFrame]:
+    """(held, failed): each value's centroid of its seed sentences' vectors (value_name, kind, embedding)."""
+    of = lambda kind: centroids(seeds.where(F.col("kind") == kind), "value_name", vector).withColumnRenamed("value_name", "label")
+    return of("hold"), of("failure")

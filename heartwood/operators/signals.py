@@ -2,12 +2,22 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heartwood.functions import scoring, fixed, text
+from heartwood.config import DEFAULT, EngineConfig
+from heartwood.functions import fixed, scoring, text
+
+#: Rows that a vocabulary or lexicon may have: these are broadcast, and the patterns are made from them.
+DIMENSION = 200_000
+
+
+def dimension(df: DataFrame, most: int = DIMENSION) -> DataFrame:
+    """The rows of a dimension as a local table that is safe to broadcast; more than ``most`` rows are an error."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"a dimension of more than {most} rows: {df.columns}")
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def _chosen(key: Column, table: dict[str, str], other: str) -> Column:
@@ -36,29 +46,41 @@ def _checks(low: Column, value: Column, keyword: Column, at: Column, doc_type: C
 def keyword_hits(passages: DataFrame, vocabulary: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
     """Every vocabulary keyword (value_name, keyword, kw_ord) in a passage, with its place, validity and confidence.
 
-    The vocabulary is a bounded dimension and is broadcast; one combined
-    pattern first leaves the passages that hold any keyword.
+    One pattern finds the longest keyword at each place of the text; a keyword
+    that another one begins with follows from that one. So a passage costs one
+    search, and rows are the keywords it holds, not the vocabulary.
     """
-    words = [r["keyword"] for r in vocabulary.select(F.lower("keyword").alias("keyword")).distinct().orderBy("keyword").collect()]
-    low = passages.select(*keep, "text", "doc_type", "significance", F.lower("text").alias("low"))
-    if words:
-        low = low.where(F.col("low").rlike("|".join(re.escape(w) for w in words)))
-    terms = F.broadcast(vocabulary.select("value_name", F.lower("keyword").alias("keyword"), "kw_ord"))
-    hits = low.join(terms, F.col("low").contains(F.col("keyword"))).withColumn("match_idx", F.instr("low", F.col("keyword")) - 1)
+    rows = dimension(vocabulary.select("value_name", F.lower("keyword").alias("keyword"), "kw_ord"))
+    words = sorted({r["keyword"] for r in rows.select("keyword").collect()})
+    implied = rows.sparkSession.createDataFrame(_beginnings(words), "found string, keyword string")
+    terms = dimension(implied.join(rows, "keyword"))
+    low = F.lower("text")
+    found = F.array_distinct(F.regexp_extract_all(low, F.lit(f"(?=({text.trie(words)}))"), F.lit(1)))
+    some = passages.select(*keep, "text", "doc_type", "significance", low.alias("low"), found.alias("all")).where(F.size("all") > 0)
+    hits = some.withColumn("found", F.explode("all")).join(terms, "found")
+    # a keyword that several found ones begin with is taken from the first of them, or from itself
+    first = F.filter("all", lambda x: x.startswith(F.col("keyword")))[0]
+    hits = hits.where((F.col("found") == F.col("keyword")) | (~F.array_contains("all", F.col("keyword")) & (F.col("found") == first)))
+    hits = hits.withColumn("match_idx", F.instr("low", F.col("keyword")) - 1)
     valid, confidence = _checks(F.col("low"), F.col("value_name"), F.col("keyword"), F.col("match_idx"), F.col("doc_type"))
-    return hits.withColumn("valid", valid).withColumn("confidence", confidence).drop("low")
-
-
-def keyword_signals(passages: DataFrame, vocabulary: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
-    """One signal for each value of a passage: the first valid keyword in the value's order."""
-    hits = keyword_hits(passages, vocabulary, keep)
-    # a condition inside the aggregate: as a filter it would move into the join and run for every pair
-    what = F.struct("keyword", "match_idx", "confidence", "text", "significance")
-    best = hits.groupBy(*keep, "value_name").agg(F.min_by(what, F.when(F.col("valid"), F.col("kw_ord"))).alias("b")).where("b is not null")
-    return best.select(
-        *keep, "value_name", F.col("b.keyword").alias("keyword"), F.col("b.match_idx").alias("match_idx"), F.col("b.confidence").alias("confidence"),
-        F.col("b.significance").alias("significance"), text.keyword_excerpt(F.col("b.text"), F.col("b.match_idx"), F.length("b.keyword")).alias("text_excerpt"), F.lit("keyword").alias("source"),
-    )
+    return hits.withColumn("valid", valid).withColumn("confidence", confidence).drop("low", "all", "found")
+
+
+def _beginnings(words: list[str]) -> list[tuple[str, str]]:
+    """(word, keyword) for every keyword that a word begins with."""
+    known = set(words)
+    return [(w, w[:n]) for w in words for n in range(1, len(w) + 1) if w[:n] in known]
+
+
+def keyword_signals(passages: DataFrame, vocabulary: DataFrame, keep: tuple[str, ...] = ("id",), reach: int = DEFAULT.polarity_reach) -> DataFrame:
+    """One signal for each value of a passage: the first valid keyword in the value's order, with its excerpt and the polarity around it.
+
+    Excerpt and polarity are taken before the rows are grouped, so no text is shuffled.
+    """
+    hits = keyword_hits(passages, vocabulary, keep).where("valid")
+    hits = hits.withColumn("text_excerpt", text.keyword_excerpt(F.col("text"), F.col("match_idx"), F.length("keyword"))).withColumn("around", scoring.tier1_polarity(F.col("text"), F.col("match_idx"), reach))
+    best = hits.groupBy(*keep, "value_name").agg(F.min_by(F.struct("keyword", "match_idx", "confidence", "text_excerpt", "significance", "around"), "kw_ord").alias("b"))
+    return best.select(*keep, "value_name", "b.*", F.lit("keyword").alias("source"))
 
 
 def foundation_values(spark) -> DataFrame:
@@ -86,7 +108,7 @@ def lexicon_signals(passages: DataFrame, lexicon: DataFrame, strength: DataFrame
         scoring.round4(fixed.LEXICON_CONFIDENCE * (F.abs(F.col("score") - fixed.LEXICON_NEUTRAL) / fixed.LEXICON_SPAN)).alias("confidence"), F.lit("lexicon+ms").alias("tag"),
     ).where(F.col("confidence") >= fixed.LEXICON_FLOOR)
     terms = listed.unionByName(lone).join(foundation_values(spark), "foundation")
-    hits = tokens.join(F.broadcast(terms), "word")
+    hits = tokens.join(dimension(terms), "word")
     best = hits.groupBy(*keep, "value_name", "polarity").agg(F.max_by(F.struct("confidence", "tag", "word"), F.struct("confidence", -F.col("pos"), F.col("tag") == "lexicon", "word")).alias("b"))
     source = F.concat(F.col("b.tag"), F.when(F.col("polarity") == "vice", "_vice").otherwise(""))
     return best.select(*keep, "value_name", "polarity", F.col("b.confidence").alias("confidence"), F.col("b.word").alias("word"), source.alias("source"))
@@ -108,73 +130,131 @@ def _role(before: Column, after: Column, verb: Column, name: Column, pronoun: Co
 def phrase_signals(passages: DataFrame, lexicon: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
     """A vice word with a verb before it: destructive acts of the figure count against its value, opposition counts for it.
 
-    ``passages`` also has figure and pronoun.
+    ``passages`` also has figure and pronoun. Words of the text are filtered
+    inside its row; only vice words become rows.
     """
     p = r"\b[a-zA-Z][a-zA-Z\-']{1,}\b"
-    listed = [r["word"] for r in lexicon.where("polarity = 'vice'").select("word").distinct().orderBy("word").collect()]
-    some = passages.where(F.arrays_overlap(text.tokens(F.col("text")), F.array(*map(F.lit, listed)).cast("array<string>")))
-    words = some.select(*keep, "text", "significance", F.lower("figure").alias("name"), "pronoun", F.explode(text.positions(F.col("text"), p)).alias("m"))
-    words = words.withColumn("word", F.lower(text.window(F.col("text"), F.col("m.s"), F.col("m.e"))))
-    vice = F.broadcast(lexicon.where("polarity = 'vice'").select("word", "foundation").join(foundation_values(passages.sparkSession), "foundation"))
-    hits = words.join(vice, "word")
+    vice = dimension(lexicon.where("polarity = 'vice'").select("word", "foundation").join(foundation_values(passages.sparkSession), "foundation"))
+    listed = sorted({r["word"] for r in vice.select("word").collect()})
+    some = passages.select(*keep, "text", F.lower("figure").alias("name"), "pronoun").where(F.col("text").rlike(rf"(?i)\b(?:{text.trie(listed)})\b"))
+    places = F.transform(text.positions(F.col("text"), p), lambda m: F.struct(m["s"].alias("s"), m["e"].alias("e"), F.lower(text.window(F.col("text"), m["s"], m["e"])).alias("word")))
+    words = some.withColumn("m", F.explode(F.filter(places, lambda m: m["word"].rlike(f"^(?:{text.trie(listed)})$"))))
     s, e = F.col("m.s"), F.col("m.e")
-    hits = hits.withColumn("before", text.window(F.col("text"), s - fixed.VERB_WINDOW, s)).withColumn("after", text.window(F.col("text"), e, e + fixed.OBJECT_WINDOW))
-    verb = F.regexp_instr("before", F.lit("(?i)" + fixed.DESTRUCTIVE)) - 1
-    hits = hits.withColumn("verb", verb)
+    words = words.withColumn("before", text.window(F.col("text"), s - fixed.VERB_WINDOW, s)).withColumn("after", text.window(F.col("text"), e, e + fixed.OBJECT_WINDOW))
+    words = words.withColumn("verb", F.regexp_instr("before", F.lit("(?i)" + fixed.DESTRUCTIVE)) - 1)
     role = _role(F.col("before"), F.col("after"), F.col("verb"), F.coalesce("name", F.lit("")), F.col("pronoun"))
     hint = F.when(F.col("verb") >= 0, F.when(~role.isin("recipient", "external"), -1)).when(text.found(F.col("before"), fixed.OPPOSITION), 1)
-    # tied to the joined side, so that it runs for vice words only
-    found = hits.withColumn("polarity_hint", F.when(F.col("value_name").isNotNull(), hint).cast("int")).where("polarity_hint is not null")
-    best = found.groupBy(*keep, "value_name", "polarity_hint").agg(F.min(s).alias("match_idx"))
+    words = words.select(*keep, F.col("m.word").alias("word"), s.alias("match_idx"), hint.cast("int").alias("polarity_hint")).where("polarity_hint is not null")
+    best = words.join(vice, "word").groupBy(*keep, "value_name", "polarity_hint").agg(F.min("match_idx").alias("match_idx"))
     return best.select(*keep, "value_name", "polarity_hint", "match_idx", F.lit(fixed.PHRASE_CONFIDENCE).alias("confidence"), F.lit("phrase_layer").alias("source"))
 
 
-def merge(keyword: DataFrame, lexicon: DataFrame, phrase: DataFrame, semantic: DataFrame, structure: DataFrame, zeroshot: DataFrame | None = None, mft: DataFrame | None = None) -> DataFrame:
+def classifier_signals(scores: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:
+    """(id, value_name, ord, score): what a foundation classifier's scores (id, label, score) say for values, in the labels' order.
+
+    A virtue from ``classifier_virtue`` on speaks for its foundation's values;
+    defiance of authority, at a discount, for independence.
+    """
+    spark = scores.sparkSession
+    rows = [(label, i, v, 1.0) for i, (label, (f, p)) in enumerate(fixed.CLASSIFIER_LABELS.items()) if p == "virtue" for v in fixed.CLASSIFIER_VALUES[f]]
+    rows += [(label, i, v, fixed.DEFIANCE_DISCOUNT) for i, (label, fp) in enumerate(fixed.CLASSIFIER_LABELS.items()) if fp == ("authority", "vice") for v in fixed.DEFIANCE_VALUES]
+    said = F.broadcast(spark.createDataFrame(rows, "label string, ord int, value_name string, weight double"))
+    return scores.where(F.col("score") >= cfg.classifier_virtue).join(said, "label").select("id", "value_name", "ord", scoring.round4(F.col("score") * F.col("weight")).alias("score"))
+
+
+def vice_flags(scores: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:
+    """(id, foundation, score): foundations whose vice a classifier is sure of."""
+    rows = [(label, f) for label, (f, p) in fixed.CLASSIFIER_LABELS.items() if p == "vice"]
+    kinds = F.broadcast(scores.sparkSession.createDataFrame(rows, "label string, foundation string"))
+    return scores.where(F.col("score") >= cfg.classifier_vice).join(kinds, "label").select("id", "foundation", scoring.round4("score").alias("score"))
+
+
+ROW = "struct<confidence:double,layer:int,source:array<string>,polarity_hint:int,match_idx:int>"
+
+
+def merge(
+    keyword: DataFrame, lexicon: DataFrame, phrase: DataFrame, semantic: DataFrame | None, structure: DataFrame, zeroshot: DataFrame | None = None, classifier: DataFrame | None = None, cfg: EngineConfig = DEFAULT,
+) -> DataFrame:
     """All layers' signals of a passage (id) in their order, with the confidence that agreement between layers gives.
 
-    Inputs hold id, value_name, confidence; ``lexicon`` also polarity,
-    ``phrase`` polarity_hint, ``structure`` (id, struct_score); ``zeroshot``
-    and ``mft`` are optional scores from models that run elsewhere. Each step
-    clips to one and rounds, in the order that the layers apply.
+    Inputs hold id, value_name, confidence; ``keyword`` also match_idx,
+    text_excerpt and around; ``lexicon`` polarity and source, ``phrase``
+    polarity_hint, match_idx and source; ``structure`` (id, struct_score) and
+    what else shall stand beside the signals. ``semantic``, ``zeroshot`` and
+    ``classifier`` (id, value_name, ord, score) are optional scores from
+    models that run elsewhere. Each step clips to one and rounds, in the order
+    that the layers apply. One grouping brings the layers together; the rest
+    is arithmetic inside the row.
     """
     kind = dict(keyword.dtypes)["id"]
-    parts = {"kw": keyword, "virtue": lexicon.where("polarity = 'virtue'"), "vice": lexicon.where("polarity = 'vice'"), "sem": semantic, "zs": zeroshot, "mft": mft}
-    hint = "struct<polarity_hint:int,confidence:double>"
+    columns = {
+        "kw": "struct<confidence:double,match_idx:int,text_excerpt:string,around:struct<polarity:int,confidence:double>>", "virtue": "struct<confidence:double,source:string>", "vice": "struct<confidence:double,source:string>",
+        "said": "struct<match_idx:int,polarity_hint:int,confidence:double,source:string>", "sem": "double", "zs": "double", "cl": "struct<ord:int,score:double>",
+    }
+    word = F.struct("confidence", "source")
+    layers = [
+        (keyword, {"kw": F.struct("confidence", "match_idx", "text_excerpt", "around")}),
+        (lexicon, {"virtue": F.when(F.col("polarity") == "virtue", word), "vice": F.when(F.col("polarity") == "vice", word)}),
+        (phrase, {"said": F.struct("match_idx", "polarity_hint", "confidence", "source")}),
+        (semantic, {"sem": F.col("confidence")}), (zeroshot, {"zs": F.when(F.col("confidence") >= cfg.zeroshot_threshold, F.col("confidence"))}), (classifier, {"cl": F.struct("ord", "score")}),
+    ]
     rows = None
-    for name, df in parts.items():
+    for df, own in layers:
         if df is not None:
-            cells = [(F.col("confidence") if n == name else F.lit(None)).cast("double").alias(n) for n in parts]
-            part = df.select(F.col("id").cast(kind), "value_name", *cells, F.lit(None).cast(hint).alias("said"))
+            part = df.select(F.col("id").cast(kind), "value_name", *(own.get(n, F.lit(None)).cast(t).alias(n) for n, t in columns.items()))
             rows = part if rows is None else rows.unionByName(part)
-    said = phrase.select(F.col("id").cast(kind), "value_name", *(F.lit(None).cast("double").alias(n) for n in parts), F.struct(F.col("polarity_hint").cast("int").alias("polarity_hint"), F.col("confidence").cast("double").alias("confidence")).cast(hint).alias("said"))
-    # one row for each value of a passage holds what every layer says of it; the rest is arithmetic inside the row
-    wide = rows.unionByName(said).groupBy("id", "value_name").agg(*(F.max(n).alias(n) for n in parts), F.array_sort(F.collect_set("said")).alias("said"))
-    wide = wide.join(structure.select("id", "struct_score"), "id", "left").withColumn("struct_score", F.coalesce("struct_score", F.lit(0.0)))
+    wide = rows.groupBy("id", "value_name").agg(*(F.max(n).alias(n) for n in ("kw", "virtue", "vice", "sem", "zs")), F.array_sort(F.collect_set("said")).alias("said"), F.array_sort(F.collect_set("cl")).alias("cl"))
+    wide = wide.join(structure, "id", "left").withColumn("struct_score", F.coalesce("struct_score", F.lit(0.0)))
+
+    nothing = F.expr(f"cast(array() as array<{ROW}>)")
     up = lambda c, more: scoring.round4(F.least(F.lit(1.0), c + more))
-    make = lambda c, layer, tags, h=None: F.struct(c.alias("confidence"), F.lit(layer).cast("int").alias("layer"), F.array(*map(F.lit, tags)).alias("source"), F.lit(h).cast("int").alias("polarity_hint"))
-    nothing = F.expr("cast(array() as array<struct<confidence:double,layer:int,source:array<string>,polarity_hint:int>>)")
-    raised = lambda xs, more, tag: F.transform(xs, lambda x: F.struct(up(x["confidence"], more).alias("confidence"), x["layer"].alias("layer"), (F.concat(x["source"], F.array(F.lit(tag))) if tag else x["source"]).alias("source"), x["polarity_hint"].alias("polarity_hint")))
+    tag = lambda xs, t: F.when(F.array_contains(xs, t), xs).otherwise(F.concat(xs, F.array(F.lit(t))))
+
+    def row(c: Column, layer: int, source: Column, hint: Column | None = None, at: Column | None = None) -> Column:
+        none = F.lit(None).cast("int")
+        return F.struct(c.alias("confidence"), F.lit(layer).alias("layer"), source.alias("source"), (none if hint is None else hint).alias("polarity_hint"), (none if at is None else at).alias("match_idx"))
 
-    kw, virtue = F.col("kw"), F.col("virtue")
+    def raised(xs: Column, more: Column, name: str) -> Column:
+        return F.transform(xs, lambda x: F.struct(up(x["confidence"], more).alias("confidence"), x["layer"].alias("layer"), tag(x["source"], name).alias("source"), x["polarity_hint"].alias("polarity_hint"), x["match_idx"].alias("match_idx")))
+
+    kw, virtue, vice = F.col("kw"), F.col("virtue"), F.col("vice")
+    word_tags, own = lambda c: F.split(c["source"], r"\+"), F.array(F.lit("keyword"))
     base = (
-        F.when(kw.isNotNull() & virtue.isNotNull(), F.array(make(up(kw, 0.15 * virtue), 0, ["keyword", "lexicon"]))).when(kw.isNotNull(), F.array(make(kw, 0, ["keyword"])))
-        .when(virtue >= fixed.LEXICON_STANDALONE, F.array(make(virtue, 1, ["lexicon"]))).otherwise(nothing)
+        F.when(kw.isNotNull() & virtue.isNotNull(), F.array(row(up(kw["confidence"], cfg.lexicon_boost * virtue["confidence"]), 0, F.array(F.lit("keyword"), F.lit("lexicon")), at=kw["match_idx"])))
+        .when(kw.isNotNull(), F.array(row(kw["confidence"], 0, own, at=kw["match_idx"]))).when(virtue["confidence"] >= cfg.lexicon_standalone, F.array(row(virtue["confidence"], 1, word_tags(virtue)))).otherwise(nothing)
     )
-    spoken = F.transform("said", lambda x: F.struct(x["confidence"].alias("confidence"), F.lit(2).alias("layer"), F.array(F.lit("phrase")).alias("source"), x["polarity_hint"].alias("polarity_hint")))
+    spoken = F.transform("said", lambda x: row(x["confidence"], 2, F.array(x["source"]), x["polarity_hint"], x["match_idx"]))
     wide = wide.withColumn("r", F.concat(base, spoken))
+    sem, zs, struct = F.col("sem"), F.col("zs"), F.col("struct_score")
+    some = F.size("r") > 0
+    wide = wide.withColumn("r", F.when(sem.isNull(), F.col("r")).when(some, raised(F.col("r"), cfg.semantic_boost * sem, "semantic")).otherwise(F.array(row(sem, 3, F.array(F.lit("semantic"))))))
+    wide = wide.withColumn("r", F.when(struct > 0, raised(F.col("r"), scoring.round4(cfg.structural_boost * struct), "structural")).otherwise(F.col("r")))
+    wide = wide.withColumn("r", F.when(zs.isNull(), F.col("r")).when(some, raised(F.col("r"), cfg.zeroshot_boost * zs, "zeroshot")).when(zs >= cfg.zeroshot_standalone, F.array(row(scoring.round4(zs), 4, F.array(F.lit("zeroshot"))))).otherwise(nothing))
+
+    def told(r: Column, x: Column) -> Column:
+        alone = F.when(x["score"] >= cfg.classifier_standalone, F.array(row(scoring.round4(cfg.classifier_weight * x["score"]), 5, F.array(F.lit("mft"))))).otherwise(nothing)
+        return F.when(F.size(r) > 0, raised(r, scoring.round4(cfg.classifier_boost * x["score"]), "mft")).otherwise(alone)
+
+    wide = wide.withColumn("r", F.aggregate("cl", F.col("r"), told))
+    lone = (F.size("r") == 0) & (vice["confidence"] >= cfg.lexicon_standalone)
+    wide = wide.withColumn("r", F.when(lone, F.array(row(vice["confidence"], 6, word_tags(vice), F.lit(-1)))).otherwise(F.col("r")))
+    rest = [c for c in structure.columns if c not in ("id", "struct_score")]
+    out = wide.select("id", "value_name", "struct_score", *rest, "kw", F.coalesce("virtue.confidence", F.lit(0.0)).alias("virtue"), F.coalesce("vice.confidence", F.lit(0.0)).alias("vice"), F.posexplode("r").alias("signal_ord", "x"))
+    return out.select("id", "value_name", "signal_ord", "x.layer", "x.confidence", F.concat_ws("+", "x.source").alias("source"), "x.polarity_hint", "x.match_idx", "virtue", "vice", F.when(F.col("x.layer") == 0, F.col("kw.text_excerpt")).alias("own_excerpt"), F.when(F.col("x.layer") == 0, F.col("kw.around")).alias("around"), "struct_score", *rest)
 
-    def agree(df: DataFrame, name: str, weight: float, tag: str, layer: int, alone: Column, least: float) -> DataFrame:
-        """A layer raises the rows that are there; where there are none, it stands alone from ``least`` on."""
-        s = F.col(name)
-        return df.withColumn("r", F.when(s.isNull(), F.col("r")).when(F.size("r") > 0, raised(F.col("r"), weight * s, tag)).when(s >= least, F.array(make(alone, layer, [tag]))).otherwise(nothing))
-
-    wide = agree(wide, "sem", 0.20, "semantic", 3, F.col("sem"), 0.0)
-    wide = wide.withColumn("r", F.when(F.col("struct_score") > 0, raised(F.col("r"), scoring.round4(0.15 * F.col("struct_score")), "")).otherwise(F.col("r")))
-    wide = agree(wide, "zs", 0.15, "zeroshot", 4, F.col("zs"), 0.70)
-    wide = agree(wide, "mft", 0.10, "mft", 5, scoring.round4(0.50 * F.col("mft")), 0.80)
-    lone = (F.size("r") == 0) & (F.col("vice") >= fixed.LEXICON_STANDALONE)
-    out = wide.select("id", "value_name", F.explode(F.when(lone, F.array(make(F.col("vice"), 6, ["lexicon_vice"], -1))).otherwise(F.col("r"))).alias("x"))
-    return out.select("id", "value_name", "x.layer", "x.confidence", F.concat_ws("+", "x.source").alias("source"), "x.polarity_hint")
+
+def verified(merged: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Merged signals after a panel's verdicts (id, value_name, verdict) on a passage's values.
+
+    P1 and P0 settle the polarity, tension gives a signal of each, discard
+    takes the signals away; skip, or no verdict, leaves them as they are.
+    """
+    names = merged.columns
+    df = merged.join(verdicts.select("id", "value_name", "verdict"), ["id", "value_name"], "left").where("verdict is null or verdict <> 'discard'")
+    hints = F.when(F.col("verdict") == "P1", F.array(F.lit(1))).when(F.col("verdict") == "P0", F.array(F.lit(-1))).when(F.col("verdict") == "tension", F.array(F.lit(1), F.lit(-1))).otherwise(F.array(F.lit(None).cast("int")))
+    df = df.select(*(c for c in names if c != "signal_ord"), F.col("signal_ord").alias("o"), F.posexplode(hints).alias("i", "told"))
+    df = df.withColumns({"signal_ord": 2 * F.col("o") + F.col("i"), "polarity_hint": F.coalesce("told", "polarity_hint"), "source": F.when(F.col("told").isNotNull(), F.concat("source", F.lit("+panel"))).otherwise(F.col("source"))})
+    return df.select(*names)
 
 
 def observations(signals: DataFrame) -> DataFrame:

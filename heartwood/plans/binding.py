@@ -1,16 +1,23 @@
 """Binds the engine's roles to the driver's tables.
 
 The documents are invented words, so a template, chosen by doc_id, stands in
-front of each text: every tier, marker and label then occurs. The same CASE
+front of each whole text: every tier, marker and label then occurs. What is
+scored, observed, registered and labelled comes out of the extraction over
+these texts. Models that run elsewhere (entailment, foundation classifier,
+vectors, panel) are bound as tables of scores by formula. The same
 expressions serve Spark and DuckDB.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heartwood.functions import fixed, scoring, text
+from heartwood.functions import fixed
+from heartwood.operators import extract, ingest, labels, semantic
+from heartwood.sources import readers, sinks
 
 TEMPLATES = (
     "I would rather die than lie to them, and I stood firm.",
@@ -38,12 +45,6 @@ TEMPLATES = (
     "We lost patience, abandoned the plan and gave up our oath.",
     "I wonder at the stars and study them, curious as a child.",
 )
-#: Values observed under each template; several share a passage, some of them in tension.
-TEMPLATE_VALUES = (
-    ("integrity", "courage"), ("integrity", "courage", "patience"), ("commitment", "growth"), ("integrity",), ("loyalty", "independence"), ("resilience", "commitment"), ("fairness", "courage"), ("fairness", "compassion"),
-    ("patience",), ("patience", "resilience", "courage"), ("courage", "commitment"), ("gratitude", "humility"), ("integrity", "loyalty", "independence"), ("fairness", "responsibility"), ("compassion",), ("integrity", "fairness"),
-    ("independence", "loyalty"), ("humility", "responsibility"), ("compassion", "fairness"), ("courage", "resilience", "patience"), ("responsibility",), ("loyalty",), ("patience", "commitment", "growth"), ("curiosity",),
-)
 #: A starter vocabulary; a full one is read with ``sources.readers.vocabulary``.
 VOCABULARY = {
     "integrity": ("honest", "truth", "sincere", "keep my word", "deceived", "lied"),
@@ -70,6 +71,9 @@ LEXICON = (
 STRENGTH = (
     ("mercy", "care", 9.1), ("cruelty", "care", 1.4), ("justice", "fairness", 8.7), ("duty", "authority", 7.0), ("freedom", "fairness", 8.0), ("winter", "care", 5.2), ("weak", "care", 2.0), ("honest", "sanctity", 8.8), ("liberty", "authority", 3.1),
 )
+#: Beginnings of words that speak of values.
+STEMS = {"courag": ("courage",), "honest": ("integrity",), "loyal": ("loyalty",), "patien": ("patience",), "fair": ("fairness",), "the": ("growth",), "promis": ("commitment", "integrity")}
+NOW = 1_700_000_000.0
 KINDS = ("action", "journal", "letter", "speech", "unknown")
 
 
@@ -93,27 +97,38 @@ TEMPLATE_SQL = _case("doc_id", len(TEMPLATES), TEMPLATES)
 KIND_SQL = _case("doc_id", len(KINDS), KINDS)
 
 
+PRONOUNS = ("he", "i", "unknown")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents in the engine's shape, with the template before their text."""
-    d = table(spark, sf_dir, "documents")
+    """Documents in the engine's shape, with the template before their whole text."""
+    d = readers.spread(table(spark, sf_dir, "documents"))
     return d.select(
         "doc_id", F.col("source").alias("figure"), F.concat(spark_case("doc_id", TEMPLATES), F.lit(" "), F.col("text")).alias("text"), spark_case("doc_id", KINDS).alias("doc_type"),
-        (1300 + F.col("doc_id") * 37 % 700).cast("int").alias("pub_year"), (F.col("lang") != "en").alias("is_translation"), "lang",
+        (1300 + F.col("doc_id") * 37 % 700).cast("int").alias("pub_year"), (F.col("lang") != "en").alias("is_translation"), "lang", spark_case("doc_id", PRONOUNS).alias("pronoun"),
     )
 
 
-def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The templates alone as passages of their documents, without the invented words."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "source")
-    kind = spark_case("doc_id", KINDS)
-    return d.select(
-        F.col("doc_id").cast("string").alias("id"), "doc_id", F.col("source").alias("figure"), spark_case("doc_id", TEMPLATES).alias("text"), kind.alias("doc_type"), scoring.default_significance(kind).alias("significance"),
-        F.when(F.col("doc_id") % 3 == 0, "he").when(F.col("doc_id") % 3 == 1, "i").otherwise("unknown").alias("pronoun"),
-    )
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, make: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """A derived table of the engine, made and written once for each session and input; registry, labels and reports read it."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        path = sinks.scratch(spark)
+        make(spark, sf_dir).write.parquet(path)
+        _stored[key] = path
+    return spark.read.parquet(_stored[key])
+
+
+def passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All passages of all documents, as the engine stores them."""
+    return stored(spark, sf_dir, "passages", lambda s, d: ingest.passages(documents(s, d), NOW))
 
 
 def vocabulary(spark: SparkSession) -> DataFrame:
@@ -128,25 +143,47 @@ def strength(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(STRENGTH), "word string, foundation string, score double")
 
 
+def scores(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """What models that run elsewhere say of each passage: entailment, classifier labels, and likeness to held and failed prototypes."""
+    p, d, k = passages(spark, sf_dir), F.col("doc_id"), F.col("place")
+    value = lambda n: F.element_at(F.array(*map(F.lit, fixed.VALUES)), (n % len(fixed.VALUES) + 1).cast("int"))
+    likeness = lambda n: ((n % 40) / 100).cast("double")
+    near = p.select("id", value(d + 2 * k).alias("label"), (0.2 + likeness(d * 5 + k * 3)).alias("hold"), (0.1 + likeness(d * 11 + k * 7)).alias("fail"))
+    hold = near.where(F.col("hold") >= fixed.SEMANTIC_THRESHOLD).select("id", "label", F.col("hold").alias("score"))
+    return {
+        "semantic": semantic.semantic_signals(hold, near.select("id", "label", F.col("fail").alias("score")), "id"),
+        "zeroshot": p.select("id", value(d * 3 + k).alias("value_name"), (0.3 + (d * 13 + k * 5) % 45 / 100).alias("confidence")),
+        "classifier": p.select("id", F.concat(F.lit("LABEL_"), ((d + k) % 10).cast("string")).alias("label"), (0.5 + (d * 7 + k * 11) % 36 / 100).alias("score")),
+    }
+
+
+def votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three models' votes on every value of the passages that a panel has read: all hold, all violate, both, none, or abstentions."""
+    p = passages(spark, sf_dir).where((F.col("doc_id") + F.col("place")) % 17 == 0)
+    v = p.select("id", F.explode(F.array(*map(F.lit, fixed.VALUES))).alias("value_name"), "doc_id", "place").withColumn("k", (F.col("doc_id") + F.col("place") + F.length("value_name")) % 5)
+    v = v.withColumn("m", F.explode(F.sequence(F.lit(0), F.lit(2))))
+    return v.select("id", "value_name", F.when(F.col("k") < 4, F.col("k").isin(0, 2)).alias("holds"), F.when(F.col("k") < 4, F.col("k").isin(1, 2)).alias("violates"))
+
+
+def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = scores(spark, sf_dir)
+    return extract.merged_signals(passages(spark, sf_dir), vocabulary(spark), lexicon(spark), strength(spark), s["semantic"], s["zeroshot"], s["classifier"], labels.panel_votes(votes(spark, sf_dir)))
+
+
+def extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations from all passages, through all layers."""
+    s, p = scores(spark, sf_dir), passages(spark, sf_dir)
+    o = extract.extract(p, vocabulary(spark), lexicon(spark), strength(spark), s["semantic"], s["zeroshot"], s["classifier"], labels.panel_votes(votes(spark, sf_dir)))
+    return o.join(p.select(F.col("id").alias("record_id"), "doc_id"), "record_id")
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Observations of the templates' values, one for each document and value; the j-th value's excerpt is the j-th template on."""
-    n = notes(spark, sf_dir).select("doc_id", F.concat(F.lit("figure:"), F.lower("figure")).alias("session_id"), "doc_type", "significance")
-    values = spark.createDataFrame([(i, j, v) for i, vs in enumerate(TEMPLATE_VALUES) for j, v in enumerate(vs)], "k long, j long, value_name string")
-    d = F.col("doc_id")
-    o = n.join(F.broadcast(values), d % len(TEMPLATES) == F.col("k")).withColumn("turn", d + F.col("j")).withColumn("text", spark_case("turn", TEMPLATES))
-    o = o.withColumn("resistance", scoring.modulated(scoring.resistance(F.col("text"), F.col("significance"), F.col("doc_type")), scoring.structural(F.col("text"))))
-    return o.select(
-        "session_id", d.cast("string").alias("record_id"), "value_name", (d * 4000).cast("double").alias("ts"), F.floor(d / 20).cast("int").alias("passage_idx"), "text", F.col("text").alias("text_excerpt"), "doc_type", "significance", "resistance",
-        F.when(d % 3 == 0, 1.0).when(d % 3 == 1, 0.7).otherwise(0.6).alias("disambiguation_confidence"), F.when(d % 17 == 0, "keyword+panel").otherwise("keyword").alias("source"), (d % 3 - 1).cast("int").alias("value_polarity"),
-        F.concat_ws("|", d.cast("string"), "value_name").alias("source_obs_id"),
-    )
+    """The observations as the engine stores them."""
+    return stored(spark, sf_dir, "observations", extracted)
 
 
 def pressure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pressure rows: the templates that hold a pressure marker."""
-    n = notes(spark, sf_dir).where(text.found(F.col("text"), fixed.PRESSURE_MARKERS))
-    d = F.col("doc_id")
-    return n.select(F.concat(F.lit("figure:"), F.lower("figure")).alias("session_id"), d.cast("string").alias("record_id"), (d * 4000).cast("double").alias("ts"), F.floor(d / 20).cast("int").alias("passage_idx"))
+    return extract.pressure(passages(spark, sf_dir)).drop("markers")
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:

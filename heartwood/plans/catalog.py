@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from heartwood.functions import fixed, scoring, text
-from heartwood.operators import corpus, gold, ingest, labels, quality, registry, semantic, signals
+from heartwood.operators import corpus, extract, gold, ingest, labels, quality, registry, semantic, signals
 from heartwood.plans import binding as b
 from heartwood.sources import readers, sinks
 from heartwood.streaming import jobs
 
-NOW = 1_700_000_000.0
-
-
-def _passages(spark, d):
-    return ingest.passages(b.documents(spark, d), NOW)
-
-
 def q_segment(spark: SparkSession, d: str) -> DataFrame:
     return b.documents(spark, d).select("doc_id", F.posexplode(text.passages(F.col("text"))).alias("place", "passage")).select("doc_id", "place", F.length("passage").alias("chars"), F.md5(F.col("passage").cast("binary")).alias("passage_md5"))
 
@@ -28,17 +23,17 @@ def q_segment_stats(spark, d):
 
 
 def _scored(spark, d):
-    n = b.notes(spark, d)
-    return n.select("doc_id", "figure", "text", "doc_type", "significance", scoring.resistance(F.col("text"), F.col("significance"), F.col("doc_type")).alias("resistance"), scoring.structural(F.col("text")).alias("struct"))
+    n = b.passages(spark, d)
+    return n.select("doc_id", "place", "doc_type", scoring.resistance(F.col("text"), F.col("significance"), F.col("doc_type")).alias("resistance"), scoring.structural(F.col("text")).alias("struct"))
 
 
 def q_resistance(spark, d):
-    return _scored(spark, d).select("doc_id", "doc_type", "resistance", "struct", scoring.modulated(F.col("resistance"), F.col("struct")).alias("modulated"))
+    return _scored(spark, d).select("doc_id", "place", "doc_type", "resistance", "struct", scoring.modulated(F.col("resistance"), F.col("struct")).alias("modulated"))
 
 
 def q_flagship(spark, d):
     """Documents to passages, scored and profiled by source: the engine's main path."""
-    p = _passages(spark, d)
+    p = ingest.passages(b.documents(spark, d), b.NOW)
     p = p.select("session_id", "doc_type", scoring.resistance(F.col("text"), F.col("significance"), F.col("doc_type")).alias("r"), scoring.structural(F.col("text")).alias("s"))
     return p.groupBy("session_id", "doc_type").agg(
         F.count(F.lit(1)).alias("passages"), scoring.round4(F.avg("r")).alias("avg_resistance"), scoring.round4(F.max("r")).alias("max_resistance"), scoring.round4(F.avg("s")).alias("avg_structure"), F.count_if(F.col("r") >= 0.6).alias("costly"))
@@ -53,9 +48,15 @@ def q_significance_hist(spark, d):
 
 
 def q_markers(spark, d):
-    n = b.notes(spark, d)
+    n = b.passages(spark, d)
     m = lambda p: F.array_join(text.markers(F.col("text"), p), "|")
-    return n.select("doc_id", m(fixed.PRESSURE_MARKERS).alias("pressure"), m(fixed.FAILURE_MARKERS).alias("failure"), m(fixed.HOLD_MARKERS).alias("hold"))
+    return n.select("doc_id", "place", m(fixed.PRESSURE_MARKERS).alias("pressure"), m(fixed.FAILURE_MARKERS).alias("failure"), m(fixed.HOLD_MARKERS).alias("hold"))
+
+
+def q_passages(spark, d):
+    """Passages with their ids, moments, authenticity and places in their session."""
+    p = ingest.numbered(b.passages(spark, d))
+    return p.select("id", "session_id", "doc_id", "place", "ts", "source_authenticity", "passage_idx", F.length("text").alias("chars"))
 
 
 def q_calibrated(spark, d):
@@ -85,33 +86,50 @@ def q_lexicon_signals(spark, d):
 
 
 def q_phrase_signals(spark, d):
-    p = _passages(spark, d).withColumn("pronoun", F.when(F.col("doc_id") % 3 == 0, "he").when(F.col("doc_id") % 3 == 1, "i").otherwise("unknown"))
-    return signals.phrase_signals(p, b.lexicon(spark), ("doc_id", "place")).select("doc_id", "place", "value_name", "polarity_hint", "match_idx", "confidence")
+    return signals.phrase_signals(b.passages(spark, d), b.lexicon(spark), ("doc_id", "place")).select("doc_id", "place", "value_name", "polarity_hint", "match_idx", "confidence")
 
 
 def q_polarity(spark, d):
-    n = b.notes(spark, d)
-    first = n.select("doc_id", scoring.tier1_polarity(F.col("text")).alias("t"))
-    lex = signals.lexicon_signals(n, b.lexicon(spark), b.strength(spark), ("doc_id",)).groupBy("doc_id").agg(F.max(F.when(F.col("polarity") == "vice", F.col("confidence"))).alias("vice"), F.max(F.when(F.col("polarity") == "virtue", F.col("confidence"))).alias("virtue"))
-    j = first.join(lex, "doc_id", "left").withColumns({"vice": F.coalesce("vice", F.lit(0.0)), "virtue": F.coalesce("virtue", F.lit(0.0))})
+    n = b.passages(spark, d)
+    first = n.select("id", "doc_id", "place", scoring.tier1_polarity(F.col("text")).alias("t"))
+    lex = signals.lexicon_signals(n, b.lexicon(spark), b.strength(spark)).groupBy("id").agg(F.max(F.when(F.col("polarity") == "vice", F.col("confidence"))).alias("vice"), F.max(F.when(F.col("polarity") == "virtue", F.col("confidence"))).alias("virtue"))
+    j = first.join(lex, "id", "left").withColumns({"vice": F.coalesce("vice", F.lit(0.0)), "virtue": F.coalesce("virtue", F.lit(0.0))})
     p = scoring.polarity(F.col("t"), F.col("vice"), F.col("virtue"))
-    return j.select("doc_id", F.col("t.polarity").alias("tier1"), F.col("t.confidence").alias("tier1_confidence"), p["polarity"].alias("polarity"), scoring.round4(p["confidence"]).alias("polarity_confidence"))
+    return j.select("doc_id", "place", F.col("t.polarity").alias("tier1"), F.col("t.confidence").alias("tier1_confidence"), p["polarity"].alias("polarity"), scoring.round4(p["confidence"]).alias("polarity_confidence"))
+
+
+def q_semantic_signals(spark, d):
+    """Likeness to held and failed prototypes as signals."""
+    return b.scores(spark, d)["semantic"].select("id", "value_name", "confidence")
+
+
+def q_classifier_signals(spark, d):
+    """A foundation classifier's labels as values, and its vices."""
+    c = b.scores(spark, d)["classifier"]
+    said = signals.classifier_signals(c).select("id", "value_name", "ord", "score")
+    return said.unionByName(signals.vice_flags(c).select("id", F.concat(F.lit("vice of "), "foundation").alias("value_name"), F.lit(-1).alias("ord"), "score"))
 
 
 def q_merge_confidence(spark, d):
-    n = b.notes(spark, d)
-    kw, lex = signals.keyword_signals(n, b.vocabulary(spark)), signals.lexicon_signals(n, b.lexicon(spark), b.strength(spark))
-    ph = signals.phrase_signals(n, b.lexicon(spark))
-    sem = n.select("id", F.lit("courage").alias("value_name"), F.lit(0.5).alias("confidence"))
-    st = n.select("id", scoring.structural(F.col("text")).alias("struct_score"))
-    return signals.merge(kw, lex, ph, sem, st).select(F.col("id").cast("long").alias("doc_id"), "value_name", "layer", "confidence", "source", "polarity_hint")
+    """All layers' signals of each passage in merge order, after the panel, with polarity and resistance."""
+    return b.merged(spark, d).select("id", "value_name", "signal_ord", "layer", "confidence", "source", "polarity_hint", "match_idx", "disambiguation_confidence", "resistance", "value_polarity", scoring.round4("polarity_confidence").alias("polarity_confidence"))
 
 
 def q_observations(spark, d):
-    """Repeated signals, deduplicated to the first of each (session, record, value)."""
+    """The extraction end to end: whole texts to observations."""
+    return b.extracted(spark, d).select("session_id", "record_id", "value_name", "ts", "passage_idx", "doc_type", "significance", "resistance", "disambiguation_confidence", "source", "value_polarity", scoring.round4("polarity_confidence").alias("polarity_confidence"), F.md5(F.col("text_excerpt").cast("binary")).alias("excerpt_md5"))
+
+
+def q_new_observations(spark, d):
+    """Repeated signals, deduplicated to the first of each (session, record, value); those known already stay out."""
     o = b.observations(spark, d)
     twice = o.withColumn("signal_ord", F.lit(0)).unionByName(o.withColumn("signal_ord", F.lit(1)).withColumn("resistance", F.lit(0.0))).withColumn("polarity_confidence", F.lit(1.5))
-    return signals.observations(twice).select("session_id", "record_id", "value_name", "resistance", "polarity_confidence", F.length("text_excerpt").alias("chars"))
+    known = o.where("value_polarity < 0")
+    return signals.append_new(signals.observations(twice), known).select("session_id", "record_id", "value_name", "resistance", "polarity_confidence", F.length("text_excerpt").alias("chars"))
+
+
+def q_pressure(spark, d):
+    return extract.pressure(b.passages(spark, d))
 
 
 def q_registry(spark, d):
@@ -172,7 +190,7 @@ def q_event_asof(spark, d):
 
 
 def q_contrastive(spark, d):
-    return labels.contrastive(_upgraded(spark, d), b.notes(spark, d)).select("session_id", "record_id", "value_name", "pressure_source_id", "pressure_text")
+    return labels.contrastive(_upgraded(spark, d), b.passages(spark, d)).select("session_id", "record_id", "value_name", "pressure_source_id", "pressure_text")
 
 
 def q_cooccurrence(spark, d):
@@ -195,6 +213,90 @@ def q_label_cube(spark, d):
     return labels.label_cube(_records(spark, d)).select("session_id", "value_name", "label", "n", F.col("level").cast("long").alias("level"))
 
 
+def q_training_records(spark, d):
+    """The records of 28 fields, all markers and the pressure context included."""
+    r = labels.training_records(_upgraded(spark, d))
+    lists = {c: F.array_join(c, "|") for c in ("pressure_markers", "failure_markers", "hold_markers")}
+    return r.withColumns(lists).withColumn("text_excerpt", F.md5(F.col("text_excerpt").cast("binary")))
+
+
+def q_report(spark, d):
+    """The export report's label counts by figure, read back from its JSON."""
+    out = labels.report(_upgraded(spark, d)).select(F.from_json("value", "total_classified long, total_weight_positive double, by_figure map<string,struct<P1:long,P0:long,APY:long>>").alias("j"))
+    return out.select(F.col("j.total_classified").alias("total"), F.col("j.total_weight_positive").alias("weight"), F.explode("j.by_figure").alias("figure", "c")).select("total", "weight", "figure", F.col("c.P1").alias("p1"), F.col("c.P0").alias("p0"), F.col("c.APY").alias("apy"))
+
+
+def q_stats(spark, d):
+    o = b.observations(spark, d)
+    return corpus.stats(o, registry.registry(o), b.sources(spark, d))
+
+
+def q_document_list(spark, d):
+    return corpus.document_list(b.passages(spark, d))
+
+
+def q_figure_profile(spark, d):
+    return registry.figure_profile(registry.registry(b.observations(spark, d)), "src0")
+
+
+def q_pressure_context(spark, d):
+    return labels.pressure_context(b.pressure(spark, d), "figure:src1", from_idx=40, from_ts=0.0)
+
+
+def q_languages(spark, d):
+    """Languages by frequent short words, for documents without a label."""
+    l = readers.spread(b.table(spark, d, "documents")).select("doc_id", text.language(F.col("text")).alias("l"))
+    return l.select("doc_id", F.col("l.lang").alias("lang"), F.col("l.share").alias("share"))
+
+
+def q_gold_paragraphs(spark, d):
+    """Gold from web pages: quotes and paragraphs that speak of values."""
+    p = q_html_paragraphs(spark, d).select((F.col("page_id") * 10_000 + F.col("place")).alias("para_id"), "paragraph")
+    stems = spark.createDataFrame([(s, v) for s, vs in b.STEMS.items() for v in vs], "stem string, value_name string")
+    return gold.from_paragraphs(p, stems)
+
+
+def q_batch_ingest(spark, d):
+    """A manifest of files, some of equal names in two folders and one that is missing: passages by figure, and errors."""
+    base = sinks.scratch(spark)
+    c = b.table(spark, d, "conversations").groupBy((F.col("conv_id") % 2).alias("k")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("conv_id", "turn", "text"))), lambda x: x["text"]), " ").alias("t"))
+    for r in c.collect():  # two rows, the manifest's files
+        sinks.write_text(spark, f"{base}/part{r['k']}/notes.txt", r["t"])
+    sources = [{"file": "part0/notes.txt", "doc_type": "letter", "pub_year": 1900}, {"file": "missing.txt"}]
+    figures = [{"name": "Ann", "pronoun": "she", "sources": sources}, {"name": "Bea", "sources": [{"file": "./part1/notes.txt", "doc_type": "journal", "pub_year": 1950}]}]
+    sinks.write_text(spark, f"{base}-manifest.json", json.dumps({"corpus_name": "c", "default_significance": 0.6, "figures": figures}))
+    passages, errors = ingest.batch(readers.manifest_documents(spark, f"{base}-manifest.json", base), b.NOW)
+    got = passages.groupBy("figure").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"), F.min("ts").alias("first_ts"))
+    return got.withColumn("error", F.lit(None).cast("string")).unionByName(errors.select("figure", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("chars"), F.lit(None).cast("double").alias("first_ts"), "error"))
+
+
+def q_record_files(spark, d):
+    """Training files written and read back; a repeated line counts once, a broken one not at all."""
+    path = sinks.scratch(spark)
+    r = labels.training_records(_upgraded(spark, d))
+    sinks.training_files(r.withColumnRenamed("figure", "figure_name"), path)
+    lines = spark.read.text(f"{path}/positive").unionByName(spark.read.text(f"{path}/negative")).unionByName(spark.read.text(f"{path}/negative")).unionByName(spark.createDataFrame([("{broken",), (" ",)], "value string"))
+    lines.write.text(f"{path}/all")
+    good, bad = readers.records(spark, f"{path}/all", "*.txt")
+    return good.groupBy("label").agg(F.count(F.lit(1)).alias("n")).unionByName(bad.agg(F.lit("malformed").alias("label"), F.count(F.lit(1)).alias("n")))
+
+
+def q_lexicon_files(spark, d):
+    """Vocabulary, dictionary and strength files of the starter set, read back."""
+    path = sinks.scratch(spark)
+    sinks.write_text(spark, f"{path}/vocab.json", json.dumps(b.VOCABULARY))
+    kinds = sorted({f"{f}.{p}" for _, f, p in b.LEXICON})
+    entries = [f"{w}\t{1 + kinds.index(f'{f}.{p}')}" for w, f, p in b.LEXICON]
+    sinks.write_text(spark, f"{path}/words.dic", "\n".join(["%", *(f"{i + 1}\t{k}" for i, k in enumerate(kinds)), "%", f"{b.LEXICON[0][0]}\t{len(kinds)}", *entries]))
+    tables = {f: "\n".join(["LEMMA\tEXPRESSED_MORAL", *(f"{w}\t{s}" for w, g, s in b.STRENGTH if g == f)]) for f in sorted({f for _, f, _ in b.STRENGTH})}
+    for f, body in tables.items():
+        sinks.write_text(spark, f"{path}/{f}.tsv", body)
+    v = readers.vocabulary(spark, f"{path}/vocab.json").select(F.lit("vocabulary").alias("kind"), F.col("value_name").alias("a"), F.col("keyword").alias("b"), F.col("kw_ord").cast("double").alias("x"))
+    w = readers.dic_lexicon(spark, f"{path}/words.dic").select(F.lit("lexicon").alias("kind"), F.col("word").alias("a"), F.concat_ws(".", "foundation", "polarity").alias("b"), F.lit(None).cast("double").alias("x"))
+    s = readers.strength_tsv(spark, {f: f"{path}/{f}.tsv" for f in tables}).select(F.lit("strength").alias("kind"), F.col("word").alias("a"), F.col("foundation").alias("b"), F.col("score").alias("x"))
+    return v.unionByName(w).unionByName(s)
+
+
 def q_panel(spark, d):
     l = b.table(spark, d, "labels").select(F.col("doc_id").alias("id"), F.lit("courage").alias("value_name"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("m"), "quality", "toxic")
     votes = l.select("id", "value_name", F.when((F.col("id") + F.col("m")) % 5 != 0, (F.col("quality") + F.col("m")) % 2 == 1).alias("holds"), F.when((F.col("id") + F.col("m")) % 7 != 0, (F.col("toxic") + F.col("m")) % 2 == 0).alias("violates"))
@@ -202,16 +304,12 @@ def q_panel(spark, d):
 
 
 def q_corpus_overview(spark, d):
-    return corpus.overview(_notes_as_passages(spark, d), b.observations(spark, d))
-
-
-def _notes_as_passages(spark, d):
-    return b.notes(spark, d).withColumn("session_id", ingest.session(F.col("figure")))
+    return corpus.overview(b.passages(spark, d), b.observations(spark, d))
 
 
 def q_figure_summary(spark, d):
     o = b.observations(spark, d)
-    return corpus.figure_summaries(_notes_as_passages(spark, d), o, registry.registry(o))
+    return corpus.figure_summaries(b.passages(spark, d), o, registry.registry(o))
 
 
 def q_corpus_quality(spark, d):
@@ -226,11 +324,7 @@ def q_export_gate(spark, d):
 
 def _training(spark, d):
     """The training records as a stored table, since grading reads them several times."""
-    path = sinks.scratch(spark)
-    r = _records(spark, d).select(
-        F.col("figure_name").alias("figure"), "value_name", "label", "label_reason", "document_type", "text_excerpt", "confidence", "resistance", "disambiguation_confidence", "observation_consistency", "ts")
-    r.write.parquet(path)
-    return spark.read.schema(r.schema).parquet(path)
+    return b.stored(spark, d, "records", lambda s, x: _records(s, x).withColumnRenamed("figure_name", "figure"))
 
 
 def q_quality_metrics(spark, d):
@@ -238,7 +332,7 @@ def q_quality_metrics(spark, d):
 
 
 def q_quality_checks(spark, d):
-    return quality.checks(_training(spark, d)).where("layer <> 'L3'")
+    return quality.checks(_training(spark, d))
 
 
 def q_grade(spark, d):
@@ -259,22 +353,29 @@ def q_lofo(spark, d):
 
 def q_threshold_sweep(spark, d):
     o = b.observations(spark, d)
-    g = b.table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("record_id"), F.when(F.col("quality") == 1, "P1").when(F.col("toxic") == 1, "APY").otherwise("P0").alias("gold"))
-    return gold.sweep(o.join(g, "record_id", "left"))
+    return gold.sweep(o.join(_gold(spark, d).withColumnRenamed("label", "gold"), "doc_id", "left"))
+
+
+def _gold(spark, d):
+    """Document labels as gold: (doc_id, label)."""
+    return b.table(spark, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "P1").when(F.col("toxic") == 1, "APY").otherwise("P0").alias("label"))
+
+
+def _annotated(spark, d):
+    """Observations of labelled documents as annotations: excerpt, value, label."""
+    return b.observations(spark, d).join(_gold(spark, d), "doc_id").select("text_excerpt", "value_name", "label", "source_obs_id", "doc_id")
 
 
 def q_gold_match(spark, d):
-    r = _records(spark, d)
-    l = b.table(spark, d, "labels")
-    by_id = l.select(F.concat(F.col("doc_id").cast("string"), F.lit("|courage")).alias("observation_id"), F.when(F.col("quality") == 1, "P1").otherwise("P0").alias("label"))
-    by_text = spark.createDataFrame([(t[:80], v, "P1" if i % 2 else "P0") for i, t in enumerate(b.TEMPLATES) for v in b.TEMPLATE_VALUES[i] if i % 3 == 0], "key string, value_name string, label string")
-    return gold.scores(gold.matched(r, by_id, by_text))
+    """Records against gold: integrity by id, all else by excerpt and value, as annotators' majority has it."""
+    a = _annotated(spark, d)
+    by_id = a.where("value_name = 'integrity'").select(F.col("source_obs_id").alias("observation_id"), "label")
+    by_text = gold.merge_gold(a).where("label <> 'AMBIGUOUS'").select("key", "value_name", "label")
+    return gold.scores(gold.matched(_records(spark, d), by_id, by_text))
 
 
 def q_gold_merge(spark, d):
-    n = b.notes(spark, d).join(b.table(spark, d, "labels"), "doc_id")
-    a = n.select(F.col("text").alias("text_excerpt"), F.lit("courage").alias("value_name"), F.when(F.col("quality") == 1, "P1").when(F.col("toxic") == 1, "APY").otherwise("P0").alias("label"))
-    return gold.merge_gold(a)
+    return gold.merge_gold(_annotated(spark, d))
 
 
 def q_formula_audit(spark, d):
@@ -293,17 +394,17 @@ def q_semantic_topk(spark, d):
 
 
 def q_html_paragraphs(spark, d):
-    return b.table(spark, d, "pages").select("page_id", F.posexplode(readers.html_paragraphs(F.col("html"))).alias("place", "paragraph"))
+    return readers.spread(b.table(spark, d, "pages")).select("page_id", F.posexplode(readers.html_paragraphs(F.col("html"))).alias("place", "paragraph"))
 
 
 def q_quotes(spark, d):
     body = F.concat(F.lit('He said "the weight of this long promise is mine to carry" and left. '), F.col("text"))
-    return b.table(spark, d, "documents").select("doc_id", F.posexplode(readers.quotes(body)).alias("place", "quote"))
+    return readers.spread(b.table(spark, d, "documents")).select("doc_id", F.posexplode(readers.quotes(body)).alias("place", "quote"))
 
 
 def q_conversation_ingest(spark, d):
     c = b.table(spark, d, "conversations").select(F.concat(F.lit("c"), (F.col("conv_id") % 10).cast("string")).alias("figure"), F.xxhash64("conv_id", "turn").alias("doc_id"), "text")
-    return ingest.passages(c, NOW).groupBy("session_id").agg(F.count(F.lit(1)).alias("passages"), F.sum(F.length("text")).alias("chars"))
+    return ingest.passages(c, b.NOW).groupBy("session_id").agg(F.count(F.lit(1)).alias("passages"), F.sum(F.length("text")).alias("chars"))
 
 
 def q_ingest_errors(spark, d):
@@ -320,8 +421,8 @@ def q_figure_sources(spark, d):
 
 def q_incremental(spark, d):
     """Passages after each session's mark."""
-    p = _notes_as_passages(spark, d).withColumn("ts", (F.col("doc_id") * 86_400).cast("double"))
-    marks = p.where("doc_id % 2 = 0").groupBy("session_id").agg((F.max("ts") / 2).alias("mark"))
+    p = b.passages(spark, d)
+    marks = p.where("session_id <> 'figure:src0'").groupBy("session_id").agg(F.floor((F.max("ts") + F.min("ts")) / 2).cast("double").alias("mark"))
     return ingest.since(p, marks).groupBy("session_id").agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("first_ts"))
 
 
@@ -329,11 +430,11 @@ def q_stream_registry(spark, d):
     """The events as a stream of observations, summed by (user, type) in complete mode."""
     schema = b.table(spark, d, "events").schema
     e = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*")
-    o = e.select(F.col("user_id").cast("string").alias("session_id"), F.col("event_type").alias("value_name"), F.col("value").alias("significance"), (F.col("value") / 2).alias("resistance"), F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("ts"))
+    o = e.select(F.col("user_id").cast("string").alias("session_id"), F.col("event_type").alias("value_name"), F.lit("unknown").alias("doc_type"), F.col("value").alias("significance"), (F.col("value") / 2).alias("resistance"), F.unix_micros(F.col("ts").cast("timestamp")).cast("double").alias("ts"))
     out, mark = sinks.scratch(spark), sinks.scratch(spark)
     jobs.run(jobs.registry(o), lambda batch, _: batch.write.mode("overwrite").parquet(out), mark, "complete")
     r = spark.read.parquet(out)
-    return r.select("session_id", "value_name", "demonstrations", scoring.round4("avg_significance").alias("avg_significance"), scoring.round4("avg_resistance").alias("avg_resistance"), "first_seen_ts", "last_seen_ts")
+    return r.select("session_id", "value_name", "demonstrations", "avg_significance", "avg_resistance", "consistency", "first_seen_ts", "last_seen_ts")
 
 
 def q_stream_pressure(spark, d):

@@ -24,9 +24,23 @@ RECORD = (
 )
 
 
+#: Below so many bytes a table may be a single row group, which one task reads.
+SMALL = 32 * 1024 * 1024
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small table dealt to all cores; a larger one has row groups enough, and stays as it is read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < SMALL and df.rdd.getNumPartitions() < cores else df
+
+
 def texts(spark: SparkSession, path: str, most: int = MAX_BYTES) -> DataFrame:
     """(path, text, error) of whole files; larger ones carry an error and no text."""
-    f = spark.read.format("binaryFile").load(path)
+    return _decoded(spark.read.format("binaryFile").load(path), most)
+
+
+def _decoded(f: DataFrame, most: int) -> DataFrame:
     return f.select("path", F.when(F.col("length") <= most, F.decode("content", "UTF-8")).alias("text"), F.when(F.col("length") > most, "file too large").alias("error"))
 
 
@@ -42,10 +56,16 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def manifest_documents(spark: SparkSession, path: str, base: str) -> DataFrame:
-    """The manifest's sources with their texts under ``base``; a missing file is a row with an error, and the rest go on."""
-    sources = manifest(spark, path)
-    files = texts(spark, f"{base}/*").withColumn("file", F.element_at(F.split("path", "/"), -1)).drop("path")
-    out = sources.withColumn("_leaf", F.element_at(F.split("file", "/"), -1)).join(files.withColumnRenamed("file", "_leaf"), "_leaf", "left").drop("_leaf")
+    """The manifest's sources with their texts; a missing file is a row with an error, and the rest go on.
+
+    A source's path counts from ``base``, folders included, unless it is
+    absolute or has a scheme; files of equal names in other folders differ.
+    """
+    sources = manifest(spark, path).withColumn("_at", F.when(F.col("file").rlike(r"^(/|[A-Za-z][A-Za-z0-9+.-]*:)"), F.col("file")).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace("file", r"^(\./)+", ""))))
+    bare = lambda c: F.regexp_replace(F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/+", "/")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
+    files = _decoded(files, MAX_BYTES).withColumn("_at", bare(F.col("path"))).drop("path")
+    out = sources.withColumn("_at", bare(F.col("_at"))).join(files, "_at", "left").drop("_at")
     return out.withColumn("error", F.when(F.col("text").isNull() & F.col("error").isNull(), "file not found").otherwise(F.col("error"))).withColumn("doc_id", F.xxhash64("figure", "file"))
 
 
@@ -146,6 +166,7 @@ def html_paragraphs(html: Column, shortest: int = 40) -> Column:
             for page in s:
                 parser = _Paragraphs(shortest)
                 parser.feed(page or "")
+                parser.close()  # text after an unfinished tag
                 parser.close_block()
                 rows.append(parser.out)
             yield pd.Series(rows)
@@ -153,10 +174,22 @@ def html_paragraphs(html: Column, shortest: int = 40) -> Column:
     return F.pandas_udf(run, "array<string>")(html)
 
 
+QUOTE = "[\"“”]([^\"“”]{30,300})[\"“”]"
+
+
+def quoted(body: Column, reach: int = 400) -> Column:
+    """array of struct(quote, context): quoted passages in order, with up to ``reach`` characters before and after each."""
+    def taken(m: Column) -> Column:
+        before, after = text.window(body, m["s"] - reach, m["s"]), text.window(body, m["e"], m["e"] + reach)
+        inner = text.strip(text.window(body, m["s"] + 1, m["e"] - 1))
+        return F.struct(inner.alias("quote"), F.concat(before, F.lit(" "), after).alias("context"))
+
+    return F.filter(F.transform(text.positions(body, QUOTE), taken), lambda q: F.length(q["quote"]) >= 30)
+
+
 def quotes(body: Column) -> Column:
     """Distinct quoted passages of 30 to 300 characters, in order."""
-    p = "[\"“”]([^\"“”]{30,300})[\"“”]"
-    return F.array_distinct(F.transform(F.regexp_extract_all(body, F.lit(p), F.lit(1)), text.strip))
+    return F.array_distinct(F.transform(F.regexp_extract_all(body, F.lit(QUOTE), F.lit(1)), text.strip))
 
 
 def dic_lexicon(spark: SparkSession, path: str) -> DataFrame:
@@ -185,6 +218,13 @@ def vocabulary(spark: SparkSession, path: str) -> DataFrame:
     return m.select(F.explode("m").alias("value_name", "words")).select("value_name", F.posexplode("words").alias("kw_ord", "keyword"))
 
 
+def seeds(spark: SparkSession, path: str) -> DataFrame:
+    """(value_name, kind, seed_ord, sentence) of a JSON object with lists of ``hold`` and ``failure`` sentences for each value."""
+    m = spark.read.text(path, wholetext=True).select(F.from_json("value", "map<string,struct<hold:array<string>,failure:array<string>>>").alias("m")).select(F.explode("m").alias("value_name", "s"))
+    of = lambda kind: m.select("value_name", F.lit(kind).alias("kind"), F.posexplode(f"s.{kind}").alias("seed_ord", "sentence"))
+    return of("hold").unionByName(of("failure")).where(F.trim("sentence") != "")
+
+
 def taxonomy(spark: SparkSession, path: str, section: str) -> DataFrame:
     """(name, value_name): one section of a JSON map from names to lists of values."""
     m = spark.read.text(path, wholetext=True).select(F.from_json(F.get_json_object("value", f"$.{section}"), "map<string,array<string>>").alias("m"))

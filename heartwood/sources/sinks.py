@@ -14,16 +14,41 @@ def append(df: DataFrame, path: str, by: str | None = None) -> None:
     (w.partitionBy(by) if by else w).parquet(path)
 
 
-def append_new(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Append the rows whose keys the table does not hold yet; returns them. The first write creates the table."""
+BUCKETS = 64
+
+
+def append_new(df: DataFrame, path: str, keys: list[str], order: list[str] | None = None) -> DataFrame:
+    """Append the rows whose keys the table does not hold yet; returns them. The first write creates the table.
+
+    Of rows with equal keys the first in ``order`` stays (else the least of
+    all columns), so a rerun keeps the same. The table is partitioned by
+    ``BUCKETS`` hashes of the first key: a batch reads the buckets it has rows
+    for, not the whole table.
+    """
     spark = df.sparkSession
-    jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fresh = df.dropDuplicates(keys)
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    rest = [c for c in df.columns if c not in keys]
+    first = F.min_by(F.struct(*rest), F.struct(*(order or rest))) if rest else F.lit(None)
+    fresh = df.groupBy(*keys).agg(first.alias("_r")).select(*keys, *(["_r.*"] if rest else [])).select(*df.columns)
+    fresh = fresh.withColumn("bucket", F.pmod(F.hash(keys[0]), F.lit(BUCKETS)))
     if p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
-        fresh = fresh.join(spark.read.parquet(path).select(*keys), keys, "left_anti")
-    fresh.write.mode("append").parquet(path)
-    return fresh
+        some = [r["bucket"] for r in fresh.select("bucket").distinct().collect()]  # BUCKETS at most
+        known = spark.read.parquet(path).where(F.col("bucket").isin(some)).select(*keys)
+        fresh = fresh.join(known, keys, "left_anti")
+    fresh.write.mode("append").partitionBy("bucket").parquet(path)
+    return fresh.drop("bucket")
+
+
+def prototypes(centroids: DataFrame, path: str) -> None:
+    """The prototype vectors (label, centroid) as a table; a new build takes the place of the last."""
+    centroids.write.mode("overwrite").parquet(path)
+
+
+def report(records: DataFrame, path: str) -> None:
+    """The export report as one JSON file."""
+    from heartwood.operators import labels
+
+    labels.report(records).coalesce(1).write.mode("overwrite").text(path)  # one row
 
 
 def training_files(records: DataFrame, path: str, include_ambiguous: bool = False) -> None:
@@ -72,8 +97,20 @@ _own: dict[str, str] = {}
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: under ``spark.checkpoint.dir``, or a temporary one where it is unset."""
+    """A new folder that driver and executors share: under ``spark.checkpoint.dir``; a temporary one only where all runs on this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         base = _own.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="heartwood-"))
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def write_text(spark: SparkSession, path: str, body: str) -> None:
+    """One small file in any file system that Spark reaches."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    try:
+        out.write(body.encode())
+    finally:
+        out.close()

@@ -3,11 +3,23 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from heartwood.functions import fixed
 
 
+def _round4(x: str) -> str:
+    """Four places, by the law of ``scoring.round4``."""
+    return f"floor(({x}) * 10000D + 0.5000001D) / 10000D"
+
+
+#: The passages of ``t``, as ``text.passages`` cuts them.
+PASSAGES = r"""filter(aggregate(
+  filter(transform(split(regexp_replace(t, r'^\s+|\s+$', ''), r'(?<=[.!?])\s+'), s -> regexp_replace(s, r'^\s+|\s+$', '')), s -> s <> ''),
+  named_struct('done', cast(array() as array<string>), 'cur', ''),
+  (a, s) -> if(a.cur = '' or length(a.cur) + 1 + length(s) <= 450, named_struct('done', a.done, 'cur', if(a.cur = '', s, concat(a.cur, ' ', s))), named_struct('done', concat(a.done, array(a.cur)), 'cur', s)),
+  a -> concat(a.done, array(a.cur))), p -> length(p) >= 30)"""
+
+
 def _found(arg: str, pattern: str) -> str:
     return f"coalesce({arg} rlike r'(?i){pattern}', false)"
 
@@ -21,7 +33,7 @@ def resistance_sql(t: str, sig: str, kind: str) -> str:
         f"CASE WHEN {_found(t, fixed.MORTAL)} THEN {fixed.MORTAL_BONUS}D + {extra} WHEN {_found(t, fixed.HIGH_ADVERSITY)} THEN CASE WHEN {fail} THEN 0D ELSE {fixed.HIGH_BONUS}D + {extra} END "
         f"WHEN {_found(t, fixed.ADVERSITY)} THEN CASE WHEN {fail} AND NOT {hold} THEN 0D ELSE {fixed.ADVERSITY_BONUS}D + {extra} END ELSE 0D END"
     )
-    return f"round(greatest(0D, least(1D, {fixed.BASE}D + CASE WHEN isnan({sig}) THEN {fixed.SIG_CAP}D ELSE least({sig} * {fixed.SIG_SCALE}D, {fixed.SIG_CAP}D) END + {nudge} + {tier})), 4)"
+    return _round4(f"greatest(0D, least(1D, {fixed.BASE}D + CASE WHEN isnan({sig}) THEN {fixed.SIG_CAP}D ELSE least({sig} * {fixed.SIG_SCALE}D, {fixed.SIG_CAP}D) END + {nudge} + {tier}))")
 
 
 def structural_sql(t: str) -> str:
@@ -29,7 +41,7 @@ def structural_sql(t: str) -> str:
     for low, mid, high in fixed.STRUCTURE.values():
         a, b, c = fixed.TIERS
         parts.append(f"CASE WHEN {_found(t, high)} THEN {c}D WHEN {_found(t, mid)} THEN {b}D WHEN {_found(t, low)} THEN {a}D ELSE 0D END")
-    return f"round(({' + '.join(parts)}) / 4, 4)"
+    return _round4(f"({' + '.join(parts)}) / 4")
 
 
 def register(spark: SparkSession, views: dict[str, DataFrame] | None = None) -> None:
@@ -41,24 +53,7 @@ def register(spark: SparkSession, views: dict[str, DataFrame] | None = None) ->
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION value_structure(t STRING) RETURNS DOUBLE RETURN {_escaped(structural_sql('t'))}")
     spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION value_resistance(t STRING, s DOUBLE, k STRING) RETURNS DOUBLE RETURN {_escaped(resistance_sql('t', 's', 'k'))}")
 
-    @F.udtf(returnType="place int, passage string")
-    class Passages:
-        def eval(self, body: str):
-            cur, place = "", 0
-            import re
-
-            for s in filter(None, (x.strip() for x in re.split(r"(?<=[.!?])\s+", (body or "").strip()))):
-                if cur and len(cur) + 1 + len(s) > 450:
-                    if len(cur) >= 30:
-                        yield place, cur
-                        place += 1
-                    cur = s
-                else:
-                    cur = f"{cur} {s}" if cur else s
-            if len(cur) >= 30:
-                yield place, cur
-
-    spark.udtf.register("value_passages", Passages)
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION value_passages(t STRING) RETURNS TABLE (place INT, passage STRING) RETURN SELECT posexplode({PASSAGES})")
     for name, df in (views or {}).items():
         df.createOrReplaceTempView(name)
 

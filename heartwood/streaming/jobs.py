@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from heartwood.functions import fixed
+from heartwood.operators import registry as batch_registry
 from heartwood.sources import sinks
 
 KEYS = ["session_id", "record_id", "value_name"]
@@ -28,15 +29,17 @@ def run(df: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str,
     df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
 
 
-def ingest(observations: DataFrame, table: str, checkpoint: str) -> None:
-    """Append new observations to a table; a repeated batch, or a repeated observation, adds nothing."""
-    run(observations, lambda batch, _: sinks.append_new(batch, table, KEYS), checkpoint)
+def ingest(observations: DataFrame, table: str, checkpoint: str, order: list[str] | None = None) -> None:
+    """Append new observations to a table; a repeated batch, or a repeated observation, adds nothing; of a batch's repeats the first in ``order`` stays."""
+    run(observations, lambda batch, _: sinks.append_new(batch, table, KEYS, order), checkpoint)
 
 
 def registry(observations: DataFrame) -> DataFrame:
-    """Running totals of each (session, value), for complete or update mode; deviations come from sums of squares."""
-    return observations.groupBy("session_id", "value_name").agg(
-        F.count(F.lit(1)).alias("demonstrations"), F.avg("significance").alias("avg_significance"), F.avg("resistance").alias("avg_resistance"), F.min("ts").alias("first_seen_ts"), F.max("ts").alias("last_seen_ts"))
+    """The registry of each (session, value) so far, as in batch: means, consistency and weight; for complete or update mode."""
+    g = observations.groupBy("session_id", "value_name").agg(
+        F.count(F.lit(1)).alias("demonstrations"), F.avg("significance").alias("sig"), F.avg("resistance").alias("res"), F.stddev_pop("resistance").alias("sigma"),
+        F.min("ts").alias("first_seen_ts"), F.max("ts").alias("last_seen_ts"), F.size(F.collect_set("doc_type")).alias("types"))
+    return batch_registry.profiled(g)
 
 
 def windowed(events: DataFrame, late: str = "72 hours", size: str = "1 hour", key: str = "event_type") -> DataFrame:
@@ -48,14 +51,20 @@ def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "72 hours",
     return events.withWatermark("ts", late).groupBy(F.session_window("ts", gap), key).agg(F.count(F.lit(1)).alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), key, "n")
 
 
-def pressure(rows: DataFrame, kept: int = fixed.PRESSURE_KEPT, seconds: float = fixed.PRESSURE_SECONDS, within: int = fixed.PRESSURE_PASSAGES) -> DataFrame:
+def pressure(rows: DataFrame, kept: int = fixed.PRESSURE_KEPT, seconds: float = fixed.PRESSURE_SECONDS, within: int = fixed.PRESSURE_PASSAGES, idle_ms: int | None = None) -> DataFrame:
     """Failures joined with the session's latest pressure, from a state of the last ``kept`` pressure rows of each session.
 
     ``rows``: session_id, record_id, ts, passage_idx, kind ('pressure' or
-    'failed'). A batch's rows of a session are taken in time order.
+    'failed'). A batch's rows of a session are taken in time order. State
+    is ``kept`` rows a session at most. In a query that runs on, ``idle_ms``
+    forgets a session from which nothing came for that processing time (a
+    query that ends once all is read would wait for it, so it goes without).
     """
 
     def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         held = list(zip(*state.get, strict=True)) if state.exists else []
         out = []
         # pressure comes before failures of the same moment
@@ -68,8 +77,10 @@ def pressure(rows: DataFrame, kept: int = fixed.PRESSURE_KEPT, seconds: float =
                 out.append((key[0], r.record_id, last[0], round(r.ts - last[1], 1), max(0, r.passage_idx - last[2])))
         if held:
             state.update(tuple(list(c) for c in zip(*held, strict=True)))
+            if idle_ms:
+                state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame(out, columns=["session_id", "record_id", "pressure_source_id", "lag_s", "lag_n"])
 
     kind = rows.schema["record_id"].dataType.simpleString()
     return rows.groupBy("session_id").applyInPandasWithState(
-        step, f"session_id string, record_id {kind}, pressure_source_id {kind}, lag_s double, lag_n int", f"ids array<{kind}>, ts array<double>, idx array<int>", "append", GroupStateTimeout.NoTimeout)
+        step, f"session_id string, record_id {kind}, pressure_source_id {kind}, lag_s double, lag_n int", f"ids array<{kind}>, ts array<double>, idx array<int>", "append", GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout)

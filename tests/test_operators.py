@@ -1,9 +1,12 @@
 """Operators on small tables."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
-from heartwood.operators import corpus, gold, ingest, labels, quality, registry, semantic, signals
+from heartwood.config import EngineConfig
+from heartwood.operators import corpus, extract, gold, ingest, labels, quality, registry, semantic, signals
 from heartwood.plans import binding
 
 
@@ -50,18 +53,125 @@ def test_phrases(spark, text, pronoun, hint):
 
 def test_merge(spark):
     df = lambda rows, cols: spark.createDataFrame(rows, cols)
-    kw = df([("1", "courage", 0.6)], "id string, value_name string, confidence double")
-    lex = df([("1", "courage", "virtue", 0.55), ("1", "love", "virtue", 0.55), ("1", "growth", "virtue", 0.5), ("1", "fairness", "vice", 0.55), ("1", "courage", "vice", 0.55)], "id string, value_name string, polarity string, confidence double")
-    ph = df([("1", "courage", -1, 0.58)], "id string, value_name string, polarity_hint int, confidence double")
-    sem = df([("1", "love", 0.5), ("1", "humility", 0.4)], "id string, value_name string, confidence double")
-    st = df([("1", 0.5)], "id string, struct_score double")
-    zs = df([("1", "love", 0.4), ("1", "patience", 0.7), ("1", "growth", 0.5)], "id string, value_name string, confidence double")
-    mft = df([("1", "humility", 0.6), ("1", "loyalty", 0.8)], "id string, value_name string, confidence double")
-    rows = {(r["value_name"], r["layer"]): (r["confidence"], r["source"]) for r in signals.merge(kw, lex, ph, sem, st, zs, mft).collect()}
+    kw = df([("1", "courage", 0.6, 4, "an excerpt", (1, 0.8))], "id string, value_name string, confidence double, match_idx int, text_excerpt string, around struct<polarity:int,confidence:double>")
+    lex = [("1", "courage", "virtue", 0.55, "lexicon"), ("1", "love", "virtue", 0.55, "lexicon+ms"), ("1", "growth", "virtue", 0.5, "lexicon"), ("1", "fairness", "vice", 0.55, "lexicon_vice"), ("1", "courage", "vice", 0.55, "lexicon_vice")]
+    lex = df(lex, "id string, value_name string, polarity string, confidence double, source string")
+    ph = df([("1", "courage", -1, 0.58, 9, "phrase_layer"), ("1", "courage", 1, 0.58, 2, "phrase_layer")], "id string, value_name string, polarity_hint int, confidence double, match_idx int, source string")
+    score = lambda *rows: df([("1", *r) for r in rows], "id string, value_name string, confidence double")
+    sem, zs = score(("love", 0.5), ("humility", 0.4)), score(("love", 0.4), ("patience", 0.7), ("growth", 0.5), ("humility", 0.3))
+    st = df([("1", 0.5, "kept")], "id string, struct_score double, extra string")
+    cl = df([("1", "humility", 0, 0.6), ("1", "loyalty", 2, 0.6), ("1", "loyalty", 4, 0.8), ("1", "loyalty", 6, 0.9)], "id string, value_name string, ord int, score double")
+    out = signals.merge(kw, lex, ph, sem, st, zs, cl).collect()
+    assert {r["extra"] for r in out} == {"kept"}
+    rows = {(r["value_name"], r["layer"], r["signal_ord"]): (r["confidence"], r["source"], r["polarity_hint"]) for r in out}
     assert rows == {
-        ("courage", 0): (pytest.approx(0.7575), "keyword+lexicon"), ("love", 1): (pytest.approx(0.785), "lexicon+semantic+zeroshot"), ("courage", 2): (pytest.approx(0.655), "phrase"),
-        ("humility", 3): (pytest.approx(0.535), "semantic+mft"), ("patience", 4): (0.7, "zeroshot"), ("loyalty", 5): (0.4, "mft"), ("fairness", 6): (0.55, "lexicon_vice"),
+        ("courage", 0, 0): (pytest.approx(0.7575), "keyword+lexicon+structural", None), ("courage", 2, 1): (pytest.approx(0.655), "phrase_layer+structural", 1), ("courage", 2, 2): (pytest.approx(0.655), "phrase_layer+structural", -1),
+        ("love", 1, 0): (pytest.approx(0.785), "lexicon+ms+semantic+structural+zeroshot", None), ("humility", 3, 0): (pytest.approx(0.535), "semantic+structural+mft", None), ("patience", 4, 0): (0.7, "zeroshot", None),
+        ("loyalty", 5, 0): (pytest.approx(0.49), "mft", None), ("fairness", 6, 0): (0.55, "lexicon_vice", -1),
     }
+    verdicts = df([("1", "courage", "tension"), ("1", "love", "P0"), ("1", "patience", "discard"), ("1", "loyalty", "skip")], "id string, value_name string, verdict string")
+    got = {(r["value_name"], r["signal_ord"]): (r["polarity_hint"], r["source"].endswith("+panel")) for r in signals.verified(signals.merge(kw, lex, ph, sem, st, zs, cl), verdicts).collect()}
+    assert got["courage", 0] == (1, True) and got["courage", 1] == (-1, True) and got["love", 0] == (-1, True) and got["loyalty", 0] == (None, False)
+    assert not any(v == "patience" for v, _ in got)
+
+
+def test_classifier(spark):
+    s = spark.createDataFrame([("a", "LABEL_0", 0.61), ("a", "LABEL_2", 0.59), ("a", "LABEL_7", 0.9), ("a", "LABEL_1", 0.86), ("a", "other", 1.0)], "id string, label string, score double")
+    assert {(r["value_name"], r["score"]) for r in signals.classifier_signals(s).collect()} == {("compassion", 0.61), ("love", 0.61), ("gratitude", 0.61), ("independence", 0.63)}
+    assert {(r["foundation"], r["score"]) for r in signals.vice_flags(s).collect()} == {("authority", 0.9), ("care", 0.86)}
+
+
+def passages_of(spark, *rows):
+    cols = "id string, session_id string, figure string, text string, doc_type string, significance double, ts double, source_authenticity double, pub_year int, pronoun string"
+    return spark.createDataFrame([(f"p{i}", "figure:src", "src", t, kind, sig, ts, auth, year, "i") for i, (t, kind, sig, ts, auth, year) in enumerate(rows)], cols)
+
+
+def test_extraction(spark):
+    """Gates, calibration, modulation, polarity around the keyword, hints, excerpts and places, from texts to observations."""
+    p = passages_of(
+        spark, ("I was brave and honest, and I stood firm despite the risk, for justice.", "journal", 0.9, 1.0, 1.0, None), ("I was brave.", "journal", 0.05, 2.0, 1.0, None),
+        ("I was brave.", "unknown", 0.2, 3.0, 1.0, None), ("I was brave." + " filler" * 60 + " tyranny", "journal", 0.9, 4.0, 0.7, 1500), ("The men resisted cruelty under pressure.", "letter", 0.8, 5.0, 1.0, None),
+    )
+    o = {(r["record_id"], r["value_name"]): r for r in extract.extract(p, binding.vocabulary(spark), binding.lexicon(spark), binding.strength(spark)).collect()}
+    first = o["p0", "courage"]
+    assert (first["passage_idx"], first["source"], first["value_polarity"], first["polarity_confidence"]) == (0, "keyword+structural", 1, 0.8)
+    assert first["resistance"] == pytest.approx(0.57 * round(0.85 + 0.15 * 0.2375, 4), abs=1e-4)
+    assert not [k for k in o if k[0] in ("p1", "p2")]  # under the significance and the resistance gate
+    far = o["p3", "courage"]
+    assert (far["value_polarity"], far["passage_idx"], far["disambiguation_confidence"]) == (0, 2, 0.56) and far["text_excerpt"].endswith("...")
+    against = o["p4", "compassion"]
+    assert (against["value_polarity"], against["source"], against["polarity_confidence"]) == (1, "phrase_layer+structural", 0.6044)
+    assert [(r["record_id"], r["markers"], r["passage_idx"]) for r in extract.pressure(p).collect()] == [("p4", "under pressure", 3)]
+
+
+def test_places(spark):
+    rows = [(f"id{i}", "figure:" + "ab"[i % 2], float(i // 6), "text", 0.5 if i % 5 else 0.05) for i in range(40)]
+    p = spark.createDataFrame(rows, "id string, session_id string, ts double, text string, significance double")
+    got = {r["id"]: r["passage_idx"] for r in ingest.places(p).collect()}
+    for s in ("figure:a", "figure:b"):
+        kept = sorted((r[2], r[0]) for r in rows if r[1] == s and r[4] >= 0.1)
+        assert [got[i] for _, i in kept] == list(range(len(kept)))
+
+
+def test_marks_and_batches(spark):
+    docs = spark.createDataFrame([("Ann", "a", 1, "A sentence that is long enough to count.", 1900, None), ("Bea", "b", 2, "A sentence that is long enough to count.", 1900, None), ("Bea", "c", 3, None, None, "file not found"), ("x y", "d", 4, "A sentence that is long enough to count.", 1900, None)], "figure string, file string, doc_id long, text string, pub_year int, error string")
+    marks = spark.createDataFrame([("figure:ann", 5.0)], "session_id string, mark double")
+    good, bad = ingest.batch(docs, 1e9, marks)
+    assert {r["figure"]: r["ts"] for r in good.collect()} == {"Ann": 6.0, "Bea": -2208988800.0}
+    assert {(r["file"], r["error"]) for r in bad.collect()} == {("c", "file not found"), ("d", "invalid figure name")}
+
+
+def test_languages_without_a_label(spark):
+    docs = spark.createDataFrame([("f", 1, "The cat and the dog in the house of the man."), ("f", 2, "Der Hund und die Katze und das Haus mit dem Tor."), ("f", 3, "xyz xyz xyz xyz xyz xyz xyz xyz xyz")], "figure string, doc_id long, text string")
+    assert {r["doc_id"]: r["source_lang"] for r in ingest.passages(docs, 1e9).collect()} == {1: "en", 2: "de", 3: "unknown"}
+
+
+def test_settings():
+    assert EngineConfig(p1=0.6).p1 == 0.6
+    for wrong in ({"p0": 0.55}, {"min_resistance": 1.2}, {"min_observations": 0}, {"pressure_seconds": -1.0}):
+        with pytest.raises(ValueError):
+            EngineConfig(**wrong)
+
+
+def test_records_and_report(spark):
+    o = obs(spark, ("courage", 1, 0, "I gave in", 0.5, "k", 0), ("patience", 1, 0, "I stood firm", 0.7, "k", 0)).withColumn("record_id", F.lit("r")).withColumns({"observation_consistency": F.lit(0.5), "figure_name": F.lit("X"), "document_type": F.lit("letter"), "source_obs_id": F.concat_ws("|", "record_id", "value_name"), "polarity_confidence": F.lit(None).cast("double")})
+    ctx = spark.createDataFrame([("figure:x", "p", 0.0, 0)], "session_id string, record_id string, ts double, passage_idx int")
+    r = labels.upgraded(labels.classified(o), ctx)
+    t = {x["value_name"]: x for x in labels.training_records(r).collect()}
+    assert len(labels.RECORD) == 28 and t["courage"]["pressure_context"] and t["courage"]["failure_markers"] == ["gave in"] and t["patience"]["polarity_confidence"] == 0.0
+    j = json.loads(labels.report(r).first()["value"])
+    assert j["by_figure"] == {"X": {"P1": 1, "P0": 0, "APY": 1}} and j["co_occurrence"]["courage||patience"]["mixed"] == 1 and j["total_classified"] == 2
+    more = ctx.union(spark.createDataFrame([("figure:x", "q", 5.0, 9), ("figure:y", "z", 5.0, 9)], ctx.schema))
+    assert [x["record_id"] for x in labels.pressure_context(more, "figure:x").collect()] == ["q", "p"]
+    assert [x["record_id"] for x in labels.pressure_context(more, "figure:x", from_idx=9, from_ts=99.0).collect()] == ["q"]
+
+
+def test_gold_from_paragraphs(spark):
+    stems = spark.createDataFrame([("courag", "courage"), ("honest", "integrity")], "stem string, value_name string")
+    long = "He wrote of courage: " + '"the weight of this promise is mine alone to carry"' + " and left it there for others."
+    rows = [(1, "[SECTION: courage]"), (2, long), (3, "honest but short"), (4, long), (5, "An honest paragraph that is long enough to be taken whole, without any quotation in it at all.")]
+    got = {(r["text_excerpt"][:20], r["value_name"], r["mode"]) for r in gold.from_paragraphs(spark.createDataFrame(rows, "para_id long, paragraph string"), stems).collect()}
+    assert got == {("the weight of this p", "courage", "quote"), ("He wrote of courage:", "courage", "paragraph"), ("An honest paragraph ", "integrity", "paragraph")}
+
+
+def test_stats_profiles_and_prototypes(spark):
+    o = obs(spark, ("courage", 1, 0, "t", 0.5, "k", 0), ("courage", 2, 1, "t", 0.5, "k", 0), ("love", 3, 2, "t", 0.5, "k", 0))
+    reg = registry.registry(o)
+    s = corpus.stats(o, reg, spark.createDataFrame([("figure:x",)], "session_id string")).first()
+    assert (s["total_observations"], s["figure_count"], json.loads(s["top_values"])[0]) == (3, 1, {"value_name": "courage", "demonstrations": 2})
+    assert [r["value_name"] for r in registry.figure_profile(reg, "X").collect()] == ["courage", "love"] and registry.universal_profile(reg, 2).count() == 1
+    seeds = spark.createDataFrame([("love", "hold", [1.0, 0.0]), ("love", "hold", [0.0, 1.0]), ("love", "failure", [0.0, -1.0])], "value_name string, kind string, embedding array<double>")
+    held, failed = semantic.prototypes(seeds)
+    assert held.first()["centroid"] == [pytest.approx(0.5**0.5)] * 2 and failed.first()["centroid"] == [0.0, -1.0]
+
+
+def test_running_in_pieces(spark):
+    """Histories cut into pieces give what one window gives."""
+    o = obs(spark, *[("courage", i * 1e7 - 5e7, i, "t", round(0.2 + 0.07 * (i % 9), 4), "k", 0) for i in range(25)]).withColumn("doc_type", F.when(F.col("ts") > 1e8, "speech").otherwise("letter"))
+    got = [tuple(r) for r in registry.running(o).orderBy("n").collect()]
+    assert got == [tuple(r) for r in registry.running(o, 1e12).orderBy("n").collect()] and [r[4] for r in got] == list(range(1, 26))
+    last, want = got[-1], registry.registry(o).first()
+    assert last[6:] == (want["avg_resistance"], want["consistency"])
 
 
 def test_observations_and_append(spark):
@@ -76,7 +186,7 @@ def test_ingest(spark):
     docs = spark.createDataFrame([(1, "Gandhi", "This is a sentence that is long enough. Thou art here.", 1700, None), (2, "bad name", "text " * 10, None, None), (3, "Ok", " ", None, None), (4, "Ok", "short", None, None), (5, "Ok", "Long enough to be a passage of thirty.", None, "zz")], "doc_id long, figure string, text string, pub_year int, pronoun string")
     p = ingest.passages(docs, 1e9).collect()
     assert [r["doc_id"] for r in p] == [1] and "You are here" in p[0]["text"]
-    assert p[0]["ts"] == -8520336000.0 and p[0]["source_authenticity"] == 0.85 and p[0]["significance"] == 0.75
+    assert p[0]["ts"] == -8520336000.0 and (p[0]["source_lang"], p[0]["source_authenticity"]) == ("en", 1.0) and p[0]["significance"] == 0.75
     assert {r["doc_id"]: r["error"] for r in ingest.checked(docs).collect()} == {1: None, 2: "invalid figure name", 3: "empty text", 4: "no passages", 5: "invalid pronoun"}
     assert [r["passage_idx"] for r in ingest.numbered(ingest.passages(docs, 1e9)).collect()] == [0]
     first = {r["id"] for r in ingest.passages(docs, 1e9).collect()}

@@ -9,7 +9,7 @@ DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 #: One for each family; the driver compares all of them.
 CHOSEN = [
-    "q_flagship", "q_segment", "q_calibrated", "q_archaic", "q_keyword_hits", "q_lexicon_signals", "q_polarity", "q_registry", "q_running_registry", "q_figures", "q_apy_upgrade", "q_event_asof", "q_tension", "q_label_cube",
+    "q_flagship", "q_segment", "q_calibrated", "q_archaic", "q_keyword_hits", "q_lexicon_signals", "q_polarity", "q_phrase_signals", "q_merge_confidence", "q_observations", "q_pressure", "q_training_records", "q_report", "q_record_files", "q_lexicon_files", "q_gold_match", "q_languages", "q_registry", "q_running_registry", "q_figures", "q_apy_upgrade", "q_event_asof", "q_tension", "q_label_cube",
     "q_corpus_quality", "q_threshold_sweep", "q_semantic_topk", "q_stream_pressure", "q_event_sessions", "q_set_operations",
 ]
 

@@ -1,5 +1,9 @@
 """Text and scoring functions, with expectations worked out from their definitions."""
 
+import random
+import re
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -112,3 +116,36 @@ def test_consistency(spark):
 def test_safe_double(spark):
     df = spark.createDataFrame([("0.5",), ("x",), (None,), ("NaN",), ("Infinity",)], "v string")
     assert [r[0] for r in df.select(scoring.safe_double(F.col("v"), 9.0)).collect()] == [0.5, 9.0, 9.0, 9.0, 9.0]
+
+
+def plain_passages(body, size=450, shortest=30):
+    out, cur = [], ""
+    for s in filter(None, (x.strip() for x in re.split(r"(?<=[.!?])\s+", body.strip()))):
+        if cur and len(cur) + 1 + len(s) > size:
+            out.append(cur)
+            cur = s
+        else:
+            cur = f"{cur} {s}" if cur else s
+    return [p for p in [*out, cur] if len(p) >= shortest]
+
+
+def test_long_texts_are_cut_in_time(spark):
+    """Passages and positions of texts of any length, as plain Python has them; 40,000 sentences within seconds."""
+    rng = random.Random(8)
+    sentence = lambda: " ".join("w" * rng.randint(1, 9) for _ in range(rng.randint(1, 40))) + rng.choice(".!?")
+    texts = ["", " ", "one", *(" ".join(sentence() for _ in range(n)) for n in (1, 2, 7, 50, 400)), "A bit of text. " * 40_000]
+    began = time.perf_counter()
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", text.passages(F.col("t")).alias("p"), F.size(text.positions(F.col("t"), "bit")).alias("n"), F.get(text.positions(F.col("t"), "w+"), 3)["s"].alias("s")).collect()
+    assert time.perf_counter() - began < 60
+    for r in rows:
+        assert r["p"] == plain_passages(texts[r["i"]])
+        assert r["n"] == texts[r["i"]].count("bit")
+        starts = [m.start() for m in re.finditer("w+", texts[r["i"]])]
+        assert r["s"] == (starts[3] if len(starts) > 3 else None)
+
+
+def test_trie():
+    words = ["fair", "fairness", "unfair", "a.b", "a", "won't give up"]
+    p = re.compile(text.trie(words))
+    assert [p.match(w).group() for w in words] == words and not p.match("xyz") and not re.search(text.trie([]), "anything")
+    assert p.findall("fairness unfair a.b") == ["fairness", "unfair", "a.b"]
