@@ -38,7 +38,7 @@ def running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
         totals = F.transform(_groups(v["xs"], v["size"]), lambda g: F.aggregate(part(g), F.lit(0), step))
         return F.flatten(F.transform(fold(totals, F.lit(0)), lambda start, g: fold(part(g), start)))
 
-    return F.when(F.size(values) > 0, let(F.struct(values.alias("xs"), _root(values).alias("size")), grouped)).otherwise(none)
+    return let(values, lambda xs: F.when(F.size(xs) > 0, let(F.struct(xs.alias("xs"), _root(xs).alias("size")), grouped)).otherwise(none))
 
 
 def emitted(values: Column, carry: Column, step: Callable[[Column, Column], tuple[Column, Column, Column]]) -> Column:
@@ -62,5 +62,5 @@ def emitted(values: Column, carry: Column, step: Callable[[Column, Column], tupl
         group = lambda a, g: let(inner(part(g), a["carry"]), lambda r: F.struct(F.concat(a["out"], F.array(r["out"])).alias("out"), r["carry"].alias("carry")))
         return F.aggregate(_groups(v["xs"], v["size"]), zero, group, lambda a: F.struct(F.flatten(a["out"]).alias("out"), a["carry"].alias("carry")))
 
-    whole = let(F.struct(values.alias("xs"), _root(values).alias("size")), grouped)
-    return F.when(F.size(values) > 0, whole).otherwise(F.struct(strings.alias("out"), carry.alias("carry")))
+    nothing = F.struct(strings.alias("out"), carry.alias("carry"))
+    return let(values, lambda xs: F.when(F.size(xs) > 0, let(F.struct(xs.alias("xs"), _root(xs).alias("size")), grouped)).otherwise(nothing))

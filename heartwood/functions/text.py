@@ -29,9 +29,11 @@ def positions(text: Column, pattern: str | Column) -> Column:
         steps = F.zip_with(v["gaps"], v["hits"], lambda g, h: g + h)
         return F.zip_with(F.zip_with(running(steps, lambda a, x: a + x), v["gaps"], lambda b, g: b + g), v["hits"], lambda s, h: F.struct(s.alias("s"), (s + h).alias("e")))
 
-    hits = F.transform(F.regexp_extract_all(text, p, F.lit(0)), F.length)
-    gaps = F.transform(F.slice(F.split(text, p, -1), 1, F.size(hits)), F.length)
-    return let(F.struct(gaps.alias("gaps"), hits.alias("hits")), spans)
+    def both(hits: Column) -> Column:
+        gaps = F.transform(F.slice(F.split(text, p, -1), 1, F.size(hits)), F.length)
+        return F.when(F.size(hits) > 0, let(F.struct(gaps.alias("gaps"), hits.alias("hits")), spans)).otherwise(F.expr("cast(array() as array<struct<s:int,e:int>>)"))
+
+    return let(F.transform(F.regexp_extract_all(text, p, F.lit(0)), F.length), both)
 
 
 def window(text: Column, lo: Column, hi: Column) -> Column:

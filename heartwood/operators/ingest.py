@@ -30,24 +30,28 @@ def with_defaults(docs: DataFrame) -> DataFrame:
     })
 
 
-def checked(docs: DataFrame) -> DataFrame:
-    """Documents with their ``passages`` and an ``error`` (null where there is none): bad figure names, pronouns, empty texts, texts without a passage.
+def _cut(docs: DataFrame) -> DataFrame:
+    """Documents with their ``passages``: archaic forms of texts before ``ARCHAIC_BEFORE`` are replaced first.
 
-    Archaic forms of texts before ``ARCHAIC_BEFORE`` are replaced first, so a
-    text is cut once, here. A document without a language gets the one that
-    its frequent short words speak for.
+    A document without a language gets the one that its frequent short words speak for.
     """
-    docs = with_defaults(docs)
     lang = F.when(F.col("lang") == "unknown", text.language(F.col("text"))["lang"]).otherwise(F.col("lang"))
     body = F.when(F.col("pub_year") < ARCHAIC_BEFORE, text.modernised(F.col("text"))).otherwise(F.col("text"))
-    docs = docs.withColumn("lang", lang).withColumn("passages", F.coalesce(text.passages(body), F.expr("cast(array() as array<string>)")))
-    error = (
+    return docs.withColumn("lang", lang).withColumn("passages", F.coalesce(text.passages(body), F.expr("cast(array() as array<string>)")))
+
+
+def _fault() -> Column:
+    """What is wrong with a document before it is cut."""
+    return (
         F.when(~F.coalesce(F.col("figure").rlike(FIGURE), F.lit(False)), "invalid figure name")
         .when(~F.col("pronoun").isin(*PRONOUNS), "invalid pronoun")
         .when(F.coalesce(text.strip(F.col("text")), F.lit("")) == "", "empty text")
-        .when(F.size("passages") == 0, "no passages")
     )
-    return docs.withColumn("error", error)
+
+
+def checked(docs: DataFrame) -> DataFrame:
+    """Documents with their ``passages`` and an ``error`` (null where there is none): bad figure names, pronouns, empty texts, texts without a passage."""
+    return _cut(with_defaults(docs)).withColumn("error", F.coalesce(_fault(), F.when(F.size("passages") == 0, "no passages")))
 
 
 def year_start(year: Column) -> Column:
@@ -65,7 +69,8 @@ def passages(docs: DataFrame, now: float, marks: DataFrame | None = None) -> Dat
     second after the mark, so that a reader past the mark still meets it. Ids
     are hashes of session, document and place.
     """
-    docs = checked(docs).where("error is null").withColumn("session_id", session(F.col("figure")))
+    # a document without a passage gives no row, so nothing asks for the passages but the rows they become
+    docs = _cut(with_defaults(docs).where(_fault().isNull())).withColumn("session_id", session(F.col("figure")))
     begin = F.coalesce(year_start(F.col("pub_year")), F.lit(float(now - YEAR)))
     if marks is not None:
         docs = docs.join(marks.select("session_id", "mark"), "session_id", "left")
