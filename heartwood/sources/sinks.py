@@ -99,7 +99,7 @@ _own: dict[str, str] = {}
 def scratch(spark: SparkSession) -> str:
     """A new folder that driver and executors share: under ``spark.checkpoint.dir``; a temporary one only where all runs on this machine."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base and not spark.sparkContext.master.startswith("local["):
+    if not base and spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not base:
         base = _own.setdefault(spark.sparkContext.applicationId, "file://" + tempfile.mkdtemp(prefix="heartwood-"))
