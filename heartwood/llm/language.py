@@ -37,7 +37,7 @@ from heartwood.llm.common import small_batches
 ROWS, CHARS = 32, 24_000
 FOLDS, HELD = 4, 2
 #: Characters parsed at once, and in one row of the parse.
-BATCH, STEP = 1 << 20, 256
+BATCH, STEP = 1 << 18, 256
 #: A row of the sample gives at least so many characters.
 SHARE = 256
 _classes: list[np.ndarray] = []
@@ -268,7 +268,11 @@ def learn(docs: DataFrame, rows: int = ROWS, chars: int = CHARS, **fold: int) ->
 
 
 def predicted(model: Model, spark) -> Column:
-    """Struct (lang, score) for the column ``text``."""
+    """Struct (lang, score) for the column ``text``.
+
+    Marked as not deterministic, though it is, so that a filter and a
+    projection over it share one evaluation.
+    """
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
 
@@ -289,7 +293,7 @@ def predicted(model: Model, spark) -> Column:
                 at = end
             yield pd.DataFrame({"lang": pd.Series(names, dtype=object), "score": np.concatenate(scores)})
 
-    return F.pandas_udf(run, "lang string, score double")("text")
+    return F.pandas_udf(run, "lang string, score double").asNondeterministic()("text")
 
 
 def digest(docs: DataFrame) -> DataFrame:
