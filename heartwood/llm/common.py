@@ -6,7 +6,8 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _fallback: dict[str, str] = {}
 _written: list[tuple[object, str]] = []
@@ -21,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     app = spark.sparkContext.applicationId
     if app not in _fallback:
@@ -43,6 +44,16 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def anew(key: str) -> Column:
+    """A long key's equal that the planner takes for another expression.
+
+    A grouped table is already dealt by its key, so a join on the key itself
+    would use that dealing, and the partition of a frequent key could not be
+    split. A join on this one deals both sides anew, and Spark can split them.
+    """
+    return F.shiftleft(key, 0)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Hand texts to Python by the thousand rows, since workers hold a batch several times over.
 

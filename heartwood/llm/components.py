@@ -10,30 +10,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from heartwood.llm.common import release, store
+from heartwood.llm.common import anew, release, store
 
 
 def _minimum(pairs: DataFrame) -> DataFrame:
-    """(u, m): the least of u's neighbours and u itself, for every u of (u, v).
-
-    Stored, so that the join with it has two exchanges of its own, of which
-    Spark can split the partition of a node with very many neighbours.
-    """
-    return store(pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "edges-least")
+    """(w, m): the least of u's neighbours and u itself, for every node w = u of (u, v)."""
+    return pairs.groupBy("u").agg(F.min("v").alias("m")).select(anew("u").alias("w"), F.least("u", "m").alias("m"))
 
 
-def _large(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _large(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = _minimum(both)
-    joined = both.join(least, "u")
-    return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), least
+    joined = both.join(_minimum(both), F.col("u") == F.col("w"))
+    return joined.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
 
 
-def _small(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _small(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     low = _minimum(down)
-    joined = down.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return joined.unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), low
+    joined = down.join(low, F.col("u") == F.col("w")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return joined.unionByName(low.select(F.col("w").alias("u"), F.col("m").alias("v"))).where("u <> v").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -45,12 +40,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = store(links.where("u <> v").select("u", "v").distinct(), "edges")
     seen = None
     while True:
-        large, high = _large(edges)
-        large = store(large, "edges-large")
-        after, low = _small(large)
-        after = store(after, "edges")
-        for done in (edges, high, large, low):
-            release(done)
+        after = store(_small(_large(edges)), "edges")
+        release(edges)
         edges = after
         # the edge set is a star forest, and stays as it is, once a round changes neither count nor sums
         now = edges.agg(F.count(F.lit(1)), F.sum(F.col("u").cast("decimal(38,0)")), F.sum(F.col("v").cast("decimal(38,0)")), F.sum(F.hash("u", "v").cast("long"))).first()

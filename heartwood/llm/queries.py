@@ -6,10 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from heartwood.llm import embeddings, katz, language, mixing, packing, pii, secrets, sharding, simhash, topk
 from heartwood.llm.common import table
+from heartwood.sources.readers import spread
+
+
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(documents(spark, sf_dir))
 
 
 def op2_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,11 +22,11 @@ def op2_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.shard(table(spark, sf_dir, "documents"))
+    return sharding.shard(documents(spark, sf_dir))
 
 
 def op4_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"))
+    return packing.pack(documents(spark, sf_dir))
 
 
 def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,23 +34,23 @@ def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.digest(table(spark, sf_dir, "documents"))
+    return pii.digest(documents(spark, sf_dir))
 
 
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language.digest(table(spark, sf_dir, "documents"))
+    return language.digest(documents(spark, sf_dir))
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.digest(table(spark, sf_dir, "documents"))
+    return mixing.digest(documents(spark, sf_dir))
 
 
 def op9_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return katz.score(table(spark, sf_dir, "documents"))
+    return katz.score(documents(spark, sf_dir))
 
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest(table(spark, sf_dir, "documents"))
+    return secrets.digest(documents(spark, sf_dir))
 
 
 QUERIES = {f.__name__: f for f in (op1_simhash, op2_embedding_links, op3_feistel_shards, op4_pack, op5_top_k, op6_pii, op7_language, op8_mix_sources, op9_katz, op10_secrets)}

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heartwood.llm.common import store
+from heartwood.llm.common import anew, store
 from heartwood.llm.spans import joined, with_matches
 
 MAX_OWNERS = 2
@@ -73,9 +73,9 @@ def scan(docs: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
     found = store(found, "secret-candidates")
     some = found.where(F.size("candidates") > 0)
     each = some.select("rid", F.explode("candidates").alias("c")).select("rid", "c", F.col("c.h").alias("h"))
-    # stored, so that the join has two exchanges of its own, of which Spark can split the partition of a widely copied value
-    owned = store(ownership(some), "secret-owners")
-    judged = each.join(owned, "h").select(
+    # dealt anew, so that Spark can split the partition of a widely copied value
+    owned = ownership(some).select(anew("h").alias("hash"), "repositories", "owners")
+    judged = each.join(owned, F.col("h") == F.col("hash")).select(
         "rid", F.struct("c.s", "c.k", "c.e", "c.kind", "c.h", "repositories", "owners", (F.col("owners") <= max_owners).alias("live")).alias("x")
     )
     spans = judged.groupBy("rid").agg(F.array_sort(F.collect_list("x")).alias("spans"))

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from heartwood.llm.common import small_batches, store
 
 WORDS, SEED = 5, 42
-#: Buckets of a text, and minima in the key of each: a pair of similarity s shares one with probability 1 - (1 - s^ROWS)^BANDS, 0.9999 at 0.8.
-ROWS, BANDS = 6, 30
+#: Buckets of a text, and minima in the key of each: a pair of similarity s shares one with probability 1 - (1 - s^ROWS)^BANDS, 0.9996 at 0.8.
+ROWS, BANDS = 5, 20
 _SALTS = np.random.default_rng(SEED).integers(0, 2**63, (2, ROWS * BANDS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BAND = np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
 
@@ -110,7 +110,7 @@ def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, least: tuple[i
     pairs = store(pairs, "shingle-pairs")
     named = pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     found = sets(docs, nodes.select("node", "doc_id", "digest").join(named, "node"), words)
-    one = store(pairs.join(found.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u"), "shingle-halves")
+    one = pairs.join(found.select(F.col("node").alias("u"), F.col("grams").alias("a")), "u")
     both = one.join(found.select(F.col("node").alias("v"), F.col("grams").alias("b")), "v")
     common = F.size(F.array_intersect("a", "b"))
     return both.where(common * least[1] >= (F.size("a") + F.size("b") - common) * least[0]).select("u", "v")

@@ -37,12 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from heartwood.llm import shingles
-from heartwood.llm.common import release, small_batches, store
+from heartwood.llm.common import anew, release, small_batches, store
 from heartwood.llm.components import components
 
 RADIUS, BANDS, WORDS, SEED = 2, 4, 3, 42
 #: Near copies: the least similarity of shingle sets, and the most of 128 bits that their fingerprints differ in.
-LEAST, NEAR_RADIUS = (4, 5), 40
+LEAST, NEAR_RADIUS, NEAR_CHUNK = (4, 5), 40, 128
 #: Fingerprints of a bucket that are compared in one block; rows that a tile of whole groups holds at most.
 CHUNK, TILE = 512, 4096
 
@@ -239,38 +239,41 @@ def _near(t: pd.DataFrame, radius: int, least: tuple[int, int]) -> tuple[np.ndar
 
 
 def _opposed(rows: DataFrame, chunk: int) -> DataFrame:
-    """Deal the buckets of ``rows`` (bucket, node, root, ...) that hold several classes into blocks of two chunks each.
+    """Deal the buckets of ``rows`` (bucket, node, root) that hold several classes into blocks of two chunks each.
 
     The largest class of a bucket meets only the others, as it is one already,
     so a bucket costs in proportion to its largest class, however large.
     """
     classes = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-    tops = classes.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("top"), F.max("n").alias("big"), F.sum("n").alias("all")).where("all > big")
+    tops = classes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all")).where("all > top.n")
     parts = lambda n: F.ceil(n / chunk).cast("int")
-    df = rows.join(store(tops, "near-tops"), "bucket").withColumns({"large": F.col("root") == F.col("top"), "ml": parts(F.col("big")), "mo": parts(F.col("all") - F.col("big"))})
+    df = rows.join(tops.select(anew("bucket").alias("b"), "top", "all"), F.col("bucket") == F.col("b")).withColumns({"large": F.col("root") == F.col("top.root"), "ml": parts(F.col("top.n")), "mo": parts(F.col("all") - F.col("top.n"))})
     df = df.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(1)), F.when(F.col("large"), F.col("ml")).otherwise(F.col("mo"))).cast("int"))
     upto = lambda n: F.sequence(F.lit(0), n - 1)
     met = F.when(F.col("large"), F.transform(upto(F.col("mo")), lambda o: F.xxhash64("bucket", F.lit(0), "mine", o))).otherwise(F.concat(
         F.transform(upto(F.col("ml")), lambda o: F.xxhash64("bucket", F.lit(0), o, "mine")), F.transform(upto(F.col("mo")), lambda o: F.xxhash64("bucket", F.lit(1), F.least("mine", o), F.greatest("mine", o)))))
-    return df.select(F.explode(met).alias("block"), "node", "root", "f0", "f1", "size")
+    return df.select(F.explode(met).alias("block"), "node", "root")
 
 
-def near_links(docs: DataFrame, nodes: DataFrame, words: int = shingles.WORDS, least: tuple[int, int] = LEAST, radius: int = NEAR_RADIUS, chunk: int = CHUNK) -> DataFrame:
+def near_links(docs: DataFrame, nodes: DataFrame, words: int = shingles.WORDS, least: tuple[int, int] = LEAST, radius: int = NEAR_RADIUS, chunk: int = NEAR_CHUNK) -> DataFrame:
     """(u, v): links that join all ``nodes`` which pairs of similarity ``least`` in common buckets connect.
 
     First every member of a bucket is held against the bucket's least member,
     in time linear in the bucket. Buckets that then still hold several classes
     are compared bit-sliced, class against class, and the pairs within the
-    radius are decided on the whole shingle sets.
+    radius are decided on the whole shingle sets. Buckets are dealt by node
+    numbers; fingerprints join what is left.
     """
-    keyed = nodes.select("node", "f0", "f1", "size", F.explode(F.array_distinct("buckets")).alias("bucket"))
-    heads = keyed.groupBy("bucket").agg(F.min(F.struct("node", "f0", "f1", "size")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = store(keyed.join(store(heads, "near-heads"), "bucket"), "near-buckets")
-    apart = F.bit_count(F.col("f0").bitwiseXOR(F.col("h.f0"))) + F.bit_count(F.col("f1").bitwiseXOR(F.col("h.f1")))
-    sizes = F.least("size", "h.size") * least[1] >= F.greatest("size", "h.size") * least[0]
-    to_head = rows.where((F.col("node") != F.col("h.node")) & (apart <= radius) & sizes).select(F.col("h.node").alias("u"), F.col("node").alias("v")).distinct()
-    found = store(shingles.verified(docs, nodes, to_head, least, words), "near-links")
-    rest = rows.where("n > 2").select("bucket", "node", "f0", "f1", "size").join(store(components(found), "near-roots"), "node", "left")
+    fps = nodes.select("node", "f0", "f1", "size")
+    keyed = nodes.select("node", F.explode(F.array_distinct("buckets")).alias("bucket"))
+    heads = keyed.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select(anew("bucket").alias("b"), "head", "n")
+    rows = store(keyed.join(heads, F.col("bucket") == F.col("b")).drop("b"), "near-buckets")
+    pairs = rows.where("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v")).distinct()
+    both = pairs.join(fps.select(F.col("node").alias("u"), F.struct("f0", "f1", "size").alias("a")), "u").join(fps.select(F.col("node").alias("v"), F.struct("f0", "f1", "size").alias("b")), "v")
+    apart = F.bit_count(F.col("a.f0").bitwiseXOR(F.col("b.f0"))) + F.bit_count(F.col("a.f1").bitwiseXOR(F.col("b.f1")))
+    sizes = F.least("a.size", "b.size") * least[1] >= F.greatest("a.size", "b.size") * least[0]
+    found = store(shingles.verified(docs, nodes, both.where((apart <= radius) & sizes).select("u", "v"), least, words), "near-links")
+    rest = rows.where("n > 2").select("bucket", "node").join(store(components(found), "near-roots"), "node", "left")
     rest = store(rest.withColumn("root", F.coalesce("root", "node")), "near-rest")
     dealt = lambda df: df.repartition("block").sortWithinPartitions("block")
 
@@ -297,7 +300,7 @@ def near_links(docs: DataFrame, nodes: DataFrame, words: int = shingles.WORDS, l
                     out.append((node[a], node[b]))
             yield pd.DataFrame(out, columns=["u", "v"], dtype="int64")
 
-    left = store(dealt(_opposed(rest, chunk)).mapInPandas(close, "block long, node long, root long, f0 long, f1 long, size int"), "near-left")
+    left = store(dealt(_opposed(rest, chunk).join(fps, "node").select("block", "node", "root", "f0", "f1", "size")).mapInPandas(close, "block long, node long, root long, f0 long, f1 long, size int"), "near-left")
     if left.isEmpty():
         return found
     sets = shingles.sets(docs, nodes.select("node", "doc_id", "digest").join(left.select("node").distinct(), "node"), words)

@@ -10,38 +10,15 @@ from blocks of the text, so a far one is not reached from the text's start.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from heartwood.functions.arrays import running
+
 #: Characters in a block that windows are cut from.
 BLOCK = 2048
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is evaluated once however often body refers to it."""
-    return F.transform(F.array(value), body)[0]
-
-
-def running(values: Column, step: Callable[[Column, Column], Column]) -> Column:
-    """For each of an array of non-negative ints, ``step`` folded over those before it, from 0."""
-    none = F.expr("cast(array() as array<int>)")
-
-    def fold(xs: Column, start: Column) -> Column:
-        zero = F.struct(start.alias("at"), none.alias("out"))
-        return F.aggregate(xs, zero, lambda a, x: F.struct(step(a["at"], x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")), lambda a: a["out"])
-
-    def grouped(v: Column) -> Column:
-        part = lambda g: F.slice(v["xs"], g * v["size"] + 1, v["size"])
-        groups = F.sequence(F.lit(0), F.floor((F.size(v["xs"]) - 1) / v["size"]).cast("int"))
-        totals = F.transform(groups, lambda g: F.aggregate(part(g), F.lit(0), step))
-        return F.flatten(F.transform(fold(totals, F.lit(0)), lambda start, g: fold(part(g), start)))
-
-    size = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(values).cast("double")))).cast("int")
-    return F.when(F.size(values) > 0, let(F.struct(values.alias("xs"), size.alias("size")), grouped)).otherwise(none)
-
-
 def blocks(text: Column) -> Column:
     """The text in blocks of ``BLOCK`` characters, the last one shorter."""
     return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0))
