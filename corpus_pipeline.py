@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from heartwood.llm import language, mixing, packing, pii, simhash
-from heartwood.llm.common import store, table
+from heartwood.llm.common import release, store, table
+from heartwood.sources.readers import spread
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +41,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), f"stage-{name}")
+        after = store(stage(spark, docs, sf_dir), f"stage-{name}")
+        release(docs)  # the stage before, which nothing reads any more
+        docs = after
     return STAGES[-1][1](spark, docs, sf_dir)
