@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heartwood.llm import embeddings, katz, language, mixing, packing, pii, secrets, sharding, simhash, topk
+from heartwood.llm import alignment, counts, embeddings, katz, language, manifest, mixing, packing, pii, secrets, sharding, simhash, topk
 from heartwood.llm.common import table
 from heartwood.sources.readers import spread
 
@@ -53,5 +53,17 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash, op2_embedding_links, op3_feistel_shards, op4_pack, op5_top_k, op6_pii, op7_language, op8_mix_sources, op9_katz, op10_secrets)}
-ORACLES = {"op5_top_k": topk.ORACLE, "op8_mix_sources": mixing.ORACLE, "op10_secrets": secrets.ORACLE}
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.digest(documents(spark, sf_dir))
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.count(documents(spark, sf_dir))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash, op2_embedding_links, op3_feistel_shards, op4_pack, op5_top_k, op6_pii, op7_language, op8_mix_sources, op9_katz, op10_secrets, op11_merkle, op12_token_counts, op13_alignment)}
+ORACLES = {"op5_top_k": topk.ORACLE, "op8_mix_sources": mixing.ORACLE, "op10_secrets": secrets.ORACLE, "op11_merkle": manifest.ORACLE}
