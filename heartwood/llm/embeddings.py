@@ -171,37 +171,40 @@ def link_blocks(nodes: DataFrame, n: int, cosine: float = COSINE, k: int | None
             block, node, copies, bucket = (t.column(c).to_numpy() for c in ("block", "node", "copies", "bucket"))
             mine, other, m = (t.column(c).to_numpy() for c in ("mine", "other", "m"))
             values, at = _vectors(t.column("vector"))
-            keys, key_at = t.column("keys").combine_chunks().values.to_numpy(), t.column("keys").combine_chunks().offsets.to_numpy()
-            width = np.diff(key_at).max()
-            keys = keys.reshape(len(node), width) if len(keys) == len(node) * width else None
+            lists = t.column("keys").combine_chunks()
+            keys, key_at = lists.values.to_numpy(), lists.offsets.to_numpy()
             u, v, deg_node, deg = [], [], [], []
             edges = np.flatnonzero(np.diff(block)) + 1
             for s, e in zip(np.concatenate(([0], edges)), np.concatenate((edges, [len(block)])), strict=True):
-                if e - s < 2 or len(set(np.diff(at[s:e + 1]).tolist())) > 1:
-                    continue
-                x = _unit(values[at[s]:at[e]].reshape(e - s, -1))
-                i, j = np.nonzero(np.triu(x @ x.T >= cosine, 1))
-                if not len(i):
-                    continue
-                root = forest(i, j, e - s)
-                tied = np.flatnonzero(root != np.arange(e - s))
-                u.append(node[s:e][tied])
-                v.append(node[s:e][root[tied]])
-                i, j = i + s, j + s
-                # count a pair in one block of one bucket only
-                once = (mine[i] != mine[j]) | (m[i] == 1) | (other[i] == (mine[i] + 1) % m[i])
-                i, j = i[once], j[once]
-                least = np.full(len(i), np.iinfo(np.int64).max)
-                for a in range(width):
-                    for c in range(width):
-                        ka = keys[i, a]
-                        least = np.where((ka == keys[j, c]) & (ka < least), ka, least)
-                own = least == bucket[i]
-                i, j = i[own], j[own]
-                both, weight = np.concatenate((i, j)), np.concatenate((copies[j], copies[i]))
-                total = np.bincount(both - s, weights=weight, minlength=e - s).astype(np.int64)
-                deg_node.append(node[s:e][total > 0])
-                deg.append(total[total > 0])
+                dims = np.diff(at[s:e + 1])
+                for dim in np.unique(dims):  # vectors of different lengths share a block only where hashes collide
+                    own = s + np.flatnonzero(dims == dim)
+                    if len(own) < 2:
+                        continue
+                    x = _unit(values[at[own][:, None] + np.arange(dim)])
+                    i, j = np.nonzero(np.triu(x @ x.T >= cosine, 1))
+                    if not len(i):
+                        continue
+                    root = forest(i, j, len(own))
+                    tied = np.flatnonzero(root != np.arange(len(own)))
+                    u.append(node[own[tied]])
+                    v.append(node[own[root[tied]]])
+                    i, j = own[i], own[j]
+                    # count a pair in one block of one bucket only
+                    once = (mine[i] != mine[j]) | (m[i] == 1) | (other[i] == (mine[i] + 1) % m[i])
+                    i, j = i[once], j[once]
+                    least = np.full(len(i), np.iinfo(np.int64).max)
+                    width = key_at[own[0] + 1] - key_at[own[0]]  # vectors of a length have equally many keys
+                    for a in range(width):
+                        for c in range(width):
+                            ka = keys[key_at[i] + a]
+                            least = np.where((ka == keys[key_at[j] + c]) & (ka < least), ka, least)
+                    chosen = least == bucket[i]
+                    i, j = i[chosen], j[chosen]
+                    both, weight = np.concatenate((i, j)), np.concatenate((copies[j], copies[i]))
+                    total = np.bincount(both - s, weights=weight, minlength=e - s).astype(np.int64)
+                    deg_node.append(node[s:e][total > 0])
+                    deg.append(total[total > 0])
             if u:
                 fu, fv, dn, dg = (np.concatenate(z) for z in (u, v, deg_node, deg))
                 yield pa.RecordBatch.from_arrays(

@@ -182,7 +182,9 @@ def chunked(keyed: DataFrame, chunk: int, spread: str) -> DataFrame:
     a 64-bit hash; blocks that collide are only compared in vain.
     """
     sizes = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    rows = keyed.join(sizes, "bucket").withColumn("m", F.ceil(F.col("n") / chunk).cast("int"))
+    # dealt anew, so that Spark can split the partition of a frequent bucket
+    sizes = sizes.select(anew("bucket").alias("b"), "n")
+    rows = keyed.join(sizes, F.col("bucket") == F.col("b")).drop("b").withColumn("m", F.ceil(F.col("n") / chunk).cast("int"))
     rows = rows.withColumn("mine", F.pmod(F.xxhash64(spread, F.lit(1)), "m").cast("int")).drop("n")
     others = F.filter(F.sequence(F.lit(0), F.col("m") - 1), lambda o: (o != F.col("mine")) | (F.col("m") == 1))
     return rows.withColumn("other", F.explode(others)).withColumn("block", F.xxhash64("bucket", F.least("mine", "other"), F.greatest("mine", "other")))
@@ -241,8 +243,10 @@ def _near(t: pd.DataFrame, radius: int, least: tuple[int, int]) -> tuple[np.ndar
 def _opposed(rows: DataFrame, chunk: int) -> DataFrame:
     """Deal the buckets of ``rows`` (bucket, node, root) that hold several classes into blocks of two chunks each.
 
-    The largest class of a bucket meets only the others, as it is one already,
-    so a bucket costs in proportion to its largest class, however large.
+    The largest class of a bucket meets only the others, as it is one already.
+    A bucket costs as much as its rows times those outside its largest class,
+    divided by the chunk: linear where one class fills it, quadratic where
+    many texts that are no near copies share it.
     """
     classes = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     tops = classes.groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("top"), F.sum("n").alias("all")).where("all > top.n")
@@ -325,10 +329,10 @@ def deduplicate(docs: DataFrame, words: int = shingles.WORDS, least: tuple[int,
     ranked = nodes.select("node", "digest", "none", "doc_id", "copies").join(classes, "node", "left").withColumn("root", F.coalesce("root", "node"))
     kept = ranked.groupBy("root").agg(F.min(F.struct("none", "doc_id", "node", "digest", "copies")).alias("k"))
     kept = store(kept.select(F.col("k.doc_id").alias("__id"), F.col("k.digest").alias("__kept"), F.col("k.copies").alias("__n")), "near-kept")
-    marked = docs.withColumn("__digest", shingles.digest())
-    match = lambda k: [marked["doc_id"].eqNullSafe(k["__id"]), marked["__digest"] == k["__kept"]]
+    marked = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", shingles.digest().alias("digest"))
+    match = lambda k: [marked["doc_id"].eqNullSafe(k["__id"]), marked["digest"] == k["__kept"]]
     one, many = kept.where("__n = 1"), kept.where("__n > 1")
     out = marked.join(one, match(one), "left_semi")
     if not many.isEmpty():  # rows that repeat their id and text
-        out = out.unionByName(marked.join(many, match(many), "left_semi").dropDuplicates(["doc_id", "__digest"]))
-    return out.select(*docs.columns)
+        out = out.unionByName(marked.join(many, match(many), "left_semi").dropDuplicates(["doc_id", "digest"]))
+    return out.select("row.*")

@@ -140,3 +140,20 @@ def test_top_matches_sql(spark):
     con.execute("CREATE VIEW embeddings AS SELECT * FROM '/root/testdata/sf0.001/embeddings.parquet'")
     want = sorted(con.execute(topk.ORACLE).fetchall())
     assert sorted(map(tuple, topk.top_k(spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")).collect())) == want
+
+
+def test_vectors_of_two_lengths(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for dim in (2, 8):
+        base = rng.normal(size=(20, dim))
+        rows += [(len(rows) + k, (base[k % 20] + 0.01 * rng.normal(size=dim)).tolist()) for k in range(60)]
+    got = {r["vec_id"]: r for r in embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    near = np.zeros((120, 120), bool)
+    for s in (0, 60):
+        near[s:s + 60, s:s + 60] = embeddings.brute_force(pd.DataFrame({"embedding": [v for _, v in rows[s:s + 60]]}))
+    links = [(int(i), int(j)) for i, j in zip(*np.nonzero(near), strict=True)]
+    assert {k: r["n_links"] for k, r in got.items()} == {k: int(near[k].sum()) for k in range(120)}
+    want = brute.components(list(range(120)), links)
+    assert {k: r["component_id"] for k, r in got.items()} == want
+    assert all(want[k] // 60 == k // 60 for k in want)
