@@ -307,9 +307,9 @@ def accepted(docs: DataFrame, margin: float = 1.2) -> DataFrame:
 
     Where nothing is labelled, nothing can be rejected, and all documents pass.
     """
-    names = docs.columns
     model = learn(docs)
     if not model.names:
         return docs
-    out = docs.withColumn("__p", predicted(model, docs.sparkSession)).where((F.col("__p.lang") != "und") & (F.col("__p.score") >= margin / max(2, len(model.names))))
-    return out.withColumn("lang", F.coalesce("lang", F.col("__p.lang"))).select(*names)
+    out = docs.select(F.struct(*docs.columns).alias("row"), predicted(model, docs.sparkSession).alias("p"))
+    out = out.where((F.col("p.lang") != "und") & (F.col("p.score") >= margin / max(2, len(model.names))))
+    return out.select(*(F.coalesce("row.lang", "p.lang").alias(c) if c == "lang" else F.col(f"row.{c}") for c in docs.columns))

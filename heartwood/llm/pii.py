@@ -142,13 +142,13 @@ def digest(df: DataFrame) -> DataFrame:
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
     """Replace each span, or union of overlapping spans, by its first kind in angle brackets; null texts stay null."""
     names = df.columns
-    df = with_pii(df, text, "__pii")
-    x = F.col(text)
+    df = with_pii(df.select(F.struct(*names).alias("row"), F.col(text).alias("x")), "x", "pii")
+    x = F.col("x")
     # a span that starts where all before it have ended replaces the text from there on
-    reach = running(F.transform("__pii", lambda m: m["e"]), lambda a, e: F.greatest(a, e))
-    df = df.withColumn("__reach", reach).withColumn("__blocks", F.when(F.size("__pii") > 0, blocks(x)))
-    fresh = F.filter(F.arrays_zip(F.col("__pii").alias("m"), F.col("__reach").alias("r")), lambda z: z["m"]["s"] >= z["r"])
-    pieces = F.transform(fresh, lambda z: F.concat(cut(F.col("__blocks"), z["r"], z["m"]["s"]), F.lit("<"), F.upper(z["m"]["kind"]), F.lit(">")))
-    last = F.array_max(F.transform("__pii", lambda m: m["e"]))
-    done = F.concat(F.array_join(pieces, ""), cut(F.col("__blocks"), last, F.length(x)))
-    return df.withColumn(text, F.when(F.size("__pii") > 0, done).otherwise(x)).select(*names)
+    reach = running(F.transform("pii", lambda m: m["e"]), lambda a, e: F.greatest(a, e))
+    df = df.withColumn("reach", reach).withColumn("blocks", F.when(F.size("pii") > 0, blocks(x)))
+    fresh = F.filter(F.arrays_zip(F.col("pii").alias("m"), F.col("reach").alias("r")), lambda z: z["m"]["s"] >= z["r"])
+    pieces = F.transform(fresh, lambda z: F.concat(cut(F.col("blocks"), z["r"], z["m"]["s"]), F.lit("<"), F.upper(z["m"]["kind"]), F.lit(">")))
+    last = F.array_max(F.transform("pii", lambda m: m["e"]))
+    done = F.concat(F.array_join(pieces, ""), cut(F.col("blocks"), last, F.length(x)))
+    return df.select(*(F.when(F.size("pii") > 0, done).otherwise(x).alias(c) if c == text else F.col(f"row.{c}") for c in names))

@@ -61,3 +61,20 @@ def test_dedup_of_repeated_rows(spark, odd):
     rows = corpus_pipeline.near_dedup(spark, odd, DATA).collect()
     assert sorted(str(r["doc_id"]) for r in rows) == sorted(["1", "4", "5", "6", "7", "9", "None"])
     assert pii.redact(odd).count() == odd.count()
+
+
+def test_clashing_columns(spark, docs):
+    """Columns with the names that the stages use inside come through as they are."""
+    F = mixing.F
+    names = """row p pii x reach blocks digest doc text_crc32 words at e nth node root bucket block rank __digest __id __kept __p __pii __pii_text __pii_long __reach __blocks __t
+        __tie __part __place rid size spans position taken source_size target""".split()
+    clashing = docs.select("*", *(F.concat(F.lit(f"{n}:"), F.col("doc_id").cast("string")).alias(n) for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, clashing, DATA)
+        assert out.columns == clashing.columns, name
+        rows = out.collect()
+        assert rows and all(r[n] == f"{n}:{r['doc_id']}" for r in rows for n in names), name
+        plain = stage(spark, docs, DATA).collect()
+        assert sorted((r["doc_id"], r["text"] or "", r["lang"] or "") for r in rows) == sorted((r["doc_id"], r["text"] or "", r["lang"] or "") for r in plain), name
+    packed = corpus_pipeline.STAGES[-1][1](spark, clashing, DATA)
+    assert packed.groupBy("sequence_id").sum("length").where("`sum(length)` > 1024").isEmpty()
