@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from heartwood.functions import scoring, text
+from heartwood.operators import profiles
 
 FIGURE = r"^[a-zA-Z0-9][a-zA-Z0-9_\-]{0,63}$"
 ARCHAIC_BEFORE, YEAR = 1850, 31_536_000
@@ -30,12 +31,14 @@ def with_defaults(docs: DataFrame) -> DataFrame:
     })
 
 
-def _cut(docs: DataFrame) -> DataFrame:
+def _cut(docs: DataFrame, languages: DataFrame | None = None) -> DataFrame:
     """Documents with their ``passages``: archaic forms of texts before ``ARCHAIC_BEFORE`` are replaced first.
 
-    A document without a language gets the one that its frequent short words speak for.
+    A document without a language gets the one that its n-grams speak for by
+    the profiles ``languages``, or without these by its frequent short words.
     """
-    lang = F.when(F.col("lang") == "unknown", text.language(F.col("text"))["lang"]).otherwise(F.col("lang"))
+    guess = text.language(F.col("text"))["lang"] if languages is None else profiles.detected(F.when(F.col("lang") == "unknown", F.col("text")), profiles.tables(languages))["lang"]
+    lang = F.when(F.col("lang") == "unknown", guess).otherwise(F.col("lang"))
     body = F.when(F.col("pub_year") < ARCHAIC_BEFORE, text.modernised(F.col("text"))).otherwise(F.col("text"))
     return docs.withColumn("lang", lang).withColumn("passages", F.coalesce(text.passages(body), F.expr("cast(array() as array<string>)")))
 
@@ -60,17 +63,18 @@ def year_start(year: Column) -> Column:
     return (F.unix_date(F.make_date(valid, F.lit(1), F.lit(1))).cast("double") * 86_400).cast("double")
 
 
-def passages(docs: DataFrame, now: float, marks: DataFrame | None = None) -> DataFrame:
+def passages(docs: DataFrame, now: float, marks: DataFrame | None = None, languages: DataFrame | None = None) -> DataFrame:
     """Passages of the faultless documents (figure, text, doc_id and optional columns).
 
     A passage's time is its document's first moment plus its place, so reruns
     agree; without a year that moment is one year before ``now``. Where a
     session's mark (session_id, mark) lies beyond it, the document begins one
     second after the mark, so that a reader past the mark still meets it. Ids
-    are hashes of session, document and place.
+    are hashes of session, document and place. ``languages`` are profiles for
+    documents without a language (``profiles.learn``).
     """
     # a document without a passage gives no row, so nothing asks for the passages but the rows they become
-    docs = _cut(with_defaults(docs).where(_fault().isNull())).withColumn("session_id", session(F.col("figure")))
+    docs = _cut(with_defaults(docs).where(_fault().isNull()), languages).withColumn("session_id", session(F.col("figure")))
     begin = F.coalesce(year_start(F.col("pub_year")), F.lit(float(now - YEAR)))
     if marks is not None:
         docs = docs.join(marks.select("session_id", "mark"), "session_id", "left")

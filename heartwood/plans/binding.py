@@ -3,20 +3,22 @@
 The documents are invented words, so a template, chosen by doc_id, stands in
 front of each whole text: every tier, marker and label then occurs. What is
 scored, observed, registered and labelled comes out of the extraction over
-these texts. Models that run elsewhere (entailment, foundation classifier,
-vectors, panel) are bound as tables of scores by formula. The same
+these texts, likeness to prototypes included. Models that run elsewhere
+(entailment, foundation classifier, panel) are bound as tables of scores by formula. The same
 expressions serve Spark and DuckDB.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from heartwood.config import EngineConfig
 from heartwood.functions import fixed
-from heartwood.operators import extract, ingest, labels, semantic
+from heartwood.operators import embedding, extract, ingest, labels, semantic
 from heartwood.sources import readers, sinks
 
 TEMPLATES = (
@@ -71,6 +73,24 @@ LEXICON = (
 STRENGTH = (
     ("mercy", "care", 9.1), ("cruelty", "care", 1.4), ("justice", "fairness", 8.7), ("duty", "authority", 7.0), ("freedom", "fairness", 8.0), ("winter", "care", 5.2), ("weak", "care", 2.0), ("honest", "sanctity", 8.8), ("liberty", "authority", 3.1),
 )
+#: Starter seed sentences, (holds, fails) of each value; a full set is read with ``sources.readers.seeds``.
+SEEDS = {
+    "integrity": (("I would not lie and kept my honest word.", "To be honest, I refused to betray the truth."), ("I gave in and I regret that I lied.",)),
+    "courage": (("I stood firm at great personal risk.", "Knowing the danger I pressed on, brave and not afraid."), ("I was not brave that day; I backed down and fled.",)),
+    "compassion": (("With mercy and compassion we sat with the suffering.", "I kept my promise to the weak and the poor."), ("He committed cruelty against the poor.",)),
+    "commitment": (("I kept my promise though it was hard.", "I won't give up; I pressed on and held my oath."), ("We abandoned the plan and gave up our oath.",)),
+    "patience": (("My patient waiting was rewarded.", "I endured the long winter, waiting."), ("We lost patience and abandoned the plan.",)),
+    "responsibility": (("I carried on and maintained my duty.", "It was my fault and I admitted it."), ("I evaded my duty to save myself.",)),
+    "fairness": (("It was unfair, and he defended justice for every one.", "What is fair and just is equal for all."), ("She surrendered her claim to justice.",)),
+    "gratitude": (("I am grateful and I owe a debt to those who taught me.",), ("He was ungrateful to those who taught him.",)),
+    "curiosity": (("I wonder at the stars and study them, curious as a child.",), ("He dismissed the study without remark.",)),
+    "resilience": (("We continued despite the cost and carried on.", "I endured the long winter."), ("I gave in when they demanded it.",)),
+    "love": (("I cherish them and love them as my own.",), ("He forsook the one he loved.",)),
+    "growth": (("I was wrong, and I learned from my mistake.",), ("I stagnated and would not improve.",)),
+    "independence": (("I chose for myself and answer to no one, on my own terms.", "He resisted tyranny and defended liberty."), ("She was forced to sign and surrendered.",)),
+    "loyalty": (("They insisted, yet I remained faithful and loyal.", "I refused to betray the innocent."), ("He betrayed the friend who stood by him.",)),
+    "humility": (("I was wrong, and I admitted my mistake.",), ("He was arrogant and admitted no mistake.",)),
+}
 #: Beginnings of words that speak of values.
 STEMS = {"courag": ("courage",), "honest": ("integrity",), "loyal": ("loyalty",), "patien": ("patience",), "fair": ("fairness",), "the": ("growth",), "promis": ("commitment", "integrity")}
 NOW = 1_700_000_000.0
@@ -143,15 +163,31 @@ def strength(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(STRENGTH), "word string, foundation string, score double")
 
 
+#: Hashed features make less alike than a trained encoder's, so likeness counts from a lower threshold.
+LIKENESS = EngineConfig(semantic_threshold=0.3)
+
+
+def component_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The inverse document frequencies of the passages' hashed features."""
+    return stored(spark, sf_dir, "weights", lambda s, d: embedding.weights(passages(s, d)))
+
+
+def prototypes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The seed sentences, written and read as a file of seeds, as stored prototype vectors."""
+    def make(s: SparkSession, d: str) -> DataFrame:
+        path = f"{sinks.scratch(s)}/seeds.json"
+        sinks.write_text(s, path, json.dumps({v: {"hold": hold, "failure": failure} for v, (hold, failure) in SEEDS.items()}))
+        return semantic.seed_prototypes(readers.seeds(s, path), component_weights(s, d))
+
+    return stored(spark, sf_dir, "prototypes", make)
+
+
 def scores(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """What models that run elsewhere say of each passage: entailment, classifier labels, and likeness to held and failed prototypes."""
+    """What models say of each passage: likeness to prototypes by its text; entailment and classifier labels, which run elsewhere, by formula."""
     p, d, k = passages(spark, sf_dir), F.col("doc_id"), F.col("place")
     value = lambda n: F.element_at(F.array(*map(F.lit, fixed.VALUES)), (n % len(fixed.VALUES) + 1).cast("int"))
-    likeness = lambda n: ((n % 40) / 100).cast("double")
-    near = p.select("id", value(d + 2 * k).alias("label"), (0.2 + likeness(d * 5 + k * 3)).alias("hold"), (0.1 + likeness(d * 11 + k * 7)).alias("fail"))
-    hold = near.where(F.col("hold") >= fixed.SEMANTIC_THRESHOLD).select("id", "label", F.col("hold").alias("score"))
     return {
-        "semantic": semantic.semantic_signals(hold, near.select("id", "label", F.col("fail").alias("score")), "id"),
+        "semantic": semantic.text_signals(p, prototypes(spark, sf_dir), component_weights(spark, sf_dir), cfg=LIKENESS),
         "zeroshot": p.select("id", value(d * 3 + k).alias("value_name"), (0.3 + (d * 13 + k * 5) % 45 / 100).alias("confidence")),
         "classifier": p.select("id", F.concat(F.lit("LABEL_"), ((d + k) % 10).cast("string")).alias("label"), (0.5 + (d * 7 + k * 11) % 36 / 100).alias("score")),
     }

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from heartwood.functions import fixed, scoring, text
-from heartwood.operators import corpus, extract, gold, ingest, labels, quality, registry, semantic, signals
+from heartwood.operators import corpus, extract, gold, ingest, labels, profiles, quality, registry, semantic, signals
 from heartwood.plans import binding as b
-from heartwood.sources import readers, sinks
+from heartwood.sources import manifest, readers, sinks
 from heartwood.streaming import jobs
 
 def q_segment(spark: SparkSession, d: str) -> DataFrame:
@@ -244,7 +244,15 @@ def q_pressure_context(spark, d):
 
 
 def q_languages(spark, d):
-    """Languages by frequent short words, for documents without a label."""
+    """Languages by n-gram profiles, learned from the labelled documents but one in four; of every document."""
+    docs = readers.spread(b.table(spark, d, "documents")).select("doc_id", "lang", "text")
+    model = profiles.tables(profiles.learn(docs.where("doc_id % 4 <> 2")))
+    l = docs.select("doc_id", profiles.detected(F.col("text"), model).alias("l"))
+    return l.select("doc_id", F.col("l.lang").alias("lang"), scoring.round4("l.margin").alias("margin"))
+
+
+def q_short_words(spark, d):
+    """Languages by frequent short words, for documents without a label and a session without profiles."""
     l = readers.spread(b.table(spark, d, "documents")).select("doc_id", text.language(F.col("text")).alias("l"))
     return l.select("doc_id", F.col("l.lang").alias("lang"), F.col("l.share").alias("share"))
 
@@ -257,17 +265,24 @@ def q_gold_paragraphs(spark, d):
 
 
 def q_batch_ingest(spark, d):
-    """A manifest of files, some of equal names in two folders and one that is missing: passages by figure, and errors."""
+    """Conversations as files that manifests name, one in twenty missing: passages by figure, and errors."""
     base = sinks.scratch(spark)
-    c = b.table(spark, d, "conversations").groupBy((F.col("conv_id") % 2).alias("k")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("conv_id", "turn", "text"))), lambda x: x["text"]), " ").alias("t"))
-    for r in c.collect():  # two rows, the manifest's files
-        sinks.write_text(spark, f"{base}/part{r['k']}/notes.txt", r["t"])
-    sources = [{"file": "part0/notes.txt", "doc_type": "letter", "pub_year": 1900}, {"file": "missing.txt"}]
-    figures = [{"name": "Ann", "pronoun": "she", "sources": sources}, {"name": "Bea", "sources": [{"file": "./part1/notes.txt", "doc_type": "journal", "pub_year": 1950}]}]
-    sinks.write_text(spark, f"{base}-manifest.json", json.dumps({"corpus_name": "c", "default_significance": 0.6, "figures": figures}))
-    passages, errors = ingest.batch(readers.manifest_documents(spark, f"{base}-manifest.json", base), b.NOW)
-    got = passages.groupBy("figure").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"), F.min("ts").alias("first_ts"))
-    return got.withColumn("error", F.lit(None).cast("string")).unionByName(errors.select("figure", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("chars"), F.lit(None).cast("double").alias("first_ts"), "error"))
+    turn = F.struct("turn", "text")
+    c = b.table(spark, d, "conversations").groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(turn)), lambda x: x["text"]), " ").alias("text"))
+    c = c.select(
+        F.concat(F.lit("speaker"), (F.col("conv_id") % 7).cast("string")).alias("figure"), F.lit("she").alias("pronoun"), F.concat(F.lit("f"), (F.col("conv_id") % 10).cast("string"), F.lit("/conv-"), F.col("conv_id").cast("string"), F.lit(".txt")).alias("file"),
+        F.lit("letter").alias("doc_type"), (1900 + F.col("conv_id") % 50).cast("int").alias("pub_year"), F.when(F.col("conv_id") % 20 != 0, F.col("text")).alias("text"),
+    )
+    manifest.write(c, base, 64).write.format("noop").mode("overwrite").save()
+    passages, errors = ingest.batch(manifest.documents(spark, f"{base}/manifests"), b.NOW)
+    got = passages.groupBy("figure").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"), F.min("ts").alias("first_ts"), F.lit("none").alias("error"))
+    return got.unionByName(errors.groupBy("figure", "error").agg(F.count(F.lit(1)).alias("n"), F.lit(0).cast("long").alias("chars"), F.lit(None).cast("double").alias("first_ts")))
+
+
+def q_prototypes(spark, d):
+    """The seeds' prototype vectors: components that are not zero."""
+    p = b.prototypes(spark, d).select("label", "kind", F.posexplode("centroid").alias("d", "c"))
+    return p.select("label", "kind", "d", scoring.round4("c").alias("c")).where("c <> 0")
 
 
 def q_record_files(spark, d):
@@ -282,7 +297,7 @@ def q_record_files(spark, d):
 
 
 def q_lexicon_files(spark, d):
-    """Vocabulary, dictionary and strength files of the starter set, read back."""
+    """Vocabulary, dictionary and strength files of the starter set, read back, and how often the passages say their words."""
     path = sinks.scratch(spark)
     sinks.write_text(spark, f"{path}/vocab.json", json.dumps(b.VOCABULARY))
     kinds = sorted({f"{f}.{p}" for _, f, p in b.LEXICON})
@@ -294,7 +309,9 @@ def q_lexicon_files(spark, d):
     v = readers.vocabulary(spark, f"{path}/vocab.json").select(F.lit("vocabulary").alias("kind"), F.col("value_name").alias("a"), F.col("keyword").alias("b"), F.col("kw_ord").cast("double").alias("x"))
     w = readers.dic_lexicon(spark, f"{path}/words.dic").select(F.lit("lexicon").alias("kind"), F.col("word").alias("a"), F.concat_ws(".", "foundation", "polarity").alias("b"), F.lit(None).cast("double").alias("x"))
     s = readers.strength_tsv(spark, {f: f"{path}/{f}.tsv" for f in tables}).select(F.lit("strength").alias("kind"), F.col("word").alias("a"), F.col("foundation").alias("b"), F.col("score").alias("x"))
-    return v.unionByName(w).unionByName(s)
+    entries = v.unionByName(w).unionByName(s).withColumn("word", F.when(F.col("kind") == "vocabulary", F.col("b")).otherwise(F.col("a")))
+    said = b.passages(spark, d).select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"[a-z]+"), F.lit(0))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    return said.join(F.broadcast(signals.dimension(entries, 10_000)), "word", "right").select("kind", "a", "b", "x", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 def q_panel(spark, d):

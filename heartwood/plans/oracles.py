@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from heartwood.functions import fixed
 from heartwood.functions.text import COMMON, any_of
+from heartwood.operators import profiles
 from heartwood.plans import binding as b
 from heartwood.plans.binding import KIND_SQL, TEMPLATE_SQL, quote
 
@@ -142,8 +143,22 @@ SURE = """(CASE WHEN vice <= 0 AND virtue <= 0 THEN c WHEN p = 0 AND vice > virt
 #: The bound models' scores: sem(id, value_name, c), zs(id, value_name, c), cls(id, label, score), cl(id, value_name, ord, score), verdict(id, value_name, verdict).
 VALUE_LIST = "[" + ", ".join(f"'{v}'" for v in fixed.VALUES) + "]"
 SAID = ", ".join(f"('{label}', {i}, '{v}', 1.0::DOUBLE)" for i, (label, (f, pol)) in enumerate(fixed.CLASSIFIER_LABELS.items()) if pol == "virtue" for v in fixed.CLASSIFIER_VALUES[f]) + ", " + ", ".join(f"('LABEL_7', 7, '{v}', {fixed.DEFIANCE_DISCOUNT}::DOUBLE)" for v in fixed.DEFIANCE_VALUES)
-MODELS = f"""sm AS (SELECT id, {VALUE_LIST}[(doc_id + 2 * place) % 15 + 1] AS value_name, 0.2::DOUBLE + ((doc_id * 5 + place * 3) % 40) / 100::DOUBLE AS hold, 0.1::DOUBLE + ((doc_id * 11 + place * 7) % 40) / 100::DOUBLE AS fail FROM p),
-sem AS (SELECT id, value_name, round((hold - 0.5::DOUBLE * fail) * 0.8::DOUBLE, 4) AS c FROM sm WHERE hold >= {fixed.SEMANTIC_THRESHOLD} AND hold > fail),
+SEED_ROWS = ", ".join(f"('{v}', '{kind}', {i}, {quote(x)})" for v, both in b.SEEDS.items() for kind, of in zip(("hold", "failure"), both, strict=True) for i, x in enumerate(of))
+#: Likeness of texts to prototypes: hashed features of p's and the seeds' words, weighted and compared: sim(id, value_name, hold, fail).
+LIKE = f"""seed(value_name, kind, ord, text) AS (VALUES {SEED_ROWS}), words AS (SELECT id, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS w FROM p),
+seedwords AS (SELECT value_name, kind, ord, unnest(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS w FROM seed),
+feature AS (SELECT w, md5(unnest(list_concat(['w:' || w], list_transform(range(1, length(w) + 1), lambda i: 'g:' || substr('_' || w || '_', i, 3))))) AS h FROM (SELECT w FROM words UNION SELECT w FROM seedwords)),
+part AS (SELECT w, ('0x' || substr(h, 1, 8))::BIGINT % 512 AS d, sum(CASE WHEN ('0x' || substr(h, 9, 2))::INTEGER % 2 = 1 THEN 1 ELSE -1 END) AS s FROM feature GROUP BY ALL),
+tf AS (SELECT id, d, sum(s)::DOUBLE AS x FROM words JOIN part USING (w) GROUP BY id, d), rows AS (SELECT count(*)::DOUBLE AS n FROM p),
+weight AS (SELECT g.d, ln((1 + n) / (1 + coalesce(df, 0))) + 1 AS k FROM (SELECT unnest(range(512)) AS d) g CROSS JOIN rows LEFT JOIN (SELECT d, count(*) AS df FROM tf GROUP BY d) USING (d)),
+pv AS (SELECT id, d, x * k AS v FROM tf JOIN weight USING (d) WHERE x <> 0), pn AS (SELECT id, sqrt(sum(v * v)) AS norm FROM pv GROUP BY id),
+sv AS (SELECT value_name, kind, ord, d, sum(s) * any_value(k) AS v FROM seedwords JOIN part USING (w) JOIN weight USING (d) GROUP BY ALL),
+su AS (SELECT value_name, kind, d, v / sqrt(sum(v * v) OVER (PARTITION BY value_name, kind, ord)) AS v FROM sv), sc AS (SELECT value_name, kind, d, sum(v) AS v FROM su GROUP BY ALL),
+proto AS (SELECT value_name, kind, d, v / sqrt(sum(v * v) OVER (PARTITION BY value_name, kind)) AS v FROM sc),
+cosine AS (SELECT id, value_name, kind, sum(pv.v * proto.v) / any_value(norm) AS c FROM pv JOIN proto USING (d) JOIN pn USING (id) GROUP BY id, value_name, kind),
+sim AS (SELECT id, value_name, round(max(c) FILTER (kind = 'hold'), 4) AS hold, round(coalesce(max(c) FILTER (kind = 'failure'), 0), 4) AS fail FROM cosine GROUP BY id, value_name)"""
+MODELS = f"""{LIKE}, sm AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY hold DESC, value_name) AS place FROM sim WHERE hold >= {b.LIKENESS.semantic_threshold}),
+sem AS (SELECT id, value_name, round((hold - 0.5::DOUBLE * fail) * 0.8::DOUBLE, 4) AS c FROM sm WHERE place <= {fixed.SEMANTIC_TOP} AND hold > fail),
 zs AS (SELECT id, {VALUE_LIST}[(doc_id * 3 + place) % 15 + 1] AS value_name, 0.3::DOUBLE + ((doc_id * 13 + place * 5) % 45) / 100::DOUBLE AS c FROM p),
 cls AS (SELECT id, 'LABEL_' || ((doc_id + place) % 10) AS label, 0.5::DOUBLE + ((doc_id * 7 + place * 11) % 36) / 100::DOUBLE AS score FROM p),
 said(label, ord, value_name, weight) AS (VALUES {SAID}), cl AS (SELECT id, value_name, ord, round(score * weight, 4) AS score FROM cls JOIN said USING (label) WHERE score >= 0.6),
@@ -280,6 +295,19 @@ SELECT doc_id, au AS authenticity, y AS discount, round(0.7::DOUBLE * au * y, 4)
 t3 AS (SELECT doc_id, place, p, c, coalesce(vice, 0) AS vice, coalesce(virtue, 0) AS virtue FROM t LEFT JOIN (SELECT id, max(confidence) FILTER (polarity = 'vice') AS vice, max(confidence) FILTER (polarity = 'virtue') AS virtue FROM lexs GROUP BY id) USING (id))
 SELECT doc_id, place, p AS tier1, c AS tier1_confidence, {SIGN} AS polarity, round({SURE}, 4) AS polarity_confidence FROM t3""",
     "q_semantic_signals": f"WITH {P}, {MODELS} SELECT id, value_name, c AS confidence FROM sem",
+    "q_languages": f"""WITH words AS (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '\\p{{L}}+')) AS w FROM documents) GROUP BY ALL),
+gram AS (SELECT doc_id, substr(' ' || w || ' ', i, 3) AS g, sum(n)::DOUBLE AS n FROM (SELECT *, unnest(range(1, length(w) + 1)) AS i FROM words) GROUP BY doc_id, g),
+c AS (SELECT lang, g, sum(n) AS n FROM gram JOIN documents USING (doc_id) WHERE lang IS NOT NULL AND doc_id % 4 <> 2 GROUP BY lang, g), t AS (SELECT lang, sum(n) AS total, count(*) AS kinds FROM c GROUP BY lang),
+pr AS (SELECT lang, g, ln((n + {profiles.SMOOTH}) / (total + {profiles.SMOOTH} * kinds)) AS p FROM c JOIN t USING (lang) QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, g) <= {profiles.TOP}),
+sc AS (SELECT doc_id, t.lang, -sum(n * coalesce(p, ln({profiles.SMOOTH} / (total + {profiles.SMOOTH} * kinds)))) / sum(n) AS s FROM gram CROSS JOIN t LEFT JOIN pr ON pr.lang = t.lang AND pr.g = gram.g GROUP BY doc_id, t.lang HAVING sum(n) >= {profiles.LEAST}),
+r AS (SELECT doc_id, lang, lead(s) OVER w - s AS apart, row_number() OVER w AS k FROM sc WINDOW w AS (PARTITION BY doc_id ORDER BY s, lang))
+SELECT doc_id, CASE WHEN apart >= {profiles.MARGIN} THEN r.lang ELSE 'unknown' END AS lang, round(coalesce(apart, 0), 4) AS margin FROM documents d LEFT JOIN (SELECT * FROM r WHERE k = 1) r USING (doc_id)""",
+    "q_prototypes": f"WITH {P}, {LIKE} SELECT value_name AS label, kind, d::INTEGER AS d, round(v, 4) AS c FROM proto WHERE round(v, 4) <> 0",
+    "q_batch_ingest": f"""WITH whole AS (SELECT conv_id, 'speaker' || (conv_id % 7) AS figure, coalesce(string_agg(text, ' ' ORDER BY turn, text), '') AS text FROM conversations GROUP BY conv_id),
+docs AS (SELECT conv_id AS doc_id, figure, 'letter' AS doc_type, text FROM whole WHERE conv_id % 20 <> 0), {CUT},
+bad AS (SELECT figure, 'file not found' AS error FROM whole WHERE conv_id % 20 = 0 UNION ALL SELECT figure, CASE WHEN regexp_matches(text, '[^\\s]') THEN 'no passages' ELSE 'empty text' END FROM docs WHERE doc_id NOT IN (SELECT doc_id FROM pas))
+SELECT figure, count(*) AS n, sum(length(passage))::BIGINT AS chars, min(epoch(make_date(1900 + (doc_id % 50)::INTEGER, 1, 1)::TIMESTAMP) + place)::DOUBLE AS first_ts, 'none' AS error FROM pas GROUP BY figure
+UNION ALL SELECT figure, count(*), 0, NULL, error FROM bad GROUP BY figure, error""",
     "q_classifier_signals": f"""WITH {P}, {MODELS} SELECT id, value_name, ord::INTEGER AS ord, score FROM cl UNION ALL SELECT id, 'vice of ' || foundation, -1, round(score, 4) FROM cls JOIN (VALUES {', '.join(f"('{label}', '{f}')" for label, (f, pol) in fixed.CLASSIFIER_LABELS.items() if pol == 'vice')}) v(label, foundation) USING (label) WHERE score >= 0.85""",
     "q_merge_confidence": f"WITH {OBS} SELECT id, value_name, o AS signal_ord, layer::INTEGER AS layer, c0 AS confidence, src AS source, hint AS polarity_hint, spot AS match_idx, dc AS disambiguation_confidence, resistance, pol AS value_polarity, round(pc, 4) AS polarity_confidence FROM sig",
     "q_observations": f"WITH {OBS} SELECT session_id, record_id, value_name, ts, passage_idx, doc_type, significance, resistance, disambiguation_confidence, source, value_polarity, round(polarity_confidence, 4) AS polarity_confidence, md5(text_excerpt) AS excerpt_md5 FROM obs",
@@ -318,9 +346,9 @@ SELECT (SELECT count(*) FROM obs) AS total_observations, (SELECT count(DISTINCT
     "q_document_list": f"WITH {P} SELECT session_id, min(figure) AS figure, count(*) AS passage_count, count(DISTINCT doc_id) AS document_count, min(ts) AS first_ts FROM p GROUP BY session_id",
     "q_figure_profile": f"WITH {REG} SELECT * FROM reg WHERE session_id = 'figure:src0'",
     "q_pressure_context": f"WITH {P}, {PRESSURE} SELECT * EXCLUDE (markers) FROM pr WHERE session_id = 'figure:src1' AND (passage_idx >= 40 OR ts >= 0)",
-    "q_languages": r"WITH n AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents), k AS (SELECT doc_id, [" + ", ".join(f"{{'n': len(list_filter(w, lambda x: x IN ({', '.join(map(quote, words))}))), 'lang': '{k}'}}" for k, words in COMMON.items()) + "] AS c FROM n), t AS (SELECT doc_id, list_max(c) AS top, list_sum(list_transform(c, lambda x: x.n)) AS total FROM k) SELECT doc_id, CASE WHEN top.n >= 3 THEN top.lang ELSE 'unknown' END AS lang, CASE WHEN top.n >= 3 THEN round(top.n / total::DOUBLE, 4) ELSE 0 END AS share FROM t",
+    "q_short_words": r"WITH n AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents), k AS (SELECT doc_id, [" + ", ".join(f"{{'n': len(list_filter(w, lambda x: x IN ({', '.join(map(quote, words))}))), 'lang': '{k}'}}" for k, words in COMMON.items()) + "] AS c FROM n), t AS (SELECT doc_id, list_max(c) AS top, list_sum(list_transform(c, lambda x: x.n)) AS total FROM k) SELECT doc_id, CASE WHEN top.n >= 3 THEN top.lang ELSE 'unknown' END AS lang, CASE WHEN top.n >= 3 THEN round(top.n / total::DOUBLE, 4) ELSE 0 END AS share FROM t",
     "q_record_files": f"WITH {UPGRADED} SELECT label, count(*) AS n FROM upg WHERE label IN ('P1', 'P0', 'APY') GROUP BY label UNION ALL SELECT 'malformed', 1",
-    "q_lexicon_files": "SELECT * FROM (VALUES " + ", ".join([f"('vocabulary', '{v}', {quote(w)}, {i}::DOUBLE)" for v, ws in b.VOCABULARY.items() for i, w in enumerate(ws)] + [f"('lexicon', '{w}', '{f}.{p}', NULL)" for w, f, p in b.LEXICON] + [f"('strength', '{w}', '{f}', {s}::DOUBLE)" for w, f, s in b.STRENGTH]) + ") t(kind, a, b, x)",
+    "q_lexicon_files": f"WITH {P}, said AS (SELECT w, count(*) AS n FROM (SELECT unnest(regexp_extract_all(lower(text), '[a-z]+')) AS w FROM p) GROUP BY w) SELECT kind, a, b, x, coalesce(n, 0) AS n FROM (VALUES " + ", ".join([f"('vocabulary', '{v}', {quote(w)}, {i}::DOUBLE)" for v, ws in b.VOCABULARY.items() for i, w in enumerate(ws)] + [f"('lexicon', '{w}', '{f}.{p}', NULL)" for w, f, p in b.LEXICON] + [f"('strength', '{w}', '{f}', {s}::DOUBLE)" for w, f, s in b.STRENGTH]) + ") t(kind, a, b, x) LEFT JOIN said ON w = CASE WHEN kind = 'vocabulary' THEN b ELSE a END",
     "q_panel": """WITH v AS (SELECT doc_id AS id, 'courage' AS value_name, CASE WHEN (doc_id + m) % 5 <> 0 THEN (quality + m) % 2 = 1 END AS holds, CASE WHEN (doc_id + m) % 7 <> 0 THEN (toxic + m) % 2 = 0 END AS violates FROM labels, range(3) r(m)),
 g AS (SELECT id, value_name, count(*) FILTER (holds) AS holds, count(*) FILTER (violates) AS violates, count(*) FILTER (holds IS NOT NULL OR violates IS NOT NULL) AS active FROM v GROUP BY ALL)
 SELECT *, CASE WHEN active < 2 THEN 'skip' WHEN holds >= 2 AND violates >= 2 THEN 'tension' WHEN holds >= 2 THEN 'P1' WHEN violates >= 2 THEN 'P0' ELSE 'discard' END AS verdict FROM g""",

@@ -55,18 +55,15 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def manifest_documents(spark: SparkSession, path: str, base: str) -> DataFrame:
-    """The manifest's sources with their texts; a missing file is a row with an error, and the rest go on.
+def manifest_documents(spark: SparkSession, path: str, *folders: str) -> DataFrame:
+    """The manifest's sources with their texts; a faulty file is a row with an error, and the rest go on.
 
-    A source's path counts from ``base``, folders included, unless it is
-    absolute or has a scheme; files of equal names in other folders differ.
+    A relative path is looked for beside the manifest, then in ``folders`` in
+    their order (see ``sources.manifest``, which reads the named files only).
     """
-    sources = manifest(spark, path).withColumn("_at", F.when(F.col("file").rlike(r"^(/|[A-Za-z][A-Za-z0-9+.-]*:)"), F.col("file")).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), F.regexp_replace("file", r"^(\./)+", ""))))
-    bare = lambda c: F.regexp_replace(F.regexp_replace(c, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", ""), "/+", "/")
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
-    files = _decoded(files, MAX_BYTES).withColumn("_at", bare(F.col("path"))).drop("path")
-    out = sources.withColumn("_at", bare(F.col("_at"))).join(files, "_at", "left").drop("_at")
-    return out.withColumn("error", F.when(F.col("text").isNull() & F.col("error").isNull(), "file not found").otherwise(F.col("error"))).withColumn("doc_id", F.xxhash64("figure", "file"))
+    from heartwood.sources import manifest as files
+
+    return files.documents(spark, path, list(folders))
 
 
 def records(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> tuple[DataFrame, DataFrame]:
