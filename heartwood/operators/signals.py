@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from heartwood.config import DEFAULT, EngineConfig
 from heartwood.functions import fixed, scoring, text
+from heartwood.operators import keywords
 
 #: Rows that a vocabulary or lexicon may have: these are broadcast, and the patterns are made from them.
 DIMENSION = 200_000
@@ -27,60 +28,28 @@ def _chosen(key: Column, table: dict[str, str], other: str) -> Column:
     return out
 
 
-def _checks(low: Column, value: Column, keyword: Column, at: Column, doc_type: Column) -> tuple[Column, Column]:
-    """(valid, confidence) of a keyword's first occurrence at ``at`` (0-based) in lower-cased text."""
-    end = at + F.length(keyword)
-    failing = keyword.isin(*fixed.FAILURE_KEYWORDS)
-    prefixed = text.found(text.window(low, at - 4, at), fixed.NEGATING_PREFIX)
-    negated = ~text.found(keyword, fixed.NEGATED_KEYWORD) & text.found(text.window(low, at - 30, at), fixed.NEGATION)
-    # each value's pattern is chosen as data, so one expression serves all; positions only where the pattern occurs at all
-    pattern = _chosen(value, fixed.DISQUALIFIERS, "(?!)")
-    barred = F.rlike(low, F.concat(F.lit("(?i)"), pattern)) & F.exists(text.positions(low, pattern), lambda m: (m["s"] < end) & (m["e"] > at))
-    person = text.found(text.window(low, at - 80, end + 80), fixed.FIRST_PERSON)
-    action = F.lower(F.trim(doc_type)) == "action"
-    needs = value.isin(*fixed.FIRST_PERSON_VALUES)
-    valid = ~(~failing & (prefixed | negated)) & ~barred & (~needs | person | action)
-    return valid, F.when(person, 1.0).when(needs, 0.7).otherwise(0.6)
+def _vocabulary(vocabulary: DataFrame) -> list[tuple[str, str, int]]:
+    """The rows (value_name, keyword, kw_ord) of a vocabulary, keywords in lower case."""
+    return [tuple(r) for r in dimension(vocabulary.select("value_name", F.lower("keyword").alias("keyword"), "kw_ord")).collect()]
 
 
 def keyword_hits(passages: DataFrame, vocabulary: DataFrame, keep: tuple[str, ...] = ("id",)) -> DataFrame:
     """Every vocabulary keyword (value_name, keyword, kw_ord) in a passage, with its place, validity and confidence.
 
-    One pattern finds the longest keyword at each place of the text; a keyword
-    that another one begins with follows from that one. So a passage costs one
-    search, and rows are the keywords it holds, not the vocabulary.
+    One automaton finds them all (``keywords``), so a passage costs one pass
+    over its text, and rows are the keywords it holds, not the vocabulary.
     """
-    rows = dimension(vocabulary.select("value_name", F.lower("keyword").alias("keyword"), "kw_ord"))
-    words = sorted({r["keyword"] for r in rows.select("keyword").collect()})
-    implied = rows.sparkSession.createDataFrame(_beginnings(words), "found string, keyword string")
-    terms = dimension(implied.join(rows, "keyword"))
-    low = F.lower("text")
-    found = F.array_distinct(F.regexp_extract_all(low, F.lit(f"(?=({text.trie(words)}))"), F.lit(1)))
-    some = passages.select(*keep, "text", "doc_type", "significance", low.alias("low"), found.alias("all")).where(F.size("all") > 0)
-    hits = some.withColumn("found", F.explode("all")).join(terms, "found")
-    # a keyword that several found ones begin with is taken from the first of them, or from itself
-    first = F.filter("all", lambda x: x.startswith(F.col("keyword")))[0]
-    hits = hits.where((F.col("found") == F.col("keyword")) | (~F.array_contains("all", F.col("keyword")) & (F.col("found") == first)))
-    hits = hits.withColumn("match_idx", F.instr("low", F.col("keyword")) - 1)
-    valid, confidence = _checks(F.col("low"), F.col("value_name"), F.col("keyword"), F.col("match_idx"), F.col("doc_type"))
-    return hits.withColumn("valid", valid).withColumn("confidence", confidence).drop("low", "all", "found")
-
-
-def _beginnings(words: list[str]) -> list[tuple[str, str]]:
-    """(word, keyword) for every keyword that a word begins with."""
-    known = set(words)
-    return [(w, w[:n]) for w in words for n in range(1, len(w) + 1) if w[:n] in known]
+    return keywords.scan(passages, _vocabulary(vocabulary), keep, best=False)
 
 
 def keyword_signals(passages: DataFrame, vocabulary: DataFrame, keep: tuple[str, ...] = ("id",), reach: int = DEFAULT.polarity_reach) -> DataFrame:
     """One signal for each value of a passage: the first valid keyword in the value's order, with its excerpt and the polarity around it.
 
-    Excerpt and polarity are taken before the rows are grouped, so no text is shuffled.
+    All of it is found in the passage's row; nothing is shuffled.
     """
-    hits = keyword_hits(passages, vocabulary, keep).where("valid")
-    hits = hits.withColumn("text_excerpt", text.keyword_excerpt(F.col("text"), F.col("match_idx"), F.length("keyword"))).withColumn("around", scoring.tier1_polarity(F.col("text"), F.col("match_idx"), reach))
-    best = hits.groupBy(*keep, "value_name").agg(F.min_by(F.struct("keyword", "match_idx", "confidence", "text_excerpt", "significance", "around"), "kw_ord").alias("b"))
-    return best.select(*keep, "value_name", "b.*", F.lit("keyword").alias("source"))
+    best = keywords.scan(passages, _vocabulary(vocabulary), keep, best=True)
+    excerpt = text.keyword_excerpt(F.col("text"), F.col("match_idx"), F.length("keyword"))
+    return best.select(*keep, "value_name", "keyword", "match_idx", "confidence", excerpt.alias("text_excerpt"), "significance", scoring.tier1_polarity(F.col("text"), F.col("match_idx"), reach).alias("around"), F.lit("keyword").alias("source"))
 
 
 def foundation_values(spark) -> DataFrame:
