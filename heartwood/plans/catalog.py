@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from heartwood.functions import fixed, scoring, text
-from heartwood.operators import corpus, extract, gold, ingest, labels, profiles, quality, registry, semantic, signals
+from heartwood.operators import corpus, extract, gold, ingest, labels, profiles, quality, registry, semantic, signals, statistics
 from heartwood.plans import binding as b
 from heartwood.sources import manifest, readers, sinks
 from heartwood.streaming import jobs
@@ -136,6 +136,14 @@ def q_registry(spark, d):
     return registry.registry(b.observations(spark, d))
 
 
+def q_incremental_registry(spark, d):
+    """The registry from statistics that four batches of the observations were merged into, one of them twice."""
+    path, o = sinks.scratch(spark), b.observations(spark, d)
+    for number in (0, 1, 1, 2, 3):
+        statistics.update(o.where(F.pmod(F.xxhash64("record_id"), F.lit(4)) == number), path, number, 16)
+    return statistics.profiles(statistics.stored(spark, path))
+
+
 def q_running_registry(spark, d):
     return registry.running(b.observations(spark, d))
 

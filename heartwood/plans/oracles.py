@@ -313,6 +313,7 @@ UNION ALL SELECT figure, count(*), 0, NULL, error FROM bad GROUP BY figure, erro
     "q_observations": f"WITH {OBS} SELECT session_id, record_id, value_name, ts, passage_idx, doc_type, significance, resistance, disambiguation_confidence, source, value_polarity, round(polarity_confidence, 4) AS polarity_confidence, md5(text_excerpt) AS excerpt_md5 FROM obs",
     "q_new_observations": f"WITH {OBS} SELECT session_id, record_id, value_name, resistance, 1.0::DOUBLE AS polarity_confidence, length(text_excerpt)::INTEGER AS chars FROM obs WHERE value_polarity >= 0",
     "q_pressure": f"WITH {P}, {PRESSURE} SELECT * FROM pr",
+    "q_incremental_registry": f"WITH {REG} SELECT * FROM reg",
     "q_registry": f"WITH {REG} SELECT * FROM reg",
     "q_running_registry": f"""WITH {OBS}, r AS (SELECT session_id, value_name, record_id, ts, count(*) OVER w AS n, avg(significance) OVER w AS sig, avg(resistance) OVER w AS res, stddev_pop(resistance) OVER w AS sigma, max(ts) OVER w - min(ts) OVER w AS span, count(DISTINCT doc_type) OVER w AS types FROM obs
 WINDOW w AS (PARTITION BY session_id, value_name ORDER BY ts, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) SELECT session_id, value_name, record_id, ts, n, round(sig, 4) AS avg_significance, round(res, 4) AS avg_resistance, {CONSISTENCY} AS consistency FROM r""",

@@ -15,6 +15,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from heartwood.functions import fixed
 from heartwood.operators import registry as batch_registry
+from heartwood.operators import statistics
 from heartwood.sources import sinks
 
 KEYS = ["session_id", "record_id", "value_name"]
@@ -34,6 +35,11 @@ def ingest(observations: DataFrame, table: str, checkpoint: str, order: list[str
     run(observations, lambda batch, _: sinks.append_new(batch, table, KEYS, order), checkpoint)
 
 
+def registry_table(observations: DataFrame, path: str, checkpoint: str) -> None:
+    """Keep the statistics of a registry at ``path`` (``statistics.profiles`` reads it): a batch touches its own buckets, and a repeated one adds nothing."""
+    run(observations, lambda batch, number: statistics.update(batch, path, number), checkpoint)
+
+
 def registry(observations: DataFrame) -> DataFrame:
     """The registry of each (session, value) so far, as in batch: means, consistency and weight; for complete or update mode."""
     g = observations.groupBy("session_id", "value_name").agg(
