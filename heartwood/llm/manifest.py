@@ -36,7 +36,7 @@ from heartwood.llm.common import release, store
 
 FANOUT, DIGITS = 3, 7
 #: Rows that a bucket holds on average, those that make it count again by further digits, and digits that one window rolls up.
-FILL, HEAVY, ROLL = 4096, 16384, 2
+FILL, HEAVY, ROLL = 512, 4096, 2
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
 
