@@ -231,3 +231,28 @@ def registered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Registered documents: all of them."""
     d = table(spark, sf_dir, "documents")
     return d.select(F.col("source").alias("figure_name"), F.concat(F.lit("t"), (F.col("doc_id") % 7).cast("string")).alias("doc_title"), spark_case("doc_id", KINDS).alias("doc_type"))
+
+
+#: Events arrive in steps of days; one in three a step later than its own, one in twenty of the first step only after all others.
+STEP_DAYS, LATE = 6, "14 days"
+
+
+def arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The events in the order in which they arrive, not in that of their moments; one in ten arrives twice.
+
+    The rows of one part span two steps, 12 days and less than the watermark's delay, so all are in time but those that come last of all.
+    A row far ahead ends the stream and closes every window.
+    """
+    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    day = F.unix_date(F.to_date("ts"))
+    first, last = e.agg(F.min(day), F.max(day)).first()
+    if first is None:
+        return [e]
+    steps = (last - first) // STEP_DAYS + 2
+    step, key = F.floor((day - first) / STEP_DAYS), F.col("event_id")
+    late = (step == 0) & (key % 20 == 0)
+    own = F.when(late, steps).otherwise(step + F.when(key % 3 == 0, 1).otherwise(0))
+    again = F.when(~late & (key % 7 == 0) & (key % 3 != 0), F.least(own + 1, F.lit(steps - 1)))
+    e = e.withColumn("arrival", F.explode(F.array_compact(F.array(own, again))))
+    end = e.limit(0).unionByName(spark.createDataFrame([(-1, last + 60)], "event_id long, day int").select("event_id", F.timestamp_seconds(F.col("day") * 86_400).alias("ts")), allowMissingColumns=True)
+    return [*(e.where(F.col("arrival") == k).drop("arrival") for k in range(steps + 1)), end.drop("arrival")]

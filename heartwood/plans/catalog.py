@@ -11,7 +11,7 @@ from heartwood.functions import fixed, scoring, text
 from heartwood.operators import corpus, extract, gold, ingest, labels, profiles, quality, registry, semantic, signals, statistics
 from heartwood.plans import binding as b
 from heartwood.sources import manifest, readers, sinks
-from heartwood.streaming import jobs
+from heartwood.streaming import jobs, ledger, pressure
 
 def q_segment(spark: SparkSession, d: str) -> DataFrame:
     return b.documents(spark, d).select("doc_id", F.posexplode(text.passages(F.col("text"))).alias("place", "passage")).select("doc_id", "place", F.length("passage").alias("chars"), F.md5(F.col("passage").cast("binary")).alias("passage_md5"))
@@ -462,25 +462,39 @@ def q_stream_registry(spark, d):
     return r.select("session_id", "value_name", "demonstrations", "avg_significance", "avg_resistance", "consistency", "first_seen_ts", "last_seen_ts")
 
 
+def _streamed(spark, d, build, schema):
+    """The rows that a stream of the events wrote, each batch once, and how many events came too late."""
+    out = sinks.scratch(spark)
+    once = lambda e: build(e.withWatermark("ts", b.LATE).dropDuplicatesWithinWatermark(["event_id"]))
+    late = jobs.fed(b.arrivals(spark, d), once, f"{out}/in", ledger.sink(f"{out}/table", "events"), f"{out}/checkpoint")
+    return ledger.read(spark, f"{out}/table", schema), late
+
+
 def q_stream_pressure(spark, d):
-    """Failures under pressure from keyed state over the events stream."""
-    schema = b.table(spark, d, "events").schema
-    e = spark.readStream.schema(schema).parquet(f"{d}/events.parquet*").where("event_type in ('error', 'purchase')")
-    rows = e.select(F.col("user_id").cast("string").alias("session_id"), F.col("event_id").cast("string").alias("record_id"), (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("ts"), F.lit(-1).alias("passage_idx"), F.when(F.col("event_type") == "error", "pressure").otherwise("failed").alias("kind"))
-    out, mark = sinks.scratch(spark), sinks.scratch(spark)
-    jobs.run(jobs.pressure(rows), lambda batch, _: batch.write.mode("append").parquet(out), mark)
-    return spark.read.schema("session_id string, record_id string, pressure_source_id string, lag_s double, lag_n int").parquet(out).select("session_id", "record_id", "lag_s")
+    """Failures under pressure from keyed state, over the events as they arrive, out of order."""
+    kind = F.when(F.col("event_type") == "error", "pressure").otherwise("failed").alias("kind")
+    rows = lambda e: e.where("event_type in ('error', 'purchase')").select(F.col("user_id").cast("string").alias("session_id"), F.col("event_id").cast("string").alias("record_id"), F.lit(-1).alias("passage_idx"), kind, "ts")
+    # the state store of a running query is fixed when it starts, so the session's own choice is put back after it
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, pressure.STATE_STORE)
+    try:
+        got, _ = _streamed(spark, d, lambda e: pressure.pressure(rows(e), "ts"), "session_id string, record_id string, pressure_source_id string, lag_s double, lag_n int")
+    finally:
+        spark.conf.set(key, before)
+    return got.select("session_id", "record_id", "lag_s")
 
 
 def q_event_windows(spark, d):
-    e = b.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    out = jobs.windowed(e, size="1 day")
-    return out.select(F.unix_seconds("start").alias("start_s"), "event_type", "n", scoring.round4("total").alias("total"))
+    """Events by day and type from a running stream with late rows; with the number of those that came too late."""
+    got, late = _streamed(spark, d, lambda e: jobs.windowed(e, None, "1 day"), "start timestamp, event_type string, n long, total double")
+    return got.select(F.unix_seconds("start").alias("start_s"), "event_type", "n", scoring.round4("total").alias("total"), F.lit(late).cast("long").alias("late"))
 
 
 def q_event_sessions(spark, d):
-    e = b.table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    return jobs.sessions(e, gap="6 hours").groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"), F.sum("n").alias("events"))
+    """Users' sessions from a running stream with late rows."""
+    got, _ = _streamed(spark, d, lambda e: jobs.sessions(e, "6 hours", None), "start timestamp, end timestamp, user_id long, n long")
+    return got.groupBy("user_id").agg(F.count(F.lit(1)).alias("sessions"), F.sum("n").alias("events"))
 
 
 def _li(spark, d):

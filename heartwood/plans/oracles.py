@@ -196,6 +196,8 @@ REG = f"""{OBS}, grouped AS (SELECT session_id, value_name, count(*) AS n, avg(s
 reg AS (SELECT session_id, value_name, n AS demonstrations, round(sig, 4) AS avg_significance, round(res, 4) AS avg_resistance, {CONSISTENCY} AS consistency, round(n * sig * res * {CONSISTENCY}, 4) AS weight, first_seen_ts, last_seen_ts FROM grouped)"""
 SOURCES = """src AS (SELECT 'figure:' || lower(source) AS session_id, source AS figure_name, 'mixed' AS document_type, count(*) AS passage_count FROM documents GROUP BY source)"""
 PANEL = "contains(source, 'panel') AND value_polarity <> 0 AND l.label <> 'APY'"
+#: The events but those that the stream's feed delivers after all others.
+ON_TIME = "timely AS (SELECT * FROM events WHERE event_id % 20 <> 0 OR ts::DATE - (SELECT min(ts)::DATE FROM events) >= 6)"
 RECORDS = f"""{REG}, {SOURCES}, lab AS (SELECT o.*, coalesce(s.figure_name, substr(o.session_id, 8)) AS figure_name, coalesce(s.document_type, 'unknown') AS document_type, coalesce(r.consistency, 0.5) AS observation_consistency, {label('text_excerpt', 'resistance')} AS l
   FROM obs o LEFT JOIN src s USING (session_id) LEFT JOIN reg r USING (session_id, value_name)),
 rec0 AS (SELECT *, CASE WHEN {PANEL} THEN CASE WHEN value_polarity > 0 THEN 'P1' ELSE 'P0' END ELSE l.label END AS label, CASE WHEN {PANEL} THEN CASE WHEN value_polarity > 0 THEN 'panel_confirmed_p1' ELSE 'panel_confirmed_p0' END ELSE l.why END AS label_reason, l.conf AS confidence,
@@ -381,10 +383,10 @@ s AS (SELECT vec_id, p.label, round(list_dot_product(embedding::DOUBLE[], v), 4)
     "q_figure_sources": f"""WITH {LOG} SELECT session_id, arg_max(figure, ingested_at) AS figure_name, CASE WHEN count(DISTINCT document_type) = 1 THEN min(document_type) ELSE 'mixed' END AS document_type, max(ingested_at) AS ingested_at, sum(passage_count)::BIGINT AS passage_count, coalesce(arg_max(pronoun, ingested_at) FILTER (pronoun <> 'unknown'), 'unknown') AS pronoun FROM log GROUP BY session_id""",
     "q_incremental": f"""WITH {P}, k AS (SELECT session_id, floor((max(ts) + min(ts)) / 2)::DOUBLE AS mark FROM p WHERE session_id <> 'figure:src0' GROUP BY ALL) SELECT session_id, count(*) AS n, min(ts) AS first_ts FROM p LEFT JOIN k USING (session_id) WHERE ts > coalesce(mark, -1e12) GROUP BY ALL""",
     "q_stream_registry": f"WITH e AS (SELECT user_id::VARCHAR AS session_id, event_type AS value_name, count(*) AS n, avg(value) AS sig, avg(value / 2) AS res, stddev_pop(value / 2) AS sigma, min(epoch_us(ts))::DOUBLE AS lo, max(epoch_us(ts))::DOUBLE AS hi, hi - lo AS span, 1 AS types FROM events GROUP BY ALL) SELECT session_id, value_name, n AS demonstrations, round(sig, 4) AS avg_significance, round(res, 4) AS avg_resistance, {CONSISTENCY} AS consistency, lo AS first_seen_ts, hi AS last_seen_ts FROM e",
-    "q_stream_pressure": """WITH e AS (SELECT event_id::VARCHAR AS record_id, user_id::VARCHAR AS session_id, epoch_us(ts)::DOUBLE / 1e6 AS ts, event_type FROM events),
+    "q_stream_pressure": f"""WITH {ON_TIME}, e AS (SELECT event_id::VARCHAR AS record_id, user_id::VARCHAR AS session_id, epoch_us(ts)::DOUBLE / 1e6 AS ts, event_type FROM timely),
 j AS (SELECT p.session_id, p.record_id, p.ts - x.ts AS lag FROM (FROM e WHERE event_type = 'purchase') p ASOF JOIN (FROM e WHERE event_type = 'error') x ON p.session_id = x.session_id AND p.ts >= x.ts) SELECT session_id, record_id, round(lag, 1) AS lag_s FROM j WHERE lag <= 259200""",
-    "q_event_windows": "SELECT epoch(date_trunc('day', ts))::BIGINT AS start_s, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
-    "q_event_sessions": """WITH g AS (SELECT user_id, CASE WHEN ts > lag(ts) OVER w + INTERVAL 6 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)) SELECT user_id, sum(fresh)::BIGINT AS sessions, count(*) AS events FROM g GROUP BY ALL""",
+    "q_event_windows": f"WITH {ON_TIME} SELECT epoch(date_trunc('day', ts))::BIGINT AS start_s, event_type, count(*) AS n, round(sum(value), 4) AS total, (SELECT count(*) FROM events) - (SELECT count(*) FROM timely) AS late FROM timely GROUP BY ALL",
+    "q_event_sessions": f"""WITH {ON_TIME}, g AS (SELECT user_id, CASE WHEN ts > lag(ts) OVER w + INTERVAL 6 HOUR OR lag(ts) OVER w IS NULL THEN 1 ELSE 0 END AS fresh FROM timely WINDOW w AS (PARTITION BY user_id ORDER BY ts)) SELECT user_id, sum(fresh)::BIGINT AS sessions, count(*) AS events FROM g GROUP BY ALL""",
     "q_tpch_q1": "SELECT l_returnflag, l_linestatus, round(sum(l_quantity), 2) AS sum_qty, round(sum(l_extendedprice * (1 - l_discount)), 2) AS sum_disc_price, round(avg(l_extendedprice), 2) AS avg_price, count(*) AS count_order FROM lineitem WHERE l_shipdate <= TIMESTAMP '1998-09-02' GROUP BY ALL",
     "q_tpch_q3": "SELECT o_orderkey, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING' GROUP BY o_orderkey ORDER BY revenue DESC, o_orderkey LIMIT 10",
     "q_tpch_q5": "SELECT r_name, n_name, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS lines FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey AND c_nationkey = s_nationkey JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL",

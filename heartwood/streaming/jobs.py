@@ -6,17 +6,15 @@ mark's edge is lost. ``available_now`` runs what is there and ends.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from heartwood.functions import fixed
 from heartwood.operators import registry as batch_registry
 from heartwood.operators import statistics
 from heartwood.sources import sinks
+from heartwood.streaming import ledger
 
 KEYS = ["session_id", "record_id", "value_name"]
 
@@ -35,6 +33,28 @@ def ingest(observations: DataFrame, table: str, checkpoint: str, order: list[str
     run(observations, lambda batch, _: sinks.append_new(batch, table, KEYS, order), checkpoint)
 
 
+def ingest_once(observations: DataFrame, table: str, checkpoint: str, query: str, at: str = "at", late: str = "72 hours") -> None:
+    """Add new observations to a ledger's table, each batch once; an observation repeated within ``late`` of event time (column ``at``) counts once, which no look at the table's rows decides."""
+    run(observations.withWatermark(at, late).dropDuplicatesWithinWatermark(KEYS), ledger.sink(table, query), checkpoint)
+
+
+def fed(parts: list[DataFrame], build: Callable[[DataFrame], DataFrame], folder: str, sink: Callable[[DataFrame, int], None], checkpoint: str) -> int:
+    """Run ``build`` over a stream that runs on while ``parts`` arrive one after another, in append mode; returns the rows dropped as too late, from the query's progress."""
+    spark = parts[0].sparkSession
+    parts[0].limit(0).write.mode("append").parquet(folder)
+    query = build(source(spark, folder, parts[0].schema)).writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(sink).start()
+    seen: dict[int, int] = {}
+    try:
+        for part in parts:
+            part.write.mode("append").parquet(folder)
+            query.processAllAvailable()
+            # a batch's progress stands once; a dropped row counts at the first operator that drops it
+            seen |= {p.batchId: sum(s.numRowsDroppedByWatermark for s in p.stateOperators) for p in query.recentProgress}
+    finally:
+        query.stop()
+    return sum(seen.values())
+
+
 def registry_table(observations: DataFrame, path: str, checkpoint: str) -> None:
     """Keep the statistics of a registry at ``path`` (``statistics.profiles`` reads it): a batch touches its own buckets, and a repeated one adds nothing."""
     run(observations, lambda batch, number: statistics.update(batch, path, number), checkpoint)
@@ -48,45 +68,15 @@ def registry(observations: DataFrame) -> DataFrame:
     return batch_registry.profiled(g)
 
 
-def windowed(events: DataFrame, late: str = "72 hours", size: str = "1 hour", key: str = "event_type") -> DataFrame:
-    """Event-time windows with a watermark; rows later than that are dropped."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", size), key).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("start"), key, "n", "total")
-
-
-def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "72 hours", key: str = "user_id") -> DataFrame:
-    return events.withWatermark("ts", late).groupBy(F.session_window("ts", gap), key).agg(F.count(F.lit(1)).alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), key, "n")
-
-
-def pressure(rows: DataFrame, kept: int = fixed.PRESSURE_KEPT, seconds: float = fixed.PRESSURE_SECONDS, within: int = fixed.PRESSURE_PASSAGES, idle_ms: int | None = None) -> DataFrame:
-    """Failures joined with the session's latest pressure, from a state of the last ``kept`` pressure rows of each session.
-
-    ``rows``: session_id, record_id, ts, passage_idx, kind ('pressure' or
-    'failed'). A batch's rows of a session are taken in time order. State
-    is ``kept`` rows a session at most. In a query that runs on, ``idle_ms``
-    forgets a session from which nothing came for that processing time (a
-    query that ends once all is read would wait for it, so it goes without).
-    """
-
-    def step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        held = list(zip(*state.get, strict=True)) if state.exists else []
-        out = []
-        # pressure comes before failures of the same moment
-        for r in pd.concat(list(batches)).assign(late=lambda d: d["kind"] != "pressure").sort_values(["ts", "late", "passage_idx"]).itertuples(index=False):
-            if r.kind == "pressure":
-                held = sorted([*held, (r.record_id, float(r.ts), int(r.passage_idx))], key=lambda x: (x[2], x[1], x[0]))[-kept:]
-                continue
-            last = max((x for x in held if x[1] <= r.ts), key=lambda x: (x[1], x[2]), default=None)
-            if last and (r.ts - last[1] <= seconds or min(r.passage_idx, last[2]) >= 0 and r.passage_idx - last[2] <= within):
-                out.append((key[0], r.record_id, last[0], round(r.ts - last[1], 1), max(0, r.passage_idx - last[2])))
-        if held:
-            state.update(tuple(list(c) for c in zip(*held, strict=True)))
-            if idle_ms:
-                state.setTimeoutDuration(idle_ms)
-        yield pd.DataFrame(out, columns=["session_id", "record_id", "pressure_source_id", "lag_s", "lag_n"])
-
-    kind = rows.schema["record_id"].dataType.simpleString()
-    return rows.groupBy("session_id").applyInPandasWithState(
-        step, f"session_id string, record_id {kind}, pressure_source_id {kind}, lag_s double, lag_n int", f"ids array<{kind}>, ts array<double>, idx array<int>", "append", GroupStateTimeout.ProcessingTimeTimeout if idle_ms else GroupStateTimeout.NoTimeout)
+def _marked(events: DataFrame, late: str | None) -> DataFrame:
+    return events.withWatermark("ts", late) if late else events
+
+
+def windowed(events: DataFrame, late: str | None = "72 hours", size: str = "1 hour", key: str = "event_type") -> DataFrame:
+    """Event-time windows with a watermark; rows later than that are dropped. Without ``late`` the events have their watermark already."""
+    return _marked(events, late).groupBy(F.window("ts", size), key).agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("start"), key, "n", "total")
+
+
+def sessions(events: DataFrame, gap: str = "30 minutes", late: str | None = "72 hours", key: str = "user_id") -> DataFrame:
+    return _marked(events, late).groupBy(F.session_window("ts", gap), key).agg(F.count(F.lit(1)).alias("n")).select(F.col("session_window.start").alias("start"), F.col("session_window.end").alias("end"), key, "n")
+

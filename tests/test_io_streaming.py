@@ -138,17 +138,6 @@ def test_stream_drops_late_rows(spark, tmp_path):
     assert got == [(10, 0, 1), (10, 1, 1), (18, 8, 1), (18, 9, 1)]
 
 
-def test_stream_pressure_state_spans_batches(spark, tmp_path):
-    cols = "session_id string, record_id string, ts double, passage_idx int, kind string"
-    first = spark.createDataFrame([("s", f"p{i}", float(i), i, "pressure") for i in range(7)], cols)
-    second = spark.createDataFrame([("s", "f1", 6.5, 8, "failed"), ("s", "f2", 1e9, 9999, "failed"), ("t", "f3", 1.0, 1, "failed"), ("s", "f4", 1.5, 2, "failed")], cols)
-    out = f"{tmp_path}/out"
-    for part in (first, second):
-        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
-        jobs.run(jobs.pressure(jobs.source(spark, f"{tmp_path}/in", first.schema)), lambda b, _: b.write.mode("append").parquet(out), f"{tmp_path}/c")
-    assert [tuple(r) for r in spark.read.parquet(out).collect()] == [("s", "f1", "p6", 0.5, 2)]
-
-
 def test_sql_surface(spark):
     sql.register(spark, {"words": spark.createDataFrame([("I would rather die, and stood firm.",)], "t string")})
     r = spark.sql("SELECT value_resistance(t, 0.9D, 'journal') AS r, value_structure(t) AS s FROM words").first()
