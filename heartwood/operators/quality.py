@@ -7,10 +7,11 @@ observation_consistency, ts.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heartwood.functions import fixed, scoring
+from heartwood.operators import ordered
 
 
 def cleaned(records: DataFrame) -> DataFrame:
@@ -43,17 +44,24 @@ def breakdown(records: DataFrame, by: str) -> DataFrame:
     return cleaned(records).groupBy(by, "label").count().withColumnRenamed("count", "n")
 
 
+def ranges(records: DataFrame) -> DataFrame:
+    """(figure, value_name, n, hash): a hash of each figure's records of a value, in the order of excerpt and moment."""
+    r = cleaned(records).withColumns({"value_name": F.coalesce("value_name", F.lit("")), "excerpt": F.substring("text_excerpt", 1, 80), "moment": scoring.safe_double(F.col("ts"), 0.0)})
+    said = [F.format_string("%.4f", scoring.round4("resistance")).alias("r"), F.format_string("%.2f", F.round("confidence", 2)).alias("c")]
+    content = F.concat_ws("\u0001", "figure", "value_name", "excerpt", "label", *said)
+    return ordered.grouped_hashes(r, ["figure", "value_name"], content, "excerpt", "moment", "label", *said)
+
+
 def digest(records: DataFrame) -> DataFrame:
-    """A hash of the records that does not depend on their order.
+    """One hash of the sorted records, the same however they are dealt and in whatever order they come."""
+    return ordered.root(ranges(records), ["figure", "value_name"]).select(F.substring("hash", 1, 16).alias("reproducibility_hash"))
 
-    Rows hash on their own and are summed by parts of their hash, so nothing
-    gathers in one place, whatever the number of records.
-    """
-    r = cleaned(records)
-    row = F.sha2(F.concat_ws("\u0001", "figure", "value_name", F.substring("text_excerpt", 1, 80), "label", F.format_number(scoring.round4("resistance"), 4), F.format_number(F.round("confidence", 2), 2)), 256)
-    parts = [F.sum(F.conv(F.substring(F.col("h"), 1 + 8 * i, 8), 16, 10).cast("decimal(20,0)")).cast("string").alias(f"s{i}") for i in range(8)]
-    sums = r.select(row.alias("h")).agg(F.count(F.lit(1)).cast("string").alias("n"), *parts)
-    return sums.select(F.substring(F.sha2(F.concat_ws("|", "n", *(f"s{i}" for i in range(8))), 256), 1, 16).alias("reproducibility_hash"))
+
+def differing(one: DataFrame, other: DataFrame) -> DataFrame:
+    """(figure, value_name, n_one, n_other): the ranges in which two sets of records differ."""
+    a, b = (ranges(r).select("figure", "value_name", F.struct("n", "hash").alias(side)) for r, side in ((one, "a"), (other, "b")))
+    both = a.join(b, ["figure", "value_name"], "full").where(~F.col("a.hash").eqNullSafe(F.col("b.hash")))
+    return both.select("figure", "value_name", F.coalesce("a.n", F.lit(0)).alias("n_one"), F.coalesce("b.n", F.lit(0)).alias("n_other"))
 
 
 def _check(layer: str, metric: str, value: Column, op: str, threshold: float) -> Column:
@@ -72,11 +80,11 @@ def without_one_figure(records: DataFrame) -> DataFrame:
 
 
 def halves(records: DataFrame) -> DataFrame:
-    """Coverage and mean confidence of the two halves by the parity of each row's rank within its figure and value."""
-    r = cleaned(records)
-    w = Window.partitionBy("figure", "value_name").orderBy(F.substring("text_excerpt", 1, 40), "ts", "label", "confidence")
-    half = r.withColumn("half", ((F.row_number().over(w) + F.length("figure") + F.length("value_name")) % 2).cast("int"))
-    return half.groupBy("half").agg(F.count_distinct("value_name").alias("value_coverage"), F.avg("confidence").alias("avg_confidence"))
+    """Coverage and mean confidence of the two halves by the parity of each row's rank among all records."""
+    r = cleaned(records).withColumns({"value_name": F.coalesce("value_name", F.lit("")), "moment": scoring.safe_double(F.col("ts"), 0.0)})
+    keys = ("figure", "value_name", F.substring("text_excerpt", 1, 40).alias("excerpt"), "moment", "label", "confidence")
+    half = ordered.ranked(r.select(*keys), "figure", "value_name", "excerpt", "moment", "label", "confidence")
+    return half.groupBy((F.col("rank") % 2).cast("int").alias("half")).agg(F.count_distinct(F.when(F.col("value_name") != "", F.col("value_name"))).alias("value_coverage"), F.avg("confidence").alias("avg_confidence"))
 
 
 def checks(records: DataFrame, thresholds: dict[str, float] | None = None) -> DataFrame:

@@ -367,9 +367,18 @@ def q_grade(spark, d):
 
 
 def q_digest(spark, d):
-    """The reproducible hash of the training records, in two orders: rows only, as its format is our own."""
+    """The hash of the sorted training records, whole and dealt anew, and that of each range of them."""
     r = _training(spark, d)
-    return quality.digest(r).unionByName(quality.digest(r.repartition(3, "value_name")))
+    whole = quality.digest(r).select(F.lit("all").alias("figure"), F.lit("all").alias("value_name"), F.col("reproducibility_hash").alias("hash"))
+    anew = quality.digest(r.repartition(3, "value_name")).select(F.lit("anew").alias("figure"), F.lit("all").alias("value_name"), F.col("reproducibility_hash").alias("hash"))
+    return whole.unionByName(anew).unionByName(quality.ranges(r).select("figure", "value_name", "hash"))
+
+
+def q_differing(spark, d):
+    """The ranges of the training records that change if one label in 256 does."""
+    r = _training(spark, d)
+    changed = F.md5(F.col("record_id").cast("binary")).startswith("00")
+    return quality.differing(r, r.withColumn("label", F.when(changed, F.lit("P9")).otherwise(F.col("label"))))
 
 
 def q_lofo(spark, d):

@@ -244,10 +244,15 @@ INNER = [
 ]
 LOG = f"""log AS (SELECT 'figure:' || lower(source) AS session_id, source AS figure, CASE WHEN doc_id % 40 < 20 THEN 'journal' ELSE {KIND_SQL} END AS document_type, 2 AS passage_count, CASE WHEN doc_id % 3 = 0 THEN 'she' ELSE 'unknown' END AS pronoun, doc_id::DOUBLE AS ingested_at FROM documents)"""
 #: The halves and leave-one-out checks of the third layer.
-STABLE = f"""halves AS (SELECT half, count(DISTINCT value_name) AS vc, avg(confidence) AS ac FROM (SELECT *, (row_number() OVER (PARTITION BY figure_name, value_name ORDER BY substr(text_excerpt, 1, 40), ts, label, confidence) + length(figure_name) + length(value_name)) % 2 AS half FROM rec) GROUP BY half),
+STABLE = f"""halves AS (SELECT half, count(DISTINCT value_name) AS vc, avg(confidence) AS ac FROM (SELECT *, (row_number() OVER (ORDER BY figure_name, value_name, substr(text_excerpt, 1, 40), ts, label, confidence) - 1) % 2 AS half FROM rec) GROUP BY half),
 own AS (SELECT value_name, count(DISTINCT figure_name) AS n, min(figure_name) AS f FROM rec GROUP BY value_name), lofo AS (SELECT g.figure_name, (SELECT count(*) FROM own) - (SELECT count(*) FROM own WHERE n = 1 AND f = g.figure_name) AS remaining FROM (SELECT DISTINCT figure_name FROM rec) g),
 outcome AS (SELECT (SELECT count(*) >= 2 FROM halves WHERE vc >= 5 AND ac >= 0.65)::INTEGER::DOUBLE AS a, (SELECT count(*) < 2 OR count(*) FILTER (remaining < 5) = 0 FROM lofo)::INTEGER::DOUBLE AS b),
 stable AS (SELECT 'L3' AS layer, 'Split-Half Consistency' AS metric, a AS value, '>=' AS op, 1::DOUBLE AS threshold, a >= 1 AS passed FROM outcome UNION ALL SELECT 'L3', 'Figure Independence', b, '>=', 1, b >= 1 FROM outcome)"""
+#: The ranges' hashes: chunks of 1024 leaves, and the chunks of a range that has several (up to a million records of a range, and 1024 ranges).
+RANGES = f"""{RECORDS}, leaf AS (SELECT figure_name AS figure, value_name, sha256(concat_ws(chr(1), figure_name, value_name, substr(text_excerpt, 1, 80), label, printf('%.4f', round(resistance, 4)), printf('%.2f', round(confidence, 2)))) AS h,
+  row_number() OVER (PARTITION BY figure_name, value_name ORDER BY substr(text_excerpt, 1, 80), ts, label, round(resistance, 4), confidence) - 1 AS k FROM rec),
+chunks AS (SELECT figure, value_name, k // 1024 AS c, CASE WHEN count(*) = 1 AND min(k) = 0 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY k)) END AS h FROM leaf GROUP BY ALL),
+ranges AS (SELECT figure, value_name, CASE WHEN count(*) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY c)) END AS hash FROM chunks GROUP BY ALL)"""
 CHECKED = " UNION ALL ".join(
     [f"SELECT 'L1' AS layer, '{n}' AS metric, round(({v})::DOUBLE, 4) AS value, '{o}' AS op, {t}::DOUBLE AS threshold, {v} {o} {t} AS passed FROM m" for n, v, o, t in CHECKS]
     + [f"SELECT * FROM (SELECT 'L2' AS layer, '{n}' AS metric, round({v}, 4) AS value, '{o}' AS op, {t}::DOUBLE AS threshold, round({v}, 4) {o} {t} AS passed FROM rec) WHERE value IS NOT NULL" for n, v, o, t in INNER]
@@ -364,6 +369,8 @@ t AS (SELECT session_id, string_agg(value_name, ',' ORDER BY r) AS top_values FR
     "q_quality_metrics": f"WITH {METRICS} SELECT * FROM m",
     "q_quality_checks": f"WITH {METRICS}, {STABLE} {CHECKED} UNION ALL FROM stable",
     "q_grade": f"WITH {METRICS}, {STABLE}, c AS ({CHECKED} UNION ALL FROM stable) SELECT *, CASE WHEN (SELECT count(*) FROM c WHERE NOT passed) = 0 THEN 'CERTIFIED' ELSE 'FAILED' END AS grade FROM c",
+    "q_digest": f"WITH {RANGES}, top AS (SELECT CASE WHEN count(*) = 1 THEN min(h) ELSE sha256(string_agg(h, '' ORDER BY figure, value_name)) END AS h FROM (SELECT *, sha256(concat_ws(chr(1), figure, value_name, hash)) AS h FROM ranges)) SELECT f AS figure, 'all' AS value_name, h[:16] AS hash FROM top, (VALUES ('all'), ('anew')) t(f) UNION ALL SELECT figure, value_name, hash FROM ranges",
+    "q_differing": f"WITH {RECORDS} SELECT figure_name AS figure, value_name, count(*) AS n_one, count(*) AS n_other FROM rec GROUP BY ALL HAVING bool_or(md5(record_id) LIKE '00%')",
     "q_lofo": f"WITH {RECORDS}, own AS (SELECT value_name, count(DISTINCT figure_name) AS n, min(figure_name) AS f FROM rec GROUP BY value_name) SELECT figure_name AS figure, (SELECT count(*) FROM own) - (SELECT count(*) FROM own WHERE n = 1 AND f = g.figure_name) AS remaining FROM (SELECT DISTINCT figure_name FROM rec) g",
     "q_archaic": f"WITH {DOCS} SELECT doc_id, md5({modern("'Thou hast said ''tis so; YE KNOWETH what she doth, and Art thou there? ' || text")}) AS modern_md5 FROM docs",
     "q_quotes": r"""WITH q AS (SELECT doc_id, list_transform(regexp_extract_all('He said "the weight of this long promise is mine to carry" and left. ' || text, '["“”]([^"“”]{30,300})["“”]', 1), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')) AS q FROM documents), u AS (SELECT doc_id, list_filter(q, lambda x, i: list_position(q, x) = i) AS q FROM q)
