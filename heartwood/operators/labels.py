@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from heartwood.config import DEFAULT, EngineConfig
 from heartwood.functions import fixed, scoring, text
 
 LABELS = ("P1", "P0", "APY", "AMBIGUOUS")
@@ -77,10 +78,10 @@ def with_pressure(records: DataFrame, pressure: DataFrame, seconds: float = fixe
     return seen.select("rec.*", F.when(near, F.col("last.id")).alias("pressure_source_id"), F.when(near, F.round(lag_s, 1)).alias("deferred_apy_lag_s"), F.when(near, F.greatest(F.lit(0), lag_n)).alias("deferred_apy_lag_n"))
 
 
-def upgraded(records: DataFrame, pressure: DataFrame) -> DataFrame:
+def upgraded(records: DataFrame, pressure: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:
     """Failures (P0) under recent pressure become APY; all other records pass unchanged."""
     other = records.where("label <> 'P0'").withColumns({"pressure_source_id": F.lit(None).cast(pressure.schema["record_id"].dataType), "deferred_apy_lag_s": F.lit(None).cast("double"), "deferred_apy_lag_n": F.lit(None).cast("int")})
-    failed = with_pressure(records.where("label = 'P0'"), pressure)
+    failed = with_pressure(records.where("label = 'P0'"), pressure, cfg.pressure_seconds, cfg.pressure_passages)
     hit = F.col("pressure_source_id").isNotNull()
     failed = failed.withColumns({
         "label": F.when(hit, "APY").otherwise("P0"), "label_reason": F.when(hit, "cross_passage_apy_pressure_context").otherwise(F.col("label_reason")),
@@ -89,6 +90,11 @@ def upgraded(records: DataFrame, pressure: DataFrame) -> DataFrame:
     return other.unionByName(failed)
 
 
+def labelled(observations: DataFrame, sources: DataFrame, reg: DataFrame, pressure: DataFrame, cfg: EngineConfig = DEFAULT) -> DataFrame:
+    """Observations to labelled records by the engine's settings: enriched, filtered by group, classified, and upgraded by pressure."""
+    return upgraded(classified(enriched(observations, sources, reg), cfg.p1, cfg.p0, cfg.min_observations, cfg.min_consistency), pressure, cfg)
+
+
 def contrastive(records: DataFrame, passages: DataFrame) -> DataFrame:
     """Upgraded failures paired with the passage in which the pressure occurred; those without one go."""
     source = passages.select(F.col("id").alias("pressure_source_id"), F.substring("text", 1, 500).alias("pressure_text"))

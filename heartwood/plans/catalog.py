@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from heartwood.functions import fixed, scoring, text
-from heartwood.operators import corpus, extract, gold, ingest, labels, profiles, quality, registry, semantic, signals, statistics
+from heartwood.operators import card, corpus, extract, gold, ingest, labels, profiles, quality, registry, semantic, signals, statistics
 from heartwood.plans import binding as b
 from heartwood.sources import manifest, readers, sinks
 from heartwood.streaming import jobs, ledger, pressure
@@ -332,6 +332,17 @@ def q_corpus_overview(spark, d):
     return corpus.overview(b.passages(spark, d), b.observations(spark, d))
 
 
+def q_dataset_card(spark, d):
+    """The rows of the dataset card's tables, by section."""
+    o = b.observations(spark, d)
+    section, rows = "", []
+    for line in card.dataset_card("Voices", b.passages(spark, d), o, registry.registry(o), _training(spark, d)).split("\n"):
+        section = line.removeprefix("## ") if line.startswith("## ") else section
+        if line.startswith("| ") and section in ("Corpus Statistics", "Figures", "Value Distribution", "Cross-Figure Values"):
+            rows.append((section, line))
+    return spark.createDataFrame(rows, "section string, line string").where("line not like '| --- |%'")
+
+
 def q_figure_summary(spark, d):
     o = b.observations(spark, d)
     return corpus.figure_summaries(b.passages(spark, d), o, registry.registry(o))

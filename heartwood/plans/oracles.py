@@ -362,6 +362,14 @@ g AS (SELECT id, value_name, count(*) FILTER (holds) AS holds, count(*) FILTER (
 SELECT *, CASE WHEN active < 2 THEN 'skip' WHEN holds >= 2 AND violates >= 2 THEN 'tension' WHEN holds >= 2 THEN 'P1' WHEN violates >= 2 THEN 'P0' ELSE 'discard' END AS verdict FROM g""",
     "q_corpus_overview": f"""WITH {OBS}, k AS (SELECT doc_type, count(*) AS c FROM p GROUP BY ALL) SELECT (SELECT count(DISTINCT session_id) FROM p) AS figure_count, (SELECT count(*) FROM p) AS total_passages, count(*) AS total_observations, count(DISTINCT value_name) AS unique_values,
 round(count(DISTINCT record_id) / (SELECT count(*) FROM p)::DOUBLE, 4) AS coverage_rate, (SELECT '{{' || string_agg('"' || doc_type || '":' || c, ',' ORDER BY doc_type) || '}}' FROM k) AS doc_types, min(ts) AS first_ts, max(ts) AS last_ts FROM obs""",
+    "q_dataset_card": f"""WITH {REG}, pc AS (SELECT session_id, count(*) AS passage_count FROM p GROUP BY ALL), o AS (SELECT session_id, count(*) AS observation_count, count(DISTINCT value_name) AS value_count, round(avg(resistance), 4) AS avg_resistance, round(avg(significance), 4) AS avg_significance FROM obs GROUP BY ALL),
+t AS (SELECT session_id, string_agg(value_name, ',' ORDER BY r) AS top_values FROM (SELECT session_id, value_name, row_number() OVER (PARTITION BY session_id ORDER BY weight DESC, demonstrations DESC, value_name) AS r FROM reg) WHERE r <= 5 GROUP BY ALL), a AS ({ACROSS}), k AS (SELECT doc_type, count(*) AS c FROM p GROUP BY ALL), cov AS (SELECT count(*) AS n, count(DISTINCT value_name) AS v, round(count(DISTINCT record_id) / (SELECT count(*) FROM p)::DOUBLE, 4) AS rate FROM obs)
+SELECT 'Value Distribution' AS section, printf('| %s | %d | %d | %.4f | %.4f |', value_name, total_demonstrations::BIGINT, figure_count, avg_weight, avg_resistance) AS line FROM a UNION ALL SELECT 'Value Distribution', '| Value | Demonstrations | Figures | Mean weight | Mean resistance |'
+UNION ALL SELECT 'Cross-Figure Values', printf('| %s | %d | %d | %.4f |', value_name, figure_count, total_demonstrations::BIGINT, avg_weight) FROM a WHERE figure_count >= 2 UNION ALL SELECT 'Cross-Figure Values', '| Value | Figures | Demonstrations | Mean weight |'
+UNION ALL SELECT 'Figures', printf('| %s | %s | %s | %s | %.4f | %s |', substr(session_id, 8), dt, format('{{:,}}', passage_count), format('{{:,}}', observation_count), avg_resistance, array_to_string(string_split(top_values, ',')[:3], ', ')) FROM pc JOIN o USING (session_id) JOIN t USING (session_id) JOIN (SELECT session_id, string_agg(DISTINCT doc_type, ', ' ORDER BY doc_type) AS dt FROM p GROUP BY ALL) USING (session_id)
+UNION ALL SELECT 'Figures', '| Figure | Document types | Passages | Observations | Mean resistance | Foremost values |'
+UNION ALL SELECT 'Corpus Statistics', unnest(['| Metric | Value |', '| Figures | ' || (SELECT count(DISTINCT session_id) FROM p) || ' |', '| Passages | ' || format('{{:,}}', (SELECT count(*) FROM p)) || ' |', '| Observations | ' || format('{{:,}}', n) || ' |', '| Values | ' || v || ' |', printf('| Passages with a value | %.2f%% |', rate * 100)]) FROM cov
+UNION ALL SELECT 'Corpus Statistics', '| Type | Passages | Share |' UNION ALL SELECT 'Corpus Statistics', printf('| %s | %s | %.1f%% |', doc_type, format('{{:,}}', c), c * 100 / (SELECT sum(c) FROM k)::DOUBLE) FROM k""",
     "q_figure_summary": f"""WITH {REG}, pc AS (SELECT session_id, count(*) AS passage_count FROM p GROUP BY ALL), o AS (SELECT session_id, count(*) AS observation_count, count(DISTINCT value_name) AS value_count, round(avg(resistance), 4) AS avg_resistance, round(avg(significance), 4) AS avg_significance FROM obs GROUP BY ALL),
 t AS (SELECT session_id, string_agg(value_name, ',' ORDER BY r) AS top_values FROM (SELECT session_id, value_name, row_number() OVER (PARTITION BY session_id ORDER BY weight DESC, demonstrations DESC, value_name) AS r FROM reg) WHERE r <= 5 GROUP BY ALL) SELECT * FROM pc LEFT JOIN o USING (session_id) LEFT JOIN t USING (session_id)""",
     "q_corpus_quality": f"WITH {QUALITY_TIERS} SELECT * FROM q",

@@ -85,14 +85,6 @@ def certificates(table: DataFrame, entity: str | None = None, limit: int = 50) -
     return t.orderBy(F.desc("issued_at"), "entity").limit(min(limit, 100))
 
 
-def dataset_card(title: str, pivot: list, quality: list, grade: str) -> str:
-    """A Markdown card from small collected aggregates."""
-    out = ["---", f"title: {title}", f"grade: {grade}", "---", "", f"# {title}", "", "| figure | P1 | P0 | APY | AMBIGUOUS |", "| --- | --- | --- | --- | --- |"]
-    out += [f"| {r[0]} | {r['p1']} | {r['p0']} | {r['apy']} | {r['ambiguous']} |" for r in pivot]
-    out += ["", "| check | value | passed |", "| --- | --- | --- |", *(f"| {c['metric']} | {c['value']} | {c['passed']} |" for c in quality)]
-    return "\n".join(out)
-
-
 _own: dict[str, str] = {}
 
 

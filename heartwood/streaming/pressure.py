@@ -6,7 +6,7 @@ before failures of the same moment. So the result is that of the batch as-of
 join over the rows in time, in whatever order they came.
 
 State of a session: the rows between watermark and the latest moment, and
-the last ``kept`` pressure rows before it. A pressure row without a place is
+the last ``pressure_kept`` pressure rows before it. A pressure row without a place is
 dropped once no later failure can be near it; one with a place may be near in
 passages at any time, and goes ``forget`` seconds after its moment (never, if
 that is None).
@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
-from heartwood.functions import fixed
+from heartwood.config import DEFAULT, EngineConfig
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 COLUMNS = ["session_id", "record_id", "pressure_source_id", "lag_s", "lag_n"]
@@ -59,7 +59,7 @@ class _Pressure(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = []
         for part in rows:
-            new = [(float(r.ts), r.kind != "pressure", int(r.passage_idx), r.record_id) for r in part.itertuples(index=False)]
+            new = [(float(r.moment), r.kind != "pressure", int(r.passage_idx), r.record_id) for r in part.itertuples(index=False)]
             if new:
                 self.waiting.appendList(new)
                 first.append(min(r[0] for r in new))
@@ -91,7 +91,7 @@ class _Pressure(StatefulProcessor):
         pass
 
 
-def pressure(rows: DataFrame, at: str = "at", kept: int = fixed.PRESSURE_KEPT, seconds: float = fixed.PRESSURE_SECONDS, within: int = fixed.PRESSURE_PASSAGES, forget: float | None = None) -> DataFrame:
+def pressure(rows: DataFrame, at: str = "at", cfg: EngineConfig = DEFAULT, forget: float | None = None) -> DataFrame:
     """(session_id, record_id, pressure_source_id, lag_s, lag_n) of failures with the latest pressure at or before them, if that is near.
 
     ``rows``: session_id, record_id, passage_idx (-1 or null: none), kind
@@ -101,5 +101,5 @@ def pressure(rows: DataFrame, at: str = "at", kept: int = fixed.PRESSURE_KEPT, s
     """
     kind = rows.schema["record_id"].dataType.simpleString()
     out = f"session_id string, record_id {kind}, pressure_source_id {kind}, lag_s double, lag_n int"
-    need = rows.select("session_id", "record_id", (F.unix_micros(at) / 1e6).alias("ts"), F.coalesce("passage_idx", F.lit(-1)).cast("int").alias("passage_idx"), "kind", at).where("session_id is not null and ts is not null")
-    return need.groupBy("session_id").transformWithStateInPandas(_Pressure(kind, kept, seconds, within, forget), out, "append", "eventTime")
+    need = rows.select("session_id", "record_id", (F.unix_micros(at) / 1e6).alias("moment"), F.coalesce("passage_idx", F.lit(-1)).cast("int").alias("passage_idx"), "kind", F.col(at).alias("marked")).where("session_id is not null and moment is not null")
+    return need.groupBy("session_id").transformWithStateInPandas(_Pressure(kind, cfg.pressure_kept, cfg.pressure_seconds, cfg.pressure_passages, forget), out, "append", "eventTime")

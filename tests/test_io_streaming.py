@@ -106,7 +106,6 @@ def test_sinks(spark, tmp_path):
     assert [spark.read.json(f"{tmp_path}/t/{n}").count() for n in ("by_figure", "positive", "negative")] == [3, 1, 2]
     c = sinks.certificate(spark.createDataFrame([("love", 0.5), ("courage", 0.7)], "value_name string, score double"), "ann", 5.0).first()
     assert c["score"] == 0.6 and json.loads(c["values_certified"]) == ["courage", "love"] and len(c["signature"]) == 64
-    assert "| a | 1" in sinks.dataset_card("T", [dict(zip((0, "p1", "p0", "apy", "ambiguous"), ("a", 1, 0, 0, 0), strict=True))], [], "FAILED")
 
 
 OBS = "session_id string, record_id string, value_name string, ts double, significance double, resistance double, doc_type string"

@@ -5,6 +5,7 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from heartwood.config import EngineConfig
 from heartwood.operators import labels
 from heartwood.streaming import jobs, ledger, pressure
 
@@ -64,9 +65,9 @@ def rocks(spark):
     spark.conf.set(key, before)
 
 
-def _run(spark, tmp_path, parts, **how):
+def _run(spark, tmp_path, parts, seconds, within=5, forget=None):
     make = lambda rows: spark.createDataFrame([(*r, _at(r[2])) for r in rows], ROWS)
-    build = lambda e: pressure.pressure(e.withWatermark("at", "200 seconds"), **how)
+    build = lambda e: pressure.pressure(e.withWatermark("at", "200 seconds"), cfg=EngineConfig(pressure_seconds=seconds, pressure_passages=within), forget=forget)
     jobs.fed([make(p) for p in parts], build, f"{tmp_path}/in", ledger.sink(f"{tmp_path}/t", "p"), f"{tmp_path}/c")
     return make([r for p in parts for r in p]), ledger.read(spark, f"{tmp_path}/t", "session_id string, record_id string, pressure_source_id string, lag_s double, lag_n int")
 
@@ -87,9 +88,9 @@ def test_pressure_state_is_bounded_and_expires(spark, tmp_path, rocks):
     parts = [many, [("t", "x", 900.0, -1, "pressure")], [("s", "f", 901.0, -1, "failed")], [("t", "end", 9_000.0, -1, "pressure")]]
     _, got = _run(spark, tmp_path / "a", parts, seconds=50.0)
     assert got.count() == 0
-    _, got = _run(spark, tmp_path / "b", [placed, *parts[1:3], [("s", "g", 1_000.0, 301, "failed")], parts[3]], seconds=50.0, kept=5)
+    _, got = _run(spark, tmp_path / "b", [placed, *parts[1:3], [("s", "g", 1_000.0, 301, "failed")], parts[3]], seconds=50.0)
     assert [tuple(r) for r in got.collect()] == [("s", "g", "q299", 701.0, 2)]
-    _, got = _run(spark, tmp_path / "c", [placed, *parts[1:3], [("s", "g", 1_000.0, 301, "failed")], parts[3]], seconds=50.0, kept=5, forget=60.0)
+    _, got = _run(spark, tmp_path / "c", [placed, *parts[1:3], [("s", "g", 1_000.0, 301, "failed")], parts[3]], seconds=50.0, forget=60.0)
     assert got.count() == 0
     held = spark.read.format("statestore").option("stateVarName", "held").load(f"{tmp_path}/b/c")
     assert held.where("key.session_id = 's'").count() == 5

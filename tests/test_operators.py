@@ -314,3 +314,15 @@ def test_semantic(spark):
     assert [(r["vec_id"], r["label"]) for r in near] == [(0, 0), (1, 1), (2, 1)]
     s = semantic.semantic_signals(near_hold=spark.createDataFrame([(1, "a", 0.8), (1, "b", 0.5)], "vec_id long, label string, score double"), near_failure=spark.createDataFrame([(1, "a", 0.4), (1, "b", 0.6)], "vec_id long, label string, score double")).collect()
     assert [(r["value_name"], r["confidence"]) for r in s] == [("a", 0.48)]
+
+
+def test_settings_decide_the_labels(spark):
+    o = obs(spark, ("courage", 0, 0, "plain", 0.5, "k", 0), ("courage", 10, 1, "plain", 0.5, "k", 0), ("love", 10, 1, "plain", 0.1, "k", 0))
+    src = spark.createDataFrame([("figure:x", "X", "letter")], "session_id string, figure_name string, document_type string")
+    p = spark.createDataFrame([("figure:x", "p", 9.0, 0)], "session_id string, record_id string, ts double, passage_idx int")
+    got = lambda **c: sorted((r["value_name"], r["label"]) for r in labels.labelled(o, src, registry.registry(o), p, EngineConfig(**c)).collect())
+    assert got() == [("courage", "AMBIGUOUS")] * 2 + [("love", "APY")]
+    assert got(p1=0.45) == [("courage", "P1")] * 2 + [("love", "APY")]
+    assert got(pressure_seconds=0.5, pressure_passages=0) == [("courage", "AMBIGUOUS")] * 2 + [("love", "P0")]
+    assert got(min_observations=2) == [("courage", "AMBIGUOUS")] * 2
+    assert got(min_consistency=1.0) == []
