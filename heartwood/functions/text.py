@@ -61,22 +61,25 @@ def passages(text: Column, size: int = PASSAGE, shortest: int = SHORTEST) -> Col
     return F.filter(packed, lambda p: F.length(p) >= shortest)
 
 
-#: Any archaic form; texts without one skip the chain of replacements.
+#: Any archaic form. No modern form holds one, so all are replaced at once, as one after another would do.
 ARCHAIC_FORM = r"(?<!\w)(?:" + "|".join(old for old, _ in fixed.ARCHAIC) + r")\b"
 
 
 def modernised(text: Column) -> Column:
-    """Archaic forms replaced in their order, keeping capitals and capitalisation."""
-    given = text
-    for old, new in fixed.ARCHAIC:
-        head, left = (old[1:], r"(?<!\w)'") if old.startswith("'") else (old, r"\b")
-        text = F.regexp_replace(text, rf"{left}{head.upper()}\b", new.upper())
-        if left == r"\b":
-            text = F.regexp_replace(text, rf"{left}{head[0].upper()}(?i:{head[1:]})\b", new[0].upper() + new[1:])
-            text = F.regexp_replace(text, rf"{left}{head[0]}(?i:{head[1:]})\b", new)
-        else:  # an apostrophe has no case, so only capitals throughout count
-            text = F.regexp_replace(text, rf"(?i){left}{head}\b", new)
-    return F.when(found(given, ARCHAIC_FORM), text).otherwise(given)
+    """Archaic forms replaced, keeping capitals and capitalisation: the pieces between them, joined by their modern forms."""
+    form = F.lit("(?i)" + ARCHAIC_FORM)
+    modern = F.create_map(*(F.lit(x) for pair in fixed.ARCHAIC for x in pair))
+
+    def now(old: Column) -> Column:
+        new = F.element_at(modern, F.lower(old))
+        # an apostrophe has no case, so only capitals throughout count
+        first = F.substring(old, 1, 1)
+        return F.when(old == F.upper(old), F.upper(new)).when((first != "'") & (first == F.upper(first)), F.concat(F.upper(F.substring(new, 1, 1)), F.substring(new, 2, 100))).otherwise(new)
+
+    def joined(hits: Column) -> Column:
+        return F.array_join(F.zip_with(F.split(text, form, -1), F.transform(hits, now), lambda piece, new: F.concat(piece, F.coalesce(new, F.lit("")))), "")
+
+    return let(F.regexp_extract_all(text, form, F.lit(0)), lambda hits: F.when(F.size(hits) > 0, joined(hits)).otherwise(text))
 
 
 def excerpt(text: Column, size: int = 150) -> Column:
