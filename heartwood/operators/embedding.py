@@ -17,6 +17,7 @@ Null texts and texts without a word have the zero vector, which is like nothing.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from hashlib import md5
 
@@ -27,40 +28,86 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 DIM, GRAM = 512, 3
-#: Words whose features a worker keeps; beyond that it starts anew.
+#: Words whose features a worker keeps, and character windows; beyond that it starts anew.
 KEPT = 200_000
+#: Words that are added up at once.
+AT_ONCE = 100_000
 _words = re.compile(r"[^\W_]+").findall
-_hashed: dict[tuple[int, str], tuple[np.ndarray, np.ndarray]] = {}
+_hashed: dict[int, dict[str, bytes]] = {}
+_windows: dict[int, dict[str, int]] = {}
 
 
-def features(word: str) -> list[str]:
-    """The word, and its character windows between end marks."""
-    marked = f"_{word}_"
-    return [f"w:{word}", *(f"g:{marked[i:i + GRAM]}" for i in range(len(word)))]
+def _digest(feature: str, dim: int) -> int:
+    """Twice the feature's component, and one more for a positive sign."""
+    d = md5(feature.encode()).digest()
+    return 2 * (int.from_bytes(d[:4], "big") % dim) + d[4] % 2
 
 
-def hashed(word: str, dim: int = DIM) -> tuple[np.ndarray, np.ndarray]:
-    """The components of a word's features and their signs."""
-    found = _hashed.get((dim, word))
-    if found is None:
-        if len(_hashed) >= KEPT:
-            _hashed.clear()
-        digests = [md5(f.encode()).digest() for f in features(word)]
-        found = np.array([int.from_bytes(d[:4], "big") % dim for d in digests], np.int64), np.array([1.0 if d[4] % 2 else -1.0 for d in digests])
-        _hashed[dim, word] = found
+def _window(gram: str, dim: int, kept: dict[str, int]) -> int:
+    if len(kept) >= KEPT:
+        kept.clear()
+    kept[gram] = found = _digest(f"g:{gram}", dim)
     return found
 
 
-def counts(texts: list[str | None], dim: int = DIM) -> tuple[np.ndarray, np.ndarray]:
-    """(sums of signs, whether a feature is there), both texts by components."""
-    at, sign = [np.empty(0, np.int64)], [np.empty(0)]
-    for i, text in enumerate(texts):
-        for word in _words((text or "").lower()):
-            d, s = hashed(word, dim)
-            at.append(d + i * dim)
-            sign.append(s)
-    at, size = np.concatenate(at), len(texts) * dim
-    return np.bincount(at, np.concatenate(sign), size).reshape(-1, dim), (np.bincount(at, minlength=size) > 0).reshape(-1, dim)
+def hashed(words: list[str], dim: int = DIM) -> list[bytes]:
+    """For each word the digests of its features as 32-bit numbers: those of the word and of its windows, which many words share."""
+    kept, grams = _hashed.setdefault(dim, {}), _windows.setdefault(dim, {})
+    out = []
+    for word in words:
+        found = kept.get(word)
+        if found is None:
+            if len(kept) >= KEPT:
+                kept.clear()
+            marked, digests = f"_{word}_", array("i", [_digest(f"w:{word}", dim)])
+            for i in range(len(word)):
+                gram = marked[i:i + GRAM]
+                found = grams.get(gram)
+                digests.append(_window(gram, dim, grams) if found is None else found)
+            kept[word] = found = digests.tobytes()
+        out.append(found)
+    return out
+
+
+def _placed(words: list[str], sizes: list[int], dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """The cells (text, component) of the features of texts' words, ``sizes`` of them in each text, and the features' signs."""
+    distinct = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    known = hashed(list(distinct), dim)
+    n = np.fromiter(map(len, known), np.int64, len(known)) // 4
+    code = np.fromiter(map(distinct.__getitem__, words), np.int64, len(words))
+    each = n[code]
+    at = np.arange(each.sum()) + np.repeat((np.cumsum(n) - n)[code] - (np.cumsum(each) - each), each)
+    digest = np.frombuffer(b"".join(known), np.int32)[at]
+    row = np.repeat(np.repeat(np.arange(len(sizes)), sizes), each)
+    return row * dim + digest // 2, digest % 2 * 2.0 - 1.0
+
+
+def _parts(texts: list[str | None], dim: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first text, end, cells, signs) of about ``AT_ONCE`` words at a time."""
+    words, sizes, first = [], [], 0
+    for i, text in enumerate(texts, 1):
+        found = _words((text or "").lower())
+        words += found
+        sizes.append(len(found))
+        if len(words) >= AT_ONCE or i == len(texts):
+            yield first, i, *_placed(words, sizes, dim)
+            words, sizes, first = [], [], i
+
+
+def sums(texts: list[str | None], dim: int = DIM) -> np.ndarray:
+    """Sums of signs, texts by components."""
+    out = np.zeros((len(texts), dim))
+    for first, end, at, sign in _parts(texts, dim):
+        out[first:end] = np.bincount(at, sign, (end - first) * dim).reshape(-1, dim)
+    return out
+
+
+def present(texts: list[str | None], dim: int = DIM) -> np.ndarray:
+    """How many of the texts have a feature, by component."""
+    out = np.zeros(dim, np.int64)
+    for first, end, at, _ in _parts(texts, dim):
+        out += (np.bincount(at, minlength=(end - first) * dim) > 0).reshape(-1, dim).sum(0)
+    return out
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -75,7 +122,7 @@ def weights(texts: DataFrame, column: str = "text", dim: int = DIM) -> DataFrame
         rows, df = 0, np.zeros(dim, np.int64)
         for b in batches:
             rows += b.num_rows
-            df += counts(b.column(0).to_pylist(), dim)[1].sum(0)
+            df += present(b.column(0).to_pylist(), dim)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim + 1)), pa.array(np.append(df, rows))], names=["d", "n"])
 
     found = texts.select(column).mapInArrow(run, "d long, n long").groupBy("d").agg(F.sum("n").alias("n"))  # a row for each component
@@ -95,7 +142,7 @@ def encode(text: Column, weight: np.ndarray) -> Column:
     """array<double>: the unit vectors of texts."""
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            yield pd.Series(list(unit(counts(s.where(s.notna(), None).tolist(), len(weight))[0] * weight)))
+            yield pd.Series(list(unit(sums(s.where(s.notna(), None).tolist(), len(weight)) * weight)))
 
     return F.pandas_udf(run, "array<double>")(text)
 
@@ -107,8 +154,11 @@ def likeness(text: Column, held: dict[str, list[float]], failed: dict[str, list[
 
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for s in batches:
-            x = unit(counts(s.where(s.notna(), None).tolist(), len(weight))[0] * weight)
+            x = unit(sums(s.where(s.notna(), None).tolist(), len(weight)) * weight)
             hold, fail = x @ a.T, x @ b.T
-            yield pd.Series([[(names[k], float(hold[i, k]), float(fail[i, k])) for k in np.flatnonzero(hold[i] >= least - 0.001)] for i in range(len(x))])
+            found = [[] for _ in range(len(x))]
+            for i, k in zip(*(at.tolist() for at in np.nonzero(hold >= least - 0.001)), strict=True):
+                found[i].append((names[k], float(hold[i, k]), float(fail[i, k])))
+            yield pd.Series(found, dtype=object)
 
     return F.pandas_udf(run, "array<struct<label:string,hold:double,fail:double>>")(text)

@@ -118,3 +118,19 @@ def test_documents_without_a_language_get_one(spark):
     got = {r["doc_id"]: r["source_lang"] for r in ingest.passages(some, 1e9, languages=model).collect()}
     own = {r["doc_id"]: r["own"] for r in some.collect()}
     assert sum(got[d] == own[d] for d in got) >= 0.95 * len(got)
+
+
+def test_windows_are_hashed_once(monkeypatch):
+    """A worker takes one digest for each distinct word and window, however many words share it; sums in parts are the whole's."""
+    taken = []
+    digest = embedding._digest
+    monkeypatch.setattr(embedding, "_digest", lambda f, dim: taken.append(f) or digest(f, dim))
+    monkeypatch.setattr(embedding, "_hashed", {})
+    monkeypatch.setattr(embedding, "_windows", {})
+    texts = [f"{w}ing {w}ings {w}" for w in ("stand", "land", "hand", "band")] * 50
+    for at_once in (1, 7, 10_000):
+        monkeypatch.setattr(embedding, "AT_ONCE", at_once)
+        got = embedding.sums(texts)
+        assert [dict(zip(np.flatnonzero(row).tolist(), row[row != 0].tolist(), strict=True)) for row in got[:4]] == [{d: float(n) for d, n in plain(t).items() if n} for t in texts[:4]]
+        assert (embedding.present(texts) == (np.array([[d in plain(t) for d in range(embedding.DIM)] for t in texts[:4]]) * 50).sum(0)).all()
+    assert len(taken) == len(set(taken))
