@@ -21,8 +21,8 @@ def test_no_match_is_lost(name):
     gate = re.compile(gates.gate(*SETS[name]))
     for t in TEXTS:
         if any(re.search("(?i)" + p, t) for p in SETS[name]):
-            assert gate.search(t), t
-    assert not gate.search("thonntnd onth in was therblest ththrere sttist ononer")
+            assert gate.search(" " + t), t
+    assert not gate.search(" thonntnd onth in was therblest ththrere sttist ononer")
 
 
 def test_beginnings():
