@@ -16,25 +16,22 @@ Null texts and texts without a word have the zero vector, which is like nothing.
 
 from __future__ import annotations
 
-import re
-from array import array
 from collections.abc import Iterator
 from hashlib import md5
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DIM, GRAM = 512, 3
-#: Words whose features a worker keeps, and character windows; beyond that it starts anew.
+#: Words whose digests a worker keeps; beyond that it starts anew.
 KEPT = 200_000
-#: Words that are added up at once.
+#: Characters that are added up at once: few enough that what is made of them stays in a core's cache.
 AT_ONCE = 100_000
-_words = re.compile(r"[^\W_]+").findall
-_hashed: dict[int, dict[str, bytes]] = {}
-_windows: dict[int, dict[str, int]] = {}
+#: Characters of an alphabet whose windows have a place each in a table.
+ALPHABET = 256
 
 
 def _digest(feature: str, dim: int) -> int:
@@ -43,62 +40,116 @@ def _digest(feature: str, dim: int) -> int:
     return 2 * (int.from_bytes(d[:4], "big") % dim) + d[4] % 2
 
 
-def _window(gram: str, dim: int, kept: dict[str, int]) -> int:
-    if len(kept) >= KEPT:
-        kept.clear()
-    kept[gram] = found = _digest(f"g:{gram}", dim)
-    return found
-
-
-def hashed(words: list[str], dim: int = DIM) -> list[bytes]:
-    """For each word the digests of its features as 32-bit numbers: those of the word and of its windows, which many words share."""
-    kept, grams = _hashed.setdefault(dim, {}), _windows.setdefault(dim, {})
-    out = []
-    for word in words:
-        found = kept.get(word)
-        if found is None:
-            if len(kept) >= KEPT:
-                kept.clear()
-            marked, digests = f"_{word}_", array("i", [_digest(f"w:{word}", dim)])
-            for i in range(len(word)):
-                gram = marked[i:i + GRAM]
-                found = grams.get(gram)
-                digests.append(_window(gram, dim, grams) if found is None else found)
-            kept[word] = found = digests.tobytes()
-        out.append(found)
-    return out
-
-
-def _placed(words: list[str], sizes: list[int], dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """The cells (text, component) of the features of texts' words, ``sizes`` of them in each text, and the features' signs."""
-    distinct = {w: i for i, w in enumerate(dict.fromkeys(words))}
-    known = hashed(list(distinct), dim)
-    n = np.fromiter(map(len, known), np.int64, len(known)) // 4
-    code = np.fromiter(map(distinct.__getitem__, words), np.int64, len(words))
-    each = n[code]
-    at = np.arange(each.sum()) + np.repeat((np.cumsum(n) - n)[code] - (np.cumsum(each) - each), each)
-    digest = np.frombuffer(b"".join(known), np.int32)[at]
-    row = np.repeat(np.repeat(np.arange(len(sizes)), sizes), each)
-    return row * dim + digest // 2, digest % 2 * 2.0 - 1.0
+class _Words(dict):
+    """Digests of words, made when they are first asked for."""
+
+    def __init__(self, dim: int):
+        self.dim = dim
+
+    def __missing__(self, word: str) -> int:
+        self[word] = found = _digest(f"w:{word}", self.dim)
+        return found
+
+
+class _Windows:
+    """Digests of windows of three characters: one number names a window while the alphabet is small, and its digest has a place in a table."""
+
+    def __init__(self, dim: int):
+        self.dim, self.known = dim, {}
+        self.place, self.chars = np.full(0x110000, -1, np.int32), []
+        self.table = np.zeros(ALPHABET**GRAM, np.int32)  # one more than the digest; none is known yet
+
+    def places(self, marked: np.ndarray) -> np.ndarray:
+        """Each character's place in the alphabet, which grows by those not met before."""
+        found = self.place[marked]
+        if (fresh := marked[found < 0]).size:
+            for c in np.unique(fresh).tolist():
+                self.place[c] = len(self.chars)
+                self.chars.append(chr(c))
+            found = self.place[marked]
+        return found
+
+    def made(self, codes: list[int], base: int) -> list[int]:
+        out = []
+        for code in codes:
+            gram = self.chars[code // base // base] + self.chars[code // base % base] + self.chars[code % base]
+            if gram not in self.known:
+                if len(self.known) >= KEPT:
+                    self.known.clear()
+                self.known[gram] = _digest(f"g:{gram}", self.dim)
+            out.append(self.known[gram])
+        return out
+
+    def digests(self, marked: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """The digests of the windows around the places ``at``."""
+        p = self.places(marked)
+        if len(self.chars) > ALPHABET:
+            codes, where = np.unique((p[at - 1].astype(np.int64) << 42) + (p[at].astype(np.int64) << 21) + p[at + 1], return_inverse=True)
+            return np.array(self.made(codes.tolist(), 1 << 21), np.int32)[where]
+        code = (p[at - 1] * ALPHABET + p[at]) * ALPHABET + p[at + 1]
+        found = self.table[code]
+        if (fresh := code[found == 0]).size:
+            fresh = np.unique(fresh)
+            self.table[fresh] = np.array(self.made(fresh.tolist(), ALPHABET), np.int32) + 1
+            found = self.table[code]
+        return found - 1
+
+
+_hashed: dict[int, _Words] = {}
+_windows: dict[int, _Windows] = {}
+_letters: list[np.ndarray] = []
+
+
+def _lettered(chars: np.ndarray) -> np.ndarray:
+    """Which characters are part of words: letters and digits of any script."""
+    if not _letters:
+        _letters.append(np.array([chr(c).isalnum() for c in range(0x110000)]))
+    return _letters[0][chars]
+
+
+def _placed(texts: list[str], dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """The cells (text, component) of the features of lower-cased texts, and 1 for each feature of positive sign.
+
+    A word's windows are one around each of its characters, so all texts are
+    looked at as one array of characters; only words become strings.
+    """
+    if dim not in _windows:
+        _hashed[dim], _windows[dim] = _Words(dim), _Windows(dim)
+    words, windows = _hashed[dim], _windows[dim]
+    chars = np.frombuffer("\n".join(["", *texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = _lettered(chars)
+    row = np.repeat(np.arange(len(texts), dtype=np.int32), np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
+    at = np.flatnonzero(letter)
+    first = at[~letter[at - 1]]
+    said = np.where(letter, chars, ord(" ")).astype(np.uint32).tobytes().decode("utf-32-le").split()
+    if len(words) >= KEPT:
+        words.clear()
+    digest = np.concatenate([windows.digests(np.where(letter, chars, ord("_")), at), np.fromiter(map(words.__getitem__, said), np.int32, len(said))])
+    return np.concatenate([row[at - 1], row[first - 1]]) * dim + (digest >> 1), digest & 1
 
 
 def _parts(texts: list[str | None], dim: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first text, end, cells, signs) of about ``AT_ONCE`` words at a time."""
-    words, sizes, first = [], [], 0
+    """(first text, end, cells, 1 for each positive sign) of about ``AT_ONCE`` characters at a time."""
+    low, size, first = [], 0, 0
     for i, text in enumerate(texts, 1):
-        found = _words((text or "").lower())
-        words += found
-        sizes.append(len(found))
-        if len(words) >= AT_ONCE or i == len(texts):
-            yield first, i, *_placed(words, sizes, dim)
-            words, sizes, first = [], [], i
+        low.append((text or "").lower())
+        size += len(low[-1])
+        if size >= AT_ONCE or len(low) * dim >= 4 * AT_ONCE or i == len(texts):
+            yield first, i, *_placed(low, dim)
+            low, size, first = [], 0, i
+
+
+def _sums(texts: list[str | None], dim: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first text, end, sums of signs) of some texts at a time."""
+    for first, end, at, positive in _parts(texts, dim):
+        yield first, end, np.bincount(at, positive * 2.0 - 1.0, (end - first) * dim).reshape(-1, dim)
 
 
 def sums(texts: list[str | None], dim: int = DIM) -> np.ndarray:
     """Sums of signs, texts by components."""
     out = np.zeros((len(texts), dim))
-    for first, end, at, sign in _parts(texts, dim):
-        out[first:end] = np.bincount(at, sign, (end - first) * dim).reshape(-1, dim)
+    for first, end, part in _sums(texts, dim):
+        out[first:end] = part
     return out
 
 
@@ -106,7 +157,9 @@ def present(texts: list[str | None], dim: int = DIM) -> np.ndarray:
     """How many of the texts have a feature, by component."""
     out = np.zeros(dim, np.int64)
     for first, end, at, _ in _parts(texts, dim):
-        out += (np.bincount(at, minlength=(end - first) * dim) > 0).reshape(-1, dim).sum(0)
+        has = np.zeros((end - first) * dim, np.uint8)
+        has[at] = 1
+        out += has.reshape(-1, dim).sum(0, np.int64)
     return out
 
 
@@ -126,8 +179,9 @@ def weights(texts: DataFrame, column: str = "text", dim: int = DIM) -> DataFrame
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim + 1)), pa.array(np.append(df, rows))], names=["d", "n"])
 
     found = texts.select(column).mapInArrow(run, "d long, n long").groupBy("d").agg(F.sum("n").alias("n"))  # a row for each component
-    rows = found.where(F.col("d") == dim).select(F.col("n").alias("rows"))
-    return found.where(F.col("d") < dim).crossJoin(F.broadcast(rows)).select("d", (F.log((1 + F.col("rows")) / (1 + F.col("n"))) + 1).alias("weight"))
+    # the number of rows is put beside each component by a window, since a join would read all texts once for either side
+    counted = found.withColumn("rows", F.max(F.when(F.col("d") == dim, F.col("n"))).over(Window.partitionBy(F.lit(0))))
+    return counted.where(F.col("d") < dim).select("d", (F.log((1 + F.col("rows")) / (1 + F.col("n"))) + 1).alias("weight"))
 
 
 def vector(weighted: DataFrame, dim: int = DIM) -> np.ndarray:
@@ -152,13 +206,20 @@ def likeness(text: Column, held: dict[str, list[float]], failed: dict[str, list[
     names = sorted(held)
     a, b = (np.array([of.get(n, [0.0] * len(weight)) for n in names], float).reshape(-1, len(weight)) for of in (held, failed))
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for s in batches:
-            x = unit(sums(s.where(s.notna(), None).tolist(), len(weight)) * weight)
-            hold, fail = x @ a.T, x @ b.T
-            found = [[] for _ in range(len(x))]
-            for i, k in zip(*(at.tolist() for at in np.nonzero(hold >= least - 0.001)), strict=True):
-                found[i].append((names[k], float(hold[i, k]), float(fail[i, k])))
-            yield pd.Series(found, dtype=object)
-
-    return F.pandas_udf(run, "array<struct<label:string,hold:double,fail:double>>")(text)
+            rows, labels, held, failed = [], [], [], []
+            for first, _, part in _sums(s.to_pylist(), len(weight)):
+                x = unit(part * weight)
+                hold, fail = x @ a.T, x @ b.T
+                i, k = np.nonzero(hold >= least - 0.001)
+                rows.append(i + first)
+                labels.append(k)
+                held.append(hold[i, k])
+                failed.append(fail[i, k])
+            each = [np.concatenate(c) if c else np.zeros(0) for c in (rows, labels, held, failed)]
+            ends = np.append(0, np.cumsum(np.bincount(each[0].astype(np.int64), minlength=len(s))))
+            told = [pa.array(names, pa.string()).take(pa.array(each[1].astype(np.int64))), pa.array(each[2], pa.float64()), pa.array(each[3], pa.float64())]
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(told, ["label", "hold", "fail"]))
+
+    return F.arrow_udf(run, "array<struct<label:string,hold:double,fail:double>>")(text)
