@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from heartwood.config import DEFAULT, EngineConfig
 from heartwood.functions import fixed, scoring, text
+from heartwood.functions.gates import marks, told, wider
 
 LABELS = ("P1", "P0", "APY", "AMBIGUOUS")
 
@@ -35,17 +36,20 @@ def classified(observations: DataFrame, p1: float = fixed.P1, p0: float = fixed.
         df = df.join(often, ["session_id", "value_name"]).drop("obs_count")
     if consistency > 0:
         df = df.where(F.col("observation_consistency") >= consistency)
-    df = df.withColumn("_l", scoring.label(F.col("text_excerpt"), F.col("resistance"), p1, p0))
+    # one pass over an excerpt tells which markers it may hold; the column is not written into what asks for it
+    df = df.withColumn("_m", marks(F.col("text_excerpt"), list(map(wider, scoring.MARKERS))))
+    may, excerpt = told(F.col("_m"), list(scoring.MARKERS)), F.col("text_excerpt")
+    df = df.withColumn("_l", scoring.label(excerpt, F.col("resistance"), p1, p0, may))
     panel = F.coalesce(F.col("source").contains("panel"), F.lit(False)) & (F.col("value_polarity") != 0) & (F.col("_l.label") != "APY")
     won = F.col("value_polarity") > 0
     df = df.withColumns({
         "label": F.when(panel, F.when(won, "P1").otherwise("P0")).otherwise(F.col("_l.label")),
         "label_reason": F.when(panel, F.when(won, "panel_confirmed_p1").otherwise("panel_confirmed_p0")).otherwise(F.col("_l.label_reason")),
         "confidence": F.col("_l.confidence"),
-        "pressure_markers": text.markers(F.col("text_excerpt"), fixed.PRESSURE_MARKERS), "failure_markers": text.markers(F.col("text_excerpt"), fixed.FAILURE_MARKERS),
-        "hold_markers": text.markers(F.col("text_excerpt"), fixed.HOLD_MARKERS), "training_weight": scoring.training_weight(F.col("significance"), F.col("doc_type")),
+        "pressure_markers": text.markers(excerpt, fixed.PRESSURE_MARKERS, may(fixed.PRESSURE_MARKERS)), "failure_markers": text.markers(excerpt, fixed.FAILURE_MARKERS, may(fixed.FAILURE_MARKERS)),
+        "hold_markers": text.markers(excerpt, fixed.HOLD_MARKERS, may(fixed.HOLD_MARKERS)), "training_weight": scoring.training_weight(F.col("significance"), F.col("doc_type")),
     }).drop("_l")
-    return df.withColumn("fail_mode", scoring.fail_mode(F.col("label"), F.col("text_excerpt")))
+    return df.withColumn("fail_mode", scoring.fail_mode(F.col("label"), excerpt, may)).drop("_m")
 
 
 def pressure_window(pressure: DataFrame, kept: int = fixed.PRESSURE_KEPT) -> DataFrame:

@@ -30,3 +30,29 @@ def test_beginnings():
     for p in (r"lied\b", r"\b(?:.|a)b", r"\b\w+"):
         with pytest.raises(gates.Unbounded):
             gates.beginnings(p)
+
+
+def test_wider_patterns_lose_no_match():
+    """Arrow's patterns match each text that the engine's do: other white space, no boundaries, letters with ASCII small letters."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from heartwood.operators import extract
+
+    texts = [*TEXTS, "broken\x0bhearted", "they\x0bwould\fcome for me", "THE WEAK", "İN", "gave in", "still continued", "spoke out against", "under pressure"]
+    for p in extract.ASKED:
+        assert gates.wider(p), p
+        hit = pc.match_substring_regex(pa.array(texts), gates.wider(p)).to_pylist()
+        assert all(h for t, h in zip(texts, hit, strict=True) if re.search(p, t.lower(), re.IGNORECASE | re.ASCII)), p
+        assert not pc.match_substring_regex(pa.array(["thonntnd onth in was therblest"]), gates.wider(p))[0].as_py(), p
+    assert [gates.wider(p) for p in ("[^a]b", "(?<=a)b", "(?!a)b", r"\Wa", "a$", r"(a)\1")] == [""] * 6 and gates.wider(r"[\s-]a\$")
+
+
+def test_marks(spark):
+    from pyspark.sql import functions as F
+
+    rows = ["Mercy on us", "amercy", "to keep my word", "", None, "THE WEAK"]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, t string").select("i", gates.marks(F.col("t"), [gates.spoken(["mercy"]), gates.spoken(["keep my word", "mercy"], inside=True), gates.spoken([])]).alias("m"))
+    assert [r["m"] for r in df.orderBy("i").collect()] == [3, 2, 2, 0, 7, 3]
+    beyond = df.sparkSession.createDataFrame([("x",)], "t string").select(gates.marks(F.col("t"), ["(?:a{1000}){1000}", "y"]).alias("m"))
+    assert beyond.first()["m"] == 1
