@@ -163,6 +163,52 @@ def present(texts: list[str | None], dim: int = DIM) -> np.ndarray:
     return out
 
 
+#: In stored features, what stands for a sum of 0 where a text has features whose signs cancel.
+CANCELLED = {np.dtype(np.int8): -128, np.dtype(np.int32): -(1 << 31)}
+
+
+def features(text: Column, dim: int = DIM) -> Column:
+    """binary: the sums of signs of texts' features as they are stored, a byte for each component, or four where a sum needs them.
+
+    Weights need all texts before the first is likened to anything, so what both read is made once.
+    """
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for s in batches:
+            out = []
+            for first, end, at, positive in _parts(s.to_pylist(), dim):
+                size = (end - first) * dim
+                x = np.bincount(at, positive * 2.0 - 1.0, size).astype(np.int32)
+                has = np.zeros(size, bool)
+                has[at] = True
+                kind = np.dtype(np.int8 if not size or np.abs(x).max() < 128 else np.int32)
+                x = x.astype(kind)
+                x[has & (x == 0)] = CANCELLED[kind]
+                rows, width = x.tobytes(), dim * kind.itemsize
+                out += [rows[i:i + width] for i in range(0, len(rows), width)]
+            yield pa.array(out, pa.binary())
+
+    return F.arrow_udf(run, "binary")(text)
+
+
+def _stored(rows: list[bytes], dim: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end, sums of signs, which components have features) of some stored features at a time."""
+    step = max(1, 4 * AT_ONCE // dim)
+    for first in range(0, len(rows), step):
+        part = rows[first:first + step]
+        x = np.stack([np.frombuffer(r, np.int8 if len(r) == dim else np.int32).astype(np.int32) for r in part]) if any(len(r) != dim for r in part) else np.frombuffer(b"".join(part), np.int8).reshape(-1, dim)
+        narrow = np.array([len(r) == dim for r in part])[:, None]
+        gone = x == np.where(narrow, CANCELLED[np.dtype(np.int8)], CANCELLED[np.dtype(np.int32)])
+        yield first, first + len(part), np.where(gone, 0, x).astype(float), x != 0
+
+
+def _summed(s: pa.Array, dim: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first, end, sums of signs) of texts, or of their stored features."""
+    if pa.types.is_binary(s.type):
+        yield from ((first, end, x) for first, end, x, _ in _stored(s.to_pylist(), dim))
+    else:
+        yield from _sums(s.to_pylist(), dim)
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     """Rows scaled to length one; zero rows stay."""
     norm = np.sqrt((x * x).sum(axis=1, keepdims=True))
@@ -170,12 +216,13 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def weights(texts: DataFrame, column: str = "text", dim: int = DIM) -> DataFrame:
-    """(d, weight): each component's inverse document frequency over all rows of ``texts``, log((1 + rows) / (1 + rows that have it)) + 1."""
+    """(d, weight): each component's inverse document frequency over all rows of ``texts``, log((1 + rows) / (1 + rows that have it)) + 1; ``column`` holds texts or their ``features``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, df = 0, np.zeros(dim, np.int64)
         for b in batches:
             rows += b.num_rows
-            df += present(b.column(0).to_pylist(), dim)
+            own = b.column(0)
+            df += sum((has.sum(0, np.int64) for *_, has in _stored(own.to_pylist(), dim)), np.zeros(dim, np.int64)) if pa.types.is_binary(own.type) else present(own.to_pylist(), dim)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim + 1)), pa.array(np.append(df, rows))], names=["d", "n"])
 
     found = texts.select(column).mapInArrow(run, "d long, n long").groupBy("d").agg(F.sum("n").alias("n"))  # a row for each component
@@ -202,14 +249,14 @@ def encode(text: Column, weight: np.ndarray) -> Column:
 
 
 def likeness(text: Column, held: dict[str, list[float]], failed: dict[str, list[float]], weight: np.ndarray, least: float) -> Column:
-    """array of struct(label, hold, fail): cosines of a text with the held and failed prototypes, where the held one is about ``least`` or more."""
+    """array of struct(label, hold, fail): cosines of a text, or of its ``features``, with the held and failed prototypes, where the held one is about ``least`` or more."""
     names = sorted(held)
     a, b = (np.array([of.get(n, [0.0] * len(weight)) for n in names], float).reshape(-1, len(weight)) for of in (held, failed))
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for s in batches:
             rows, labels, held, failed = [], [], [], []
-            for first, _, part in _sums(s.to_pylist(), len(weight)):
+            for first, _, part in _summed(s, len(weight)):
                 x = unit(part * weight)
                 hold, fail = x @ a.T, x @ b.T
                 i, k = np.nonzero(hold >= least - 0.001)

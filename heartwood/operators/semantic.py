@@ -48,15 +48,15 @@ def seed_prototypes(seeds: DataFrame, weighted: DataFrame) -> DataFrame:
     return held.withColumn("kind", F.lit("hold")).unionByName(failed.withColumn("kind", F.lit("failure")))
 
 
-def text_signals(passages: DataFrame, stored: DataFrame, weighted: DataFrame, key: str = "id", k: int = fixed.SEMANTIC_TOP, cfg: EngineConfig = DEFAULT) -> DataFrame:
-    """(key, value_name, confidence): signals of passages (key, text) by their likeness to the stored prototypes (label, kind, centroid).
+def text_signals(passages: DataFrame, stored: DataFrame, weighted: DataFrame, key: str = "id", k: int = fixed.SEMANTIC_TOP, cfg: EngineConfig = DEFAULT, column: str = "text") -> DataFrame:
+    """(key, value_name, confidence): signals of passages (key, ``column``: text, or its stored features) by their likeness to the stored prototypes (label, kind, centroid).
 
     Of the ``k`` held prototypes most like a passage, from the threshold on,
     those count that are more like it than their failure is. Prototypes are a
     fixed dimension, so all of it stays in the passage's row.
     """
     found = {kind: {r["label"]: r["centroid"] for r in signals.dimension(stored.where(F.col("kind") == kind), 10_000).collect()} for kind in ("hold", "failure")}
-    near = embedding.likeness(F.col("text"), found["hold"], found["failure"], embedding.vector(weighted), cfg.semantic_threshold)
+    near = embedding.likeness(F.col(column), found["hold"], found["failure"], embedding.vector(weighted), cfg.semantic_threshold)
     scored = F.transform("near", lambda x: F.struct((-scoring.round4(x["hold"])).alias("neg"), x["label"].alias("label"), scoring.round4(x["fail"]).alias("fail")))
     best = F.slice(F.array_sort(F.filter(scored, lambda x: -x["neg"] >= cfg.semantic_threshold)), 1, k)
     rows = passages.select(key, near.alias("near")).select(key, F.explode(best).alias("b")).select(key, F.col("b.label").alias("value_name"), (-F.col("b.neg")).alias("hold"), F.col("b.fail").alias("fail"))

@@ -74,3 +74,41 @@ def test_passages_are_sentences_in_order(spark):
     odd = [None, "", " \t\n", "a.", "A. b! C?  d.\n\n e " * 80, "x" * 1000 + ". y. " + "z" * 449 + ". w", "!!! ... ??? " * 200, "é\U0001d54f. " * 300, "no end at all " * 100, "a" * 449 + ". b", "a" * 448 + ". b. ", "x. " * 149 + "yy. end"]
     got = {r["i"]: r["p"] for r in spark.createDataFrame(list(enumerate(odd)), "i int, t string").select("i", text.passages(F.col("t")).alias("p")).collect()}
     assert got == {i: plainly(t) for i, t in enumerate(odd)}
+
+
+def test_layers_read_only_what_asks_for_them(spark):
+    """Marks stored with the passages leave the layers fewer texts to read, and all their signals."""
+    v, lex, strength = binding.vocabulary(spark), binding.lexicon(spark), binding.strength(spark)
+    rows = [(i, "a", f"{t} And a second sentence stands here, so that it is long enough. ", "i") for i, t in enumerate([*binding.TEMPLATES, *(t for t in TEXTS if t)])]
+    p = ingest.passages(spark.createDataFrame(rows, "doc_id long, figure string, text string, pronoun string"), 1e9).cache()
+    marked = extract.marked(p, lex, strength, v).cache()
+    for bit in (extract.WORDED, extract.NAMED, extract.ASKED.index(extract.fixed.PRESSURE_MARKERS)):
+        assert 0 < extract._asking(marked, bit).count() < p.count()
+    key = lambda df: sorted(map(str, df.collect()))
+    assert key(extract.merged_signals(p, v, lex, strength)) == key(extract.merged_signals(marked, v, lex, strength))
+    assert key(extract.pressure(p)) == key(extract.pressure(marked)) and key(extract.facts(p)) == key(extract.facts(marked))
+
+
+def test_archaic_forms_are_looked_for_in_batches(spark):
+    odd = ["Thou art", "thouä", "hast́ hast", "nay²", "xthou 'tis", "x'tis", "Kthou", "THÉE thee", "thou", "", None, "yeax yea"]
+    df = spark.createDataFrame(list(enumerate(odd)), "i int, t string").select("i", text.modernised(F.col("t")).alias("n"))
+    assert "ArrowEvalPython" in plan(df) and "regexp_extract_all" not in plan(df)
+    assert [r["n"] for r in df.orderBy("i").collect()] == ["You are", "thouä", "hast́ have", "no²", "xthou it is", "x'tis", "Kyou", "THÉE you", "you", "", None, "yeax yes"]
+
+
+def test_features_are_hashed_once(spark, monkeypatch, tmp_path):
+    """Weights and likeness read the stored features, which hold what the texts do: wide sums, and components whose signs cancel."""
+    import numpy as np
+
+    texts = [*TEXTS, "word " * 3000, "the honest man kept his promise " * 3]
+    p = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "id string, text string")
+    monkeypatch.setattr(binding, "passages", lambda s, d: p)
+    f = binding.features(spark, str(tmp_path))
+    rows = {r["id"]: bytes(r["features"]) for r in f.collect()}
+    assert {len(r) for r in rows.values()} == {embedding.DIM, 4 * embedding.DIM}
+    each = [rows[str(i)] for i in range(len(texts))]
+    x, has = (np.concatenate(c) for c in list(zip(*embedding._stored(each, embedding.DIM), strict=True))[2:])
+    assert (x == embedding.sums(texts)).all() and (has.sum(0) == embedding.present(texts)).all() and (has & (x == 0)).any()
+    assert sorted(embedding.weights(f, "features").collect()) == sorted(embedding.weights(p).collect())
+    monkeypatch.setattr(binding, "passages", lambda s, d: pytest.fail("texts are read again"))
+    assert binding.likeness(spark, str(tmp_path)).columns == ["id", "value_name", "confidence"]
