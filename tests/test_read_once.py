@@ -112,3 +112,17 @@ def test_features_are_hashed_once(spark, monkeypatch, tmp_path):
     assert sorted(embedding.weights(f, "features").collect()) == sorted(embedding.weights(p).collect())
     monkeypatch.setattr(binding, "passages", lambda s, d: pytest.fail("texts are read again"))
     assert binding.likeness(spark, str(tmp_path)).columns == ["id", "value_name", "confidence"]
+
+
+def test_joined_rows_are_not_dealt_again(spark):
+    """Verdicts join while rows lie by passage and value, places while they lie by passage: two shuffles of all rows less than 13."""
+    rows = [(i, "a", f"{t} A second sentence stands here.", "i") for i, t in enumerate(binding.TEMPLATES)]
+    p = ingest.passages(spark.createDataFrame(rows, "doc_id long, figure string, text string, pronoun string"), 1e9)
+    verdicts = p.select("id", F.when(F.col("doc_id") % 2 == 0, "courage").otherwise("love").alias("value_name"), F.lit("P1").alias("verdict"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = extract.extract(p, binding.vocabulary(spark), binding.lexicon(spark), binding.strength(spark), verdicts=verdicts)
+        assert plan(found).count("Exchange hashpartitioning") == 11
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
