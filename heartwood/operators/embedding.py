@@ -9,7 +9,7 @@ and without a trained model; another encoder's vectors can take their place
 in any operator that reads an ``embedding``.
 
 Encoding stays inside a text's row: nothing is shuffled but the frequencies,
-one row for each component. A worker keeps the features of words at hand.
+one row for each component. A worker keeps the features of windows at hand.
 
 Null texts and texts without a word have the zero vector, which is like nothing.
 """
@@ -22,11 +22,12 @@ from hashlib import md5
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DIM, GRAM = 512, 3
-#: Words whose digests a worker keeps; beyond that it starts anew.
+#: Windows, and words too long for a block, whose digests a worker keeps; beyond that it starts anew.
 KEPT = 200_000
 #: Characters that are added up at once: few enough that what is made of them stays in a core's cache.
 AT_ONCE = 100_000
@@ -47,10 +48,64 @@ class _Words(dict):
         self.dim = dim
 
     def __missing__(self, word: str) -> int:
+        if len(self) >= KEPT:
+            self.clear()
         self[word] = found = _digest(f"w:{word}", self.dim)
         return found
 
 
+#: MD5's shifts and constants.
+_TURNS = np.repeat(np.array([[7, 12, 17, 22], [5, 9, 14, 20], [4, 11, 16, 23], [6, 10, 15, 21]], np.uint32), 4, axis=0).reshape(4, 4, 4).reshape(-1)
+_SINES = (np.abs(np.sin(np.arange(1, 65, dtype=float))) * 2**32).astype(np.uint64).astype(np.uint32)
+#: Bytes of a word that fit into one block of MD5 beside the mark before it, and words that are hashed at once.
+FITS, WORDS = 53, 4096
+
+
+def _blocks(words: pa.Array) -> np.ndarray:
+    """MD5's blocks of ``w:`` and each word: sixteen numbers by words."""
+    n = len(words)
+    ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + n + 1]
+    size, said = np.diff(ends), np.frombuffer(words.buffers()[2], np.uint8)[ends[0]:ends[-1]]
+    out, row = np.zeros((n, 64), np.uint8), np.arange(n) * 64
+    out[:, 0], out[:, 1] = ord("w"), ord(":")
+    out.reshape(-1)[np.repeat(row + 2 - (ends[:-1] - ends[0]), size) + np.arange(len(said))] = said
+    out.reshape(-1)[row + 2 + size] = 0x80
+    bits = 8 * (size + 2)
+    out[:, 56], out[:, 57] = bits & 255, bits >> 8
+    return np.ascontiguousarray(out.view("<u4").T)
+
+
+def _digests(words: pa.Array, dim: int) -> np.ndarray:
+    """``_digest`` of ``w:`` and each of some words, none empty, as arrays: a call for each word takes most of the time that texts take."""
+    long = pc.greater(pc.binary_length(words), FITS).to_numpy(zero_copy_only=False)
+    if long.any():
+        out = np.empty(len(words), np.int32)
+        out[~long] = _digests(words.filter(pa.array(~long)), dim)
+        out[long] = [*map(_hashed.setdefault(dim, _Words(dim)).__getitem__, words.filter(pa.array(long)).to_pylist())]
+        return out
+    parts = []
+    for first in range(0, len(words), WORDS):
+        m = _blocks(words.slice(first, WORDS))
+        start = a, b, c, d = [np.full(m.shape[1], x, np.uint32) for x in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)]
+        for i in range(64):
+            if i < 16:
+                f, k = d ^ (b & (c ^ d)), i
+            elif i < 32:
+                f, k = c ^ (d & (b ^ c)), (5 * i + 1) % 16
+            elif i < 48:
+                f, k = b ^ c ^ d, (3 * i + 5) % 16
+            else:
+                f, k = c ^ (b | ~d), 7 * i % 16
+            f += a
+            f += m[k]
+            f += _SINES[i]
+            s = _TURNS[i]
+            a, d, c, b = d, c, b, b + (f << s | f >> (np.uint32(32) - s))
+        head, sign = start[0] + a, start[1] + b
+        parts.append((2 * (head.byteswap() % np.uint32(dim)) + (sign & np.uint32(1))).astype(np.int32))
+    return np.concatenate(parts) if parts else np.zeros(0, np.int32)
+
+
 class _Windows:
     """Digests of windows of three characters: one number names a window while the alphabet is small, and its digest has a place in a table."""
 
@@ -111,20 +166,19 @@ def _placed(texts: list[str], dim: int) -> tuple[np.ndarray, np.ndarray]:
     """The cells (text, component) of the features of lower-cased texts, and 1 for each feature of positive sign.
 
     A word's windows are one around each of its characters, so all texts are
-    looked at as one array of characters; only words become strings.
+    looked at as one array of characters; each different word is hashed once.
     """
     if dim not in _windows:
-        _hashed[dim], _windows[dim] = _Words(dim), _Windows(dim)
-    words, windows = _hashed[dim], _windows[dim]
+        _windows[dim] = _Windows(dim)
+    windows = _windows[dim]
     chars = np.frombuffer("\n".join(["", *texts, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = _lettered(chars)
     row = np.repeat(np.arange(len(texts), dtype=np.int32), np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
     at = np.flatnonzero(letter)
     first = at[~letter[at - 1]]
-    said = np.where(letter, chars, ord(" ")).astype(np.uint32).tobytes().decode("utf-32-le").split()
-    if len(words) >= KEPT:
-        words.clear()
-    digest = np.concatenate([windows.digests(np.where(letter, chars, ord("_")), at), np.fromiter(map(words.__getitem__, said), np.int32, len(said))])
+    said = np.where(letter, chars, ord(" ")).astype(np.uint32).tobytes().decode("utf-32-le").strip(" ")
+    words = pc.list_flatten(pc.ascii_split_whitespace(pa.array([said] if said else [], pa.string()))).dictionary_encode()
+    digest = np.concatenate([windows.digests(np.where(letter, chars, ord("_")), at), _digests(words.dictionary, dim)[words.indices.to_numpy()]])
     return np.concatenate([row[at - 1], row[first - 1]]) * dim + (digest >> 1), digest & 1
 
 
@@ -190,15 +244,33 @@ def features(text: Column, dim: int = DIM) -> Column:
     return F.arrow_udf(run, "binary")(text)
 
 
-def _stored(rows: list[bytes], dim: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end, sums of signs, which components have features) of some stored features at a time."""
+def _read(rows: list[bytes], dim: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end, signs' sums as stored, which of them stand for 0) of some stored features at a time."""
     step = max(1, 4 * AT_ONCE // dim)
     for first in range(0, len(rows), step):
         part = rows[first:first + step]
-        x = np.stack([np.frombuffer(r, np.int8 if len(r) == dim else np.int32).astype(np.int32) for r in part]) if any(len(r) != dim for r in part) else np.frombuffer(b"".join(part), np.int8).reshape(-1, dim)
-        narrow = np.array([len(r) == dim for r in part])[:, None]
-        gone = x == np.where(narrow, CANCELLED[np.dtype(np.int8)], CANCELLED[np.dtype(np.int32)])
-        yield first, first + len(part), np.where(gone, 0, x).astype(float), x != 0
+        if all(len(r) == dim for r in part):
+            x = np.frombuffer(b"".join(part), np.int8).reshape(-1, dim)
+            yield first, first + len(part), x, x == np.int8(CANCELLED[np.dtype(np.int8)])
+        else:
+            x = np.stack([np.frombuffer(r, np.int8 if len(r) == dim else np.int32).astype(np.int32) for r in part])
+            narrow = np.array([len(r) == dim for r in part])[:, None]
+            yield first, first + len(part), x, x == np.where(narrow, CANCELLED[np.dtype(np.int8)], CANCELLED[np.dtype(np.int32)])
+
+
+def _stored(rows: list[bytes], dim: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end, sums of signs, which components have features) of some stored features at a time."""
+    for first, end, x, gone in _read(rows, dim):
+        sums_ = x.astype(float)
+        sums_[gone] = 0.0
+        yield first, end, sums_, x != 0
+
+
+def _counted(s: pa.Array, dim: int) -> np.ndarray:
+    """How many texts, or stored features, have a feature, by component."""
+    if not pa.types.is_binary(s.type):
+        return present(s.to_pylist(), dim)
+    return sum((np.count_nonzero(x, axis=0) for _, _, x, _ in _read(s.to_pylist(), dim)), np.zeros(dim, np.int64))
 
 
 def _summed(s: pa.Array, dim: int) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -221,8 +293,7 @@ def weights(texts: DataFrame, column: str = "text", dim: int = DIM) -> DataFrame
         rows, df = 0, np.zeros(dim, np.int64)
         for b in batches:
             rows += b.num_rows
-            own = b.column(0)
-            df += sum((has.sum(0, np.int64) for *_, has in _stored(own.to_pylist(), dim)), np.zeros(dim, np.int64)) if pa.types.is_binary(own.type) else present(own.to_pylist(), dim)
+            df += _counted(b.column(0), dim)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dim + 1)), pa.array(np.append(df, rows))], names=["d", "n"])
 
     found = texts.select(column).mapInArrow(run, "d long, n long").groupBy("d").agg(F.sum("n").alias("n"))  # a row for each component

@@ -5,6 +5,7 @@ from collections import Counter
 from hashlib import md5
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,3 +135,17 @@ def test_windows_are_hashed_once(monkeypatch):
         assert [dict(zip(np.flatnonzero(row).tolist(), row[row != 0].tolist(), strict=True)) for row in got[:4]] == [{d: float(n) for d, n in plain(t).items() if n} for t in texts[:4]]
         assert (embedding.present(texts) == (np.array([[d in plain(t) for d in range(embedding.DIM)] for t in texts[:4]]) * 50).sum(0)).all()
     assert len(taken) == len(set(taken))
+
+
+def test_words_are_hashed_as_arrays(monkeypatch):
+    """Short words take no call each, whatever their script, and have the digests that a call gives; long ones take one each."""
+    words = ["a", "stand", "ß", "İ".lower(), "中文", "𝒳é", "0123", "x" * 53, "é" * 26 + "x", *(f"w{i}" for i in range(5000))]
+    long = ["x" * 54, "é" * 27, "y" * 300]
+    taken, digest = [], embedding._digest
+    monkeypatch.setattr(embedding, "_digest", lambda f, dim: taken.append(f) or digest(f, dim))
+    monkeypatch.setattr(embedding, "_hashed", {})
+    both = pa.array([*words, *long, *words])
+    assert embedding._digests(both, 512).tolist() == [digest(f"w:{w}", 512) for w in both.to_pylist()]
+    assert embedding._digests(both.slice(3, 20), 31).tolist() == [digest(f"w:{w}", 31) for w in both.to_pylist()[3:23]]
+    assert taken == [f"w:{w}" for w in long]
+    assert embedding._digests(pa.array([], pa.string()), 512).tolist() == []
