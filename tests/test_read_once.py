@@ -126,3 +126,14 @@ def test_joined_rows_are_not_dealt_again(spark):
         assert plan(found).count("Exchange hashpartitioning") == 11
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_repeated_signals_are_read_once(spark, monkeypatch, tmp_path):
+    rows = [("figure:a", f"r{i}", v, 0.5 + i / 100, 1 if i % 3 else -1, "x" * (195 + i), "letter") for i in range(12) for v in ("courage", "love")]
+    spark.createDataFrame(rows, "session_id string, record_id string, value_name string, resistance double, value_polarity int, text_excerpt string, doc_type string").write.parquet(str(tmp_path / "o"))
+    monkeypatch.setattr(binding, "observations", lambda s, d: s.read.parquet(str(tmp_path / "o")))
+    df = catalog.q_new_observations(spark, "/nowhere")
+    shown = plan(df)
+    shown = shown.split("== Initial Plan ==")[-1]
+    assert shown.count("FileScan parquet") == 2 and "doc_type" not in shown  # the signals, and those that are known
+    assert sorted(map(tuple, df.collect())) == sorted((s, r, v, res, 1.0, min(len(t), 200)) for s, r, v, res, p, t, _ in rows if p > 0)
