@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from heartwood.functions import gates, text
-from heartwood.operators import embedding, extract, ingest
+from heartwood.operators import embedding, extract, ingest, signals
 from heartwood.plans import binding, catalog
 
 TEXTS = ["I would rather die than lie.", "They insisted, and I yielded.", "Ştories of mercy.", "İN WINTER. Kin.", "WEAK", "Onth thandin ering.", "It was unfair", "", None]
@@ -137,3 +137,23 @@ def test_repeated_signals_are_read_once(spark, monkeypatch, tmp_path):
     shown = shown.split("== Initial Plan ==")[-1]
     assert shown.count("FileScan parquet") == 2 and "doc_type" not in shown  # the signals, and those that are known
     assert sorted(map(tuple, df.collect())) == sorted((s, r, v, res, 1.0, min(len(t), 200)) for s, r, v, res, p, t, _ in rows if p > 0)
+
+
+def test_values_that_are_only_raised_end_before_the_joins(spark):
+    """A score too low to stand alone raises another layer's signal and gives none itself, so its rows meet neither verdicts nor facts."""
+    frame = lambda rows, kind: spark.createDataFrame(rows, kind)
+    near = "struct<polarity:int,confidence:double>"
+    kw = frame([("a", "love", 0.6, 3, "x", None)], f"id string, value_name string, confidence double, match_idx int, text_excerpt string, around {near}")
+    lex = frame([("b", "love", "virtue", 0.1, "lexicon"), ("c", "love", "vice", 0.1, "lexicon_vice"), ("d", "love", "vice", 0.9, "lexicon_vice")], "id string, value_name string, polarity string, confidence double, source string")
+    said = frame([("e", "love", -1, 2, 0.5, "phrase_layer")], "id string, value_name string, polarity_hint int, match_idx int, confidence double, source string")
+    sem = frame([("f", "love", 0.4), ("b", "hope", 0.4)], "id string, value_name string, confidence double")
+    zs = frame([("a", "love", 0.5), ("g", "love", 0.5), ("h", "love", 0.7), ("i", "love", 0.1), ("j", "love", None)], "id string, value_name string, confidence double")
+    cl = frame([("a", "love", 0, 0.65), ("k", "love", 0, 0.65), ("l", "love", 0, 0.65), ("l", "love", 1, 0.85)], "id string, value_name string, ord int, score double")
+    facts = frame([(c, 0.25) for c in "abcdefghijkl"], "id string, struct_score double")
+    got = signals.merge(kw, lex, said, sem, facts, zs, cl)
+    assert sorted((r["id"], r["value_name"], r["source"]) for r in got.collect()) == [
+        ("a", "love", "keyword+structural+zeroshot+mft"), ("b", "hope", "semantic+structural"), ("d", "love", "lexicon_vice"), ("e", "love", "phrase_layer+structural"),
+        ("f", "love", "semantic+structural"), ("h", "love", "zeroshot"), ("l", "love", "mft"),
+    ]
+    ahead = plan(got).split("Join")[-1]
+    assert "Filter" in ahead and "isnotnull(kw" in ahead
