@@ -55,7 +55,7 @@ class _Words(dict):
 
 
 #: MD5's shifts and constants.
-_TURNS = np.repeat(np.array([[7, 12, 17, 22], [5, 9, 14, 20], [4, 11, 16, 23], [6, 10, 15, 21]], np.uint32), 4, axis=0).reshape(4, 4, 4).reshape(-1)
+_TURNS = np.repeat(np.array([[7, 12, 17, 22], [5, 9, 14, 20], [4, 11, 16, 23], [6, 10, 15, 21]], np.uint32), 4, axis=0).reshape(-1)
 _SINES = (np.abs(np.sin(np.arange(1, 65, dtype=float))) * 2**32).astype(np.uint64).astype(np.uint32)
 #: Bytes of a word that fit into one block of MD5 beside the mark before it, and words that are hashed at once.
 FITS, WORDS = 53, 4096
