@@ -1,9 +1,8 @@
 """The card of a dataset: Markdown with front matter, from aggregates that are small by nature.
 
-What the card shows is collected: single rows, a row for each document type
-and value of the vocabulary, and a row for each figure (the card names them
-all; ``figures`` bounds the table for a corpus of very many, and the card
-says how many more there are).
+What is small is collected: single rows, and a row for each document type and
+value of the vocabulary. The lines of the figures are a table, a row for each,
+as a corpus may have more of them than a driver holds.
 """
 
 from __future__ import annotations
@@ -44,10 +43,35 @@ def _four(x: float | None) -> str:
     return "" if x is None else f"{x:.4f}"
 
 
+def figure_lines(passages: DataFrame, observations: DataFrame, reg: DataFrame) -> DataFrame:
+    """(session_id, passage_count, line): each figure's row of the card, as ``cells`` makes them."""
+    kinds = passages.groupBy("session_id").agg(F.array_join(F.array_sort(F.collect_set("doc_type")), ", ").alias("doc_types"))
+    n = lambda c: F.format_string("%,d", c)
+    shown = (
+        F.regexp_replace("session_id", "^figure:", ""), "doc_types", n(F.col("passage_count")), n(F.coalesce("observation_count", F.lit(0))),
+        F.when(F.col("avg_resistance").isNotNull(), F.format_string("%.4f", "avg_resistance")), F.array_join(F.slice(F.split("top_values", ","), 1, 3), ", "),
+    )
+    safe = [F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("|"), F.lit("\\|")), F.lit("\n"), F.lit(" ")) for c in shown]
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", *safe), F.lit(" |"))
+    return corpus.figure_summaries(passages, observations, reg).join(kinds, "session_id").select("session_id", "passage_count", line.alias("line"))
+
+
 def dataset_card(
-    name: str, passages: DataFrame, observations: DataFrame, reg: DataFrame, records: DataFrame | None = None, made: str = "", languages: tuple[str, ...] = ("en",), terms: str = "other", figures: int = 10_000,
+    name: str, passages: DataFrame, observations: DataFrame, reg: DataFrame, records: DataFrame | None = None, made: str = "", languages: tuple[str, ...] = ("en",), terms: str = "other", figures: int | None = None,
 ) -> str:
-    """The card of the corpus called ``name``; with ``records`` it shows their labels and grade. ``made`` is the date to print, ``terms`` the licence."""
+    """The card of the corpus called ``name``; with ``records`` it shows their labels and grade. ``made`` is the date to print, ``terms`` the licence.
+
+    All figures are named; a caller who wants the first ``figures`` only is told how many more there are.
+    The text is made in the driver; ``parts`` leaves the figures where they are.
+    """
+    before, people, after = parts(name, passages, observations, reg, records, made, languages, terms, figures)
+    return "\n".join([*before, *(r["line"] for r in people.orderBy(F.desc("passage_count"), "session_id").collect()), *after])
+
+
+def parts(
+    name: str, passages: DataFrame, observations: DataFrame, reg: DataFrame, records: DataFrame | None = None, made: str = "", languages: tuple[str, ...] = ("en",), terms: str = "other", figures: int | None = None,
+) -> tuple[list[str], DataFrame, list[str]]:
+    """The lines before those of the figures, these as a table (``figure_lines``), and the lines behind them."""
     total = corpus.overview(passages, observations).first()
     kinds = json.loads(total["doc_types"] or "{}")
     out = ["---", "language:", *(f"- {x}" for x in languages), f"license: {terms}", "task_categories:", "- text-classification", "task_ids:", "- multi-label-classification", "tags:", "- values", "- moral-psychology", "- historical-text", f"pretty_name: {json.dumps(name)}", "---", ""]
@@ -58,14 +82,15 @@ def dataset_card(
     if kinds:
         every = sum(kinds.values())
         out += ["### Document Types", "", *_table(("Type", "Passages", "Share"), [(k, f"{n:,}", f"{n / every:.1%}") for k, n in sorted(kinds.items(), key=lambda x: (-x[1], x[0]))])]
-    named = corpus.figure_summaries(passages, observations, reg).join(passages.groupBy("session_id").agg(F.array_join(F.array_sort(F.collect_set("doc_type")), ", ").alias("doc_types")), "session_id")
-    people = named.orderBy(F.desc("passage_count"), "session_id").limit(figures).collect()
-    if people:
-        out += ["## Figures", "", *_table(("Figure", "Document types", "Passages", "Observations", "Mean resistance", "Foremost values"), [
-            (r["session_id"].removeprefix("figure:"), r["doc_types"], f"{r['passage_count']:,}", f"{r['observation_count'] or 0:,}", _four(r["avg_resistance"]), ", ".join((r["top_values"] or "").split(",")[:3])) for r in people
-        ])]
-        if total["figure_count"] > len(people):
-            out += [f"and {total['figure_count'] - len(people):,} more figures", ""]
+    people = figure_lines(passages, observations, reg)
+    if figures is not None:
+        people = people.orderBy(F.desc("passage_count"), "session_id").limit(figures)
+    before, out = out, []
+    if total["figure_count"]:
+        before += ["## Figures", "", *_table(("Figure", "Document types", "Passages", "Observations", "Mean resistance", "Foremost values"), [])[:-1]]
+        out += [""]
+        if figures is not None and total["figure_count"] > figures:
+            out += [f"and {total['figure_count'] - figures:,} more figures", ""]
     values = corpus.value_distribution(reg).collect()  # a row for each value of the vocabulary
     if values:
         out += ["## Value Distribution", "", *_table(("Value", "Demonstrations", "Figures", "Mean weight", "Mean resistance"), [(v["value_name"], v["total_demonstrations"], v["figure_count"], _four(v["avg_weight"]), _four(v["avg_resistance"])) for v in values])]
@@ -82,4 +107,4 @@ def dataset_card(
         out += ["## Labels and Quality", "", *_table(("Label", "Records"), [(x, f"{count.get(x, 0):,}") for x in labels.LABELS]), f"Grade: {grade}", "", *_table(("Layer", "Check", "Value", "Threshold", "Passed"), [(c["layer"], c["metric"], _four(c["value"]), f"{c['op']} {c['threshold']:g}", "yes" if c["passed"] else "no") for c in checks])]
     out += ["## Schema", "", "JSON lines, one record each:", "", *_table(("Field", "Meaning"), [(f"`{f}`", FIELDS[f]) for f in labels.RECORD]), "### Label Meanings", "", *_table(("Label", "Meaning"), list(LABELS.items()))]
     out += ["## Pipeline", "", *_table(("Layer", "What it does"), list(LAYERS.items())), f"Labels: P1 from a resistance of {fixed.P1:g}, P0 below {fixed.P0:g}, by markers before that.", "", "A value's weight in the registry is its demonstrations x mean significance x mean resistance x consistency.", "", "## License", "", terms, ""]
-    return "\n".join(out)
+    return before, people, out
